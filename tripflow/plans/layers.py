@@ -36,3 +36,23 @@ def silver_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gold(spark: SparkSession, sf_dir: str, q: QualitySpec = TESTDATA_QUALITY) -> DataFrame:
     return consolidate([silver(spark, sf_dir, "yellow"), silver(spark, sf_dir, "green")], q)
+
+
+def layer_counts(spark: SparkSession, sf_dir: str, q: QualitySpec = TESTDATA_QUALITY) -> DataFrame:
+    """(layer, feed, linhas) for Bronze, Silver and Gold in one scan per feed:
+    the Silver and Gold rules are evaluated as flags and counted together."""
+    from pyspark.sql import functions as F
+
+    from tripflow.operators.consolidate import quality_predicate
+    from tripflow.operators.standardize import complete, silver_typed
+
+    frames = []
+    for tag, spec in FEEDS.items():
+        typed = silver_typed(bronze(spark, sf_dir, tag), spec)
+        ok = complete(typed)
+        kept = ok & quality_predicate(q, pickup="pickup_datetime")
+        wide = typed.agg(
+            F.count(F.lit(1)).alias("bronze"), F.count_if(ok).alias("silver"), F.count_if(kept).alias("gold")
+        ).withColumn("feed", F.lit(tag))
+        frames.append(wide.unpivot("feed", ["bronze", "silver", "gold"], "layer", "linhas"))
+    return union_all(*frames).select("layer", "feed", F.col("linhas").cast("long").alias("linhas"))

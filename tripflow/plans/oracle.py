@@ -118,3 +118,212 @@ SELECT CAST(hour(tpep_pickup_datetime) AS INTEGER) AS hora,
 FROM gold WHERE month(tpep_pickup_datetime) = {Q.hourly_month}
 GROUP BY 1 ORDER BY 1
 """)
+
+# --- row-level layers ---------------------------------------------------------
+ORACLES["bronze_feed_a"] = with_feeds("SELECT * FROM bronze_a")
+ORACLES["bronze_feed_b"] = with_feeds("SELECT * FROM bronze_b")
+ORACLES["silver_feed_a"] = with_feeds("SELECT * FROM silver_a")
+ORACLES["silver_feed_b"] = with_feeds("SELECT * FROM silver_b")
+ORACLES["gold_all"] = with_feeds("SELECT * FROM gold")
+ORACLES["union_all"] = with_feeds("SELECT taxi_type, count(*) AS linhas FROM silver_all GROUP BY taxi_type")
+
+# --- SQL forms: same answers as the DataFrame forms -----------------------------
+ORACLES["q1_sql"] = ORACLES["avg_amount_by_month"]
+ORACLES["q2_sql"] = ORACLES["avg_passengers_by_hour"]
+
+# --- profiles -------------------------------------------------------------------
+ORACLES["layer_counts"] = with_feeds("""
+SELECT 'bronze' AS layer, 'yellow' AS feed, count(*) AS linhas FROM bronze_a
+UNION ALL SELECT 'silver', 'yellow', count(*) FROM silver_a
+UNION ALL SELECT 'gold', 'yellow', count(*) FROM gold WHERE taxi_type = 'yellow'
+UNION ALL SELECT 'bronze', 'green', count(*) FROM bronze_b
+UNION ALL SELECT 'silver', 'green', count(*) FROM silver_b
+UNION ALL SELECT 'gold', 'green', count(*) FROM gold WHERE taxi_type = 'green'
+""")
+
+
+def _volume(layer: str, feed: str, table: str) -> str:
+    return (f"SELECT '{layer}' AS layer, '{feed}' AS feed, "
+            f"printf('%04d-%02d', partition_year, partition_month) AS mes, count(*) AS linhas "
+            f"FROM {table} WHERE partition_year = {Q.year} "
+            f"AND partition_month BETWEEN {Q.first_month} AND {Q.last_month} "
+            f"GROUP BY partition_year, partition_month")
+
+
+ORACLES["volume_by_month"] = with_feeds("\nUNION ALL\n".join([
+    _volume("bronze", "yellow", "bronze_a"), _volume("bronze", "green", "bronze_b"),
+    _volume("silver", "yellow", "silver_a"), _volume("silver", "green", "silver_b"),
+]))
+
+ORACLES["partition_counts"] = with_feeds("""
+SELECT 'yellow' AS feed, partition_year, partition_month, count(*) AS total_linhas
+FROM bronze_a GROUP BY partition_year, partition_month
+UNION ALL
+SELECT 'green' AS feed, partition_year, partition_month, count(*) AS total_linhas
+FROM bronze_b GROUP BY partition_year, partition_month
+ORDER BY feed, partition_year, partition_month
+""")
+
+
+def _null_profile(table: str, columns: list[str]) -> str:
+    parts = []
+    for c in columns:
+        parts.append(
+            f"SELECT '{c}' AS coluna, count(*) AS total, count(*) - count({c}) AS nulos, "
+            f"{pct(f'count(*) - count({c})', 'count(*)')} AS pct_nulos FROM {table}"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLES["null_profile_a"] = with_feeds(_null_profile(
+    "bronze_a", ["vendorid", "passenger_count", "total_amount", "tpep_pickup_datetime", "tpep_dropoff_datetime"]))
+ORACLES["null_profile_b"] = with_feeds(_null_profile(
+    "bronze_b", ["vendorid", "passenger_count", "total_amount", "lpep_pickup_datetime", "lpep_dropoff_datetime"]))
+
+# Spark type names of the raw feed columns (what schema_profile must report).
+_RAW_TYPES = {
+    "VendorID": "bigint", "passenger_count": "double", "total_amount": "double",
+    "partition_year": "int", "partition_month": "int",
+}
+
+
+def _schema_profile(feed: str, table: str, columns: list[str]) -> str:
+    parts = []
+    for c in columns:
+        kind = _RAW_TYPES.get(c, "timestamp_ntz")
+        parts.append(
+            f"SELECT '{feed}' AS feed, '{c}' AS coluna, '{kind}' AS tipo, count(*) - count({c}) AS nulos, "
+            f"{pct(f'count(*) - count({c})', 'count(*)')} AS pct_nulos FROM {table}"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLES["schema_profile"] = with_feeds("\nUNION ALL\n".join([
+    _schema_profile("yellow", "raw_a", ["VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime",
+                                        "passenger_count", "total_amount", "partition_year", "partition_month"]),
+    _schema_profile("green", "raw_b", ["VendorID", "lpep_pickup_datetime", "lpep_dropoff_datetime",
+                                       "passenger_count", "total_amount", "partition_year", "partition_month"]),
+]))
+
+ORACLES["passenger_distribution"] = with_feeds(f"""
+, dist AS (SELECT taxi_type, passenger_count, count(*) AS total FROM silver_all GROUP BY taxi_type, passenger_count)
+SELECT taxi_type, passenger_count, total,
+       {pct('total', 'sum(total) OVER (PARTITION BY taxi_type)')} AS pct
+FROM dist ORDER BY taxi_type, passenger_count
+""".replace("\n, dist", ",\ndist", 1))
+
+ORACLES["amount_stats_by_month"] = with_feeds(f"""
+SELECT partition_year AS ano, partition_month AS mes,
+       count(*) AS total_corridas,
+       {r2('avg(total_amount)')} AS media,
+       {r2('min(total_amount)')} AS minimo,
+       {r2('max(total_amount)')} AS maximo,
+       {r2('stddev_samp(total_amount)')} AS desvio_padrao,
+       CAST(sum(CASE WHEN total_amount <= 0 THEN 1 ELSE 0 END) AS BIGINT) AS negativos_ou_zero
+FROM silver_a
+GROUP BY partition_year, partition_month
+ORDER BY ano, mes
+""")
+
+ORACLES["gold_summary"] = with_feeds(f"""
+SELECT taxi_type, partition_year AS ano, partition_month AS mes,
+       count(*) AS total_corridas,
+       {r2('avg(total_amount)')} AS avg_total_amount,
+       {r2('avg(passenger_count)')} AS avg_passenger_count,
+       min(passenger_count) AS min_passenger,
+       max(passenger_count) AS max_passenger,
+       min(total_amount) AS min_total_amount,
+       max(total_amount) AS max_total_amount
+FROM gold
+GROUP BY taxi_type, partition_year, partition_month
+ORDER BY taxi_type, ano, mes
+""")
+
+
+def _audit(stage: str, table: str, pickup: str) -> str:
+    return f"""
+SELECT '{stage}' AS stage,
+       CAST(sum(CASE WHEN total_amount <= 0 THEN 1 ELSE 0 END) AS BIGINT) AS total_amount_invalido,
+       CAST(sum(CASE WHEN passenger_count <= 0 THEN 1 ELSE 0 END) AS BIGINT) AS passenger_count_zero,
+       CAST(sum(CASE WHEN passenger_count > 6 THEN 1 ELSE 0 END) AS BIGINT) AS passenger_count_acima_6,
+       CAST(sum(CASE WHEN year({pickup}) != {Q.year} THEN 1 ELSE 0 END) AS BIGINT) AS ano_invalido,
+       CAST(sum(CASE WHEN month({pickup}) NOT BETWEEN {Q.first_month} AND {Q.last_month}
+                THEN 1 ELSE 0 END) AS BIGINT) AS mes_invalido,
+       count(*) AS total
+FROM {table}"""
+
+
+ORACLES["filter_audit"] = with_feeds(
+    _audit("silver", "silver_all", "pickup_datetime") + "\nUNION ALL" + _audit("gold", "gold", "tpep_pickup_datetime")
+)
+
+ORACLES["sample_month"] = with_feeds(f"""
+SELECT * FROM gold
+WHERE partition_year = {Q.year} AND partition_month = {Q.first_month}
+ORDER BY VendorID NULLS FIRST, passenger_count NULLS FIRST, total_amount NULLS FIRST,
+         tpep_pickup_datetime NULLS FIRST, tpep_dropoff_datetime NULLS FIRST, taxi_type NULLS FIRST,
+         partition_year NULLS FIRST, partition_month NULLS FIRST
+LIMIT 5
+""")
+
+# --- ingest and schema audits -----------------------------------------------------
+_RAW_B_TEXT = """
+raw_b_text AS (
+  SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'x' ELSE CAST(o_custkey AS VARCHAR) END AS vendorid,
+         o_orderdate + to_seconds((o_orderkey*104729)%86400) AS lpep_pickup_datetime,
+         o_orderdate + to_seconds((o_orderkey*104729)%86400 + 600) AS lpep_dropoff_datetime,
+         CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE CAST(o_orderkey%8 AS DOUBLE) END AS passenger_count,
+         CASE WHEN o_orderstatus = 'P' THEN -o_totalprice ELSE o_totalprice END AS total_amount
+  FROM orders)"""
+
+
+def _failures(feed: str, table: str, cols: list[tuple[str, str]]) -> str:
+    parts = []
+    for c, kind in cols:
+        parts.append(
+            f"SELECT '{feed}' AS feed, '{c}' AS coluna, "
+            f"count(*) FILTER (WHERE {c} IS NOT NULL AND TRY_CAST({c} AS {kind}) IS NULL) AS falhas FROM {table}"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLES["cast_failures"] = (
+    f"WITH {FEED_CTES.strip()},{_RAW_B_TEXT}\n"
+    + _failures("yellow", "bronze_a", [("vendorid", "BIGINT"), ("tpep_pickup_datetime", "TIMESTAMP"),
+                                       ("tpep_dropoff_datetime", "TIMESTAMP"), ("passenger_count", "DOUBLE"),
+                                       ("total_amount", "DOUBLE")])
+    + "\nUNION ALL\n"
+    + _failures("green", "raw_b_text", [("vendorid", "BIGINT"), ("lpep_pickup_datetime", "TIMESTAMP"),
+                                        ("lpep_dropoff_datetime", "TIMESTAMP"), ("passenger_count", "DOUBLE"),
+                                        ("total_amount", "DOUBLE")])
+)
+
+
+def _required(feed: str, table: str, cols: list[tuple[str, str]]) -> str:
+    parts = []
+    for c, kind in cols:
+        parts.append(f"SELECT '{feed}' AS feed, '{c}' AS coluna, true AS presente, '{kind}' AS tipo, "
+                     f"count({c}) AS nao_nulos FROM {table}")
+    return "\nUNION ALL\n".join(parts)
+
+
+ORACLES["required_columns"] = with_feeds(
+    _required("yellow", "raw_a", [("VendorID", "bigint"), ("passenger_count", "double"), ("total_amount", "double"),
+                                  ("tpep_pickup_datetime", "timestamp_ntz"), ("tpep_dropoff_datetime", "timestamp_ntz")])
+    + "\nUNION ALL\n"
+    + _required("green", "raw_b", [("VendorID", "bigint"), ("passenger_count", "double"), ("total_amount", "double"),
+                                   ("lpep_pickup_datetime", "timestamp_ntz"), ("lpep_dropoff_datetime", "timestamp_ntz")])
+)
+
+_EXPECTED_MONTHS = """
+expected AS (
+  SELECT strftime(m, '%Y-%m') AS mes
+  FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-01', INTERVAL 1 MONTH) AS t(m))"""
+
+ORACLES["missing_months"] = f"WITH {FEED_CTES.strip()},{_EXPECTED_MONTHS}\n" + """
+SELECT 'yellow' AS feed, mes FROM expected
+WHERE mes NOT IN (SELECT printf('%04d-%02d', partition_year, partition_month) FROM bronze_a)
+UNION ALL
+SELECT 'green' AS feed, mes FROM expected
+WHERE mes NOT IN (SELECT printf('%04d-%02d', partition_year, partition_month) FROM bronze_b)
+"""

@@ -9,23 +9,160 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripflow.operators import aggregates
-from tripflow.plans import layers
-from tripflow.specs import TESTDATA_QUALITY as Q
+from tripflow.operators import aggregates, ingest, profile, schema_audit
+from tripflow.operators.consolidate import gold_projection, union_all
+from tripflow.plans import layers, sql_forms
+from tripflow.sources import feeds
+from tripflow.specs import FEED_A, FEED_B, TESTDATA_QUALITY as Q
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, QueryFn] = {}
 
 
-def avg_amount_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+def register(fn: QueryFn) -> QueryFn:
+    QUERIES[fn.__name__] = fn
+    return fn
+
+
+# --- row-level layers (J1-J3) ------------------------------------------------
+@register
+def bronze_feed_a(spark, sf_dir):
+    return layers.bronze(spark, sf_dir, "yellow")
+
+
+@register
+def bronze_feed_b(spark, sf_dir):
+    return layers.bronze(spark, sf_dir, "green")
+
+
+@register
+def silver_feed_a(spark, sf_dir):
+    return layers.silver(spark, sf_dir, "yellow")
+
+
+@register
+def silver_feed_b(spark, sf_dir):
+    return layers.silver(spark, sf_dir, "green")
+
+
+def union_all_counts(spark, sf_dir):
+    """UNION ALL by name of the two Silver feeds, rows per tag."""
+    return layers.silver_union(spark, sf_dir).groupBy("taxi_type").agg(F.count(F.lit(1)).alias("linhas"))
+
+
+QUERIES["union_all"] = union_all_counts
+
+
+@register
+def gold_all(spark, sf_dir):
+    return layers.gold(spark, sf_dir, Q)
+
+
+# --- result tables (J4, J5) and their SQL read-back (Q1, Q2) -------------------
+@register
+def avg_amount_by_month(spark, sf_dir):
     return aggregates.avg_amount_by_month(layers.gold(spark, sf_dir, Q), Q.monthly_tag)
 
 
-def avg_passengers_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+@register
+def avg_passengers_by_hour(spark, sf_dir):
     return aggregates.avg_passengers_by_hour(layers.gold(spark, sf_dir, Q), Q)
 
 
-QUERIES: dict[str, QueryFn] = {
-    "avg_amount_by_month": avg_amount_by_month,
-    "avg_passengers_by_hour": avg_passengers_by_hour,
-}
+@register
+def q1_sql(spark, sf_dir):
+    return sql_forms.q1(spark, layers.gold(spark, sf_dir, Q), Q)
+
+
+@register
+def q2_sql(spark, sf_dir):
+    return sql_forms.q2(spark, layers.gold(spark, sf_dir, Q), Q)
+
+
+# --- profiles ---------------------------------------------------------------
+@register
+def layer_counts(spark, sf_dir):
+    return layers.layer_counts(spark, sf_dir, Q)
+
+
+@register
+def volume_by_month(spark, sf_dir):
+    frames = []
+    for layer, build in (("bronze", layers.bronze), ("silver", layers.silver)):
+        for tag in ("yellow", "green"):
+            frames.append(profile.rows_per_month(build(spark, sf_dir, tag), Q.year, Q.first_month,
+                                                 Q.last_month, layer=layer, feed=tag))
+    return union_all(*frames)
+
+
+@register
+def partition_counts(spark, sf_dir):
+    return union_all(*[profile.partition_counts(layers.bronze(spark, sf_dir, tag), feed=tag)
+                       for tag in ("yellow", "green")])
+
+
+@register
+def null_profile_a(spark, sf_dir):
+    return profile.null_profile(layers.bronze(spark, sf_dir, "yellow"), FEED_A.bronze_required)
+
+
+@register
+def null_profile_b(spark, sf_dir):
+    return profile.null_profile(layers.bronze(spark, sf_dir, "green"), FEED_B.bronze_required)
+
+
+@register
+def schema_profile(spark, sf_dir):
+    return union_all(*[profile.schema_profile(layers.raw(spark, sf_dir, tag), feed=tag)
+                       for tag in ("yellow", "green")])
+
+
+@register
+def passenger_distribution(spark, sf_dir):
+    return profile.value_distribution(layers.silver_union(spark, sf_dir), "passenger_count", by="taxi_type")
+
+
+@register
+def amount_stats_by_month(spark, sf_dir):
+    return profile.amount_stats_by_month(layers.silver(spark, sf_dir, "yellow"))
+
+
+@register
+def gold_summary(spark, sf_dir):
+    return profile.gold_summary(layers.gold(spark, sf_dir, Q))
+
+
+@register
+def filter_audit(spark, sf_dir):
+    silver = gold_projection(layers.silver_union(spark, sf_dir))
+    return union_all(profile.filter_audit(silver, Q, stage="silver"),
+                     profile.filter_audit(layers.gold(spark, sf_dir, Q), Q, stage="gold"))
+
+
+@register
+def sample_month(spark, sf_dir):
+    return profile.sample_partition(layers.gold(spark, sf_dir, Q), Q.year, Q.first_month, 5)
+
+
+# --- ingest and schema audits -----------------------------------------------
+@register
+def cast_failures(spark, sf_dir):
+    """Soft-cast failures per column: feed A as delivered, feed B with its
+    vendor id delivered as text (one id in ten unreadable)."""
+    a = ingest.lowercase_columns(feeds.raw_feed_a(spark, sf_dir))
+    b = ingest.lowercase_columns(feeds.raw_feed_b_text_vendor(spark, sf_dir))
+    return union_all(ingest.cast_failures(a, FEED_A), ingest.cast_failures(b, FEED_B))
+
+
+@register
+def required_columns(spark, sf_dir):
+    return union_all(*[schema_audit.required_columns(layers.raw(spark, sf_dir, tag), spec)
+                       for tag, spec in (("yellow", FEED_A), ("green", FEED_B))])
+
+
+@register
+def missing_months(spark, sf_dir):
+    return union_all(*[schema_audit.missing_months(layers.bronze(spark, sf_dir, tag), spec)
+                       for tag, spec in (("yellow", FEED_A), ("green", FEED_B))])
