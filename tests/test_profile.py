@@ -1,0 +1,78 @@
+"""Profiles (A3-A12, W1, O3) and the percentage helper."""
+
+from pyspark.sql import functions as F
+
+from tripflow.functions.columns import month_label, pct_half_up
+from tripflow.operators import profile
+from tripflow.operators.consolidate import consolidate, gold_projection, union_all
+from tripflow.specs import REFERENCE_QUALITY as Q
+
+
+def test_pct_half_up_exact(spark):
+    df = spark.createDataFrame([(1, 8), (1, 3), (2, 3), (0, 0), (1, 32)], "p long, w long")
+    got = [r.x for r in df.select(pct_half_up("p", "w").alias("x")).collect()]
+    assert got == [12.5, 33.33, 66.67, 0.0, 3.13]
+
+
+def test_month_label(spark):
+    assert spark.range(1).select(month_label(F.lit(2023), F.lit(1))).first()[0] == "2023-01"
+
+
+def test_null_profile(df_bronze_yellow):
+    rows = {r.coluna: (r.total, r.nulos, r.pct_nulos)
+            for r in profile.null_profile(df_bronze_yellow, ["passenger_count", "total_amount", "vendorid"]).collect()}
+    assert rows == {"passenger_count": (4, 1, 25.0), "total_amount": (4, 1, 25.0), "vendorid": (4, 0, 0.0)}
+
+
+def test_schema_profile_types(df_bronze_yellow):
+    rows = {r.coluna: r.tipo for r in profile.schema_profile(df_bronze_yellow).collect()}
+    assert rows["vendorid"] == "bigint" and rows["tpep_pickup_datetime"] == "string"
+
+
+def test_distribution_shares_sum_to_100(df_yellow_silver, df_green_silver):
+    d = profile.value_distribution(union_all(df_yellow_silver, df_green_silver), "passenger_count", by="taxi_type")
+    sums = {r.taxi_type: r.s for r in d.groupBy("taxi_type").agg(F.sum("pct").alias("s")).collect()}
+    assert abs(sums["yellow"] - 100) < 0.05 and abs(sums["green"] - 100) < 0.05
+    assert d.filter("taxi_type = 'green'").count() == 2
+
+
+def test_amount_stats(df_yellow_silver):
+    rows = {r.mes: r for r in profile.amount_stats_by_month(df_yellow_silver).collect()}
+    may = rows[5]
+    assert (may.total_corridas, may.minimo, may.maximo, may.negativos_ou_zero) == (3, -5.0, 50.0, 1)
+    assert may.media == 25.0
+
+
+def test_gold_summary(df_gold_monthly):
+    rows = profile.gold_summary(df_gold_monthly).collect()
+    assert [(r.taxi_type, r.mes) for r in rows][:2] == [("green", 1), ("green", 5)]
+    assert len(rows) == 7
+
+
+def test_filter_audit_silver_vs_gold(df_yellow_silver, df_boundary_silver):
+    silver = union_all(df_yellow_silver, df_boundary_silver)
+    s = profile.filter_audit(gold_projection(silver), Q).first()
+    g = profile.filter_audit(consolidate([silver], Q), Q).first()
+    assert (s.total_amount_invalido, s.passenger_count_zero, s.passenger_count_acima_6) == (2, 1, 1)
+    assert (s.ano_invalido, s.mes_invalido, s.total) == (1, 2, 11)  # 2022-12-31 fails both
+    assert (g.total_amount_invalido, g.passenger_count_zero, g.passenger_count_acima_6,
+            g.ano_invalido, g.mes_invalido) == (0, 0, 0, 0, 0)
+
+
+def test_rows_per_month_prunes_and_labels(df_boundary_silver):
+    rows = {(r.mes, r.linhas) for r in profile.rows_per_month(df_boundary_silver, 2023, 1, 5, layer="s").collect()}
+    assert rows == {("2023-03", 2), ("2023-05", 1), ("2023-01", 1)}
+
+
+def test_partition_counts_order(df_boundary_silver):
+    rows = [(r.partition_year, r.partition_month) for r in profile.partition_counts(df_boundary_silver).collect()]
+    assert rows == sorted(rows) and rows[0] == (2022, 12)
+
+
+def test_sample_is_ordered_and_limited(df_yellow_silver):
+    rows = profile.sample_partition(df_yellow_silver, 2023, 5, 2).collect()
+    assert len(rows) == 2 and rows[0].vendor_id == 1 and rows[0].total_amount == -5.0
+
+
+def test_layer_count(df_yellow_silver):
+    assert profile.row_count(df_yellow_silver, layer="silver").first().linhas == 5
