@@ -82,9 +82,12 @@ def register_discovered(
     spark: SparkSession, table: str, location: str, partition_columns=("partition_year", "partition_month")
 ) -> list[str]:
     """K7: the crawler's effect. Discover the data schema under ``location``
-    (footers only), create the table if it is new, otherwise merge new columns;
-    then register partitions. Returns the columns added to an existing table."""
-    data_schema = spark.read.parquet(location).schema
+    (footers only, merged across all files in a distributed job, so a column that
+    only newer files carry is found), create the table if it is new, otherwise
+    merge new columns; then register partitions. Returns the columns added to an
+    existing table. Bronze files share one typed schema (the soft cast), so the
+    footer merge never meets conflicting types."""
+    data_schema = spark.read.option("mergeSchema", "true").parquet(location).schema
     parts = set(partition_columns)
     data_fields = [f for f in data_schema.fields if f.name not in parts]
     if not spark.catalog.tableExists(table):
