@@ -47,7 +47,7 @@ def test_entry_runs(spark):
 
 def test_every_key_but_one_has_an_oracle():
     missing = set(entry.queries()) - set(entry.oracle_sql())
-    assert missing <= {"file_volume"}
+    assert missing <= {"file_volume"}  # sizes depend on the writer, not SQL-comparable
 
 
 @pytest.mark.parametrize("key", sorted(entry.oracle_sql()))

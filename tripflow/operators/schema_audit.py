@@ -93,10 +93,15 @@ def missing_months(df: DataFrame, spec: FeedSpec, feed: str | None = None) -> Da
     number of expected months.
     """
     spark = df.sparkSession
-    first, last = spec.months[0], spec.months[-1]
+    (fy, fm), (ly, lm) = (tuple(int(p) for p in spec.months[i].split("-")) for i in (0, -1))
     expected = spark.createDataFrame([(m,) for m in spec.months], "mes string")
-    label = month_label("partition_year", "partition_month")
-    observed = df.select(label.alias("mes")).filter(F.col("mes").between(first, last)).distinct()
+    ym = F.col("partition_year") * 100 + F.col("partition_month")
+    observed = (
+        df.select("partition_year", "partition_month")
+        .filter(ym.between(fy * 100 + fm, ly * 100 + lm))
+        .distinct()  # integers first: the label is built once per month, not per row
+        .select(month_label("partition_year", "partition_month").alias("mes"))
+    )
     return expected.join(F.broadcast(observed), "mes", "left_anti").select(
         F.lit(feed or spec.tag).alias("feed"), "mes"
     )

@@ -327,3 +327,19 @@ UNION ALL
 SELECT 'green' AS feed, mes FROM expected
 WHERE mes NOT IN (SELECT printf('%04d-%02d', partition_year, partition_month) FROM bronze_b)
 """
+
+
+ORACLES["ingest_status"] = f"WITH {FEED_CTES.strip()},{_EXPECTED_MONTHS}\n" + """
+, counts AS (
+  SELECT 'yellow' AS feed, printf('%04d-%02d', partition_year, partition_month) AS mes, count(*) AS linhas
+  FROM raw_a GROUP BY 1, 2
+  UNION ALL
+  SELECT 'green', printf('%04d-%02d', partition_year, partition_month), count(*) FROM raw_b GROUP BY 1, 2),
+feeds AS (SELECT * FROM (VALUES ('yellow', 'yellow_tripdata'), ('green', 'green_tripdata')) AS f(feed, prefix))
+SELECT f.feed, e.mes,
+       CASE WHEN c.linhas IS NULL THEN 'missing' ELSE 'ok' END AS status,
+       COALESCE(c.linhas, 0) AS linhas,
+       CASE WHEN c.linhas IS NULL THEN 'no file for ' || f.prefix || '_' || e.mes END AS erro
+FROM feeds f CROSS JOIN expected e
+LEFT JOIN counts c ON c.feed = f.feed AND c.mes = e.mes
+""".replace("\n, counts", ",\ncounts", 1)

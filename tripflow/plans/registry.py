@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from tripflow.operators import aggregates, ingest, profile, schema_audit
 from tripflow.operators.consolidate import gold_projection, union_all
 from tripflow.plans import layers, sql_forms
-from tripflow.sources import feeds
+from tripflow.session import scratch_path
+from tripflow.sources import feeds, landing
 from tripflow.specs import FEED_A, FEED_B, TESTDATA_QUALITY as Q
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -166,3 +167,32 @@ def required_columns(spark, sf_dir):
 def missing_months(spark, sf_dir):
     return union_all(*[schema_audit.missing_months(layers.bronze(spark, sf_dir, tag), spec)
                        for tag, spec in (("yellow", FEED_A), ("green", FEED_B))])
+
+
+# --- landing files (S1-S5, A6, A13): the raw feeds landed as monthly files ---
+def _landed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """Land both raw feeds (one distributed write each) under the shared
+    checkpoint folder; returns tag -> landing directory."""
+    root = scratch_path(spark, "landing")
+    return {tag: landing.land_feed(layers.raw(spark, sf_dir, tag), spec, root)
+            for tag, spec in (("yellow", FEED_A), ("green", FEED_B))}
+
+
+@register
+def file_volume(spark, sf_dir):
+    """Rows, columns and MB per landed month (sizes differ between engines'
+    writers, so this key has no SQL oracle)."""
+    frames = []
+    for tag, path in _landed(spark, sf_dir).items():
+        spec = FEED_A if tag == "yellow" else FEED_B
+        scan = landing.scan_landing(spark, spec, path)
+        n_cols = len(layers.raw(spark, sf_dir, tag).columns) - 2  # the month lives in the path
+        frames.append(landing.file_volume(scan, n_cols, tag))
+    return union_all(*frames)
+
+
+@register
+def ingest_status(spark, sf_dir):
+    """A13 + S3 + S4: per expected month of each feed, ok / missing and rows."""
+    return union_all(*[landing.month_status(spark, FEED_A if tag == "yellow" else FEED_B, path)
+                       for tag, path in _landed(spark, sf_dir).items()])
