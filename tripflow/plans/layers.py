@@ -56,3 +56,25 @@ def layer_counts(spark: SparkSession, sf_dir: str, q: QualitySpec = TESTDATA_QUA
         ).withColumn("feed", F.lit(tag))
         frames.append(wide.unpivot("feed", ["bronze", "silver", "gold"], "layer", "linhas"))
     return union_all(*frames).select("layer", "feed", F.col("linhas").cast("long").alias("linhas"))
+
+
+def volume_by_month(spark: SparkSession, sf_dir: str, q: QualitySpec = TESTDATA_QUALITY) -> DataFrame:
+    """(layer, feed, mes, linhas) for Bronze and Silver inside the quality
+    window's file months, in one scan per feed (Silver rows are a flag)."""
+    from pyspark.sql import functions as F
+
+    from tripflow.functions.columns import month_label
+    from tripflow.operators.standardize import complete, silver_typed
+
+    frames = []
+    for tag, spec in FEEDS.items():
+        typed = silver_typed(bronze(spark, sf_dir, tag), spec).filter(
+            (F.col("partition_year") == q.year) & F.col("partition_month").between(q.first_month, q.last_month)
+        )
+        per_month = typed.groupBy("partition_year", "partition_month").agg(
+            F.count(F.lit(1)).alias("bronze"), F.count_if(complete(typed)).alias("silver")
+        )
+        long = per_month.select(month_label("partition_year", "partition_month").alias("mes"), "bronze", "silver")
+        long = long.unpivot("mes", ["bronze", "silver"], "layer", "linhas").withColumn("feed", F.lit(tag))
+        frames.append(long.filter(F.col("linhas") > 0))  # a month with no Silver row has no Silver group
+    return union_all(*frames).select("layer", "feed", "mes", F.col("linhas").cast("long").alias("linhas"))

@@ -90,12 +90,7 @@ def layer_counts(spark, sf_dir):
 
 @register
 def volume_by_month(spark, sf_dir):
-    frames = []
-    for layer, build in (("bronze", layers.bronze), ("silver", layers.silver)):
-        for tag in ("yellow", "green"):
-            frames.append(profile.rows_per_month(build(spark, sf_dir, tag), Q.year, Q.first_month,
-                                                 Q.last_month, layer=layer, feed=tag))
-    return union_all(*frames)
+    return layers.volume_by_month(spark, sf_dir, Q)
 
 
 @register
