@@ -26,6 +26,22 @@ def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def prepare_layout(
+    df: DataFrame,
+    partition_cols: tuple[str, ...] = PARTITION_COLUMNS,
+    layout: str = "rebalance",
+    sort_within: tuple[str, ...] = (),
+) -> DataFrame:
+    """The frame exactly as it will be written (hint and per-task sort applied)."""
+    if layout == "rebalance":
+        df = df.hint("rebalance", *partition_cols)
+    elif layout != "preserve":
+        raise ValueError(f"unknown layout {layout!r}")
+    if sort_within:
+        df = df.sortWithinPartitions(*partition_cols, *sort_within)
+    return df
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
@@ -44,13 +60,7 @@ def write_partitioned(
     """
     if overwrite not in ("static", "dynamic"):
         raise ValueError(f"overwrite must be static or dynamic, not {overwrite!r}")
-    if layout == "rebalance":
-        df = df.hint("rebalance", *partition_cols)
-    elif layout != "preserve":
-        raise ValueError(f"unknown layout {layout!r}")
-    if sort_within:
-        df = df.sortWithinPartitions(*partition_cols, *sort_within)
-    df, obs = observe_rows(df, name)
+    df, obs = observe_rows(prepare_layout(df, partition_cols, layout, sort_within), name)
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", overwrite).partitionBy(*partition_cols)
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
