@@ -51,3 +51,13 @@ def test_partition_filter_prunes(spark, bronze_table):
 def test_aggregate_is_partial_before_shuffle(spark):
     plan = plan_text(avg_amount_by_month(layers.gold(spark, SF_SMALL, Q)), "simple")
     assert "partial_avg" in plan
+
+
+def test_small_sides_are_broadcast_after_a_size_check(spark):
+    import __spark_entry__ as entry
+
+    df = entry.queries()["missing_months"](spark, SF_SMALL)
+    df.collect()  # AQE re-plans with the measured sizes
+    final = plan_text(df, "simple")
+    assert "isFinalPlan=true" in final
+    assert "BroadcastHashJoin" in final and "LeftAnti" in final

@@ -62,8 +62,9 @@ def schema_profile(df: DataFrame, **labels: str) -> DataFrame:
     types = df.sparkSession.createDataFrame(
         [(f.name, f.dataType.simpleString()) for f in df.schema.fields], "coluna string, tipo string"
     )
-    # Both sides have one row per column of the input schema.
-    out = prof.join(F.broadcast(types), "coluna").select("coluna", "tipo", "nulos", "pct_nulos")
+    # Both sides have one row per column; ``types`` is a local relation of known
+    # size, which the planner broadcasts by its own size check.
+    out = prof.join(types, "coluna").select("coluna", "tipo", "nulos", "pct_nulos")
     return _tag(out, **labels)
 
 

@@ -68,8 +68,9 @@ def required_columns(raw: DataFrame, spec: FeedSpec, feed: str | None = None) ->
         counts = raw.agg(*[F.count(F.col(c)).alias(c) for c in present]).unpivot(
             [], present, "coluna", "nao_nulos"
         )
-        # ``counts`` has one row per required column.
-        meta = meta.join(F.broadcast(counts), "coluna", "left")
+        # ``counts`` is one row per required column; AQE broadcasts it after
+        # measuring it (size-checked, sort-merge join beyond the threshold).
+        meta = meta.join(counts, "coluna", "left")
     else:
         meta = meta.withColumn("nao_nulos", F.lit(None).cast("long"))
     return meta.select(
@@ -89,8 +90,9 @@ def missing_months(df: DataFrame, spec: FeedSpec, feed: str | None = None) -> Da
     """Expected months of the spec with no row in ``df`` -> (feed, mes).
 
     Observed months are reduced to distinct labels inside the expected range
-    first (partial aggregation per task), so the broadcast side is bounded by the
-    number of expected months.
+    first (partial aggregation per task), so the right side is bounded by the
+    number of expected months; AQE broadcasts it once its measured size is
+    under the broadcast threshold and keeps a sort-merge join otherwise.
     """
     spark = df.sparkSession
     (fy, fm), (ly, lm) = (tuple(int(p) for p in spec.months[i].split("-")) for i in (0, -1))
@@ -102,6 +104,6 @@ def missing_months(df: DataFrame, spec: FeedSpec, feed: str | None = None) -> Da
         .distinct()  # integers first: the label is built once per month, not per row
         .select(month_label("partition_year", "partition_month").alias("mes"))
     )
-    return expected.join(F.broadcast(observed), "mes", "left_anti").select(
+    return expected.join(observed, "mes", "left_anti").select(
         F.lit(feed or spec.tag).alias("feed"), "mes"
     )

@@ -17,6 +17,11 @@ CORE_CONF = {
     # Rebalance hints split hot partitions instead of writing one giant file.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Joins in tripflow have one side bounded by months or columns. No hint forces
+    # a broadcast: the planner (local relations) or AQE (measured shuffle output)
+    # broadcasts a side only under this size and falls back to sort-merge above it.
+    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",

@@ -142,8 +142,9 @@ def month_status(spark: SparkSession, spec: FeedSpec, root: str, feed: str | Non
         else:
             rows.append((m, "ok", None))
     expected = spark.createDataFrame(rows, "mes string, status string, erro string")
-    # ``counted`` has at most one row per landed month of the spec.
-    out = expected.join(F.broadcast(counted), "mes", "left").select(
+    # ``counted`` has at most one row per landed month of the spec; AQE
+    # broadcasts it after measuring it (sort-merge join beyond the threshold).
+    out = expected.join(counted, "mes", "left").select(
         F.lit(feed or spec.tag).alias("feed"), "mes", "status",
         F.coalesce(F.col("linhas"), F.lit(0)).cast("long").alias("linhas"), "erro",
     )
@@ -186,7 +187,7 @@ def file_volume(scan: DataFrame, n_columns: dict[str, int] | int | None = None,
     )
     if isinstance(n_columns, dict):
         cols = scan.sparkSession.createDataFrame(list(n_columns.items()), "mes string, colunas int")
-        out = out.join(F.broadcast(cols), "mes", "left")
+        out = out.join(cols, "mes", "left")  # local relation: size known, broadcast by the planner
     elif isinstance(n_columns, int):
         out = out.withColumn("colunas", F.lit(n_columns))
     return out.orderBy("mes")
