@@ -126,25 +126,36 @@ def hourly_result(spark: SparkSession, lake: Lake, q: QualitySpec) -> int:
 
 # --- J6: everything in order --------------------------------------------------
 def run_all(spark: SparkSession, raws: dict[str, DataFrame], specs: dict[str, FeedSpec], lake: Lake,
-            q: QualitySpec) -> DataFrame:
+            q: QualitySpec, parallel: bool = True) -> DataFrame:
     """Bronze (per feed) -> Silver (per feed) -> Gold -> monthly and hourly results.
 
-    Returns (stage, feed, rows, seconds) for every stage."""
+    Within a layer the feeds are independent, so with ``parallel`` their jobs are
+    submitted together from driver threads and share the executors (the layers
+    themselves run in order). Returns (stage, feed, rows, seconds) per stage.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     lake.create_databases(spark)
     log: list[tuple[str, str, int, float]] = []
 
-    def step(stage: str, feed: str, fn):
+    def timed(stage: str, feed: str, fn) -> tuple[str, str, int, float]:
         t0 = time.perf_counter()
         rows = fn()
-        log.append((stage, feed, int(rows), round(time.perf_counter() - t0, 3)))
-
-    for tag, raw in raws.items():
-        step("bronze", tag, lambda raw=raw, tag=tag: ingest_bronze(spark, raw, specs[tag], lake))
-    for tag in raws:
-        step("silver", tag, lambda tag=tag: standardize_silver(spark, specs[tag], lake))
-    step("gold", "all", lambda: consolidate_gold(spark, [specs[t] for t in raws], lake, q))
-    step("avg_total_amount", q.monthly_tag, lambda: monthly_result(spark, lake, q))
-    step("avg_passengers", "all", lambda: hourly_result(spark, lake, q))
+        return stage, feed, int(rows), round(time.perf_counter() - t0, 3)
+
+    def layer(steps: list[tuple[str, str, object]]) -> None:
+        if parallel and len(steps) > 1:
+            with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+                log.extend(pool.map(lambda s: timed(*s), steps))
+        else:
+            log.extend(timed(*s) for s in steps)
+
+    layer([("bronze", tag, lambda raw=raw, tag=tag: ingest_bronze(spark, raw, specs[tag], lake))
+           for tag, raw in raws.items()])
+    layer([("silver", tag, lambda tag=tag: standardize_silver(spark, specs[tag], lake)) for tag in raws])
+    layer([("gold", "all", lambda: consolidate_gold(spark, [specs[t] for t in raws], lake, q))])
+    layer([("avg_total_amount", q.monthly_tag, lambda: monthly_result(spark, lake, q)),
+           ("avg_passengers", "all", lambda: hourly_result(spark, lake, q))])
     return spark.createDataFrame(log, "stage string, feed string, rows long, seconds double").select(
         "stage", "feed", "rows", F.col("seconds")
     )
