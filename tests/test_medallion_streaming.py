@@ -62,3 +62,15 @@ def test_stream_picks_up_only_new_months(spark, tmp_dir):
     assert first == raw.filter(F.col("partition_year") < 1997).count()
     assert second == raw.filter(F.col("partition_year") == 1997).count()
     assert spark.read.parquet(tmp_dir + "/bronze").count() == first + second
+
+
+def test_rerun_is_idempotent(spark, tmp_dir):
+    lake = Lake(tmp_dir, "re_bronze", "re_silver", "re_gold")
+    specs = {"yellow": FEED_A, "green": FEED_B}
+    first = run_all(spark, raw_feeds(spark, SF_SMALL), specs, lake, TESTDATA_QUALITY).collect()
+    before = sorted(tuple(r) for r in spark.table("re_gold.avg_total_amount").collect())
+    second = run_all(spark, raw_feeds(spark, SF_SMALL), specs, lake, TESTDATA_QUALITY).collect()
+    after = sorted(tuple(r) for r in spark.table("re_gold.avg_total_amount").collect())
+    assert [(r.stage, r.feed, r.rows) for r in first] == [(r.stage, r.feed, r.rows) for r in second]
+    assert before == after
+    assert spark.table("re_bronze.yellow_trips").count() == first[0].rows

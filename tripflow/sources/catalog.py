@@ -63,8 +63,10 @@ def create_table(
 
 def recover_partitions(spark: SparkSession, table: str) -> None:
     """K6: register partitions written to the table's location (MSCK REPAIR),
-    synchronously."""
+    synchronously, and drop any cached file listing of the table (a rerun
+    replaces its files)."""
     spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
 
 
 def add_new_columns(spark: SparkSession, table: str, observed: T.StructType) -> list[str]:
