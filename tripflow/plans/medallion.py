@@ -47,11 +47,22 @@ def _feed_table(spec: FeedSpec) -> str:
     return f"{spec.tag}_trips"
 
 
+def read_layer(spark: SparkSession, lake: Lake, layer: str, name: str) -> DataFrame:
+    """S6 with a path fallback: the catalog table when this session's catalog
+    knows it (same job, or a persistent metastore), else the layer's folder (a
+    separate job launched without a shared catalog)."""
+    table = lake.table(layer, name)
+    if spark.catalog.databaseExists(table.split(".")[0]) and spark.catalog.tableExists(table):
+        return catalog.read_table(spark, table)
+    return spark.read.parquet(lake.path(layer, name))
+
+
 # --- J1: Bronze ---------------------------------------------------------------
 def ingest_bronze(spark: SparkSession, raw: DataFrame, spec: FeedSpec, lake: Lake) -> int:
     """Raw feed -> Bronze table. Only the months present in ``raw`` are replaced
     (dynamic overwrite), so re-running one month is idempotent. The input is not
     clustered by month, so the write rebalances by partition (hot months split)."""
+    lake.create_databases(spark)
     path = lake.path("bronze", _feed_table(spec))
     rows = write_partitioned(to_bronze(raw, spec), path, overwrite="dynamic", layout="rebalance",
                              name=f"bronze_{spec.tag}")
@@ -66,6 +77,7 @@ def ingest_bronze_from_landing(spark: SparkSession, spec: FeedSpec, landing_root
     A month that is missing or empty does not stop the others (``strict=True``
     raises instead). Landing files are one month each, so the write keeps the
     scan's layout (no shuffle)."""
+    lake.create_databases(spark)
     status = month_status(spark, spec, landing_root)
     if strict:
         require_complete(status)
@@ -81,7 +93,8 @@ def standardize_silver(spark: SparkSession, spec: FeedSpec, lake: Lake) -> int:
     """Bronze table -> Silver table (static overwrite). Map-only: every scan task
     reads one Bronze partition and writes that partition's file, sorted by pickup
     time so range filters downstream skip row groups."""
-    bronze = catalog.read_table(spark, lake.table("bronze", _feed_table(spec)))
+    lake.create_databases(spark)
+    bronze = read_layer(spark, lake, "bronze", _feed_table(spec))
     path = lake.path("silver", _feed_table(spec))
     rows = write_partitioned(to_silver(bronze, spec), path, overwrite="static", layout="preserve",
                              sort_within=("pickup_datetime",), name=f"silver_{spec.tag}")
@@ -95,7 +108,8 @@ def standardize_silver(spark: SparkSession, spec: FeedSpec, lake: Lake) -> int:
 def consolidate_gold(spark: SparkSession, specs: list[FeedSpec], lake: Lake, q: QualitySpec) -> int:
     """Silver tables -> Gold table. The pickup window reaches both Silver scans as
     a pushed range filter (row groups outside it are skipped)."""
-    silvers = [catalog.read_table(spark, lake.table("silver", _feed_table(s))) for s in specs]
+    lake.create_databases(spark)
+    silvers = [read_layer(spark, lake, "silver", _feed_table(s)) for s in specs]
     path = lake.path("gold", "all_trips")
     rows = write_partitioned(consolidate(silvers, q), path, overwrite="static", layout="preserve",
                              sort_within=("tpep_pickup_datetime",), name="gold_all")
@@ -107,7 +121,8 @@ def consolidate_gold(spark: SparkSession, specs: list[FeedSpec], lake: Lake, q:
 
 # --- J4, J5: results ------------------------------------------------------------
 def monthly_result(spark: SparkSession, lake: Lake, q: QualitySpec) -> int:
-    gold = catalog.read_table(spark, lake.table("gold", "all_trips"))
+    lake.create_databases(spark)
+    gold = read_layer(spark, lake, "gold", "all_trips")
     path = lake.path("gold", "avg_total_amount")
     rows = write_result(avg_amount_by_month(gold, q.monthly_tag), path)
     catalog.create_table(spark, lake.table("gold", "avg_total_amount"), catalog.MONTHLY_DDL, path)
@@ -116,7 +131,8 @@ def monthly_result(spark: SparkSession, lake: Lake, q: QualitySpec) -> int:
 
 
 def hourly_result(spark: SparkSession, lake: Lake, q: QualitySpec) -> int:
-    gold = catalog.read_table(spark, lake.table("gold", "all_trips"))
+    lake.create_databases(spark)
+    gold = read_layer(spark, lake, "gold", "all_trips")
     path = lake.path("gold", "avg_passengers")
     rows = write_result(avg_passengers_by_hour(gold, q), path)
     catalog.create_table(spark, lake.table("gold", "avg_passengers"), catalog.HOURLY_DDL, path)

@@ -86,3 +86,23 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     if unique:
         leaf = f"{leaf}-{uuid.uuid4().hex[:12]}"
     return f"{root}/tripflow/{leaf}"
+
+
+def cluster_conf(total_cores: int, input_bytes: int | None = None,
+                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Sizing for a cluster run.
+
+    Shuffle partitions start at 3x the cores, or at input / target size if that
+    is larger (so a shuffle partition fits comfortably in executor memory and
+    spills rarely); AQE then coalesces what turns out small and splits skew.
+    Scan splits and rebalanced output files aim at ``target_partition_bytes``.
+    """
+    parts = 3 * total_cores
+    if input_bytes:
+        parts = max(parts, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 * 1024 * 1024),
+    }

@@ -52,7 +52,8 @@ def _fs(spark: SparkSession, path: str):
 
 
 def list_landing(spark: SparkSession, root: str, prefix: str) -> list[LandedFile]:
-    """Every data file of the feed under ``root`` with its month and byte size.
+    """Every data file of the feed under ``root`` (or one folder below it, e.g.
+    ``root/<tag>/``) with its month and byte size.
 
     Zero-byte files are listed too (Spark's reader skips them silently, which is
     why the empty-file guard needs this listing).
@@ -60,7 +61,9 @@ def list_landing(spark: SparkSession, root: str, prefix: str) -> list[LandedFile
     fs, _ = _fs(spark, root)
     jvm = spark.sparkContext._jvm
     pattern = re.compile(_month_regex(prefix))
-    statuses = fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/*{prefix}_*")) or []
+    statuses = []
+    for pattern_text in (f"{root.rstrip('/')}/*{prefix}_*", f"{root.rstrip('/')}/*/*{prefix}_*"):
+        statuses.extend(fs.globStatus(jvm.org.apache.hadoop.fs.Path(pattern_text)) or [])
     out: list[LandedFile] = []
     for st in statuses:
         m = pattern.search(st.getPath().getName())
