@@ -343,3 +343,14 @@ SELECT f.feed, e.mes,
 FROM feeds f CROSS JOIN expected e
 LEFT JOIN counts c ON c.feed = f.feed AND c.mes = e.mes
 """.replace("\n, counts", ",\ncounts", 1)
+
+
+ORACLES["landing_scan"] = with_feeds("""
+SELECT 'yellow' AS feed, vendorid, passenger_count, total_amount, partition_year, partition_month FROM bronze_a
+UNION ALL
+SELECT 'green' AS feed, vendorid, passenger_count, total_amount, partition_year, partition_month FROM bronze_b
+""")
+ORACLES["lake_avg_amount_by_month"] = ORACLES["avg_amount_by_month"]
+ORACLES["lake_avg_passengers_by_hour"] = ORACLES["avg_passengers_by_hour"]
+ORACLES["lake_gold_summary"] = ORACLES["gold_summary"]
+ORACLES["stream_partition_counts"] = ORACLES["partition_counts"]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tripflow.operators import aggregates, ingest, profile, schema_audit
 from tripflow.operators.consolidate import gold_projection, union_all
-from tripflow.plans import layers, sql_forms
+from tripflow.plans import layers, medallion, sql_forms
 from tripflow.session import scratch_path
 from tripflow.sources import feeds, landing
 from tripflow.specs import FEED_A, FEED_B, TESTDATA_QUALITY as Q
@@ -191,3 +191,67 @@ def ingest_status(spark, sf_dir):
     """A13 + S3 + S4: per expected month of each feed, ok / missing and rows."""
     return union_all(*[landing.month_status(spark, FEED_A if tag == "yellow" else FEED_B, path)
                        for tag, path in _landed(spark, sf_dir).items()])
+
+
+@register
+def landing_scan(spark, sf_dir):
+    """Both feeds landed as monthly files and read back by one scan
+    per feed with the widest schema; the month comes from the file path."""
+    cols = ["vendorid", "passenger_count", "total_amount", "partition_year", "partition_month"]
+    return union_all(*[
+        landing.scan_landing(spark, FEED_A if tag == "yellow" else FEED_B, path)
+        .select(F.lit(tag).alias("feed"), *cols)
+        for tag, path in _landed(spark, sf_dir).items()
+    ])
+
+
+# --- the on-disk run (J1-J6) and its SQL read-back ----------------------------
+_LAKES: dict[tuple[str, str], medallion.Lake] = {}
+
+
+def _lake(spark: SparkSession, sf_dir: str) -> medallion.Lake:
+    """Run the whole medallion once per (application, input) into the shared
+    checkpoint folder and register its tables; later keys reuse it."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKES:
+        root = scratch_path(spark, "lake")
+        suffix = root.rsplit("-", 1)[-1]
+        lake = medallion.Lake(root, f"tf_bronze_{suffix}", f"tf_silver_{suffix}", f"tf_gold_{suffix}")
+        medallion.run_all(spark, feeds.raw_feeds(spark, sf_dir), {"yellow": FEED_A, "green": FEED_B}, lake, Q)
+        _LAKES[key] = lake
+    return _LAKES[key]
+
+
+@register
+def lake_avg_amount_by_month(spark, sf_dir):
+    lake = _lake(spark, sf_dir)
+    return sql_forms.read_back(spark, lake.table("gold", "avg_total_amount"))
+
+
+@register
+def lake_avg_passengers_by_hour(spark, sf_dir):
+    lake = _lake(spark, sf_dir)
+    return sql_forms.read_back(spark, lake.table("gold", "avg_passengers"), hourly=True)
+
+
+@register
+def lake_gold_summary(spark, sf_dir):
+    """A11 over the stored Gold table (partition columns from the folders)."""
+    lake = _lake(spark, sf_dir)
+    return profile.gold_summary(spark.table(lake.table("gold", "all_trips")))
+
+
+# --- streaming ingest (J1 incremental) -----------------------------------------
+@register
+def stream_partition_counts(spark, sf_dir):
+    """Both landed feeds ingested by the availableNow stream into Bronze, then
+    rows per partition of the streamed Bronze."""
+    from tripflow.streaming.incremental_ingest import run_bronze_ingest_once
+
+    frames = []
+    for tag, path in _landed(spark, sf_dir).items():
+        spec = FEED_A if tag == "yellow" else FEED_B
+        out = scratch_path(spark, "stream-bronze", tag)
+        run_bronze_ingest_once(spark, spec, path, out, checkpoint=out + "-checkpoint")
+        frames.append(profile.partition_counts(spark.read.parquet(out), feed=tag))
+    return union_all(*frames)
