@@ -72,3 +72,25 @@ def test_discovery_merges_new_columns(spark, tmp_dir):
     assert "airport_fee" in names and "v" in names
     spark.catalog.refreshTable("t_bronze_db.trips")
     assert spark.table("t_bronze_db.trips").count() == 2
+
+
+def test_hot_month_is_split_across_files(spark, tmp_dir):
+    """One month holds over a third of the rows: the rebalance write must not
+    funnel it through one task (AQE splits the skewed partition)."""
+    hot = spark.range(60000).select(
+        F.col("id").alias("v"), F.lit(2023).alias("partition_year"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise((F.col("id") % 11 + 2).cast("int")).alias("partition_month"),
+    ).repartition(8)
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.enabled")
+    old = {k: spark.conf.get(k) for k in keys}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = write_partitioned(hot, tmp_dir + "/t")
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert rows == 60000
+    hot_files = [f for f in os.listdir(tmp_dir + "/t/partition_year=2023/partition_month=1") if f.endswith(".parquet")]
+    assert len(hot_files) > 1
+    assert spark.read.parquet(tmp_dir + "/t").filter("partition_month = 1").count() == 20000
