@@ -45,3 +45,9 @@ def test_hourly_range_and_columns(df_gold_hourly):
 def test_sql_forms_match_dataframe_forms(spark, df_gold_monthly, df_gold_hourly):
     assert q1(spark, df_gold_monthly, Q).collect() == avg_amount_by_month(df_gold_monthly).collect()
     assert q2(spark, df_gold_hourly, Q).collect() == avg_passengers_by_hour(df_gold_hourly, Q).collect()
+
+
+def test_hourly_uses_only_the_hourly_month(df_gold_hourly):
+    # the January 08:00 row (2 passengers) must not move hour 8 (May: 3 passengers)
+    rows = {r.hora: r.avg_passenger_count for r in avg_passengers_by_hour(df_gold_hourly, Q).collect()}
+    assert rows[8] == 3.0

@@ -63,3 +63,13 @@ def test_non_numeric_vendor_goes_with_nulls(spark):
 def test_complete_predicate_equals_na_drop(df_bronze_yellow):
     typed = silver_typed(df_bronze_yellow, YELLOW)
     assert typed.filter(complete(typed)).count() == to_silver(df_bronze_yellow, YELLOW).count()
+
+
+def test_valid_rows_preserved(df_bronze_yellow):
+    from datetime import datetime
+
+    rows = sorted(tuple(r) for r in to_silver(df_bronze_yellow, YELLOW).collect())
+    assert rows == [
+        (1, 2, 15.0, datetime(2023, 1, 1, 8, 0), datetime(2023, 1, 1, 8, 30), "yellow", 2023, 1),
+        (2, 1, 25.0, datetime(2023, 2, 15, 9, 0), datetime(2023, 2, 15, 9, 45), "yellow", 2023, 2),
+    ]
