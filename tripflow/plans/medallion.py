@@ -64,9 +64,9 @@ def ingest_bronze(spark: SparkSession, raw: DataFrame, spec: FeedSpec, lake: Lak
     clustered by month, so the write rebalances by partition (hot months split)."""
     lake.create_databases(spark)
     path = lake.path("bronze", _feed_table(spec))
-    rows = write_partitioned(to_bronze(raw, spec), path, overwrite="dynamic", layout="rebalance",
-                             name=f"bronze_{spec.tag}")
-    catalog.register_discovered(spark, lake.table("bronze", _feed_table(spec)), path)
+    bronze = to_bronze(raw, spec)
+    rows = write_partitioned(bronze, path, overwrite="dynamic", layout="rebalance", name=f"bronze_{spec.tag}")
+    catalog.register_discovered(spark, lake.table("bronze", _feed_table(spec)), path, schema=bronze.schema)
     return rows
 
 

@@ -81,7 +81,8 @@ def add_new_columns(spark: SparkSession, table: str, observed: T.StructType) ->
 
 
 def register_discovered(
-    spark: SparkSession, table: str, location: str, partition_columns=("partition_year", "partition_month")
+    spark: SparkSession, table: str, location: str, partition_columns=("partition_year", "partition_month"),
+    schema: T.StructType | None = None,
 ) -> list[str]:
     """K7: the crawler's effect. Discover the data schema under ``location``
     (footers only, merged across all files in a distributed job, so a column that
@@ -89,7 +90,8 @@ def register_discovered(
     merge new columns; then register partitions. Returns the columns added to an
     existing table. Bronze files share one typed schema (the soft cast), so the
     footer merge never meets conflicting types."""
-    data_schema = spark.read.option("mergeSchema", "true").parquet(location).schema
+    # A writer that just wrote the folder passes its own schema; no footer is read then.
+    data_schema = schema or spark.read.option("mergeSchema", "true").parquet(location).schema
     parts = set(partition_columns)
     data_fields = [f for f in data_schema.fields if f.name not in parts]
     if not spark.catalog.tableExists(table):
