@@ -165,12 +165,19 @@ def missing_months(spark, sf_dir):
 
 
 # --- landing files (S1-S5, A6, A13): the raw feeds landed as monthly files ---
+_LANDINGS: dict[tuple[str, str], dict[str, str]] = {}
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Land both raw feeds (one distributed write each) under the shared
-    checkpoint folder; returns tag -> landing directory."""
-    root = scratch_path(spark, "landing")
-    return {tag: landing.land_feed(layers.raw(spark, sf_dir, tag), spec, root)
-            for tag, spec in (("yellow", FEED_A), ("green", FEED_B))}
+    checkpoint folder once per (application, input); returns tag -> landing
+    directory. Landed files are never modified afterwards."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDINGS:
+        root = scratch_path(spark, "landing")
+        _LANDINGS[key] = {tag: landing.land_feed(layers.raw(spark, sf_dir, tag), spec, root)
+                          for tag, spec in (("yellow", FEED_A), ("green", FEED_B))}
+    return _LANDINGS[key]
 
 
 @register

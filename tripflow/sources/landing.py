@@ -65,7 +65,11 @@ def list_landing(spark: SparkSession, root: str, prefix: str) -> list[LandedFile
     for pattern_text in (f"{root.rstrip('/')}/*{prefix}_*", f"{root.rstrip('/')}/*/*{prefix}_*"):
         statuses.extend(fs.globStatus(jvm.org.apache.hadoop.fs.Path(pattern_text)) or [])
     out: list[LandedFile] = []
+    seen: set[str] = set()
     for st in statuses:
+        if st.getPath().toString() in seen:
+            continue
+        seen.add(st.getPath().toString())
         m = pattern.search(st.getPath().getName())
         if not m:
             continue
