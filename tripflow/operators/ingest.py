@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tripflow.specs import PARTITION_COLUMNS, FeedSpec
 
@@ -77,6 +76,3 @@ def to_bronze(raw: DataFrame, spec: FeedSpec) -> DataFrame:
     """Raw feed -> Bronze: lower-case, soft cast, int partition columns."""
     return with_partition_columns(soft_cast(lowercase_columns(raw), spec))
 
-
-def bronze_column_types(df: DataFrame) -> dict[str, T.DataType]:
-    return {f.name: f.dataType for f in df.schema.fields}
