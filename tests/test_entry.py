@@ -60,3 +60,17 @@ def test_query_matches_oracle(spark, duck, key):
     assert sorted(sdf.columns) == sorted(ocols)
     assert len(srows) == len(orows)
     assert _key(sdf.columns, srows) == _key(ocols, orows)
+
+
+@pytest.mark.parametrize("key", ["silver_feed_a", "silver_feed_b", "cast_failures", "gold_all", "avg_passengers_by_hour"])
+def test_cast_sensitive_keys_hold_without_ansi(spark, duck, key):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        sdf = entry.queries()[key](spark, SF_SMALL)
+        srows = [tuple(r) for r in sdf.collect()]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
+    res = duck.execute(entry.oracle_sql()[key])
+    ocols = [d[0] for d in res.description]
+    assert _key(sdf.columns, srows) == _key(ocols, res.fetchall())

@@ -74,3 +74,16 @@ def test_rerun_is_idempotent(spark, tmp_dir):
     assert [(r.stage, r.feed, r.rows) for r in first] == [(r.stage, r.feed, r.rows) for r in second]
     assert before == after
     assert spark.table("re_bronze.yellow_trips").count() == first[0].rows
+
+
+def test_stream_runs_in_bounded_micro_batches(spark, tmp_dir):
+    from tripflow.streaming.incremental_ingest import start_bronze_ingest
+
+    raw = raw_feed_b(spark, SF_SMALL)
+    land_feed(raw, FEED_B, tmp_dir + "/landing")
+    q = start_bronze_ingest(spark, FEED_B, tmp_dir + "/landing/green", tmp_dir + "/bronze", tmp_dir + "/ck",
+                            max_files_per_trigger=10)
+    q.awaitTermination()
+    batches = [p for p in q.recentProgress if int(p.get("numInputRows", 0)) > 0]
+    assert len(batches) > 1
+    assert sum(int(p["numInputRows"]) for p in batches) == raw.count()
