@@ -28,6 +28,7 @@ class LandedFile:
     month: str  # 'YYYY-MM'
     path: str
     size: int
+    entry: str = ""  # the month-level file or folder the listing matched
 
 
 def month_file(root: str, prefix: str, month: str) -> str:
@@ -81,9 +82,9 @@ def list_landing(spark: SparkSession, root: str, prefix: str) -> list[LandedFile
                 name = f.getPath().getName()
                 if name.startswith(("_", ".")):
                     continue
-                out.append(LandedFile(month, f.getPath().toString(), int(f.getLen())))
+                out.append(LandedFile(month, f.getPath().toString(), int(f.getLen()), st.getPath().toString()))
         else:
-            out.append(LandedFile(month, st.getPath().toString(), int(st.getLen())))
+            out.append(LandedFile(month, st.getPath().toString(), int(st.getLen()), st.getPath().toString()))
     return sorted(out, key=lambda f: (f.month, f.path))
 
 
@@ -97,7 +98,14 @@ def scan_landing(spark: SparkSession, spec: FeedSpec, root: str, months: tuple[s
     """
     files = list_landing(spark, root, spec.prefix) if files is None else files
     wanted = set(months or spec.months)
-    paths = sorted({f.path for f in files if f.month in wanted and f.size > 0})
+    # One path per month entry (a file, or a folder Spark lists in parallel),
+    # not one per part file; months holding only zero-byte files are skipped.
+    sizes: dict[str, int] = {}
+    for f in files:
+        if f.month in wanted:
+            key = f.entry or f.path
+            sizes[key] = sizes.get(key, 0) + f.size
+    paths = sorted(p for p, size in sizes.items() if size > 0)
     reader = spark.read.schema(spec.bronze_schema)
     if not paths:
         return with_file_month(spark.createDataFrame([], spec.bronze_schema)
