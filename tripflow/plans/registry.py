@@ -155,13 +155,13 @@ def cast_failures(spark, sf_dir):
 @register
 def required_columns(spark, sf_dir):
     return union_all(*[schema_audit.required_columns(layers.raw(spark, sf_dir, tag), spec)
-                       for tag, spec in (("yellow", FEED_A), ("green", FEED_B))])
+                       for tag, spec in layers.FEEDS.items()])
 
 
 @register
 def missing_months(spark, sf_dir):
     return union_all(*[schema_audit.missing_months(layers.bronze(spark, sf_dir, tag), spec)
-                       for tag, spec in (("yellow", FEED_A), ("green", FEED_B))])
+                       for tag, spec in layers.FEEDS.items()])
 
 
 # --- landing files (S1-S5, A6, A13): the raw feeds landed as monthly files ---
@@ -176,7 +176,7 @@ def _landed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     if key not in _LANDINGS:
         root = scratch_path(spark, "landing")
         _LANDINGS[key] = {tag: landing.land_feed(layers.raw(spark, sf_dir, tag), spec, root)
-                          for tag, spec in (("yellow", FEED_A), ("green", FEED_B))}
+                          for tag, spec in layers.FEEDS.items()}
     return _LANDINGS[key]
 
 
@@ -186,8 +186,7 @@ def file_volume(spark, sf_dir):
     writers, so this key has no SQL oracle)."""
     frames = []
     for tag, path in _landed(spark, sf_dir).items():
-        spec = FEED_A if tag == "yellow" else FEED_B
-        scan = landing.scan_landing(spark, spec, path)
+        scan = landing.scan_landing(spark, layers.FEEDS[tag], path)
         n_cols = len(layers.raw(spark, sf_dir, tag).columns) - 2  # the month lives in the path
         frames.append(landing.file_volume(scan, n_cols, tag))
     return union_all(*frames)
@@ -196,7 +195,7 @@ def file_volume(spark, sf_dir):
 @register
 def ingest_status(spark, sf_dir):
     """A13 + S3 + S4: per expected month of each feed, ok / missing and rows."""
-    return union_all(*[landing.month_status(spark, FEED_A if tag == "yellow" else FEED_B, path)
+    return union_all(*[landing.month_status(spark, layers.FEEDS[tag], path)
                        for tag, path in _landed(spark, sf_dir).items()])
 
 
@@ -206,8 +205,7 @@ def landing_scan(spark, sf_dir):
     per feed with the widest schema; the month comes from the file path."""
     cols = ["vendorid", "passenger_count", "total_amount", "partition_year", "partition_month"]
     return union_all(*[
-        landing.scan_landing(spark, FEED_A if tag == "yellow" else FEED_B, path)
-        .select(F.lit(tag).alias("feed"), *cols)
+        landing.scan_landing(spark, layers.FEEDS[tag], path).select(F.lit(tag).alias("feed"), *cols)
         for tag, path in _landed(spark, sf_dir).items()
     ])
 
@@ -224,7 +222,7 @@ def _lake(spark: SparkSession, sf_dir: str) -> medallion.Lake:
         root = scratch_path(spark, "lake")
         suffix = root.rsplit("-", 1)[-1]
         lake = medallion.Lake(root, f"tf_bronze_{suffix}", f"tf_silver_{suffix}", f"tf_gold_{suffix}")
-        medallion.run_all(spark, feeds.raw_feeds(spark, sf_dir), {"yellow": FEED_A, "green": FEED_B}, lake, Q)
+        medallion.run_all(spark, feeds.raw_feeds(spark, sf_dir), layers.FEEDS, lake, Q)
         _LAKES[key] = lake
     return _LAKES[key]
 
@@ -257,8 +255,7 @@ def stream_partition_counts(spark, sf_dir):
 
     frames = []
     for tag, path in _landed(spark, sf_dir).items():
-        spec = FEED_A if tag == "yellow" else FEED_B
         out = scratch_path(spark, "stream-bronze", tag)
-        run_bronze_ingest_once(spark, spec, path, out, checkpoint=out + "-checkpoint")
+        run_bronze_ingest_once(spark, layers.FEEDS[tag], path, out, checkpoint=out + "-checkpoint")
         frames.append(profile.partition_counts(spark.read.parquet(out), feed=tag))
     return union_all(*frames)

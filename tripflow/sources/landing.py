@@ -115,8 +115,9 @@ def scan_landing(spark: SparkSession, spec: FeedSpec, root: str, months: tuple[s
 
 
 def with_file_month(df: DataFrame, spec: FeedSpec, path_col: str) -> DataFrame:
-    """Add int ``partition_year``/``partition_month`` parsed from a path column."""
-    rx = _month_regex(spec.prefix)
+    """Add int ``partition_year``/``partition_month`` parsed from a path column
+    (the last ``{prefix}_YYYY-MM`` in the path: the file or its month folder)."""
+    rx = ".*" + _month_regex(spec.prefix)
     return df.withColumn("partition_year", F.regexp_extract(path_col, rx, 1).cast("int")).withColumn(
         "partition_month", F.regexp_extract(path_col, rx, 2).cast("int")
     )
