@@ -23,3 +23,10 @@ def test_cluster_conf_scales_with_input():
 def test_bronze_job_needs_a_landing_root(tmp_dir):
     with pytest.raises(SystemExit):
         job_main(["bronze", "--lake", tmp_dir, "--master", "local[1]"])
+
+
+def test_public_api_imports():
+    import tripflow
+
+    for name in tripflow.__all__:
+        assert getattr(tripflow, name) is not None
