@@ -89,3 +89,24 @@ def test_land_feed_round_trip(spark, tmp_dir):
     back = scan_landing(spark, SPEC, out)
     assert sorted((r.partition_month, r.vendorid) for r in back.collect()) == [(1, 1), (1, 2), (2, 3)]
     assert back.filter(F.col("partition_year") != 2023).count() == 0
+
+
+def test_colliding_names_are_reported_and_skipped(spark, drift_landing):
+    bad = pa.table({"VendorID": pa.array([9], pa.int64()), "airport_fee": pa.array([1.0]),
+                    "Airport_fee": pa.array([2.0])})
+    pq.write_table(bad, month_file(drift_landing, SPEC.prefix, "2023-04"))
+    status = {r.mes: (r.status, r.erro) for r in month_status(spark, SPEC, drift_landing, check_names=True).collect()}
+    assert status["2023-04"][0] == "error" and "airport_fee" in status["2023-04"][1]
+    assert status["2023-01"][0] == "ok" and status["2023-02"][0] == "ok"
+
+
+def test_landing_ingest_skips_unreadable_months(spark, drift_landing, tmp_dir):
+    from tripflow.plans.medallion import Lake, ingest_bronze_from_landing
+
+    bad = pa.table({"VendorID": pa.array([9], pa.int64()), "airport_fee": pa.array([1.0]),
+                    "Airport_fee": pa.array([2.0])})
+    pq.write_table(bad, month_file(drift_landing, SPEC.prefix, "2023-04"))
+    lake = Lake(tmp_dir + "/lake", "col_bronze", "col_silver", "col_gold")
+    status = ingest_bronze_from_landing(spark, SPEC, drift_landing, lake)
+    assert status.filter("status = 'ok'").count() == 2
+    assert spark.table("col_bronze.yellow_trips").count() == 5

@@ -74,14 +74,16 @@ def ingest_bronze_from_landing(spark: SparkSession, spec: FeedSpec, landing_root
                                months: tuple[str, ...] | None = None, strict: bool = False) -> DataFrame:
     """Landing files -> Bronze table; returns the per-month status frame.
 
-    A month that is missing or empty does not stop the others (``strict=True``
-    raises instead). Landing files are one month each, so the write keeps the
+    A month that is missing, empty or unreadable (colliding column names) does
+    not stop the others (``strict=True`` raises instead). Landing files are one month each, so the write keeps the
     scan's layout (no shuffle)."""
     lake.create_databases(spark)
-    status = month_status(spark, spec, landing_root)
+    status = month_status(spark, spec, landing_root, check_names=True)
     if strict:
         require_complete(status)
-    bronze = with_partition_columns(scan_landing(spark, spec, landing_root, months))
+    readable = {r.mes for r in status.filter(F.col("status") == "ok").select("mes").collect()}  # <= #months
+    wanted = tuple(m for m in (months or spec.months) if m in readable)
+    bronze = with_partition_columns(scan_landing(spark, spec, landing_root, wanted))
     path = lake.path("bronze", _feed_table(spec))
     write_partitioned(bronze, path, overwrite="dynamic", layout="preserve", name=f"bronze_{spec.tag}")
     catalog.register_discovered(spark, lake.table("bronze", _feed_table(spec)), path)

@@ -123,29 +123,66 @@ def with_file_month(df: DataFrame, spec: FeedSpec, path_col: str) -> DataFrame:
     )
 
 
-def month_schemas(spark: SparkSession, files: list[LandedFile]) -> dict[str, object]:
+def month_schemas(spark: SparkSession, files: list[LandedFile],
+                  errors: dict[str, str] | None = None) -> dict[str, object]:
     """Footer schema per month (metadata only; no row is read). Zero-byte months
-    have no schema and are left out."""
+    have no schema and are left out. With ``errors``, a month whose footer Spark
+    cannot resolve (e.g. two columns equal up to case) is recorded there and
+    skipped instead of failing the whole call."""
+    from pyspark.errors import AnalysisException
+
     by_month: dict[str, list[str]] = {}
     for f in files:
         if f.size > 0:
             by_month.setdefault(f.month, []).append(f.path)
-    return {m: spark.read.parquet(*paths).schema for m, paths in sorted(by_month.items())}
+    out: dict[str, object] = {}
+    for m, paths in sorted(by_month.items()):
+        try:
+            out[m] = spark.read.parquet(*paths).schema
+        except AnalysisException as exc:
+            if errors is None:
+                raise
+            errors[m] = f"unreadable footer: {str(exc).splitlines()[0]}"
+    return out
+
+
+def name_collisions(schema) -> list[tuple[str, str]]:
+    """Pairs of column names that become equal after lower-casing (Trap: Spark
+    cannot read such a file case-insensitively)."""
+    seen: dict[str, str] = {}
+    out = []
+    for f in schema.fields:
+        low = f.name.lower()
+        if low in seen:
+            out.append((seen[low], f.name))
+        else:
+            seen[low] = f.name
+    return out
 
 
-def month_status(spark: SparkSession, spec: FeedSpec, root: str, feed: str | None = None) -> DataFrame:
+def month_status(spark: SparkSession, spec: FeedSpec, root: str, feed: str | None = None,
+                 check_names: bool = False) -> DataFrame:
     """A13 + S3 + S4: one row per expected month: (feed, mes, status, linhas, erro).
 
     status is ``ok``, ``empty`` (only zero-byte files: the reference's
-    "Arquivo vazio" error) or ``missing`` (no file). Row counts come from one
-    grouped scan of the non-empty months (Parquet answers a count from footers).
+    "Arquivo vazio" error), ``missing`` (no file) or, with ``check_names``,
+    ``error`` when a month's footer holds two columns that collide after
+    lower-casing (that month is left out of the scan). Row counts come from one
+    grouped scan of the readable months (Parquet answers a count from footers).
     """
     files = list_landing(spark, root, spec.prefix)
     sizes: dict[str, int] = {}
     for f in files:
         sizes[f.month] = sizes.get(f.month, 0) + f.size
+    errors: dict[str, str] = {}
+    if check_names:
+        wanted = set(spec.months)
+        for m, schema in month_schemas(spark, [f for f in files if f.month in wanted], errors).items():
+            pairs = name_collisions(schema)
+            if pairs:
+                errors[m] = "columns collide after lower-casing: " + ", ".join(f"{a}/{b}" for a, b in pairs)
     counted = (
-        scan_landing(spark, spec, root, files=files)
+        scan_landing(spark, spec, root, files=[f for f in files if f.month not in errors])
         .groupBy(month_label("partition_year", "partition_month").alias("mes"))
         .agg(F.count(F.lit(1)).alias("linhas"))
     )
@@ -155,6 +192,8 @@ def month_status(spark: SparkSession, spec: FeedSpec, root: str, feed: str | Non
             rows.append((m, "missing", f"no file for {spec.prefix}_{m}"))
         elif sizes[m] == 0:
             rows.append((m, "empty", f"empty file | feed={feed or spec.tag} | month={m}"))
+        elif m in errors:
+            rows.append((m, "error", errors[m]))
         else:
             rows.append((m, "ok", None))
     expected = spark.createDataFrame(rows, "mes string, status string, erro string")
