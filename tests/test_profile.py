@@ -76,3 +76,13 @@ def test_sample_is_ordered_and_limited(df_yellow_silver):
 
 def test_layer_count(df_yellow_silver):
     assert profile.row_count(df_yellow_silver, layer="silver").first().linhas == 5
+
+
+def test_filter_audit_stages_equals_two_audits(df_yellow_silver, df_boundary_silver):
+    from tripflow.operators.consolidate import quality_predicate
+
+    silver = gold_projection(union_all(df_yellow_silver, df_boundary_silver))
+    one_pass = {r.stage: tuple(r)[1:] for r in profile.filter_audit_stages(silver, Q, quality_predicate(Q)).collect()}
+    s = tuple(profile.filter_audit(silver, Q).first())
+    g = tuple(profile.filter_audit(consolidate([union_all(df_yellow_silver, df_boundary_silver)], Q), Q).first())
+    assert one_pass == {"silver": s, "gold": g}

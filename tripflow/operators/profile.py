@@ -114,16 +114,23 @@ def gold_summary(gold: DataFrame) -> DataFrame:
     )
 
 
-def audit_counters(q: QualitySpec, pickup: str = "tpep_pickup_datetime") -> list[Column]:
-    """A12 counters: how many rows each Gold rule rejects, plus the total."""
+def audit_rules(q: QualitySpec, pickup: str = "tpep_pickup_datetime") -> dict[str, Column]:
+    """A12 rules: the condition under which each Gold rule rejects a row."""
     p = F.col(pickup)
-    return [
-        F.count_if(F.col("total_amount") <= q.min_amount).alias("total_amount_invalido"),
-        F.count_if(F.col("passenger_count") <= q.min_passengers).alias("passenger_count_zero"),
-        F.count_if(F.col("passenger_count") > q.max_passengers).alias("passenger_count_acima_6"),
-        F.count_if(F.year(p) != q.year).alias("ano_invalido"),
-        F.count_if(~F.month(p).between(q.first_month, q.last_month)).alias("mes_invalido"),
-        F.count(F.lit(1)).alias("total"),
+    return {
+        "total_amount_invalido": F.col("total_amount") <= q.min_amount,
+        "passenger_count_zero": F.col("passenger_count") <= q.min_passengers,
+        "passenger_count_acima_6": F.col("passenger_count") > q.max_passengers,
+        "ano_invalido": F.year(p) != q.year,
+        "mes_invalido": ~F.month(p).between(q.first_month, q.last_month),
+    }
+
+
+def audit_counters(q: QualitySpec, pickup: str = "tpep_pickup_datetime", where: Column | None = None) -> list[Column]:
+    """A12 counters: how many rows (optionally among ``where``) each rule rejects, plus the total."""
+    scope = where if where is not None else F.lit(True)
+    return [F.count_if(scope & cond).alias(name) for name, cond in audit_rules(q, pickup).items()] + [
+        F.count_if(scope).alias("total")
     ]
 
 
@@ -133,6 +140,22 @@ def filter_audit(df: DataFrame, q: QualitySpec, **labels: str) -> DataFrame:
     return _tag(df.agg(*audit_counters(q)), **labels)
 
 
+def filter_audit_stages(df: DataFrame, q: QualitySpec, kept: Column,
+                        stages: tuple[str, str] = ("silver", "gold")) -> DataFrame:
+    """A12 for a table and its filtered subset (rows where ``kept``) in ONE scan:
+    two rows (stage, counters...). Used when the Gold rows are Silver rows that
+    pass the quality predicate, so Gold need not be read separately."""
+    names = list(audit_rules(q)) + ["total"]
+    whole = audit_counters(q)
+    subset = [c.alias(f"_k_{n}") for c, n in zip(audit_counters(q, where=kept), names)]
+    wide = df.agg(*whole, *subset)
+    rows = F.array(
+        F.struct(F.lit(stages[0]).alias("stage"), *[F.col(n).alias(n) for n in names]),
+        F.struct(F.lit(stages[1]).alias("stage"), *[F.col(f"_k_{n}").alias(n) for n in names]),
+    )
+    return wide.select(F.inline(rows))
+
+
 def sample_partition(df: DataFrame, year: int, month: int, n: int = 5) -> DataFrame:
     """O3: ``n`` rows of one partition. The partition predicate prunes the scan;
     the order by every column makes the sample repeatable (top-k per task, then

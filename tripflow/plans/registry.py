@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.operators import aggregates, ingest, profile, schema_audit
-from tripflow.operators.consolidate import gold_projection, union_all
+from tripflow.operators.consolidate import gold_projection, quality_predicate, union_all
 from tripflow.plans import layers, medallion, sql_forms
 from tripflow.session import scratch_path
 from tripflow.sources import feeds, landing
@@ -132,9 +132,10 @@ def gold_summary(spark, sf_dir):
 
 @register
 def filter_audit(spark, sf_dir):
+    """A12 on Silver and on Gold; Gold rows are the Silver rows that pass the
+    quality predicate, so both audits come from one scan of each feed."""
     silver = gold_projection(layers.silver_union(spark, sf_dir))
-    return union_all(profile.filter_audit(silver, Q, stage="silver"),
-                     profile.filter_audit(layers.gold(spark, sf_dir, Q), Q, stage="gold"))
+    return profile.filter_audit_stages(silver, Q, quality_predicate(Q))
 
 
 @register
