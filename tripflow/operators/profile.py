@@ -59,12 +59,9 @@ def null_profile(df: DataFrame, columns: list[str] | tuple[str, ...], **labels:
 def schema_profile(df: DataFrame, **labels: str) -> DataFrame:
     """(coluna, tipo, nulos, pct_nulos) for every column."""
     prof = null_profile(df, df.columns)
-    types = df.sparkSession.createDataFrame(
-        [(f.name, f.dataType.simpleString()) for f in df.schema.fields], "coluna string, tipo string"
-    )
-    # Both sides have one row per column; ``types`` is a local relation of known
-    # size, which the planner broadcasts by its own size check.
-    out = prof.join(types, "coluna").select("coluna", "tipo", "nulos", "pct_nulos")
+    # The type of each column is schema metadata: a literal map lookup, no join.
+    kinds = F.create_map(*[F.lit(x) for f in df.schema.fields for x in (f.name, f.dataType.simpleString())])
+    out = prof.select("coluna", F.element_at(kinds, F.col("coluna")).alias("tipo"), "nulos", "pct_nulos")
     return _tag(out, **labels)
 
 
