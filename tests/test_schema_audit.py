@@ -28,3 +28,9 @@ def test_missing_months(df_boundary_silver):
     got = sorted(r.mes for r in missing_months(df_boundary_silver, spec).collect())
     assert got == ["2022-11", "2023-02", "2023-04"]
     assert spec.months == month_range("2022-11", "2023-06")
+
+
+def test_required_columns_all_absent_on_empty_input(spark):
+    df = spark.createDataFrame([], "x long")
+    rows = required_columns(df, YELLOW).collect()
+    assert len(rows) == 5 and all(r.presente is False and r.nao_nulos == 0 for r in rows)

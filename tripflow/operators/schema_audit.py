@@ -56,27 +56,23 @@ def column_comparison(spark: SparkSession, columns: dict[str, list[str]]) -> Dat
 
 def required_columns(raw: DataFrame, spec: FeedSpec, feed: str | None = None) -> DataFrame:
     """Is every required source column present, with which type, and how
-    many non-null values does it hold (one aggregate scan of the feed)?"""
-    spark = raw.sparkSession
+    many non-null values does it hold? One aggregate scan of the feed; the
+    metadata columns are literals, so no join is needed."""
     kinds = {f.name: f.dataType.simpleString() for f in raw.schema.fields}
     present = [c for c in spec.raw_required if c in kinds]
-    meta = spark.createDataFrame(
-        [(i, c, c in kinds, kinds.get(c, "N/A")) for i, c in enumerate(spec.raw_required)],
-        "ordem int, coluna string, presente boolean, tipo string",
-    )
-    if present:
-        counts = raw.agg(*[F.count(F.col(c)).alias(c) for c in present]).unpivot(
-            [], present, "coluna", "nao_nulos"
+    # A global aggregate always yields exactly one row, even on an empty input.
+    wide = raw.agg(*[F.count(F.col(c)).alias(c) for c in present] or [F.count(F.lit(1)).alias("_rows")])
+    rows = F.array(*[
+        F.struct(
+            F.lit(feed or spec.tag).alias("feed"),
+            F.lit(c).alias("coluna"),
+            F.lit(c in kinds).alias("presente"),
+            F.lit(kinds.get(c, "N/A")).alias("tipo"),
+            (F.col(c) if c in kinds else F.lit(0)).cast("long").alias("nao_nulos"),
         )
-        # ``counts`` is one row per required column; AQE broadcasts it after
-        # measuring it (size-checked, sort-merge join beyond the threshold).
-        meta = meta.join(counts, "coluna", "left")
-    else:
-        meta = meta.withColumn("nao_nulos", F.lit(None).cast("long"))
-    return meta.select(
-        F.lit(feed or spec.tag).alias("feed"), "coluna", "presente", "tipo",
-        F.coalesce(F.col("nao_nulos"), F.lit(0)).cast("long").alias("nao_nulos"),
-    )
+        for c in spec.raw_required
+    ])
+    return wide.select(F.inline(rows))
 
 
 def lowercase_check(spark: SparkSession, schema: T.StructType, table: str) -> DataFrame:
