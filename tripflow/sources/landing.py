@@ -241,8 +241,9 @@ def file_volume(scan: DataFrame, n_columns: dict[str, int] | int | None = None,
         mb_from_bytes("bytes").alias("tamanho_mb"),
     )
     if isinstance(n_columns, dict):
-        cols = scan.sparkSession.createDataFrame(list(n_columns.items()), "mes string, colunas int")
-        out = out.join(cols, "mes", "left")  # local relation: size known, broadcast by the planner
+        # Per-month column counts are footer metadata: a literal map lookup, no join.
+        counts = F.create_map(*[F.lit(x) for m, n in sorted(n_columns.items()) for x in (m, int(n))])
+        out = out.withColumn("colunas", F.element_at(counts, F.col("mes")).cast("int"))
     elif isinstance(n_columns, int):
         out = out.withColumn("colunas", F.lit(n_columns))
     return out.orderBy("mes")
