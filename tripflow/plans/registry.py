@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tripflow.operators import aggregates, ingest, profile, schema_audit
 from tripflow.operators.consolidate import gold_projection, quality_predicate, union_all
 from tripflow.plans import layers, medallion, sql_forms
-from tripflow.session import scratch_path
+from tripflow.session import application_id, scratch_path
 from tripflow.sources import feeds, landing
 from tripflow.specs import FEED_A, FEED_B, TESTDATA_QUALITY as Q
 
@@ -173,7 +173,7 @@ def _landed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Land both raw feeds (one distributed write each) under the shared
     checkpoint folder once per (application, input); returns tag -> landing
     directory. Landed files are never modified afterwards."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (application_id(spark), sf_dir)
     if key not in _LANDINGS:
         root = scratch_path(spark, "landing")
         _LANDINGS[key] = {tag: landing.land_feed(layers.raw(spark, sf_dir, tag), spec, root)
@@ -218,7 +218,7 @@ _LAKES: dict[tuple[str, str], medallion.Lake] = {}
 def _lake(spark: SparkSession, sf_dir: str) -> medallion.Lake:
     """Run the whole medallion once per (application, input) into the shared
     checkpoint folder and register its tables; later keys reuse it."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (application_id(spark), sf_dir)
     if key not in _LAKES:
         root = scratch_path(spark, "lake")
         suffix = root.rsplit("-", 1)[-1]

@@ -68,9 +68,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     The cluster names this folder; we only choose one ourselves when it is unset
     (local tests), and then register it so later ``checkpoint()`` calls use it too.
     """
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir") or None
+    root = spark.conf.get("spark.checkpoint.dir", None) or None
     if root is None:
+        sc = spark.sparkContext
         current = sc.getCheckpointDir()
         if current:
             return current
@@ -79,6 +79,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def application_id(spark: SparkSession) -> str:
+    """The running application's id, read from the session config."""
+    return spark.conf.get("spark.app.id", None) or spark.sparkContext.applicationId
+
+
 def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     """A path under the shared checkpoint root for intermediate tables."""
     root = checkpoint_root(spark).rstrip("/")
