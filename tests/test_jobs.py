@@ -31,6 +31,7 @@ def test_stages_as_separate_jobs(spark, tmp_dir):
     lake = tmp_dir + "/lake"
     bronze = _job("bronze", "--landing", tmp_dir + "/landing", "--lake", lake)
     assert "bronze yellow 2001-12 missing" in bronze and "bronze green 1997-01 ok" in bronze
+    assert "bronze yellow sucessos=83 falhas=1" in bronze
     assert "silver yellow rows=" in _job("silver", "--lake", lake)
     assert "gold all rows=" in _job("gold", "--lake", lake)
     _job("monthly", "--lake", lake)

@@ -23,6 +23,7 @@ if __package__ in (None, ""):
 
 from tripflow.plans import medallion  # noqa: E402
 from tripflow.session import build_session, cluster_conf  # noqa: E402
+from tripflow.sources.landing import ingest_tally  # noqa: E402
 from tripflow.specs import GREEN, YELLOW, QualitySpec, month_range  # noqa: E402
 
 FEEDS = {"yellow": YELLOW, "green": GREEN}
@@ -63,8 +64,10 @@ def main(argv: list[str] | None = None) -> int:
                 raise SystemExit("--landing is required for the bronze stage")
             for spec in specs:
                 status = medallion.ingest_bronze_from_landing(spark, spec, args.landing, lake, strict=args.strict)
-                for r in status.collect():
+                for r in status.collect():  # one row per expected month
                     print(f"bronze {r.feed} {r.mes} {r.status} rows={r.linhas}" + (f" {r.erro}" if r.erro else ""))
+                for r in ingest_tally(status).collect():
+                    print(f"bronze {r.feed} sucessos={r.sucessos} falhas={r.falhas}")
         elif stage == "silver":
             for spec in specs:
                 print(f"silver {spec.tag} rows={medallion.standardize_silver(spark, spec, lake)}")

@@ -135,14 +135,26 @@ def month_schemas(spark: SparkSession, files: list[LandedFile],
     for f in files:
         if f.size > 0:
             by_month.setdefault(f.month, []).append(f.path)
-    out: dict[str, object] = {}
-    for m, paths in sorted(by_month.items()):
+    def read(item):
+        month, paths = item
         try:
-            out[m] = spark.read.parquet(*paths).schema
+            return month, spark.read.parquet(*paths).schema, None
         except AnalysisException as exc:
-            if errors is None:
-                raise
-            errors[m] = f"unreadable footer: {str(exc).splitlines()[0]}"
+            return month, None, exc
+
+    # Footer reads of different months are independent: resolve them concurrently.
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, min(16, len(by_month)))) as pool:
+        results = list(pool.map(read, sorted(by_month.items())))
+    out: dict[str, object] = {}
+    for month, schema, exc in results:
+        if exc is None:
+            out[month] = schema
+        elif errors is None:
+            raise exc
+        else:
+            errors[month] = f"unreadable footer: {str(exc).splitlines()[0]}"
     return out
 
 
