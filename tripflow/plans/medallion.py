@@ -20,7 +20,7 @@ from tripflow.operators.consolidate import consolidate
 from tripflow.operators.ingest import to_bronze, with_partition_columns
 from tripflow.operators.standardize import to_silver
 from tripflow.sources import catalog
-from tripflow.sources.landing import month_status, require_complete, scan_landing
+from tripflow.sources.landing import list_landing, month_status, require_complete, scan_landing
 from tripflow.sources.sinks import write_partitioned, write_result
 from tripflow.specs import FeedSpec, QualitySpec
 
@@ -79,12 +79,13 @@ def ingest_bronze_from_landing(spark: SparkSession, spec: FeedSpec, landing_root
     not stop the others (``strict=True`` raises instead). Landing files are one month each, so the write keeps the
     scan's layout (no shuffle)."""
     lake.create_databases(spark)
-    status = month_status(spark, spec, landing_root, check_names=True)
+    files = list_landing(spark, landing_root, spec.prefix)  # listed once, used twice
+    status = month_status(spark, spec, landing_root, check_names=True, files=files)
     if strict:
         require_complete(status)
     readable = {r.mes for r in status.filter(F.col("status") == "ok").select("mes").collect()}  # <= #months
     wanted = tuple(m for m in (months or spec.months) if m in readable)
-    bronze = with_partition_columns(scan_landing(spark, spec, landing_root, wanted))
+    bronze = with_partition_columns(scan_landing(spark, spec, landing_root, wanted, files=files))
     path = lake.path("bronze", _feed_table(spec))
     write_partitioned(bronze, path, overwrite="dynamic", layout="preserve", name=f"bronze_{spec.tag}")
     catalog.register_discovered(spark, lake.table("bronze", _feed_table(spec)), path)

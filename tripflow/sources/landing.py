@@ -171,7 +171,7 @@ def name_collisions(schema) -> list[tuple[str, str]]:
 
 
 def month_status(spark: SparkSession, spec: FeedSpec, root: str, feed: str | None = None,
-                 check_names: bool = False) -> DataFrame:
+                 check_names: bool = False, files: list[LandedFile] | None = None) -> DataFrame:
     """A13 + S3 + S4: one row per expected month: (feed, mes, status, linhas, erro).
 
     status is ``ok``, ``empty`` (only zero-byte files: the reference's
@@ -180,7 +180,7 @@ def month_status(spark: SparkSession, spec: FeedSpec, root: str, feed: str | Non
     lower-casing (that month is left out of the scan). Row counts come from one
     grouped scan of the readable months (Parquet answers a count from footers).
     """
-    files = list_landing(spark, root, spec.prefix)
+    files = list_landing(spark, root, spec.prefix) if files is None else files
     sizes: dict[str, int] = {}
     for f in files:
         sizes[f.month] = sizes.get(f.month, 0) + f.size
