@@ -110,3 +110,14 @@ def test_landing_ingest_skips_unreadable_months(spark, drift_landing, tmp_dir):
     status = ingest_bronze_from_landing(spark, SPEC, drift_landing, lake)
     assert status.filter("status = 'ok'").count() == 2
     assert spark.table("col_bronze.yellow_trips").count() == 5
+
+
+def test_stream_reads_drifting_and_empty_months(spark, drift_landing, tmp_dir):
+    from tripflow.streaming.incremental_ingest import run_bronze_ingest_once
+
+    rows = run_bronze_ingest_once(spark, SPEC, drift_landing, tmp_dir + "/bronze", tmp_dir + "/ck")
+    out = spark.read.parquet(tmp_dir + "/bronze")
+    assert rows == 5 and out.count() == 5
+    assert dict(out.dtypes)["vendorid"] == "bigint"
+    assert sorted(r.airport_fee for r in out.filter("partition_month = 2").collect() if r.airport_fee is not None) \
+        == [0.0, 1.25]
