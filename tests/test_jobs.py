@@ -43,3 +43,22 @@ def test_stages_as_separate_jobs(spark, tmp_dir):
     assert monthly == sorted(con.execute(ORACLES["avg_amount_by_month"]).fetchall())
     hourly = sorted(tuple(r) for r in spark.read.parquet(lake + "/gold/avg_passengers").collect())
     assert hourly == sorted(con.execute(ORACLES["avg_passengers_by_hour"]).fetchall())
+
+
+def test_audit_every_layer(spark, tmp_dir, capsys):
+    from tripflow.jobs import audit
+    from tripflow.plans.medallion import Lake, run_all
+    from tripflow.specs import TESTDATA_QUALITY
+
+    feeds = raw_feeds(spark, SF_SMALL)
+    land_feed(feeds["yellow"], FEED_A, tmp_dir + "/landing")
+    land_feed(feeds["green"], FEED_B, tmp_dir + "/landing")
+    lake = Lake(tmp_dir + "/lake", "au_bronze", "au_silver", "au_gold")
+    run_all(spark, feeds, {"yellow": FEED_A, "green": FEED_B}, lake, TESTDATA_QUALITY)
+    for layer in ("source", "bronze", "silver", "gold"):
+        audit(spark, layer, [FEED_A, FEED_B], lake, TESTDATA_QUALITY, tmp_dir + "/landing")
+    out = capsys.readouterr().out
+    for title in ("yellow: month status", "green: schema drift", "column comparison", "bronze yellow: nulls",
+                  "silver green: passengers", "silver yellow: amount by month", "gold: summary", "gold: filter audit"):
+        assert f"== {title}" in out, title
+    assert "missing" in out  # feed B ends before the last expected month

@@ -6,6 +6,11 @@
     spark-submit tripflow/jobs.py monthly --lake <dir>
     spark-submit tripflow/jobs.py hourly --lake <dir>
     spark-submit tripflow/jobs.py all --landing <dir> --lake <dir>
+    spark-submit tripflow/jobs.py audit --layer {source,bronze,silver,gold} [--landing <dir>] --lake <dir>
+
+``audit`` runs the exploratory checks of one layer (availability, volumes,
+drift, nulls, distributions, statistics, filter audit, samples) and prints
+their small result tables.
 
 Quality window and months come from flags (defaults: the reference's 2023,
 months 1-5). Every job prints one status line per stage and exits non-zero on
@@ -21,17 +26,20 @@ import sys
 if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from tripflow.operators import profile, schema_audit  # noqa: E402
 from tripflow.plans import medallion  # noqa: E402
 from tripflow.session import build_session, cluster_conf  # noqa: E402
+from tripflow.sources import landing  # noqa: E402
 from tripflow.sources.landing import ingest_tally  # noqa: E402
-from tripflow.specs import GREEN, YELLOW, QualitySpec, month_range  # noqa: E402
+from tripflow.specs import GREEN, SILVER_REQUIRED, YELLOW, QualitySpec, month_range  # noqa: E402
 
 FEEDS = {"yellow": YELLOW, "green": GREEN}
 
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tripflow.jobs")
-    p.add_argument("stage", choices=["bronze", "silver", "gold", "monthly", "hourly", "all"])
+    p.add_argument("stage", choices=["bronze", "silver", "gold", "monthly", "hourly", "all", "audit"])
+    p.add_argument("--layer", choices=["source", "bronze", "silver", "gold"], default="gold")
     p.add_argument("--feed", choices=sorted(FEEDS), action="append")
     p.add_argument("--landing", help="landing root; feed files under <landing>/<prefix>_YYYY-MM.parquet")
     p.add_argument("--lake", required=True)
@@ -47,6 +55,54 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _show(title: str, df) -> None:
+    print(f"== {title}")
+    df.show(200, truncate=False)  # every audit result is bounded by months, columns or values
+
+
+def audit(spark, layer: str, specs, lake: medallion.Lake, q: QualitySpec, landing_root: str | None) -> None:
+    """The exploratory checks of one layer, as small printed tables."""
+    if layer == "source":
+        if not landing_root:
+            raise SystemExit("--landing is required for the source audit")
+        columns = {}
+        for spec in specs:
+            files = landing.list_landing(spark, landing_root, spec.prefix)
+            _show(f"{spec.tag}: month status", landing.month_status(spark, spec, landing_root, check_names=True,
+                                                                     files=files))
+            schemas = landing.month_schemas(spark, [f for f in files if f.month in set(spec.months)], {})
+            if schemas:
+                _show(f"{spec.tag}: volume", landing.file_volume(
+                    landing.scan_landing(spark, spec, landing_root, files=files),
+                    {m: len(s.fields) for m, s in schemas.items()}, spec.tag))
+                _show(f"{spec.tag}: schema drift", schema_audit.schema_drift(spark, schemas, spec.tag))
+                first = schemas[min(schemas)]
+                columns[spec.tag] = [f.name for f in first.fields]
+                raw = spark.read.parquet(*[f.path for f in files if f.month == min(schemas) and f.size > 0])
+                _show(f"{spec.tag}: schema profile {min(schemas)}", profile.schema_profile(raw))
+                _show(f"{spec.tag}: required columns", schema_audit.required_columns(raw, spec))
+        if len(columns) > 1:
+            _show("column comparison", schema_audit.column_comparison(spark, columns))
+        return
+    for spec in specs if layer in ("bronze", "silver") else []:
+        df = medallion.read_layer(spark, lake, layer, f"{spec.tag}_trips")
+        _show(f"{layer} {spec.tag}: rows per month in the window",
+              profile.rows_per_month(df, q.year, q.first_month, q.last_month))
+        _show(f"{layer} {spec.tag}: partitions", profile.partition_counts(df))
+        required = spec.bronze_required if layer == "bronze" else SILVER_REQUIRED
+        _show(f"{layer} {spec.tag}: nulls", profile.null_profile(df, required))
+        _show(f"{layer} {spec.tag}: lower-case names", schema_audit.lowercase_check(spark, df.schema, spec.tag))
+        if layer == "silver":
+            _show(f"silver {spec.tag}: passengers", profile.value_distribution(df, "passenger_count"))
+            _show(f"silver {spec.tag}: amount by month", profile.amount_stats_by_month(df))
+        _show(f"{layer} {spec.tag}: sample", profile.sample_partition(df, q.year, q.first_month))
+    if layer == "gold":
+        gold = medallion.read_layer(spark, lake, "gold", "all_trips")
+        _show("gold: summary", profile.gold_summary(gold))
+        _show("gold: filter audit", profile.filter_audit(gold, q))
+        _show("gold: sample", profile.sample_partition(gold, q.year, q.first_month))
+
+
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     extra = cluster_conf(args.cores) if args.cores else {}
@@ -57,6 +113,10 @@ def main(argv: list[str] | None = None) -> int:
     months = month_range(args.first_month, args.last_month)
     tags = args.feed or sorted(FEEDS)
     specs = [FEEDS[t].with_months(months[0], months[-1]) for t in tags]
+    if args.stage == "audit":
+        audit(spark, args.layer, specs, lake, q, args.landing)
+        spark.stop()
+        return 0
     stages = ["bronze", "silver", "gold", "monthly", "hourly"] if args.stage == "all" else [args.stage]
     for stage in stages:
         if stage == "bronze":
