@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.functions.columns import in_range, round2
-from tripflow.specs import QualitySpec
+from tripflow.specs import AVG_PASSENGER_COUNT, AVG_TOTAL_AMOUNT, HORA, MES, QualitySpec
 
 
 def avg_amount_by_month(gold: DataFrame, tag: str = "yellow") -> DataFrame:
@@ -18,9 +18,9 @@ def avg_amount_by_month(gold: DataFrame, tag: str = "yellow") -> DataFrame:
     """
     return (
         gold.filter(F.col("taxi_type") == F.lit(tag))
-        .groupBy(F.month("tpep_pickup_datetime").alias("mes"))
-        .agg(round2(F.avg("total_amount")).alias("avg_total_amount"))
-        .orderBy("mes")
+        .groupBy(F.month("tpep_pickup_datetime").alias(MES))
+        .agg(round2(F.avg("total_amount")).alias(AVG_TOTAL_AMOUNT))
+        .orderBy(MES)
     )
 
 
@@ -33,8 +33,8 @@ def avg_passengers_by_hour(gold: DataFrame, q: QualitySpec) -> DataFrame:
     start, end = q.month_window(q.hourly_month)
     return (
         gold.filter(in_range("tpep_pickup_datetime", start, end))
-        .withColumn("hora", F.hour("tpep_pickup_datetime"))
-        .groupBy("hora")
-        .agg(round2(F.avg("passenger_count")).alias("avg_passenger_count"))
-        .orderBy("hora")
+        .withColumn(HORA, F.hour("tpep_pickup_datetime"))
+        .groupBy(HORA)
+        .agg(round2(F.avg("passenger_count")).alias(AVG_PASSENGER_COUNT))
+        .orderBy(HORA)
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.specs import PARTITION_COLUMNS, FeedSpec
+from tripflow.specs import COLUNA, FALHAS, PARTITION_COLUMNS, FeedSpec
 
 
 def lowercase_columns(df: DataFrame) -> DataFrame:
@@ -55,13 +55,13 @@ def cast_failures(df: DataFrame, spec: FeedSpec, feed: str | None = None) -> Dat
     """
     present = _present(df, spec)
     if not present:
-        return df.sparkSession.createDataFrame([], "feed string, coluna string, falhas long")
+        return df.sparkSession.createDataFrame([], f"feed string, {COLUNA} string, {FALHAS} long")
     counters = [
         F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull()).alias(c) for c, kind in present
     ]
     wide = df.agg(*counters).withColumn("feed", F.lit(feed or spec.tag))
-    return wide.unpivot("feed", [c for c, _ in present], "coluna", "falhas").select(
-        "feed", "coluna", F.col("falhas").cast("long").alias("falhas")
+    return wide.unpivot("feed", [c for c, _ in present], COLUNA, FALHAS).select(
+        "feed", COLUNA, F.col(FALHAS).cast("long").alias(FALHAS)
     )
 
 

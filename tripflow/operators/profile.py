@@ -11,7 +11,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.functions.columns import month_label, pct_half_up, round2
-from tripflow.specs import QualitySpec
+from tripflow.specs import (
+    ANO_INVALIDO, AVG_PASSENGER_COUNT, AVG_TOTAL_AMOUNT, COLUNA, DESVIO_PADRAO, LINHAS, MAXIMO,
+    MAX_PASSENGER, MAX_TOTAL_AMOUNT, MEDIA, MES, MES_INVALIDO, MINIMO, MIN_PASSENGER, MIN_TOTAL_AMOUNT,
+    NAO_NULOS, NEGATIVOS_OU_ZERO, NULOS, PASSENGER_COUNT_ACIMA_6, PASSENGER_COUNT_ZERO, PCT, PCT_NULOS,
+    TIPO, TOTAL, TOTAL_AMOUNT_INVALIDO, TOTAL_CORRIDAS, TOTAL_LINHAS, QualitySpec
+)
 
 
 def _tag(df: DataFrame, **labels: str) -> DataFrame:
@@ -21,7 +26,7 @@ def _tag(df: DataFrame, **labels: str) -> DataFrame:
 
 def row_count(df: DataFrame, **labels: str) -> DataFrame:
     """A3: one row with the row count, as ``linhas``."""
-    return _tag(df.agg(F.count(F.lit(1)).alias("linhas")), **labels)
+    return _tag(df.agg(F.count(F.lit(1)).alias(LINHAS)), **labels)
 
 
 def rows_per_month(df: DataFrame, year: int | None = None, first_month: int = 1, last_month: int = 12,
@@ -31,28 +36,28 @@ def rows_per_month(df: DataFrame, year: int | None = None, first_month: int = 1,
     if year is not None:
         df = df.filter((F.col("partition_year") == year)
                        & F.col("partition_month").between(first_month, last_month))
-    out = (df.groupBy("partition_year", "partition_month").agg(F.count(F.lit(1)).alias("linhas"))
-           .select(month_label("partition_year", "partition_month").alias("mes"), "linhas"))
+    out = (df.groupBy("partition_year", "partition_month").agg(F.count(F.lit(1)).alias(LINHAS))
+           .select(month_label("partition_year", "partition_month").alias(MES), LINHAS))
     return _tag(out, **labels)
 
 
 def partition_counts(df: DataFrame, **labels: str) -> DataFrame:
     """A5: rows per (partition_year, partition_month), ordered."""
     out = (df.groupBy("partition_year", "partition_month")
-           .agg(F.count(F.lit(1)).alias("total_linhas")))
+           .agg(F.count(F.lit(1)).alias(TOTAL_LINHAS)))
     return _tag(out, **labels).orderBy("partition_year", "partition_month")
 
 
 def null_profile(df: DataFrame, columns: list[str] | tuple[str, ...], **labels: str) -> DataFrame:
     """(coluna, total, nulos, pct_nulos) for the given columns in one pass."""
     counts = [F.count(F.col(c)).alias(c) for c in columns]
-    wide = df.agg(F.count(F.lit(1)).alias("total"), *counts)
-    long = wide.unpivot("total", list(columns), "coluna", "nao_nulos")
+    wide = df.agg(F.count(F.lit(1)).alias(TOTAL), *counts)
+    long = wide.unpivot(TOTAL, list(columns), COLUNA, NAO_NULOS)
     out = long.select(
-        "coluna",
-        F.col("total").cast("long").alias("total"),
-        (F.col("total") - F.col("nao_nulos")).cast("long").alias("nulos"),
-    ).withColumn("pct_nulos", pct_half_up("nulos", "total"))
+        COLUNA,
+        F.col(TOTAL).cast("long").alias(TOTAL),
+        (F.col(TOTAL) - F.col(NAO_NULOS)).cast("long").alias(NULOS),
+    ).withColumn(PCT_NULOS, pct_half_up(NULOS, TOTAL))
     return _tag(out, **labels)
 
 
@@ -61,7 +66,7 @@ def schema_profile(df: DataFrame, **labels: str) -> DataFrame:
     prof = null_profile(df, df.columns)
     # The type of each column is schema metadata: a literal map lookup, no join.
     kinds = F.create_map(*[F.lit(x) for f in df.schema.fields for x in (f.name, f.dataType.simpleString())])
-    out = prof.select("coluna", F.element_at(kinds, F.col("coluna")).alias("tipo"), "nulos", "pct_nulos")
+    out = prof.select(COLUNA, F.element_at(kinds, F.col(COLUNA)).alias(TIPO), NULOS, PCT_NULOS)
     return _tag(out, **labels)
 
 
@@ -72,42 +77,42 @@ def value_distribution(df: DataFrame, column: str, by: str | None = None) -> Dat
     never over raw rows.
     """
     keys = [by, column] if by else [column]
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("total"))
-    whole = F.sum("total").over(Window.partitionBy(by) if by else Window.partitionBy())
-    return counted.withColumn("pct", pct_half_up(F.col("total"), whole)).orderBy(*keys)
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(TOTAL))
+    whole = F.sum(TOTAL).over(Window.partitionBy(by) if by else Window.partitionBy())
+    return counted.withColumn(PCT, pct_half_up(F.col(TOTAL), whole)).orderBy(*keys)
 
 
 def amount_stats_by_month(df: DataFrame, amount: str = "total_amount") -> DataFrame:
     """A10: per file month (year, month) count, mean, min, max, stddev and the
     number of non-positive amounts."""
     return (
-        df.groupBy(F.col("partition_year").alias("ano"), F.col("partition_month").alias("mes"))
+        df.groupBy(F.col("partition_year").alias("ano"), F.col("partition_month").alias(MES))
         .agg(
-            F.count(F.lit(1)).alias("total_corridas"),
-            round2(F.avg(amount)).alias("media"),
-            round2(F.min(amount)).alias("minimo"),
-            round2(F.max(amount)).alias("maximo"),
-            round2(F.stddev_samp(amount)).alias("desvio_padrao"),
-            F.count_if(F.col(amount) <= 0).alias("negativos_ou_zero"),
+            F.count(F.lit(1)).alias(TOTAL_CORRIDAS),
+            round2(F.avg(amount)).alias(MEDIA),
+            round2(F.min(amount)).alias(MINIMO),
+            round2(F.max(amount)).alias(MAXIMO),
+            round2(F.stddev_samp(amount)).alias(DESVIO_PADRAO),
+            F.count_if(F.col(amount) <= 0).alias(NEGATIVOS_OU_ZERO),
         )
-        .orderBy("ano", "mes")
+        .orderBy("ano", MES)
     )
 
 
 def gold_summary(gold: DataFrame) -> DataFrame:
     """Per (taxi_type, file year, file month) count, rounded means, min/max."""
     return (
-        gold.groupBy("taxi_type", F.col("partition_year").alias("ano"), F.col("partition_month").alias("mes"))
+        gold.groupBy("taxi_type", F.col("partition_year").alias("ano"), F.col("partition_month").alias(MES))
         .agg(
-            F.count(F.lit(1)).alias("total_corridas"),
-            round2(F.avg("total_amount")).alias("avg_total_amount"),
-            round2(F.avg("passenger_count")).alias("avg_passenger_count"),
-            F.min("passenger_count").alias("min_passenger"),
-            F.max("passenger_count").alias("max_passenger"),
-            F.min("total_amount").alias("min_total_amount"),
-            F.max("total_amount").alias("max_total_amount"),
+            F.count(F.lit(1)).alias(TOTAL_CORRIDAS),
+            round2(F.avg("total_amount")).alias(AVG_TOTAL_AMOUNT),
+            round2(F.avg("passenger_count")).alias(AVG_PASSENGER_COUNT),
+            F.min("passenger_count").alias(MIN_PASSENGER),
+            F.max("passenger_count").alias(MAX_PASSENGER),
+            F.min("total_amount").alias(MIN_TOTAL_AMOUNT),
+            F.max("total_amount").alias(MAX_TOTAL_AMOUNT),
         )
-        .orderBy("taxi_type", "ano", "mes")
+        .orderBy("taxi_type", "ano", MES)
     )
 
 
@@ -115,11 +120,11 @@ def audit_rules(q: QualitySpec, pickup: str = "tpep_pickup_datetime") -> dict[st
     """A12 rules: the condition under which each Gold rule rejects a row."""
     p = F.col(pickup)
     return {
-        "total_amount_invalido": F.col("total_amount") <= q.min_amount,
-        "passenger_count_zero": F.col("passenger_count") <= q.min_passengers,
-        "passenger_count_acima_6": F.col("passenger_count") > q.max_passengers,
-        "ano_invalido": F.year(p) != q.year,
-        "mes_invalido": ~F.month(p).between(q.first_month, q.last_month),
+        TOTAL_AMOUNT_INVALIDO: F.col("total_amount") <= q.min_amount,
+        PASSENGER_COUNT_ZERO: F.col("passenger_count") <= q.min_passengers,
+        PASSENGER_COUNT_ACIMA_6: F.col("passenger_count") > q.max_passengers,
+        ANO_INVALIDO: F.year(p) != q.year,
+        MES_INVALIDO: ~F.month(p).between(q.first_month, q.last_month),
     }
 
 
@@ -127,7 +132,7 @@ def audit_counters(q: QualitySpec, pickup: str = "tpep_pickup_datetime", where:
     """A12 counters: how many rows (optionally among ``where``) each rule rejects, plus the total."""
     scope = where if where is not None else F.lit(True)
     return [F.count_if(scope & cond).alias(name) for name, cond in audit_rules(q, pickup).items()] + [
-        F.count_if(scope).alias("total")
+        F.count_if(scope).alias(TOTAL)
     ]
 
 
@@ -142,7 +147,7 @@ def filter_audit_stages(df: DataFrame, q: QualitySpec, kept: Column,
     """A12 for a table and its filtered subset (rows where ``kept``) in ONE scan:
     two rows (stage, counters...). Used when the Gold rows are Silver rows that
     pass the quality predicate, so Gold need not be read separately."""
-    names = list(audit_rules(q)) + ["total"]
+    names = list(audit_rules(q)) + [TOTAL]
     whole = audit_counters(q)
     subset = [c.alias(f"_k_{n}") for c, n in zip(audit_counters(q, where=kept), names)]
     wide = df.agg(*whole, *subset)

@@ -12,16 +12,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.functions.columns import month_label
-from tripflow.specs import FeedSpec
+from tripflow.specs import AUSENTE, COLUNA, MES, NAO_NULOS, PRESENTE, TIPO, FeedSpec
 
-ABSENT = "AUSENTE"
+ABSENT = AUSENTE
 
 
 def schema_frame(spark: SparkSession, schema: T.StructType, **labels: str) -> DataFrame:
     """(labels..., coluna, tipo) for a schema."""
     names = list(labels)
     rows = [tuple(labels.values()) + (f.name, f.dataType.simpleString()) for f in schema.fields]
-    ddl = ", ".join([f"{n} string" for n in names] + ["coluna string", "tipo string"])
+    ddl = ", ".join([f"{n} string" for n in names] + [f"{COLUNA} string", f"{TIPO} string"])
     return spark.createDataFrame(rows, ddl)
 
 
@@ -37,10 +37,10 @@ def schema_drift(spark: SparkSession, month_schemas: dict[str, T.StructType], fe
     long = parts[0]
     for p in parts[1:]:
         long = long.unionByName(p)
-    wide = long.groupBy("feed", "coluna").pivot("mes", months).agg(F.first("tipo"))
+    wide = long.groupBy("feed", COLUNA).pivot(MES, months).agg(F.first(TIPO))
     wide = wide.fillna(ABSENT, subset=months)
     n_distinct = F.size(F.array_distinct(F.array(*[F.col(f"`{m}`") for m in months])))
-    return wide.filter(n_distinct > 1).orderBy("feed", "coluna")
+    return wide.filter(n_distinct > 1).orderBy("feed", COLUNA)
 
 
 def column_comparison(spark: SparkSession, columns: dict[str, list[str]]) -> DataFrame:
@@ -50,7 +50,7 @@ def column_comparison(spark: SparkSession, columns: dict[str, list[str]]) -> Dat
     feeds = list(columns)
     allnames = sorted(set().union(*[set(c) for c in columns.values()]))
     rows = [(n, *[n in set(columns[f]) for f in feeds]) for n in allnames]
-    ddl = "coluna string, " + ", ".join(f"`{f}` boolean" for f in feeds)
+    ddl = f"{COLUNA} string, " + ", ".join(f"`{f}` boolean" for f in feeds)
     return spark.createDataFrame(rows, ddl)
 
 
@@ -65,10 +65,10 @@ def required_columns(raw: DataFrame, spec: FeedSpec, feed: str | None = None) ->
     rows = F.array(*[
         F.struct(
             F.lit(feed or spec.tag).alias("feed"),
-            F.lit(c).alias("coluna"),
-            F.lit(c in kinds).alias("presente"),
-            F.lit(kinds.get(c, "N/A")).alias("tipo"),
-            (F.col(c) if c in kinds else F.lit(0)).cast("long").alias("nao_nulos"),
+            F.lit(c).alias(COLUNA),
+            F.lit(c in kinds).alias(PRESENTE),
+            F.lit(kinds.get(c, "N/A")).alias(TIPO),
+            (F.col(c) if c in kinds else F.lit(0)).cast("long").alias(NAO_NULOS),
         )
         for c in spec.raw_required
     ])
@@ -78,7 +78,7 @@ def required_columns(raw: DataFrame, spec: FeedSpec, feed: str | None = None) ->
 def lowercase_check(spark: SparkSession, schema: T.StructType, table: str) -> DataFrame:
     """C4: (tabela, coluna, tipo, minusculo) for every column of a table."""
     return schema_frame(spark, schema, tabela=table).withColumn(
-        "minusculo", F.col("coluna") == F.lower(F.col("coluna"))
+        "minusculo", F.col(COLUNA) == F.lower(F.col(COLUNA))
     )
 
 
@@ -92,14 +92,14 @@ def missing_months(df: DataFrame, spec: FeedSpec, feed: str | None = None) -> Da
     """
     spark = df.sparkSession
     (fy, fm), (ly, lm) = (tuple(int(p) for p in spec.months[i].split("-")) for i in (0, -1))
-    expected = spark.createDataFrame([(m,) for m in spec.months], "mes string")
+    expected = spark.createDataFrame([(m,) for m in spec.months], f"{MES} string")
     ym = F.col("partition_year") * 100 + F.col("partition_month")
     observed = (
         df.select("partition_year", "partition_month")
         .filter(ym.between(fy * 100 + fm, ly * 100 + lm))
         .distinct()  # integers first: the label is built once per month, not per row
-        .select(month_label("partition_year", "partition_month").alias("mes"))
+        .select(month_label("partition_year", "partition_month").alias(MES))
     )
-    return expected.join(observed, "mes", "left_anti").select(
-        F.lit(feed or spec.tag).alias("feed"), "mes"
+    return expected.join(observed, MES, "left_anti").select(
+        F.lit(feed or spec.tag).alias("feed"), MES
     )

@@ -15,7 +15,7 @@ from tripflow.operators.consolidate import consolidate, quality_predicate, union
 from tripflow.operators.ingest import to_bronze
 from tripflow.operators.standardize import complete, silver_typed, to_silver
 from tripflow.sources.feeds import raw_feed_a, raw_feed_b
-from tripflow.specs import FEED_A, FEED_B, TESTDATA_QUALITY, FeedSpec, QualitySpec
+from tripflow.specs import FEED_A, FEED_B, LINHAS, MES, TESTDATA_QUALITY, FeedSpec, QualitySpec
 
 FEEDS: dict[str, FeedSpec] = {"yellow": FEED_A, "green": FEED_B}
 
@@ -51,8 +51,8 @@ def layer_counts(spark: SparkSession, sf_dir: str, q: QualitySpec = TESTDATA_QUA
         wide = typed.agg(
             F.count(F.lit(1)).alias("bronze"), F.count_if(ok).alias("silver"), F.count_if(kept).alias("gold")
         ).withColumn("feed", F.lit(tag))
-        frames.append(wide.unpivot("feed", ["bronze", "silver", "gold"], "layer", "linhas"))
-    return union_all(*frames).select("layer", "feed", F.col("linhas").cast("long").alias("linhas"))
+        frames.append(wide.unpivot("feed", ["bronze", "silver", "gold"], "layer", LINHAS))
+    return union_all(*frames).select("layer", "feed", F.col(LINHAS).cast("long").alias(LINHAS))
 
 
 def volume_by_month(spark: SparkSession, sf_dir: str, q: QualitySpec = TESTDATA_QUALITY) -> DataFrame:
@@ -66,7 +66,7 @@ def volume_by_month(spark: SparkSession, sf_dir: str, q: QualitySpec = TESTDATA_
         per_month = typed.groupBy("partition_year", "partition_month").agg(
             F.count(F.lit(1)).alias("bronze"), F.count_if(complete(typed)).alias("silver")
         )
-        long = per_month.select(month_label("partition_year", "partition_month").alias("mes"), "bronze", "silver")
-        long = long.unpivot("mes", ["bronze", "silver"], "layer", "linhas").withColumn("feed", F.lit(tag))
-        frames.append(long.filter(F.col("linhas") > 0))  # a month with no Silver row has no Silver group
-    return union_all(*frames).select("layer", "feed", "mes", F.col("linhas").cast("long").alias("linhas"))
+        long = per_month.select(month_label("partition_year", "partition_month").alias(MES), "bronze", "silver")
+        long = long.unpivot(MES, ["bronze", "silver"], "layer", LINHAS).withColumn("feed", F.lit(tag))
+        frames.append(long.filter(F.col(LINHAS) > 0))  # a month with no Silver row has no Silver group
+    return union_all(*frames).select("layer", "feed", MES, F.col(LINHAS).cast("long").alias(LINHAS))

@@ -44,6 +44,10 @@ class Lake:
         catalog.create_databases(spark, (self.bronze_db, self.silver_db, self.gold_db))
 
 
+# Tables of the Gold layer.
+GOLD_TABLE, MONTHLY_TABLE, HOURLY_TABLE = "all_trips", "avg_total_amount", "avg_passengers"
+
+
 def _feed_table(spec: FeedSpec) -> str:
     return f"{spec.tag}_trips"
 
@@ -114,10 +118,10 @@ def consolidate_gold(spark: SparkSession, specs: list[FeedSpec], lake: Lake, q:
     a pushed range filter (row groups outside it are skipped)."""
     lake.create_databases(spark)
     silvers = [read_layer(spark, lake, "silver", _feed_table(s)) for s in specs]
-    path = lake.path("gold", "all_trips")
+    path = lake.path("gold", GOLD_TABLE)
     rows = write_partitioned(consolidate(silvers, q), path, overwrite="static", layout="preserve",
                              sort_within=("tpep_pickup_datetime",), name="gold_all")
-    table = lake.table("gold", "all_trips")
+    table = lake.table("gold", GOLD_TABLE)
     catalog.create_table(spark, table, catalog.GOLD_DDL, path, catalog.PARTITION_DDL)
     catalog.recover_partitions(spark, table)
     return rows
@@ -126,21 +130,21 @@ def consolidate_gold(spark: SparkSession, specs: list[FeedSpec], lake: Lake, q:
 # --- J4, J5: results ------------------------------------------------------------
 def monthly_result(spark: SparkSession, lake: Lake, q: QualitySpec) -> int:
     lake.create_databases(spark)
-    gold = read_layer(spark, lake, "gold", "all_trips")
-    path = lake.path("gold", "avg_total_amount")
+    gold = read_layer(spark, lake, "gold", GOLD_TABLE)
+    path = lake.path("gold", MONTHLY_TABLE)
     rows = write_result(avg_amount_by_month(gold, q.monthly_tag), path)
-    catalog.create_table(spark, lake.table("gold", "avg_total_amount"), catalog.MONTHLY_DDL, path)
-    spark.catalog.refreshTable(lake.table("gold", "avg_total_amount"))
+    catalog.create_table(spark, lake.table("gold", MONTHLY_TABLE), catalog.MONTHLY_DDL, path)
+    spark.catalog.refreshTable(lake.table("gold", MONTHLY_TABLE))
     return rows
 
 
 def hourly_result(spark: SparkSession, lake: Lake, q: QualitySpec) -> int:
     lake.create_databases(spark)
-    gold = read_layer(spark, lake, "gold", "all_trips")
-    path = lake.path("gold", "avg_passengers")
+    gold = read_layer(spark, lake, "gold", GOLD_TABLE)
+    path = lake.path("gold", HOURLY_TABLE)
     rows = write_result(avg_passengers_by_hour(gold, q), path)
-    catalog.create_table(spark, lake.table("gold", "avg_passengers"), catalog.HOURLY_DDL, path)
-    spark.catalog.refreshTable(lake.table("gold", "avg_passengers"))
+    catalog.create_table(spark, lake.table("gold", HOURLY_TABLE), catalog.HOURLY_DDL, path)
+    spark.catalog.refreshTable(lake.table("gold", HOURLY_TABLE))
     return rows
 
 

@@ -16,7 +16,7 @@ from tripflow.operators.consolidate import gold_projection, quality_predicate, u
 from tripflow.plans import layers, medallion, sql_forms
 from tripflow.session import application_id, scratch_path
 from tripflow.sources import feeds, landing
-from tripflow.specs import FEED_A, FEED_B, TESTDATA_QUALITY as Q
+from tripflow.specs import FEED_A, FEED_B, LINHAS, TESTDATA_QUALITY as Q
 from tripflow.streaming.incremental_ingest import run_bronze_ingest_once
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -51,7 +51,7 @@ def silver_feed_b(spark, sf_dir):
 
 def union_all_counts(spark, sf_dir):
     """UNION ALL by name of the two Silver feeds, rows per tag."""
-    return layers.silver_union(spark, sf_dir).groupBy("taxi_type").agg(F.count(F.lit(1)).alias("linhas"))
+    return layers.silver_union(spark, sf_dir).groupBy("taxi_type").agg(F.count(F.lit(1)).alias(LINHAS))
 
 
 QUERIES["union_all"] = union_all_counts
@@ -232,20 +232,20 @@ def _lake(spark: SparkSession, sf_dir: str) -> medallion.Lake:
 @register
 def lake_avg_amount_by_month(spark, sf_dir):
     lake = _lake(spark, sf_dir)
-    return sql_forms.read_back(spark, lake.table("gold", "avg_total_amount"))
+    return sql_forms.read_back(spark, lake.table("gold", medallion.MONTHLY_TABLE))
 
 
 @register
 def lake_avg_passengers_by_hour(spark, sf_dir):
     lake = _lake(spark, sf_dir)
-    return sql_forms.read_back(spark, lake.table("gold", "avg_passengers"), hourly=True)
+    return sql_forms.read_back(spark, lake.table("gold", medallion.HOURLY_TABLE), hourly=True)
 
 
 @register
 def lake_gold_summary(spark, sf_dir):
     """A11 over the stored Gold table (partition columns from the folders)."""
     lake = _lake(spark, sf_dir)
-    return profile.gold_summary(spark.table(lake.table("gold", "all_trips")))
+    return profile.gold_summary(spark.table(lake.table("gold", medallion.GOLD_TABLE)))
 
 
 # --- streaming ingest (J1 incremental) -----------------------------------------

@@ -9,29 +9,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripflow.specs import QualitySpec
+from tripflow.specs import AVG_PASSENGER_COUNT, AVG_TOTAL_AMOUNT, HORA, MES, QualitySpec
 
-Q1_SQL = """
-SELECT month(tpep_pickup_datetime) AS mes,
-       round(avg(total_amount), 2) AS avg_total_amount
-FROM {gold}
+Q1_SQL = f"""
+SELECT month(tpep_pickup_datetime) AS {MES},
+       round(avg(total_amount), 2) AS {AVG_TOTAL_AMOUNT}
+FROM {{gold}}
 WHERE taxi_type = :tag
 GROUP BY month(tpep_pickup_datetime)
-ORDER BY mes
+ORDER BY {MES}
 """
 
-Q2_SQL = """
-SELECT hour(tpep_pickup_datetime) AS hora,
-       round(avg(passenger_count), 2) AS avg_passenger_count
-FROM {gold}
+Q2_SQL = f"""
+SELECT hour(tpep_pickup_datetime) AS {HORA},
+       round(avg(passenger_count), 2) AS {AVG_PASSENGER_COUNT}
+FROM {{gold}}
 WHERE tpep_pickup_datetime >= CAST(:start AS TIMESTAMP_NTZ)
   AND tpep_pickup_datetime < CAST(:end AS TIMESTAMP_NTZ)
 GROUP BY hour(tpep_pickup_datetime)
-ORDER BY hora
+ORDER BY {HORA}
 """
 
-READ_BACK_MONTHLY = "SELECT mes, avg_total_amount FROM {table} ORDER BY mes"
-READ_BACK_HOURLY = "SELECT hora, avg_passenger_count FROM {table} ORDER BY hora"
+READ_BACK_MONTHLY = f"SELECT {MES}, {AVG_TOTAL_AMOUNT} FROM {{table}} ORDER BY {MES}"
+READ_BACK_HOURLY = f"SELECT {HORA}, {AVG_PASSENGER_COUNT} FROM {{table}} ORDER BY {HORA}"
 
 
 def q1(spark: SparkSession, gold: DataFrame, q: QualitySpec) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
+from tripflow.specs import AVG_PASSENGER_COUNT, AVG_TOTAL_AMOUNT, HORA, MES
 
 # Column comments of the Silver and Gold tables (documentation carried into DDL).
 SILVER_DDL = (
@@ -22,8 +23,8 @@ GOLD_DDL = (
     ("tpep_dropoff_datetime", "timestamp_ntz", "Drop-off time (no zone)"),
     ("taxi_type", "string", "Feed tag"),
 )
-MONTHLY_DDL = (("mes", "int", "Pickup month"), ("avg_total_amount", "double", "Mean total amount, 2 decimals"))
-HOURLY_DDL = (("hora", "int", "Pickup hour"), ("avg_passenger_count", "double", "Mean passengers, 2 decimals"))
+MONTHLY_DDL = ((MES, "int", "Pickup month"), (AVG_TOTAL_AMOUNT, "double", "Mean total amount, 2 decimals"))
+HOURLY_DDL = ((HORA, "int", "Pickup hour"), (AVG_PASSENGER_COUNT, "double", "Mean passengers, 2 decimals"))
 PARTITION_DDL = (("partition_year", "int", "File year"), ("partition_month", "int", "File month"))
 
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.functions.columns import mb_from_bytes, month_label
-from tripflow.specs import FeedSpec
+from tripflow.specs import COLUNAS, FALHAS, LINHAS, MES, SUCESSOS, TAMANHO_MB, FeedSpec
 
 
 @dataclass(frozen=True)
@@ -193,8 +193,8 @@ def month_status(spark: SparkSession, spec: FeedSpec, root: str, feed: str | Non
                 errors[m] = "columns collide after lower-casing: " + ", ".join(f"{a}/{b}" for a, b in pairs)
     counted = (
         scan_landing(spark, spec, root, files=[f for f in files if f.month not in errors])
-        .groupBy(month_label("partition_year", "partition_month").alias("mes"))
-        .agg(F.count(F.lit(1)).alias("linhas"))
+        .groupBy(month_label("partition_year", "partition_month").alias(MES))
+        .agg(F.count(F.lit(1)).alias(LINHAS))
     )
     rows = []
     for m in spec.months:
@@ -206,27 +206,27 @@ def month_status(spark: SparkSession, spec: FeedSpec, root: str, feed: str | Non
             rows.append((m, "error", errors[m]))
         else:
             rows.append((m, "ok", None))
-    expected = spark.createDataFrame(rows, "mes string, status string, erro string")
+    expected = spark.createDataFrame(rows, f"{MES} string, status string, erro string")
     # ``counted`` has at most one row per landed month of the spec; AQE
     # broadcasts it after measuring it (sort-merge join beyond the threshold).
-    out = expected.join(counted, "mes", "left").select(
-        F.lit(feed or spec.tag).alias("feed"), "mes", "status",
-        F.coalesce(F.col("linhas"), F.lit(0)).cast("long").alias("linhas"), "erro",
+    out = expected.join(counted, MES, "left").select(
+        F.lit(feed or spec.tag).alias("feed"), MES, "status",
+        F.coalesce(F.col(LINHAS), F.lit(0)).cast("long").alias(LINHAS), "erro",
     )
-    return out.orderBy("mes")
+    return out.orderBy(MES)
 
 
 def ingest_tally(status: DataFrame) -> DataFrame:
     """Successes / failures per feed from a month-status frame."""
     return status.groupBy("feed").agg(
-        F.count_if(F.col("status") == "ok").alias("sucessos"),
-        F.count_if(F.col("status") != "ok").alias("falhas"),
+        F.count_if(F.col("status") == "ok").alias(SUCESSOS),
+        F.count_if(F.col("status") != "ok").alias(FALHAS),
     )
 
 
 def require_complete(status: DataFrame) -> None:
     """Strict mode: raise when any expected month is missing or empty."""
-    bad = status.filter(F.col("status") != "ok").select("feed", "mes", "status").collect()
+    bad = status.filter(F.col("status") != "ok").select("feed", MES, "status").collect()
     if bad:
         raise ValueError("incomplete landing: " + ", ".join(f"{r.feed}/{r.mes}:{r.status}" for r in bad))
 
@@ -242,21 +242,21 @@ def file_volume(scan: DataFrame, n_columns: dict[str, int] | int | None = None,
         F.col("_metadata.file_size").alias("size"),
     ).agg(F.count(F.lit(1)).alias("rows"))
     per_month = per_file.groupBy("partition_year", "partition_month").agg(
-        F.sum("rows").cast("long").alias("linhas"), F.sum("size").alias("bytes")
+        F.sum("rows").cast("long").alias(LINHAS), F.sum("size").alias("bytes")
     )
     out = per_month.select(
         F.lit(feed).alias("feed"),
-        month_label("partition_year", "partition_month").alias("mes"),
-        "linhas",
-        mb_from_bytes("bytes").alias("tamanho_mb"),
+        month_label("partition_year", "partition_month").alias(MES),
+        LINHAS,
+        mb_from_bytes("bytes").alias(TAMANHO_MB),
     )
     if isinstance(n_columns, dict):
         # Per-month column counts are footer metadata: a literal map lookup, no join.
         counts = F.create_map(*[F.lit(x) for m, n in sorted(n_columns.items()) for x in (m, int(n))])
-        out = out.withColumn("colunas", F.element_at(counts, F.col("mes")).cast("int"))
+        out = out.withColumn(COLUNAS, F.element_at(counts, F.col(MES)).cast("int"))
     elif isinstance(n_columns, int):
-        out = out.withColumn("colunas", F.lit(n_columns))
-    return out.orderBy("mes")
+        out = out.withColumn(COLUNAS, F.lit(n_columns))
+    return out.orderBy(MES)
 
 
 def land_feed(raw: DataFrame, spec: FeedSpec, root: str, mode: str = "overwrite") -> str:

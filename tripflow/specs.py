@@ -69,6 +69,25 @@ REFERENCE_YEAR, REFERENCE_FIRST_MONTH, REFERENCE_LAST_MONTH = 2023, 1, 5
 MAX_PASSENGERS = 6
 # Databases and tables of the catalog.
 DATABASES = ("trip_bronze", "trip_silver", "trip_gold")
+
+# Output column names of the result tables and of the exploratory queries,
+# grouped by the query that names them, in the order it selects them.
+MES, AVG_TOTAL_AMOUNT = "mes", "avg_total_amount"                    # monthly mean
+HORA, AVG_PASSENGER_COUNT = "hora", "avg_passenger_count"            # hourly mean
+TABELA, LINHAS, COLUNAS, TAMANHO_MB = "tabela", "linhas", "colunas", "tamanho_mb"  # volumes
+AUSENTE = "AUSENTE"                                                  # drift matrix: absent column
+COLUNA, TIPO, NULOS, PCT_NULOS = "coluna", "tipo", "nulos", "pct_nulos"  # schema profile
+PRESENTE = "presente"                                                # required columns
+TOTAL, NAO_NULOS = "total", "nao_nulos"                              # null profile (+ COLUNA, NULOS, PCT_NULOS)
+PCT = "pct"                                                          # value distribution (+ TOTAL)
+TOTAL_CORRIDAS, MEDIA, MINIMO, MAXIMO, DESVIO_PADRAO, NEGATIVOS_OU_ZERO = (
+    "total_corridas", "media", "minimo", "maximo", "desvio_padrao", "negativos_ou_zero")  # amount stats
+MIN_PASSENGER, MAX_PASSENGER, MIN_TOTAL_AMOUNT, MAX_TOTAL_AMOUNT = (
+    "min_passenger", "max_passenger", "min_total_amount", "max_total_amount")  # Gold summary
+TOTAL_AMOUNT_INVALIDO, PASSENGER_COUNT_ZERO, PASSENGER_COUNT_ACIMA_6, ANO_INVALIDO, MES_INVALIDO = (
+    "total_amount_invalido", "passenger_count_zero", "passenger_count_acima_6", "ano_invalido", "mes_invalido")  # audit
+TOTAL_LINHAS = "total_linhas"                                        # rows per partition
+SUCESSOS, FALHAS = "sucessos", "falhas"                              # ingest tally
 # ---------------------------------------------------------------------------
 
 
