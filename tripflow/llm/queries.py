@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import mixing, quality_rules, sharding, url_filter
+from tripflow.llm import bpe, mixing, quality_rules, sharding, simhash, url_filter
 from tripflow.llm.common import small_frame, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,28 @@ def op9_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (sharding.shard_rows(spark, narrow, ["doc_id", "size", "text_crc32"], shards=8)
             .select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                     F.lit(None).cast("int").alias("grown_shard")))
+
+
+def vocabulary() -> str:
+    """Path of the tokenizer's vocabulary (a parameter of the operators)."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register
+def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document and the text they decode to, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.decode(spark, bpe.encode(spark, docs, vocabulary()), vocabulary())
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register
+def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(spark, docs, ["doc_id"], shingle=4, max_bits=4)
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
