@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import bpe, mixing, quality_rules, sharding, simhash, url_filter
+from tripflow.llm import bpe, mixing, quality_rules, sharding, simhash, topk, url_filter
 from tripflow.llm.common import small_frame, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,27 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(spark, docs, ["doc_id"], shingle=4, max_bits=4)
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@register
+def op1_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest scores of every 50th vector among all others."""
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), topk.quantized(F.col("embedding")).alias("vec"))
+    found = topk.search(spark, vectors, F.col("id") % 50 == 0, k=5)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+ORACLES["op1_topk_search"] = """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+         CAST(list_sum([a.q[i] * b.q[i] FOR i IN range(1, len(a.q) + 1)]) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rnk FROM s
+)
+SELECT query_id, CAST(rnk AS INTEGER) AS rank, vec_id, score FROM r WHERE rnk <= 5
+"""
