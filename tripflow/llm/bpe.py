@@ -43,7 +43,7 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 
 LONG_WORD = 512
 CHUNK_CHARS = 1 << 20
-KNOWN_WORDS = 400_000  # words a worker remembers; beyond that it forgets all and starts again
+KNOWN_WORDS = 600_000  # words a worker remembers; beyond that it forgets all and starts again
 _NEVER = 1 << 60
 _BYTES = [bytes([b]) for b in range(256)]
 
@@ -109,7 +109,7 @@ class Encoder:
         self._beyond = re.compile("[\\u0378\\u0379\\u0380-\\u0383\\u038b\\u038d\\u03a2\\u0530-\\U0010ffff]")
         self._unassigned: re.Pattern | None = None
         self._library = None
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}  # word -> its ids as 32-bit integers
 
     # -- seams ---------------------------------------------------------------
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
@@ -247,49 +247,37 @@ class Encoder:
             new = words
         by_bytes = {w.encode("utf-8", "surrogateescape"): w for w in new}
         for b, ids in self.encode_words(by_bytes).items():
-            self.known[by_bytes[b]] = ids
+            self.known[by_bytes[b]] = array("i", ids).tobytes()
 
-    def encode(self, texts: Iterable[str | None]) -> Iterator[array]:
-        """Ids of each text, in order; words are learnt by chunks of about ``CHUNK_CHARS``."""
-        chunk: list[list[list[str] | int]] = []
+    def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """Ids (int32) of each text, in order; words are learnt by chunks of about ``CHUNK_CHARS``."""
+        chunk: list[list[list[str] | bytes]] = []  # per text: words still to look up, or ids
         chars = 0
         for text in texts:
-            parts: list[list[str] | int] = []
+            parts: list[list[str] | bytes] = []
             for piece in self._pieces(text or ""):
                 if piece in self.specials:
-                    parts.append(self.specials[piece])
+                    parts.append(array("i", [self.specials[piece]]).tobytes())
                     continue
                 for section in sections(piece):
                     parts.append(self.words(section))
                     chars += len(section)
-                    if chars >= CHUNK_CHARS and len(section) < len(piece):  # a long text: turn its words into ids as they come
-                        parts = [self._ids(chunk_part) for chunk_part in parts]
-                        chars = 0
+                    if chars >= CHUNK_CHARS and len(section) < len(piece):  # a long text: its words become ids as they come
+                        self._learn({w for p in parts if isinstance(p, list) for w in p})
+                        parts, chars = [b"".join(map(self._joined, parts))], 0
             chunk.append(parts)
             if chars >= CHUNK_CHARS:
                 yield from self._flush(chunk)
                 chunk, chars = [], 0
         yield from self._flush(chunk)
 
-    def _ids(self, part):
-        if isinstance(part, list):
-            self._learn(set(part))
-            return array("i", chain.from_iterable(map(self.known.__getitem__, part)))
-        return part
+    def _joined(self, part: list[str] | bytes) -> bytes:
+        return part if isinstance(part, bytes) else b"".join(map(self.known.__getitem__, part))
 
-    def _flush(self, chunk: list) -> Iterator[array]:
+    def _flush(self, chunk: list) -> Iterator[np.ndarray]:
         self._learn({w for parts in chunk for p in parts if isinstance(p, list) for w in p})
-        known = self.known
         for parts in chunk:
-            ids = array("i")
-            for p in parts:
-                if isinstance(p, int):
-                    ids.append(p)
-                elif isinstance(p, array):
-                    ids.extend(p)
-                else:
-                    ids.extend(chain.from_iterable(map(known.__getitem__, p)))
-            yield ids
+            yield np.frombuffer(b"".join(map(self._joined, parts)), dtype=np.int32)
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
@@ -312,15 +300,15 @@ def sections(text: str, size: int = CHUNK_CHARS) -> Iterator[str]:
         yield text[start:]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(content: bytes) -> Encoder:
+def encoder(content: bytes, kind: type[Encoder] = Encoder) -> Encoder:
     """The worker's encoder of a vocabulary; it lives on between tasks, and with it the known words."""
-    key = hashlib.sha256(content).hexdigest()
+    key = kind, hashlib.sha256(content).hexdigest()
     if key not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(content)
+        _ENCODERS[key] = kind(content)
     return _ENCODERS[key]
 
 
@@ -359,10 +347,10 @@ def encode(spark: SparkSession, df: DataFrame, vocabulary: str, text: str = "tex
     return df.mapInArrow(run, schema)
 
 
-def _with_lists(columns: list[pa.Array], start: int, ids: list[array], schema: StructType) -> pa.RecordBatch:
+def _with_lists(columns: list[pa.Array], start: int, ids: list[np.ndarray], schema: StructType) -> pa.RecordBatch:
     offsets = np.zeros(len(ids) + 1, dtype=np.int32)
     np.cumsum([len(x) for x in ids], out=offsets[1:])
-    values = np.frombuffer(b"".join(x.tobytes() for x in ids), dtype=np.int32)
+    values = np.concatenate(ids)
     lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
     return pa.RecordBatch.from_arrays([*[c.slice(start, len(ids)) for c in columns], lists], names=schema.names)
 

@@ -8,8 +8,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import bpe, mixing, quality_rules, sharding, simhash, topk, url_filter
+from tripflow.llm import bpe, mixing, quality_rules, sharding, simhash, token_store, topk, url_filter
 from tripflow.llm.common import small_frame, table
+from tripflow.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -113,3 +114,13 @@ WITH v AS (
 )
 SELECT query_id, CAST(rnk AS INTEGER) AS rank, vec_id, score FROM r WHERE rnk <= 5
 """
+
+
+@register
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and checksum in the token store, as read back."""
+    rows = token_store.tokenized(spark, table(spark, sf_dir, "documents"), vocabulary())
+    path = scratch_path(spark, "llm", "token-store")
+    token_store.write_store(spark, rows, path)
+    docs = token_store.read_store(spark, path, with_ids=False)
+    return docs.select("doc_id", "start", F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
