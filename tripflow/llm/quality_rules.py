@@ -37,7 +37,7 @@ RULES: dict[str, str] = {
     "short_words": "word_chars < 2 * n_words",
     "long_words": "word_chars > 15 * n_words",
     "symbols": "10 * n_symbols > n_words",
-    "dup_lines": "10 * n_dup_lines > 3 * n_lines",
+    "dup_lines": "n_dup_lines > 2 AND 10 * n_dup_lines > 3 * n_lines",
 }
 
 

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import bpe, mixing, quality_rules, sharding, simhash, token_store, topk, url_filter
+from tripflow.llm import bpe, mixing, quality_rules, sharding, simhash, token_store, topk, url_filter, warc
 from tripflow.llm.common import small_frame, table
 from tripflow.session import scratch_path
 
@@ -124,3 +124,109 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     token_store.write_store(spark, rows, path)
     docs = token_store.read_store(spark, path, with_ids=False)
     return docs.select("doc_id", "start", F.col("n").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
+
+
+@register
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, as read back from the archives."""
+    path = scratch_path(spark, "llm", "warc")
+    warc.write_archive(spark, table(spark, sf_dir, "pages"), path, "page_id", "url", "html")
+    records = warc.read_archive(spark, path)
+    page = F.regexp_extract(F.col("record_id"), r"^<urn:page:(-?\d+):", 1)
+    target = F.regexp_extract(F.col("refers_to"), r"^<urn:page:(-?\d+):", 1)
+    return records.select(F.nullif(page, F.lit("")).cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                          F.nullif(target, F.lit("")).cast("long").alias("refers_to"))
+
+
+ORACLES["op5_warc"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), o AS (
+  SELECT hex, max(page_id) AS owner FROM p GROUP BY hex
+), bits AS (
+  SELECT hex, owner, string_agg(CAST((CAST(('0x' || substr(hex, i, 1)) AS INTEGER) >> b) & 1 AS VARCHAR), '' ORDER BY i, b DESC) AS bin
+  FROM o, range(1, 41) t(i), (VALUES (3), (2), (1), (0)) u(b) GROUP BY hex, owner
+), coded AS (
+  SELECT hex, owner, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + 16 * CAST(substr(bin, k, 1) AS INTEGER) + 8 * CAST(substr(bin, k + 1, 1) AS INTEGER)
+             + 4 * CAST(substr(bin, k + 2, 1) AS INTEGER) + 2 * CAST(substr(bin, k + 3, 1) AS INTEGER)
+             + CAST(substr(bin, k + 4, 1) AS INTEGER), 1), '' ORDER BY k) AS payload_digest
+  FROM bits, (SELECT 5 * n + 1 AS k FROM range(32) t(n)) GROUP BY hex, owner
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id < owner THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < owner THEN owner END AS refers_to
+FROM p JOIN coded USING (hex)
+"""
+
+ORACLES["op7_url_filter"] = r"""
+WITH rules(h, p, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+                               ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+u AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path
+  FROM pages
+)
+SELECT page_id, host, path,
+       (SELECT arg_max(h || p, length(h || p)) FROM rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS rule,
+       coalesce((SELECT arg_max(v, length(h || p)) FROM rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)), 'allow') AS verdict
+FROM u
+"""
+
+ORACLES["op8_quality_rules"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT r, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d
+), grams AS (
+  SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w)
+), twice AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM grams) WHERE c > 1
+), covered AS (
+  SELECT r, count(DISTINCT i + k) AS n FROM twice, (VALUES (0), (1), (2)) x(k) GROUP BY r
+), lines AS (
+  SELECT r, count(*) AS n, count(DISTINCT l) AS u
+  FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY r
+), m AS (
+  SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         coalesce(l.n, 0) AS n_lines, coalesce(l.n - l.u, 0) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+  FROM d JOIN w USING (r) LEFT JOIN lines l USING (r) LEFT JOIN covered c USING (r)
+), f AS (
+  SELECT *, n_words < 50 AS f0, 100 * n_repeat_words > 50 * n_words AS f1, n_words > 1000000 AS f2, word_chars < 2 * n_words AS f3,
+         word_chars > 15 * n_words AS f4, 10 * n_symbols > n_words AS f5, n_dup_lines > 2 AND 10 * n_dup_lines > 3 * n_lines AS f6
+  FROM m
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, f0 OR f1 AS base_failed,
+       NOT (f0 OR f1 OR f2 OR f3 OR f4 OR f5 OR f6) AS kept,
+       CAST(f0::INT + 2 * f1::INT + 4 * f2::INT + 8 * f3::INT + 16 * f4::INT + 32 * f5::INT + 64 * f6::INT AS BIGINT) AS fail_bits
+FROM f
+"""
+
+ORACLES["op3_mix_sources"] = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5('3/' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         [3, 1, 2][1 + CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS INTEGER)] AS weight
+  FROM d GROUP BY source
+), l AS (
+  SELECT *, (1.5 * sum(source_size) OVER () - coalesce(sum(2 * source_size) OVER before, 0))
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM s WINDOW before AS (ORDER BY source_size * 12 // weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), t AS (
+  SELECT source, source_size,
+         least(2.0 * source_size, (SELECT max(level) FROM l WHERE level * weight <= 2 * source_size) * weight)::DOUBLE AS target
+  FROM l
+), p AS (
+  SELECT d.*, source_size, target, least(2 * source_size, CAST(floor(target + 0.5) AS BIGINT)) AS take,
+         CAST(sum(size) OVER (PARTITION BY d.source ORDER BY h, size, r ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS start
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size, source_size, target, source,
+       greatest(0, least(size, take - start)) + greatest(0, least(size, take - source_size - start)) AS taken
+FROM p
+"""
