@@ -1,16 +1,66 @@
 """The corpus pipeline: five operators applied to ``documents`` one after another.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
-Parquet and reread as the next stage's documents.
+Parquet and reread as the next stage's documents. All but the last return the columns of
+``docs``, whatever these are, beyond doc_id, text and source.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripflow.llm.common import materialize, table
+from tripflow.llm import bpe, mixing, quality_model, quality_rules, simhash
+from tripflow.llm.common import materialize, numbered, table
+from tripflow.llm.queries import GOOD, N_GRADES, label_grades, vocabulary
 
-STAGES: list = []
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier keeps."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    judged = quality_model.classify(spark, docs.select("doc_id", "text", row.alias("doc")), label_grades(spark, sf_dir), N_GRADES, GOOD)
+    return judged.where("kept").select("doc.*")
+
+
+def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the policy keeps."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    ledger = quality_rules.ledger(docs.select("text", row.alias("doc")))
+    return quality_rules.apply_policy(ledger, quality_rules.POLICIES["v2"]).where("kept").select("doc.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component: that with the smallest doc_id (null last), of equals any one."""
+    own = numbered(spark, docs, "_row", "dedup-input")
+    found = simhash.near_duplicates(spark, own, ["_row", "doc_id"])
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))).alias("first"))
+    return own.join(first.select(F.col("first._row").alias("_row")), "_row", "left_semi").drop("_row")
+
+
+def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it: once for each epoch of which it gives a word."""
+    own = numbered(spark, docs, "_row", "mix-input")
+    sizes = materialize(spark, own.select(F.col("_row").alias("uid"), "doc_id", "source", mixing.n_words(F.col("text")).alias("size")), "mix-sizes")
+    copies = (mixing.mix(spark, sizes).where("taken > 0")
+              .select(F.col("uid").alias("_row"), F.explode(F.expr("sequence(1, (taken + size - 1) div size)")).alias("_copy")))
+    return own.join(copies, "_row").drop("_row", "_copy")
+
+
+def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document of the mix, and whether they decode to its text."""
+    path = vocabulary()
+    coded = bpe.decode(spark, bpe.encode(spark, docs.select("doc_id", "source", "text"), path, keep_text=True), path)
+    return coded.select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
+                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("decodes"))
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("quality rules", rules),
+    ("simhash near-dedup", near_duplicates),
+    ("mixing sources", mixing_sources),
+    ("bpe encoding", bpe_tokens),
+]
 
 #: A trained classifier and a tokenizer have no SQL form.
 ORACLE_SQL = None
@@ -20,7 +70,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the ``documents`` table."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(spark, stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = materialize(spark, stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
     return docs
 
 

@@ -50,6 +50,14 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(spark: SparkSession, df: DataFrame, row: str, name: str) -> DataFrame:
+    """A stored copy of ``df`` with a unique number ``row`` for every row, so that rows which repeat an id
+    or agree in every column can be told apart by all who read the copy."""
+    if row in df.columns:
+        raise ValueError(f"the input already has a column {row}")
+    return materialize(spark, df.withColumn(row, F.monotonically_increasing_id()), name)
+
+
 def small_frame(spark: SparkSession, rows: list[dict], schema: pa.Schema) -> DataFrame:
     """A local relation of known size, so that the planner sees how small it is."""
     return spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema))

@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import bpe, mixing, quality_rules, sharding, simhash, token_store, topk, url_filter, warc
+from tripflow.llm import bpe, mixing, quality_model, quality_rules, sharding, simhash, token_store, topk, url_filter, warc
 from tripflow.llm.common import small_frame, table
 from tripflow.session import scratch_path
 
@@ -230,3 +230,20 @@ SELECT doc_id, size, source_size, target, source,
        greatest(0, least(size, take - start)) + greatest(0, least(size, take - source_size - start)) AS taken
 FROM p
 """
+
+
+#: Grades of the labels: toxic texts, poor texts, good texts.
+N_GRADES, GOOD = 3, 2
+
+
+def label_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id and grade of every labelled document."""
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, GOOD)
+    return table(spark, sf_dir, "labels").select("doc_id", grade.alias("grade"))
+
+
+@register
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and probability of the good grade of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_model.classify(spark, docs, label_grades(spark, sf_dir), N_GRADES, GOOD)
