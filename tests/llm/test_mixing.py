@@ -1,0 +1,84 @@
+"""Mixing against targets, limits and a plain form of the streams."""
+
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tripflow.llm import mixing
+
+SCHEMA = "doc_id long, text string, source string, size string, target string, uid string"
+
+
+def plan(sizes, weights=(3, 1, 2), share=1.5, most=2):
+    """Targets by resharing the excess until none is above."""
+    names = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
+    w = {s: weights[k % len(weights)] for k, s in enumerate(names)}
+    full, left, target = set(), share * sum(sizes.values()), {}
+    while True:
+        rest = [s for s in names if s not in full]
+        if not rest:
+            break
+        goal = left - sum(most * sizes[s] for s in full)
+        target = {s: goal * w[s] / sum(w[x] for x in rest) for s in rest}
+        over = [s for s in rest if target[s] > most * sizes[s]]
+        if not over:
+            break
+        full |= set(over)
+    return {s: float(most * sizes[s]) if s in full else target[s] for s in names}
+
+
+def brute(rows):
+    sized = [(i, s, len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))) for i, t, s in rows]
+    total = {}
+    for _, s, n in sized:
+        total[s] = total.get(s, 0) + n
+    out = []
+    for s, goal in plan(total).items():
+        take, start = min(2 * total[s], int(goal + 0.5)), 0
+        own = [(hashlib.md5(f"3/{'null' if i is None else i}".encode()).hexdigest(), n, i) for i, x, n in sized if x == s]
+        for _, n, i in sorted(own, key=lambda x: x[:2]):
+            taken = sum(max(0, min(n, take - e * total[s] - start)) for e in (0, 1))
+            out.append((i, s, n, total[s], round(goal, 6), taken))
+            start += n
+    return sorted(out, key=repr)
+
+
+def run(spark, rows, **kw):
+    df = spark.createDataFrame([(i, t, s, "a", "b", "c") for i, t, s in rows], SCHEMA)
+    sizes = mixing.document_sizes(spark, df)
+    got = mixing.mix(spark, sizes, **kw).select("doc_id", "source", "size", "source_size", F.round("target", 6), "taken")
+    return sorted((tuple(r) for r in got.collect()), key=repr)
+
+
+ROWS = [(i, "w " * (i % 37 + 1), f"s{i % 7}" if i % 3 else "s0") for i in range(300)]
+ROWS += [(1000, None, "s1"), (1001, "", "s2"), (1002, " \t\n ", None), (1003, "x y z", None), (None, "a b", "s3"), (5, "again " * 4, "s0"),
+         (5, "again " * 4, "s0"), (2000, "long " * 9000, "t"), (2001, None, "empty")]
+
+
+@pytest.mark.parametrize("block", [8, 64, 1024])
+def test_taken_words_equal_plain_streams(spark, block):
+    assert run(spark, ROWS, block=block) == brute(ROWS)
+
+
+def test_chunks_and_buckets_change_nothing(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "_BUCKET_ROWS", 16)
+    monkeypatch.setattr(mixing, "_CHUNK_SLOTS", 32)
+    assert run(spark, ROWS, block=8) == brute(ROWS)
+
+
+def test_schedule_is_low_discrepancy_and_complete(spark):
+    df = spark.createDataFrame([(s, n, 1, float(n), n) for s, n in (("a", 6000), ("b", 3000), ("c", 1000))],
+                               "source string, source_size long, weight long, target double, take long")
+    slots = mixing.schedule(spark, df, block=10).orderBy("slot", "source").collect()
+    assert {s: sum(r.tokens for r in slots if r.source == s) for s in "abc"} == {"a": 6000, "b": 3000, "c": 1000}
+    for n in range(20, len(slots), 37):  # every beginning of the mix is near the shares
+        for s, share in (("a", 0.6), ("b", 0.3), ("c", 0.1)):
+            assert abs(sum(r.source == s for r in slots[:n]) - share * n) < 6
+    assert all([r.rank for r in slots if r.source == s] == sorted(r.rank for r in slots if r.source == s) for s in "abc")
+
+
+def test_without_words_or_rows(spark):
+    assert run(spark, [(1, None, "a"), (2, "", "b")]) == [(1, "a", 0, 0, 0.0, 0), (2, "b", 0, 0, 0.0, 0)]
+    assert run(spark, []) == []

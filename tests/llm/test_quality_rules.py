@@ -1,0 +1,57 @@
+"""Quality rules against a plain form of the measurements and policies."""
+
+import re
+from collections import Counter
+
+import pytest
+
+from tripflow.llm import quality_rules as qr
+
+TEXTS = [None, "", " \n\t ", "one", "a b c a b c", "a a a a", "x y\nx y\n \nx y", "#$ %& |<>* ok", "word " * 60, " ".join(f"w{k}" for k in range(80)),
+         "é ü\u00a0ß 中文 😀", "line one\nline two\r\nline one\n", "A b C\x0bd\x0ce", "same line\n" * 40, "#*$ " * 70, "long" * 3000 + " end",
+         " ".join(f"v{k % 50} u{k % 7}" for k in range(400)), " ".join(f"t{k}" for k in range(20000)) + " t1 t2 t3"]
+
+
+def plain(text):
+    t = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    grams = [tuple(w[k:k + 3]) for k in range(len(w) - 2)]
+    count = Counter(grams)
+    covered = {k + d for k, g in enumerate(grams) if count[g] > 1 for d in (0, 1, 2)}
+    lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (len(w), sum(map(len, w)), sum(c in qr.SYMBOLS for c in t), len(lines), len(lines) - len(set(lines)), len(covered))
+
+
+def plain_bits(m):
+    return sum(1 << k for k, rule in enumerate(qr.RULES.values()) if eval(rule.replace(" AND ", " and "), dict(zip(qr.MEASURES, m))))
+
+
+def frame(spark, texts):
+    return spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], "doc_id long, text string, kept_before string")
+
+
+def test_measures_and_bits(spark):
+    rows = qr.ledger(frame(spark, TEXTS + TEXTS[4:6])).orderBy("doc_id").collect()
+    for r, t in zip(rows, TEXTS + TEXTS[4:6]):
+        assert tuple(r[m] for m in qr.MEASURES) == plain(t), t
+        assert r.fail_bits == plain_bits(plain(t)) and r.kept_before == "x"
+
+
+@pytest.mark.parametrize("version", sorted(qr.POLICIES))
+def test_policies_and_ablations(spark, version):
+    policy, texts = qr.POLICIES[version], TEXTS * 2
+    ledger = qr.ledger(frame(spark, texts))
+    bits = [plain_bits(plain(t)) & policy.mask for t in texts]
+    assert [r.kept for r in qr.apply_policy(ledger, policy).orderBy("doc_id").collect()] == [b == 0 for b in bits]
+    for r in qr.ablations(ledger, policy).collect():
+        own = 1 << qr.bit(r.rule)
+        assert (r.rejects, r.rejects_alone, r.kept) == (sum(b & own > 0 for b in bits), sum(b == own for b in bits), bits.count(0))
+        assert r.kept_without == sum(b & ~own == 0 for b in bits)
+
+
+def test_empty_table_and_clashing_names(spark):
+    empty = qr.ledger(frame(spark, TEXTS).limit(0))
+    assert empty.count() == 0
+    assert {(r.rejects, r.kept) for r in qr.ablations(empty, qr.POLICIES["v2"]).collect()} == {(0, 0)}
+    with pytest.raises(ValueError):
+        qr.ledger(frame(spark, TEXTS).withColumnRenamed("kept_before", "n_words"))

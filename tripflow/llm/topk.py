@@ -92,10 +92,9 @@ def _meet(blocks: DataFrame, queries: DataFrame) -> DataFrame:
 def _partials(row: dict, lists: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarray]]:
     """(query classes, cutoffs, vector classes, partial products by list) of one pair of blocks."""
     dim = row["dim"]
-    v = np.frombuffer(row["v_data"], dtype=f"<i{row['v_width']}").reshape(-1, dim)
-    q = np.frombuffer(row["q_data"], dtype=f"<i{row['q_width']}").reshape(-1, dim)
     v_ids, q_ids = np.frombuffer(row["v_ids"], dtype="<i8"), np.frombuffer(row["q_ids"], dtype="<i8")
-    v, q = (np.zeros((len(ids), 0), dtype=np.int64) if not dim else x for x, ids in ((v, v_ids), (q, q_ids)))
+    v = np.frombuffer(row["v_data"], dtype=f"<i{row['v_width']}").reshape(len(v_ids), dim)
+    q = np.frombuffer(row["q_data"], dtype=f"<i{row['q_width']}").reshape(len(q_ids), dim)
     top = int(np.abs(v.astype(np.int64)).max(initial=0)) * int(np.abs(q.astype(np.int64)).max(initial=0)) * max(1, dim)
     kind = np.float64 if top < 1 << 53 else np.int64  # float64 holds every sum exactly below 2**53
     cuts = [dim * j // lists for j in range(lists + 1)]
