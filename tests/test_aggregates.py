@@ -11,7 +11,7 @@ def test_monthly_columns(df_gold_monthly):
 
 def test_monthly_only_yellow(df_gold_monthly):
     rows = {r.mes: r.avg_total_amount for r in avg_amount_by_month(df_gold_monthly).collect()}
-    assert rows[1] == 15.0 and rows[5] == 40.0
+    assert rows[1] == 10.5 and rows[5] == 50.5
 
 
 def test_monthly_five_months_in_order(df_gold_monthly):
@@ -28,12 +28,12 @@ def test_monthly_rounding(spark):
 
 
 def test_hourly_hours(df_gold_hourly):
-    assert [r.hora for r in avg_passengers_by_hour(df_gold_hourly, Q).collect()] == [7, 8, 14]
+    assert [r.hora for r in avg_passengers_by_hour(df_gold_hourly, Q).collect()] == [6, 16, 21]
 
 
 def test_hourly_mean(df_gold_hourly):
     rows = {r.hora: r.avg_passenger_count for r in avg_passengers_by_hour(df_gold_hourly, Q).collect()}
-    assert rows[14] == 4.5 and rows[7] == 2.0
+    assert rows[16] == 2.5 and rows[6] == 3.0
 
 
 def test_hourly_range_and_columns(df_gold_hourly):
@@ -48,6 +48,6 @@ def test_sql_forms_match_dataframe_forms(spark, df_gold_monthly, df_gold_hourly)
 
 
 def test_hourly_uses_only_the_hourly_month(df_gold_hourly):
-    # the January 08:00 row (2 passengers) must not move hour 8 (May: 3 passengers)
+    # the February trip at 21:10 (6 passengers) must not move hour 21 (May: 2 passengers)
     rows = {r.hora: r.avg_passenger_count for r in avg_passengers_by_hour(df_gold_hourly, Q).collect()}
-    assert rows[8] == 3.0
+    assert rows[21] == 2.0

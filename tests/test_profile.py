@@ -39,8 +39,8 @@ def test_distribution_shares_sum_to_100(df_yellow_silver, df_green_silver):
 def test_amount_stats(df_yellow_silver):
     rows = {r.mes: r for r in profile.amount_stats_by_month(df_yellow_silver).collect()}
     may = rows[5]
-    assert (may.total_corridas, may.minimo, may.maximo, may.negativos_ou_zero) == (3, -5.0, 50.0, 1)
-    assert may.media == 25.0
+    assert (may.total_corridas, may.minimo, may.maximo, may.negativos_ou_zero) == (3, -3.5, 61.0, 1)
+    assert may.media == 34.0
 
 
 def test_gold_summary(df_gold_monthly):
@@ -71,7 +71,7 @@ def test_partition_counts_order(df_boundary_silver):
 
 def test_sample_is_ordered_and_limited(df_yellow_silver):
     rows = profile.sample_partition(df_yellow_silver, 2023, 5, 2).collect()
-    assert len(rows) == 2 and rows[0].vendor_id == 1 and rows[0].total_amount == -5.0
+    assert len(rows) == 2 and rows[0].vendor_id == 1 and rows[0].total_amount == -3.5
 
 
 def test_layer_count(df_yellow_silver):

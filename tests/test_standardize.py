@@ -70,6 +70,6 @@ def test_valid_rows_preserved(df_bronze_yellow):
 
     rows = sorted(tuple(r) for r in to_silver(df_bronze_yellow, YELLOW).collect())
     assert rows == [
-        (1, 2, 15.0, datetime(2023, 1, 1, 8, 0), datetime(2023, 1, 1, 8, 30), "yellow", 2023, 1),
-        (2, 1, 25.0, datetime(2023, 2, 15, 9, 0), datetime(2023, 2, 15, 9, 45), "yellow", 2023, 2),
+        (1, 1, 8.4, datetime(2023, 3, 2, 5, 12), datetime(2023, 3, 2, 5, 21), "yellow", 2023, 3),
+        (6, 4, 31.75, datetime(2023, 1, 19, 22, 41), datetime(2023, 1, 19, 23, 2), "yellow", 2023, 1),
     ]
