@@ -75,9 +75,7 @@ def test_schema_drift_matrix(spark, drift_landing):
 
 
 def test_file_volume(spark, drift_landing):
-    scan = scan_landing(spark, SPEC, drift_landing)
-    cols = {m: len(s.fields) for m, s in month_schemas(spark, list_landing(spark, drift_landing, SPEC.prefix)).items()}
-    vol = {r.mes: (r.linhas, r.colunas, r.tamanho_mb) for r in file_volume(scan, cols, "yellow").collect()}
+    vol = {r.mes: (r.linhas, r.colunas, r.tamanho_mb) for r in file_volume(spark, SPEC, drift_landing).collect()}
     assert vol["2023-01"][:2] == (2, 6) and vol["2023-02"][:2] == (3, 6)
     assert vol["2023-01"][2] == round(os.path.getsize(month_file(drift_landing, SPEC.prefix, "2023-01")) / 1048576, 2)
 
@@ -95,7 +93,7 @@ def test_colliding_names_are_reported_and_skipped(spark, drift_landing):
     bad = pa.table({"VendorID": pa.array([9], pa.int64()), "airport_fee": pa.array([1.0]),
                     "Airport_fee": pa.array([2.0])})
     pq.write_table(bad, month_file(drift_landing, SPEC.prefix, "2023-04"))
-    status = {r.mes: (r.status, r.erro) for r in month_status(spark, SPEC, drift_landing, check_names=True).collect()}
+    status = {r.mes: (r.status, r.erro) for r in month_status(spark, SPEC, drift_landing).collect()}
     assert status["2023-04"][0] == "error" and "airport_fee" in status["2023-04"][1]
     assert status["2023-01"][0] == "ok" and status["2023-02"][0] == "ok"
 
@@ -121,3 +119,69 @@ def test_stream_reads_drifting_and_empty_months(spark, drift_landing, tmp_dir):
     assert dict(out.dtypes)["vendorid"] == "bigint"
     assert sorted(r.airport_fee for r in out.filter("partition_month = 2").collect() if r.airport_fee is not None) \
         == [0.0, 1.25]
+
+
+def _month(folder, month, table):
+    pq.write_table(table, month_file(folder, SPEC.prefix, month))
+
+
+def test_unknown_columns_text_ids_and_garbage_are_one_month_each(spark, drift_landing, tmp_dir):
+    from tripflow.plans.medallion import Lake, ingest_bronze_from_landing
+
+    _month(drift_landing, "2023-04", pa.table({"VendorID": ["7", "x"], "total_amount": [1.0, 2.0], "New_Col": pa.array([5, 6], pa.int32())}))
+    _month(drift_landing, "2023-09", pa.table({"VendorID": pa.array([8], pa.int64()), "New_Col": pa.array([1 << 40], pa.int64())}))
+    with open(month_file(drift_landing, SPEC.prefix, "2023-05"), "wb") as f:
+        f.write(b"no parquet here" * 100)
+    lake = Lake(tmp_dir + "/lake", "un_bronze", "un_silver", "un_gold")
+    status = {r.mes: (r.status, r.linhas) for r in ingest_bronze_from_landing(spark, SPEC, drift_landing, lake).collect()}
+    assert status == {"2023-01": ("ok", 2), "2023-02": ("ok", 3), "2023-03": ("empty", 0), "2023-04": ("ok", 2),
+                      "2023-05": ("error", 0), "2023-09": ("ok", 1)}
+    table = spark.table("un_bronze.yellow_trips")
+    assert table.count() == 8 and dict(table.dtypes)["new_col"] == "bigint"
+    rows = {(r.vendorid, r.new_col) for r in table.where("partition_month IN (4, 9)").collect()}
+    assert rows == {(7, 5), (None, 6), (8, 1 << 40)}
+    with pytest.raises(ValueError):
+        ingest_bronze_from_landing(spark, SPEC, drift_landing, lake, strict=True)
+
+
+def test_only_the_months_asked_for_are_loaded(spark, drift_landing, tmp_dir):
+    from tripflow.plans.medallion import Lake, ingest_bronze_from_landing
+
+    lake = Lake(tmp_dir + "/lake", "few_bronze", "few_silver", "few_gold")
+    for months, rows in (((), 0), (("2023-03",), 0), (("2023-02",), 3), (("2024-01", "2023-01"), 5)):
+        status = ingest_bronze_from_landing(spark, SPEC, drift_landing, lake, months=months)
+        assert sorted(r.mes for r in status.collect()) == sorted(months)
+        assert (spark.table("few_bronze.yellow_trips").count() if rows else 0) == rows
+
+
+def test_parts_of_a_month_may_disagree(spark, tmp_dir):
+    folder = f"{tmp_dir}/landing_file={SPEC.prefix}_2023-01"
+    os.makedirs(folder)
+    pq.write_table(pa.table({"VendorID": pa.array([1], pa.int64()), "odd": ["a"]}), folder + "/part-0.parquet")
+    pq.write_table(pa.table({"VendorID": pa.array(["2"]), "Airport_fee": [1.5], "odd": pa.array([3], pa.int32())}), folder + "/part-1.parquet")
+    rows = sorted((r.vendorid, r.airport_fee, r.odd) for r in scan_landing(spark, SPEC, tmp_dir).collect())
+    assert rows == [(1, None, "a"), (2, 1.5, "3")]
+
+
+def test_backups_are_not_months_and_the_month_is_a_constant(spark, drift_landing):
+    from tripflow.plans.inspect import plan_text
+
+    for name in ("yellow_tripdata_2023-01.parquet.bak", "old_yellow_tripdata_2023-01.parquet", "yellow_tripdata_2023-01 (1).parquet"):
+        with open(f"{drift_landing}/{name}", "wb") as f:
+            f.write(b"x")
+    assert [f.month for f in list_landing(spark, drift_landing, SPEC.prefix)] == ["2023-01", "2023-02", "2023-03"]
+    assert "regexp_extract" not in plan_text(scan_landing(spark, SPEC, drift_landing))
+
+
+def test_stream_keeps_unknown_columns_and_counts_every_batch(spark, drift_landing, tmp_dir):
+    from tripflow.streaming.incremental_ingest import run_bronze_ingest_once
+
+    _month(drift_landing, "2023-04", pa.table({"VendorID": pa.array([1], pa.int64()), "New_Col": ["kept"]}))
+    old = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1")
+    try:
+        assert run_bronze_ingest_once(spark, SPEC, drift_landing, tmp_dir + "/b", tmp_dir + "/c") == 6
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", old)
+    out = spark.read.option("mergeSchema", "true").parquet(tmp_dir + "/b")
+    assert [r.new_col for r in out.where("new_col IS NOT NULL").collect()] == ["kept"]

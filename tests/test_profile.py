@@ -86,3 +86,16 @@ def test_filter_audit_stages_equals_two_audits(df_yellow_silver, df_boundary_sil
     s = tuple(profile.filter_audit(silver, Q).first())
     g = tuple(profile.filter_audit(consolidate([union_all(df_yellow_silver, df_boundary_silver)], Q), Q).first())
     assert one_pass == {"silver": s, "gold": g}
+
+
+def test_schema_profile_counts_nan_as_null(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (None,)], "x double")
+    assert profile.schema_profile(df).first().nulos == 2
+
+
+def test_distribution_without_groups_needs_no_window(df_yellow_silver):
+    from tripflow.plans.inspect import plan_text
+
+    d = profile.value_distribution(df_yellow_silver, "passenger_count")
+    assert {r.passenger_count: (r.total, r.pct) for r in d.collect()} == {1: (2, 40.0), 2: (1, 20.0), 4: (1, 20.0), 8: (1, 20.0)}
+    assert "Window" not in plan_text(d)

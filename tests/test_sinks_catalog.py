@@ -94,3 +94,21 @@ def test_hot_month_is_split_across_files(spark, tmp_dir):
     hot_files = [f for f in os.listdir(tmp_dir + "/t/partition_year=2023/partition_month=1") if f.endswith(".parquet")]
     assert len(hot_files) > 1
     assert spark.read.parquet(tmp_dir + "/t").filter("partition_month = 1").count() == 20000
+
+
+def test_partitions_gone_from_the_folder_leave_the_catalog(spark, tmp_dir):
+    path = tmp_dir + "/sync"
+    write_partitioned(_frame(spark, [1, 2], 3), path)
+    catalog.create_databases(spark, ["t_sync_db"], tmp_dir)
+    catalog.create_table(spark, "t_sync_db.trips", [("v", "bigint", "a value")], path, catalog.PARTITION_DDL)
+    catalog.recover_partitions(spark, "t_sync_db.trips")
+    write_partitioned(_frame(spark, [2], 4), path, overwrite="static")
+    catalog.recover_partitions(spark, "t_sync_db.trips")
+    assert [r[0] for r in spark.sql("SHOW PARTITIONS t_sync_db.trips").collect()] == ["partition_year=2023/partition_month=2"]
+
+
+def test_too_large_a_result_leaves_the_old_table(spark, tmp_dir):
+    write_result(spark.range(3), tmp_dir + "/kept")
+    with pytest.raises(ValueError):
+        write_result(spark.range(20), tmp_dir + "/kept", max_rows=10)
+    assert spark.read.parquet(tmp_dir + "/kept").count() == 3

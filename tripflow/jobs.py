@@ -56,8 +56,11 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _show(title: str, df) -> None:
+    """Print a whole audit table, a partition at a time."""
     print(f"== {title}")
-    df.show(200, truncate=False)  # every audit result is bounded by months, columns or values
+    print(" | ".join(df.columns))
+    for row in df.toLocalIterator():
+        print(" | ".join("" if v is None else str(v) for v in row))
 
 
 def audit(spark, layer: str, specs, lake: medallion.Lake, q: QualitySpec, landing_root: str | None) -> None:
@@ -68,19 +71,16 @@ def audit(spark, layer: str, specs, lake: medallion.Lake, q: QualitySpec, landin
         columns = {}
         for spec in specs:
             files = landing.list_landing(spark, landing_root, spec.prefix)
-            _show(f"{spec.tag}: month status", landing.month_status(spark, spec, landing_root, check_names=True,
-                                                                     files=files))
-            schemas = landing.month_schemas(spark, [f for f in files if f.month in set(spec.months)], {})
-            if schemas:
-                _show(f"{spec.tag}: volume", landing.file_volume(
-                    landing.scan_landing(spark, spec, landing_root, files=files),
-                    {m: len(s.fields) for m, s in schemas.items()}, spec.tag))
-                _show(f"{spec.tag}: schema drift", schema_audit.schema_drift(spark, schemas, spec.tag))
-                first = schemas[min(schemas)]
-                columns[spec.tag] = [f.name for f in first.fields]
-                raw = spark.read.parquet(*[f.path for f in files if f.month == min(schemas) and f.size > 0])
-                _show(f"{spec.tag}: schema profile {min(schemas)}", profile.schema_profile(raw))
-                _show(f"{spec.tag}: required columns", schema_audit.required_columns(raw, spec))
+            _show(f"{spec.tag}: month status", landing.month_status(spark, spec, landing_root, files=files))
+            _show(f"{spec.tag}: volume", landing.file_volume(spark, spec, landing_root, files=files))
+            scans = landing.month_scans(spark, files, {})
+            if scans:
+                _show(f"{spec.tag}: schema drift", schema_audit.schema_drift(spark, {m: df.schema for m, df in scans.items()}, spec.tag))
+                # All months, as they were delivered: a column counts if any month has it.
+                columns[spec.tag] = sorted({f.name for df in scans.values() for f in df.schema.fields})
+                for month, raw in sorted(scans.items()):
+                    _show(f"{spec.tag}: schema profile {month}", profile.schema_profile(raw))
+                    _show(f"{spec.tag}: required columns {month}", schema_audit.required_columns(raw, spec))
         if len(columns) > 1:
             _show("column comparison", schema_audit.column_comparison(spark, columns))
         return
@@ -117,17 +117,27 @@ def main(argv: list[str] | None = None) -> int:
         audit(spark, args.layer, specs, lake, q, args.landing)
         spark.stop()
         return 0
-    stages = ["bronze", "silver", "gold", "monthly", "hourly"] if args.stage == "all" else [args.stage]
-    for stage in stages:
+    if args.stage in ("hourly", "all") and not q.first_month <= q.hourly_month <= q.last_month:
+        raise SystemExit(f"--hourly-month {q.hourly_month} lies outside the window {q.first_month} to {q.last_month}")
+    if args.stage in ("bronze", "all") and not args.landing:
+        raise SystemExit(f"--landing is required for the {args.stage} stage")
+
+    def report(status) -> None:
+        for r in status.collect():  # a local frame with one row per month
+            print(f"bronze {r.feed} {r.mes} {r.status} rows={r.linhas}" + (f" {r.erro}" if r.erro else ""))
+        for r in ingest_tally(status).collect():
+            print(f"bronze {r.feed} sucessos={r.sucessos} falhas={r.falhas}")
+
+    if args.stage == "all":  # the feeds of a layer in parallel
+        log = medallion.run_all(spark, {s.tag: args.landing for s in specs}, {s.tag: s for s in specs}, lake, q, on_status=report, strict=args.strict)
+        for r in log.collect():
+            print(f"{r.stage} {r.feed} rows={r.rows} seconds={r.seconds}")
+        spark.stop()
+        return 0
+    for stage in [args.stage]:
         if stage == "bronze":
-            if not args.landing:
-                raise SystemExit("--landing is required for the bronze stage")
             for spec in specs:
-                status = medallion.ingest_bronze_from_landing(spark, spec, args.landing, lake, strict=args.strict)
-                for r in status.collect():  # one row per expected month
-                    print(f"bronze {r.feed} {r.mes} {r.status} rows={r.linhas}" + (f" {r.erro}" if r.erro else ""))
-                for r in ingest_tally(status).collect():
-                    print(f"bronze {r.feed} sucessos={r.sucessos} falhas={r.falhas}")
+                report(medallion.ingest_bronze_from_landing(spark, spec, args.landing, lake, strict=args.strict))
         elif stage == "silver":
             for spec in specs:
                 print(f"silver {spec.tag} rows={medallion.standardize_silver(spark, spec, lake)}")

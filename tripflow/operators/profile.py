@@ -62,8 +62,8 @@ def null_profile(df: DataFrame, columns: list[str] | tuple[str, ...], **labels:
 
 
 def schema_profile(df: DataFrame, **labels: str) -> DataFrame:
-    """(coluna, tipo, nulos, pct_nulos) for every column."""
-    prof = null_profile(df, df.columns)
+    """(coluna, tipo, nulos, pct_nulos) for every column. NaN counts as null here."""
+    prof = null_profile(df.select([F.nanvl(c, F.lit(None)).alias(c) if t in ("float", "double") else F.col(c) for c, t in df.dtypes]), df.columns)
     # The type of each column is schema metadata: a literal map lookup, no join.
     kinds = F.create_map(*[F.lit(x) for f in df.schema.fields for x in (f.name, f.dataType.simpleString())])
     out = prof.select(COLUNA, F.element_at(kinds, F.col(COLUNA)).alias(TIPO), NULOS, PCT_NULOS)
@@ -74,11 +74,11 @@ def value_distribution(df: DataFrame, column: str, by: str | None = None) -> Dat
     """A9 + W1: (by?, value, total, pct) with pct = share of the total in percent.
 
     The window runs over the aggregated result (one row per distinct value),
-    never over raw rows.
+    never over raw rows; without ``by`` the total is a scalar subquery, no window.
     """
     keys = [by, column] if by else [column]
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(TOTAL))
-    whole = F.sum(TOTAL).over(Window.partitionBy(by) if by else Window.partitionBy())
+    whole = F.sum(TOTAL).over(Window.partitionBy(by)) if by else df.agg(F.count(F.lit(1))).scalar()
     return counted.withColumn(PCT, pct_half_up(F.col(TOTAL), whole)).orderBy(*keys)
 
 

@@ -14,15 +14,18 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripflow.operators.aggregates import avg_amount_by_month, avg_passengers_by_hour
 from tripflow.operators.consolidate import consolidate
-from tripflow.operators.ingest import to_bronze, with_partition_columns
+from tripflow.operators.ingest import to_bronze
 from tripflow.operators.standardize import to_silver
 from tripflow.sources import catalog
-from tripflow.sources.landing import list_landing, month_status, require_complete, scan_landing
-from tripflow.sources.sinks import write_partitioned, write_result
-from tripflow.specs import FeedSpec, QualitySpec
+from tripflow.sources.landing import (
+    READ_ERRORS, STATUS_SCHEMA, expected_months, list_landing, month_bronze, month_parts, month_scans, unified_types, unusable_months,
+)
+from tripflow.sources.sinks import write_part, write_partitioned, write_result
+from tripflow.specs import PARTITION_COLUMNS, FeedSpec, QualitySpec
 
 
 @dataclass(frozen=True)
@@ -41,7 +44,8 @@ class Lake:
         return f"{getattr(self, layer + '_db')}.{name}"
 
     def create_databases(self, spark: SparkSession) -> None:
-        catalog.create_databases(spark, (self.bronze_db, self.silver_db, self.gold_db))
+        """The databases, located below the lake's root and not in a local warehouse folder."""
+        catalog.create_databases(spark, (self.bronze_db, self.silver_db, self.gold_db), self.root)
 
 
 # Tables of the Gold layer.
@@ -59,7 +63,8 @@ def read_layer(spark: SparkSession, lake: Lake, layer: str, name: str) -> DataFr
     table = lake.table(layer, name)
     if spark.catalog.databaseExists(table.split(".")[0]) and spark.catalog.tableExists(table):
         return catalog.read_table(spark, table)
-    return spark.read.parquet(lake.path(layer, name))
+    # Months may differ in columns the spec does not know: merge the footers.
+    return spark.read.option("mergeSchema", "true").parquet(lake.path(layer, name))
 
 
 # --- J1: Bronze ---------------------------------------------------------------
@@ -77,23 +82,43 @@ def ingest_bronze(spark: SparkSession, raw: DataFrame, spec: FeedSpec, lake: Lak
 
 def ingest_bronze_from_landing(spark: SparkSession, spec: FeedSpec, landing_root: str, lake: Lake,
                                months: tuple[str, ...] | None = None, strict: bool = False) -> DataFrame:
-    """Landing files -> Bronze table; returns the per-month status frame.
-
-    A month that is missing, empty or unreadable (colliding column names) does
-    not stop the others (``strict=True`` raises instead). Landing files are one month each, so the write keeps the
-    scan's layout (no shuffle)."""
+    """Landing files -> Bronze table; returns the per-month status frame (A13) as it was written.
+
+    ``months`` names the months to load, and no others are touched; None means every month of the
+    spec and every month that landed. Each month is written by a job of its own, into its own partition folder, so one that
+    is missing, empty, unreadable or fails while it is read does not stop the others
+    (``strict=True`` raises before anything is written if one cannot be read). Rows are
+    counted as they are written. Columns unknown to the spec go to Bronze with the type
+    they already have there."""
     lake.create_databases(spark)
-    files = list_landing(spark, landing_root, spec.prefix)  # listed once, used twice
-    status = month_status(spark, spec, landing_root, check_names=True, files=files)
-    if strict:
-        require_complete(status)
-    readable = {r.mes for r in status.filter(F.col("status") == "ok").select("mes").collect()}  # <= #months
-    wanted = tuple(m for m in (months or spec.months) if m in readable)
-    bronze = with_partition_columns(scan_landing(spark, spec, landing_root, wanted, files=files))
-    path = lake.path("bronze", _feed_table(spec))
-    write_partitioned(bronze, path, overwrite="dynamic", layout="preserve", name=f"bronze_{spec.tag}")
-    catalog.register_discovered(spark, lake.table("bronze", _feed_table(spec)), path)
-    return status
+    files = list_landing(spark, landing_root, spec.prefix)
+    wanted = expected_months(spec, files, months)
+    errors: dict[str, str] = {}
+    frames = month_bronze(month_scans(spark, [f for f in files if f.month in wanted], errors), spec)
+    bad = unusable_months(spec, files, wanted, errors, spec.tag)
+    if strict and bad:
+        raise ValueError("incomplete landing: " + ", ".join(f"{spec.tag}/{m}:{status}" for m, (status, _) in sorted(bad.items())))
+    table, path = lake.table("bronze", _feed_table(spec)), lake.path("bronze", _feed_table(spec))
+    held = dict(spark.table(table).dtypes) if spark.catalog.tableExists(table) else {}
+    kinds = unified_types([df.schema for df in frames.values()], {**held, **dict(spec.bronze_types)})
+
+    def write(month: str) -> tuple[str, str, int, str | None]:
+        df = frames[month]
+        df = df.select([F.col(c).try_cast(kinds[c]).alias(c) if t != kinds[c] else F.col(c) for c, t in df.dtypes if c not in PARTITION_COLUMNS])
+        year, mon = month_parts(month)
+        try:
+            return month, "ok", write_part(df, f"{path}/partition_year={year}/partition_month={mon}", name=f"bronze_{spec.tag}_{month}"), None
+        except READ_ERRORS as exc:
+            return month, "error", 0, f"unreadable: {str(exc).strip().splitlines()[0][:300]}"
+
+    with ThreadPoolExecutor(max_workers=4) as pool:  # the months share the executors
+        written = list(pool.map(write, sorted(frames)))
+    if any(status == "ok" for _, status, _, _ in written):
+        schema = T.StructType([T.StructField(c, T._parse_datatype_string(k)) for c, k in kinds.items()])
+        catalog.register_discovered(spark, table, path, schema=schema)
+    rows = [(spec.tag, m, status, 0, reason) for m, (status, reason) in bad.items()]
+    rows += [(spec.tag, m, status, n, reason) for m, status, n, reason in written]
+    return spark.createDataFrame(rows, STATUS_SCHEMA).orderBy("mes")
 
 
 # --- J2: Silver ---------------------------------------------------------------
@@ -149,13 +174,15 @@ def hourly_result(spark: SparkSession, lake: Lake, q: QualitySpec) -> int:
 
 
 # --- J6: everything in order --------------------------------------------------
-def run_all(spark: SparkSession, raws: dict[str, DataFrame], specs: dict[str, FeedSpec], lake: Lake,
-            q: QualitySpec, parallel: bool = True) -> DataFrame:
+def run_all(spark: SparkSession, raws: dict[str, DataFrame | str], specs: dict[str, FeedSpec], lake: Lake,
+            q: QualitySpec, parallel: bool = True, on_status=None,
+            strict: bool = False) -> DataFrame:
     """Bronze (per feed) -> Silver (per feed) -> Gold -> monthly and hourly results.
 
     Within a layer the feeds are independent, so with ``parallel`` their jobs are
     submitted together from driver threads and share the executors (the layers
-    themselves run in order). Returns (stage, feed, rows, seconds) per stage.
+    themselves run in order). A feed is a frame, or the folder in which its months land.
+    Returns (stage, feed, rows, seconds) per stage.
     """
     lake.create_databases(spark)
     log: list[tuple[str, str, int, float]] = []
@@ -172,8 +199,15 @@ def run_all(spark: SparkSession, raws: dict[str, DataFrame], specs: dict[str, Fe
         else:
             log.extend(timed(*s) for s in steps)
 
-    layer([("bronze", tag, lambda raw=raw, tag=tag: ingest_bronze(spark, raw, specs[tag], lake))
-           for tag, raw in raws.items()])
+    def bronze(tag: str) -> int:
+        if not isinstance(raws[tag], str):
+            return ingest_bronze(spark, raws[tag], specs[tag], lake)
+        status = ingest_bronze_from_landing(spark, specs[tag], raws[tag], lake, strict=strict)
+        if on_status is not None:
+            on_status(status)
+        return status.agg(F.coalesce(F.sum("linhas"), F.lit(0))).first()[0]
+
+    layer([("bronze", tag, lambda tag=tag: bronze(tag)) for tag in raws])
     layer([("silver", tag, lambda tag=tag: standardize_silver(spark, specs[tag], lake)) for tag in raws])
     layer([("gold", "all", lambda: consolidate_gold(spark, [specs[t] for t in raws], lake, q))])
     layer([("avg_total_amount", q.monthly_tag, lambda: monthly_result(spark, lake, q)),

@@ -345,6 +345,12 @@ LEFT JOIN counts c ON c.feed = f.feed AND c.mes = e.mes
 """.replace("\n, counts", ",\ncounts", 1)
 
 
+ORACLES["file_volume"] = with_feeds("""
+SELECT 'yellow' AS feed, printf('%04d-%02d', partition_year, partition_month) AS mes, count(*) AS linhas, 5 AS colunas, true AS tem_tamanho
+FROM bronze_a GROUP BY 1, 2
+UNION ALL
+SELECT 'green', printf('%04d-%02d', partition_year, partition_month), count(*), 5, true FROM bronze_b GROUP BY 1, 2
+""")
 ORACLES["landing_scan"] = with_feeds("""
 SELECT 'yellow' AS feed, vendorid, passenger_count, total_amount, partition_year, partition_month FROM bronze_a
 UNION ALL

@@ -91,7 +91,11 @@ def layer_counts(spark, sf_dir):
 
 @register
 def volume_by_month(spark, sf_dir):
-    return layers.volume_by_month(spark, sf_dir, Q)
+    """A4 on the stored tables: the window prunes the scans to its partitions."""
+    lake = _lake(spark, sf_dir)
+    return union_all(*[
+        profile.rows_per_month(spark.table(lake.table(layer, f"{tag}_trips")), Q.year, Q.first_month, Q.last_month, layer=layer, feed=tag)
+        for layer in ("bronze", "silver") for tag in layers.FEEDS])
 
 
 @register
@@ -141,7 +145,9 @@ def filter_audit(spark, sf_dir):
 
 @register
 def sample_month(spark, sf_dir):
-    return profile.sample_partition(layers.gold(spark, sf_dir, Q), Q.year, Q.first_month, 5)
+    """O3 on the stored Gold table: one partition is read."""
+    gold = spark.table(_lake(spark, sf_dir).table("gold", medallion.GOLD_TABLE))
+    return profile.sample_partition(gold, Q.year, Q.first_month, 5)
 
 
 # --- ingest and schema audits -----------------------------------------------
@@ -184,13 +190,12 @@ def _landed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
 @register
 def file_volume(spark, sf_dir):
-    """Rows, columns and MB per landed month (sizes differ between engines'
-    writers, so this key has no SQL oracle)."""
+    """Rows and columns per landed month, and whether its size in MB is known. The MB
+    themselves depend on the writer, so the key compares them with the bytes of the files."""
     frames = []
     for tag, path in _landed(spark, sf_dir).items():
-        scan = landing.scan_landing(spark, layers.FEEDS[tag], path)
-        n_cols = len(layers.raw(spark, sf_dir, tag).columns) - 2  # the month lives in the path
-        frames.append(landing.file_volume(scan, n_cols, tag))
+        volume = landing.file_volume(spark, layers.FEEDS[tag], path)
+        frames.append(volume.select("feed", "mes", "linhas", "colunas", (F.col("tamanho_mb") >= 0).alias("tem_tamanho")))
     return union_all(*frames)
 
 

@@ -74,6 +74,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
         root = os.path.join(os.environ.get("TMPDIR", "/tmp"), "tripflow-checkpoints")
         sc.setCheckpointDir(root)
     return root

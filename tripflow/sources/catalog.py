@@ -63,10 +63,9 @@ def create_table(
 
 
 def recover_partitions(spark: SparkSession, table: str) -> None:
-    """K6: register partitions written to the table's location (MSCK REPAIR),
-    synchronously, and drop any cached file listing of the table (a rerun
-    replaces its files)."""
-    spark.catalog.recoverPartitions(table)
+    """K6: make the table's partitions those of its location (new ones added, gone ones
+    dropped), and drop any cached file listing of the table (a rerun replaces its files)."""
+    spark.sql(f"MSCK REPAIR TABLE {_q(table)} SYNC PARTITIONS")
     spark.catalog.refreshTable(table)
 
 

@@ -2,13 +2,14 @@
 
 A feed lands as one Parquet file (or Spark output directory) per month whose
 path contains ``{prefix}_{YYYY-MM}``; the month comes from the path, never from
-the data. All months of a feed are read by ONE distributed scan with the feed's
-widest schema, which absorbs the known month-to-month drift (int32 vs int64
-ids, ``Airport_fee`` vs ``airport_fee``, all-null columns).
+the data. Every month is read with its own footer schema (merged over all its part
+files), lower-cased and soft-cast, and the months are united by name: columns the
+spec does not know stay, a month with an odd type or an unreadable file is one bad
+month and not the end of the others. The month is a constant of its scan.
 
 Listing uses the Hadoop FileSystem API, so the same code runs on any store
-Spark can read. The listing is file metadata only (bounded by the number of
-files), never row data.
+Spark can read. It asks once per month entry for its size and never walks the part
+files, which Spark itself lists in parallel.
 """
 
 from __future__ import annotations
@@ -16,21 +17,26 @@ from __future__ import annotations
 import re
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tripflow.functions.columns import mb_from_bytes, month_label
+from tripflow.operators.ingest import to_bronze
 from tripflow.specs import COLUNAS, FALHAS, LINHAS, MES, SUCESSOS, TAMANHO_MB, FeedSpec
 
+#: What Spark raises for a file that it cannot read or a schema that it cannot resolve.
+READ_ERRORS = (PySparkException, Py4JError, ValueError)
+
 
 @dataclass(frozen=True)
 class LandedFile:
     month: str  # 'YYYY-MM'
-    path: str
+    path: str  # the month's file or folder
     size: int
-    entry: str = ""  # the month-level file or folder the listing matched
 
 
 def month_file(root: str, prefix: str, month: str) -> str:
@@ -55,65 +61,145 @@ def _fs(spark: SparkSession, path: str):
 
 
 def list_landing(spark: SparkSession, root: str, prefix: str) -> list[LandedFile]:
-    """Every data file of the feed under ``root`` (or one folder below it, e.g.
-    ``root/<tag>/``) with its month and byte size.
+    """Every month entry (a file, or a folder of part files) of the feed under ``root``
+    or one folder below it (``root/<tag>/``), with its month and byte size.
 
-    Zero-byte files are listed too (Spark's reader skips them silently, which is
-    why the empty-file guard needs this listing).
+    The whole name must be ``{prefix}_{YYYY-MM}`` (with ``.parquet``, or as the value of a
+    ``landing_file=`` folder): backups and temporary copies are not months. Zero-byte
+    entries are listed too, for the empty-file guard.
     """
     fs, _ = _fs(spark, root)
-    jvm = spark.sparkContext._jvm
-    pattern = re.compile(_month_regex(prefix))
-    statuses = []
-    for pattern_text in (f"{root.rstrip('/')}/*{prefix}_*", f"{root.rstrip('/')}/*/*{prefix}_*"):
-        statuses.extend(fs.globStatus(jvm.org.apache.hadoop.fs.Path(pattern_text)) or [])
-    out: list[LandedFile] = []
-    seen: set[str] = set()
-    for st in statuses:
-        if st.getPath().toString() in seen:
-            continue
-        seen.add(st.getPath().toString())
-        m = pattern.search(st.getPath().getName())
-        if not m:
-            continue
-        month = f"{m.group(1)}-{m.group(2)}"
-        if st.isDirectory():
-            it = fs.listFiles(st.getPath(), True)
-            while it.hasNext():
-                f = it.next()
-                name = f.getPath().getName()
-                if name.startswith(("_", ".")):
-                    continue
-                out.append(LandedFile(month, f.getPath().toString(), int(f.getLen()), st.getPath().toString()))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    name = re.compile(r"(?:landing_file=)?" + _month_regex(prefix) + r"(?:\.parquet)?")
+    out: dict[str, LandedFile] = {}
+    for pattern in (f"{root.rstrip('/')}/*{prefix}_*", f"{root.rstrip('/')}/*/*{prefix}_*"):
+        for st in fs.globStatus(path(pattern)) or []:
+            m = name.fullmatch(st.getPath().getName())
+            if m:
+                size = fs.getContentSummary(st.getPath()).getLength() if st.isDirectory() else st.getLen()
+                out[st.getPath().toString()] = LandedFile(f"{m.group(1)}-{m.group(2)}", st.getPath().toString(), int(size))
+    return sorted(out.values(), key=lambda f: (f.month, f.path))
+
+
+def _paths_by_month(files: list[LandedFile]) -> dict[str, list[str]]:
+    out: dict[str, list[str]] = {}
+    for f in files:
+        if f.size > 0:
+            out.setdefault(f.month, []).append(f.path)
+    return out
+
+
+def _reason(exc: Exception) -> str:
+    lines = [x for x in str(exc).splitlines() if x.strip()]
+    return f"{type(exc).__name__}: {lines[0] if lines else ''}"[:300]
+
+
+def _concurrently(fn, items: list):
+    """``fn`` of every item; footers of different months are read at the same time."""
+    with ThreadPoolExecutor(max_workers=max(1, min(16, len(items)))) as pool:
+        return list(pool.map(fn, items))
+
+
+def month_scans(spark: SparkSession, files: list[LandedFile], errors: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """Month -> scan of all its files as they are, with the schema merged over all their footers.
+
+    A month that Spark cannot read goes into ``errors`` (or raises, without ``errors``). If the part
+    files of a month disagree on a type, each is read on its own and the parts are united.
+    """
+    def read(item):
+        month, paths = item
+        try:
+            return month, spark.read.option("mergeSchema", "true").parquet(*paths), None
+        except READ_ERRORS as exc:
+            try:
+                parts = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+                names = [r.path for r in parts.load(paths).where("length > 0").select("path").collect()]  # of one month
+                if len(names) < 2:
+                    raise exc
+                return month, united([_settled(spark.read.parquet(n)) for n in sorted(names)]), None
+            except READ_ERRORS as inner:
+                return month, None, inner
+
+    out: dict[str, DataFrame] = {}
+    for month, df, exc in _concurrently(read, sorted(_paths_by_month(files).items())):
+        pairs = name_collisions(df.schema) if exc is None else []
+        if exc is None and not (pairs and errors is not None):
+            out[month] = df
+        elif errors is None:
+            raise exc
         else:
-            out.append(LandedFile(month, st.getPath().toString(), int(st.getLen()), st.getPath().toString()))
-    return sorted(out, key=lambda f: (f.month, f.path))
+            errors[month] = ("columns collide after lower-casing: " + ", ".join(f"{a}/{b}" for a, b in pairs)) if pairs else f"unreadable: {_reason(exc)}"
+    return out
+
+
+def month_schemas(spark: SparkSession, files: list[LandedFile], errors: dict[str, str] | None = None) -> dict[str, T.StructType]:
+    """Footer schema per month, merged over all its part files (metadata only; no row is read).
+    Zero-byte months have none."""
+    return {month: df.schema for month, df in month_scans(spark, files, errors).items()}
+
+
+def _settled(df: DataFrame) -> DataFrame:
+    """Lower-case names, so that parts which differ in case alone unite."""
+    return df.toDF(*[c.lower() for c in df.columns])
+
+
+def united(frames: list[DataFrame], known: dict[str, str] | None = None) -> DataFrame:
+    """Union by lower-case name. A column whose types differ takes the type in ``known``, else the
+    widest number type if all are numbers, else text; a column without any type becomes text."""
+    kinds = unified_types([f.schema for f in frames], known)
+    shaped = [f.select([F.col(c).try_cast(kinds[c]).alias(c) if t != kinds[c] else F.col(c) for c, t in f.dtypes]) for f in frames]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), shaped)
+
+
+_WIDER = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def unified_types(schemas: list[T.StructType], known: dict[str, str] | None = None) -> dict[str, str]:
+    """Column -> one type for all ``schemas`` (see :func:`united`)."""
+    seen: dict[str, set[str]] = {}
+    for schema in schemas:
+        for f in schema.fields:
+            seen.setdefault(f.name, set()).add(f.dataType.simpleString())
+    out = {}
+    for name, kinds in seen.items():
+        kinds.discard("void")
+        if known and name in known:
+            out[name] = known[name]
+        elif len(kinds) == 1:
+            out[name] = kinds.pop()
+        elif kinds and kinds <= set(_WIDER):
+            out[name] = "double" if kinds & {"float", "double"} and kinds & {"bigint", "int", "double"} else max(kinds, key=_WIDER.index)
+        else:
+            out[name] = "string"
+    return out
+
+
+def month_bronze(scans: dict[str, DataFrame], spec: FeedSpec) -> dict[str, DataFrame]:
+    """Month -> Bronze rows: lower-case, soft-cast, every column of the spec (null if the month
+    lacks it), unknown columns kept, the month as int partition columns."""
+    out = {}
+    for month, df in scans.items():
+        year, mon = month_parts(month)
+        bronze = to_bronze(df.drop("partition_year", "partition_month"), spec)
+        bronze = bronze.select("*", *[F.lit(None).cast(kind).alias(c) for c, kind in spec.bronze_types if c not in bronze.columns])
+        known = [c for c, _ in spec.bronze_types]
+        rest = [c for c in bronze.columns if c not in known]
+        out[month] = bronze.select(*known, *rest, F.lit(year).alias("partition_year"), F.lit(mon).alias("partition_month"))
+    return out
 
 
 def scan_landing(spark: SparkSession, spec: FeedSpec, root: str, months: tuple[str, ...] | None = None,
                  files: list[LandedFile] | None = None) -> DataFrame:
-    """All (wanted) months of a feed in one scan.
+    """The landed months of a feed as Bronze rows, all of them unless ``months`` names some.
 
-    Columns: the spec's widest schema (lower-case names; the reader matches
-    file columns case-insensitively) plus ``partition_year``/``partition_month``
-    taken from the file path.
+    Columns: the spec's, the unknown ones, and ``partition_year``/``partition_month``.
     """
     files = list_landing(spark, root, spec.prefix) if files is None else files
-    wanted = set(months or spec.months)
-    # One path per month entry (a file, or a folder Spark lists in parallel),
-    # not one per part file; months holding only zero-byte files are skipped.
-    sizes: dict[str, int] = {}
-    for f in files:
-        if f.month in wanted:
-            key = f.entry or f.path
-            sizes[key] = sizes.get(key, 0) + f.size
-    paths = sorted(p for p, size in sizes.items() if size > 0)
-    reader = spark.read.schema(spec.bronze_schema)
-    if not paths:
-        return with_file_month(spark.createDataFrame([], spec.bronze_schema)
-                               .withColumn("_path", F.lit(None).cast("string")), spec, "_path").drop("_path")
-    df = reader.parquet(*paths)
-    return with_file_month(df.withColumn("_path", F.col("_metadata.file_path")), spec, "_path").drop("_path")
+    frames = month_bronze(month_scans(spark, [f for f in files if months is None or f.month in months]), spec)
+    if not frames:
+        return spark.createDataFrame([], T.StructType([*spec.bronze_schema, T.StructField("partition_year", T.IntegerType()),
+                                                       T.StructField("partition_month", T.IntegerType())]))
+    return united([frames[m] for m in sorted(frames)])
 
 
 def with_file_month(df: DataFrame, spec: FeedSpec, path_col: str) -> DataFrame:
@@ -125,37 +211,6 @@ def with_file_month(df: DataFrame, spec: FeedSpec, path_col: str) -> DataFrame:
     )
 
 
-def month_schemas(spark: SparkSession, files: list[LandedFile],
-                  errors: dict[str, str] | None = None) -> dict[str, object]:
-    """Footer schema per month (metadata only; no row is read). Zero-byte months
-    have no schema and are left out. With ``errors``, a month whose footer Spark
-    cannot resolve (e.g. two columns equal up to case) is recorded there and
-    skipped instead of failing the whole call."""
-    by_month: dict[str, list[str]] = {}
-    for f in files:
-        if f.size > 0:
-            by_month.setdefault(f.month, []).append(f.path)
-    def read(item):
-        month, paths = item
-        try:
-            return month, spark.read.parquet(*paths).schema, None
-        except AnalysisException as exc:
-            return month, None, exc
-
-    # Footer reads of different months are independent: resolve them concurrently.
-    with ThreadPoolExecutor(max_workers=max(1, min(16, len(by_month)))) as pool:
-        results = list(pool.map(read, sorted(by_month.items())))
-    out: dict[str, object] = {}
-    for month, schema, exc in results:
-        if exc is None:
-            out[month] = schema
-        elif errors is None:
-            raise exc
-        else:
-            errors[month] = f"unreadable footer: {str(exc).splitlines()[0]}"
-    return out
-
-
 def name_collisions(schema) -> list[tuple[str, str]]:
     """Pairs of column names that become equal after lower-casing (Trap: Spark
     cannot read such a file case-insensitively)."""
@@ -170,50 +225,50 @@ def name_collisions(schema) -> list[tuple[str, str]]:
     return out
 
 
-def month_status(spark: SparkSession, spec: FeedSpec, root: str, feed: str | None = None,
-                 check_names: bool = False, files: list[LandedFile] | None = None) -> DataFrame:
-    """A13 + S3 + S4: one row per expected month: (feed, mes, status, linhas, erro).
-
-    status is ``ok``, ``empty`` (only zero-byte files: the reference's
-    "Arquivo vazio" error), ``missing`` (no file) or, with ``check_names``,
-    ``error`` when a month's footer holds two columns that collide after
-    lower-casing (that month is left out of the scan). Row counts come from one
-    grouped scan of the readable months (Parquet answers a count from footers).
-    """
-    files = list_landing(spark, root, spec.prefix) if files is None else files
+STATUS_SCHEMA = f"feed string, {MES} string, status string, {LINHAS} long, erro string"
+
+
+def expected_months(spec: FeedSpec, files: list[LandedFile], months: tuple[str, ...] | None = None) -> list[str]:
+    """The months asked for, or all of the spec and all that landed."""
+    return sorted(set(months)) if months is not None else sorted({*spec.months, *(f.month for f in files)})
+
+
+def unusable_months(spec: FeedSpec, files: list[LandedFile], wanted: list[str], errors: dict[str, str], feed: str) -> dict[str, tuple[str, str]]:
+    """Month -> (status, reason) of the wanted months that cannot be read."""
     sizes: dict[str, int] = {}
     for f in files:
         sizes[f.month] = sizes.get(f.month, 0) + f.size
+    out = {m: ("missing", f"no file for {spec.prefix}_{m}") for m in wanted if m not in sizes}
+    out |= {m: ("empty", f"empty file | feed={feed} | month={m}") for m in wanted if sizes.get(m) == 0}
+    return out | {m: ("error", errors[m]) for m in wanted if m in errors}
+
+
+def month_status(spark: SparkSession, spec: FeedSpec, root: str, feed: str | None = None,
+                 files: list[LandedFile] | None = None, months: tuple[str, ...] | None = None) -> DataFrame:
+    """A13 + S3 + S4: one row per expected or landed month: (feed, mes, status, linhas, erro).
+
+    status is ``ok``, ``empty`` (only zero-byte files), ``missing`` (no file) or ``error`` (unreadable
+    footers, or two columns that collide after lower-casing). Row counts come from one
+    grouped scan of the readable months (Parquet answers a count from footers). The
+    result is a local frame: looking at it again scans nothing.
+    """
+    feed = feed or spec.tag
+    files = list_landing(spark, root, spec.prefix) if files is None else files
+    wanted = expected_months(spec, files, months)
     errors: dict[str, str] = {}
-    if check_names:
-        wanted = set(spec.months)
-        for m, schema in month_schemas(spark, [f for f in files if f.month in wanted], errors).items():
-            pairs = name_collisions(schema)
-            if pairs:
-                errors[m] = "columns collide after lower-casing: " + ", ".join(f"{a}/{b}" for a, b in pairs)
-    counted = (
-        scan_landing(spark, spec, root, files=[f for f in files if f.month not in errors])
-        .groupBy(month_label("partition_year", "partition_month").alias(MES))
-        .agg(F.count(F.lit(1)).alias(LINHAS))
-    )
-    rows = []
-    for m in spec.months:
-        if m not in sizes:
-            rows.append((m, "missing", f"no file for {spec.prefix}_{m}"))
-        elif sizes[m] == 0:
-            rows.append((m, "empty", f"empty file | feed={feed or spec.tag} | month={m}"))
-        elif m in errors:
-            rows.append((m, "error", errors[m]))
-        else:
-            rows.append((m, "ok", None))
-    expected = spark.createDataFrame(rows, f"{MES} string, status string, erro string")
-    # ``counted`` has at most one row per landed month of the spec; AQE
-    # broadcasts it after measuring it (sort-merge join beyond the threshold).
-    out = expected.join(counted, MES, "left").select(
-        F.lit(feed or spec.tag).alias("feed"), MES, "status",
-        F.coalesce(F.col(LINHAS), F.lit(0)).cast("long").alias(LINHAS), "erro",
-    )
-    return out.orderBy(MES)
+    scans = month_scans(spark, [f for f in files if f.month in wanted], errors)
+    counted = _rows_by_month(scans)
+    bad = unusable_months(spec, files, wanted, errors, feed)
+    rows = [(feed, m, bad[m][0], 0, bad[m][1]) if m in bad else (feed, m, "ok", counted.get(m, 0), None) for m in wanted]
+    return spark.createDataFrame(rows, STATUS_SCHEMA).orderBy(MES)
+
+
+def _rows_by_month(scans: dict[str, DataFrame]) -> dict[str, int]:
+    """Rows of every month, from one job over all of them."""
+    if not scans:
+        return {}
+    counts = [df.agg(F.count(F.lit(1)).alias(LINHAS)).withColumn(MES, F.lit(m)) for m, df in scans.items()]
+    return {r[MES]: r[LINHAS] for r in reduce(DataFrame.unionByName, counts).collect()}  # one row per month
 
 
 def ingest_tally(status: DataFrame) -> DataFrame:
@@ -231,32 +286,18 @@ def require_complete(status: DataFrame) -> None:
         raise ValueError("incomplete landing: " + ", ".join(f"{r.feed}/{r.mes}:{r.status}" for r in bad))
 
 
-def file_volume(scan: DataFrame, n_columns: dict[str, int] | int | None = None, feed: str | None = None) -> DataFrame:
-    """Rows, columns and MB per month of a landing scan.
+def file_volume(spark: SparkSession, spec: FeedSpec, root: str, files: list[LandedFile] | None = None) -> DataFrame:
+    """(feed, mes, linhas, colunas, tamanho_mb) of every readable landed month.
 
-    Two-level aggregate: rows per (month, file) with the file size, then per
-    month (sizes are summed once per file, not once per row).
+    Rows by a count, columns from the files' own footers, and the size from the listing,
+    so that files without rows count as well.
     """
-    per_file = scan.groupBy(
-        "partition_year", "partition_month", F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_size").alias("size"),
-    ).agg(F.count(F.lit(1)).alias("rows"))
-    per_month = per_file.groupBy("partition_year", "partition_month").agg(
-        F.sum("rows").cast("long").alias(LINHAS), F.sum("size").alias("bytes")
-    )
-    out = per_month.select(
-        F.lit(feed).alias("feed"),
-        month_label("partition_year", "partition_month").alias(MES),
-        LINHAS,
-        mb_from_bytes("bytes").alias(TAMANHO_MB),
-    )
-    if isinstance(n_columns, dict):
-        # Per-month column counts are footer metadata: a literal map lookup, no join.
-        counts = F.create_map(*[F.lit(x) for m, n in sorted(n_columns.items()) for x in (m, int(n))])
-        out = out.withColumn(COLUNAS, F.element_at(counts, F.col(MES)).cast("int"))
-    elif isinstance(n_columns, int):
-        out = out.withColumn(COLUNAS, F.lit(n_columns))
-    return out.orderBy(MES)
+    files = list_landing(spark, root, spec.prefix) if files is None else files
+    scans = month_scans(spark, files, {})
+    rows = _rows_by_month(scans)
+    sizes = {m: sum(f.size for f in files if f.month == m) for m in scans}
+    out = [(spec.tag, m, rows.get(m, 0), len(df.columns), round(sizes[m] / (1024 * 1024), 2)) for m, df in sorted(scans.items())]
+    return spark.createDataFrame(out, f"feed string, {MES} string, {LINHAS} long, {COLUNAS} int, {TAMANHO_MB} double").orderBy(MES)
 
 
 def land_feed(raw: DataFrame, spec: FeedSpec, root: str, mode: str = "overwrite") -> str:

@@ -68,15 +68,20 @@ def write_partitioned(
     return int(obs.get.get("rows", 0))
 
 
+def write_part(df: DataFrame, path: str, name: str = "part") -> int:
+    """K1 for one partition: replace the folder ``path`` by ``df`` and return the rows written."""
+    out, obs = observe_rows(df, name)
+    out.write.mode("overwrite").parquet(path)
+    return int(obs.get.get("rows", 0))
+
+
 def write_result(df: DataFrame, path: str, max_rows: int = 10_000) -> int:
     """K3: a small result table (<= 24 hours or 12 months) as one Parquet file.
 
-    ``coalesce(1)`` is only right because the input is a bounded aggregate; the
-    count is observed during the write and checked against ``max_rows``.
-    """
-    out, obs = observe_rows(df.coalesce(1), "result")
-    out.write.mode("overwrite").parquet(path)
-    rows = int(obs.get.get("rows", 0))
-    if rows > max_rows:
-        raise ValueError(f"result table {path} has {rows} rows; expected a small aggregate")
-    return rows
+    At most ``max_rows`` + 1 rows are taken to the driver; a larger result raises before
+    the table at ``path`` is touched."""
+    rows = df.take(max_rows + 1)
+    if len(rows) > max_rows:
+        raise ValueError(f"the result for {path} has over {max_rows} rows; expected a small aggregate")
+    df.sparkSession.createDataFrame(rows, df.schema).coalesce(1).write.mode("overwrite").parquet(path)
+    return len(rows)

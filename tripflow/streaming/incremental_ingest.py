@@ -12,20 +12,28 @@ row is independent and its month comes from the file path.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tripflow.operators.ingest import soft_cast, with_partition_columns
 from tripflow.session import scratch_path
-from tripflow.sources.landing import with_file_month
+from tripflow.sources.landing import list_landing, month_schemas, unified_types, with_file_month
 from tripflow.specs import PARTITION_COLUMNS, FeedSpec
 
 
 def landing_stream(spark: SparkSession, spec: FeedSpec, landing_dir: str, max_files_per_trigger: int = 64) -> DataFrame:
     """Streaming scan of ``{landing_dir}/*{prefix}_*``: files or month directories."""
+    # Columns that the spec does not know are taken from the footers that have landed by now.
+    footers = month_schemas(spark, list_landing(spark, landing_dir, spec.prefix), {})
+    lowered = [T.StructType([T.StructField(f.name.lower(), f.dataType) for f in s.fields]) for s in footers.values()]
+    known = dict(spec.bronze_types)
+    extra = [T.StructField(c, T._parse_datatype_string(k)) for c, k in unified_types(lowered).items() if c not in known]
     pattern = f"{landing_dir.rstrip('/')}/*{spec.prefix}_*"
-    reader = (spark.readStream.schema(spec.bronze_schema)
+    reader = (spark.readStream.schema(T.StructType([*spec.bronze_schema, *extra]))
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .option("recursiveFileLookup", "true"))
     df = reader.parquet(pattern)
@@ -65,8 +73,44 @@ def start_bronze_ingest(
 def run_bronze_ingest_once(spark: SparkSession, spec: FeedSpec, landing_dir: str, bronze_path: str,
                            checkpoint: str | None = None) -> int:
     """Run one ``availableNow`` pass to completion; returns the rows written."""
-    q = start_bronze_ingest(spark, spec, landing_dir, bronze_path, checkpoint)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    rows = _RowCount()
+    spark.streams.addListener(rows)
+    try:
+        q = start_bronze_ingest(spark, spec, landing_dir, bronze_path, checkpoint)
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+        rows.ended(str(q.runId))
+    finally:
+        spark.streams.removeListener(rows)
+    return rows.of.get(str(q.runId), 0)
+
+
+class _RowCount(StreamingQueryListener):
+    """Input rows of every batch of a run; a query's own progress list forgets old batches."""
+
+    def __init__(self) -> None:
+        self.of: dict[str, int] = {}
+        self._over: set[str] = set()
+        self._changed = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        run = str(event.progress.runId)
+        self.of[run] = self.of.get(run, 0) + event.progress.numInputRows
+
+    def onQueryTerminated(self, event) -> None:
+        with self._changed:
+            self._over.add(str(event.runId))
+            self._changed.notify_all()
+
+    def ended(self, run: str, seconds: float = 120) -> None:
+        """Wait until all events of a run have come; the end comes last."""
+        with self._changed:
+            if not self._changed.wait_for(lambda: run in self._over, seconds):
+                raise TimeoutError(f"the end of run {run} was not reported")
