@@ -3,7 +3,7 @@
 A vocabulary file of the ``tokenizers`` library (byte-level BPE) is read once on the
 driver and broadcast; its size is that of the vocabulary, whatever the corpus. Texts are
 cut into words by the library's split rule. The distinct words of a chunk of texts that
-are not yet known are inserted into a trie of bytes; a depth-first walk carries for every
+are not yet known are put into a trie of bytes; a depth-first walk carries for every
 node the last token of the encoding of the prefix that ends there:
 
     the last token of a prefix is the one token that ends it and that follows the
@@ -14,8 +14,7 @@ from its node along the last tokens. Whether two tokens may stand side by side d
 the merges at their seam alone.
 
 A null text encodes as the empty text (no ids); null ids decode to the empty text. Texts of
-any length are encoded whole: they are cut only where a word surely ends, and words over
-``LONG_WORD`` bytes run the same recurrence over an array in place of trie nodes. Special
+any length are encoded whole: they are cut only where a word surely ends. Special
 tokens found in a text get their own id, as in the library. Repeated rows are encoded each
 for itself (their words once). Other columns are kept; a column named like the output raises.
 """
@@ -32,7 +31,6 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
@@ -41,11 +39,9 @@ from tripflow.llm.common import ship
 #: Fixed value: the split rule of byte-level BPE.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-LONG_WORD = 512
 CHUNK_CHARS = 1 << 20
 KNOWN_WORDS = 600_000  # words a worker remembers; beyond that it forgets all and starts again
 _NEVER = 1 << 60
-_BYTES = [bytes([b]) for b in range(256)]
 
 
 def byte_alphabet() -> list[str]:
@@ -59,6 +55,77 @@ def byte_alphabet() -> list[str]:
     return [out[b] for b in range(256)]
 
 
+#: Kinds of characters in the split rule.
+SIGN, LETTER, NUMBER, SPACE, UNASSIGNED = range(5)
+_KINDS: list[np.ndarray] = []
+
+
+def kinds() -> np.ndarray:
+    """The kind of every code point. Unicode versions differ only on what this one leaves unassigned."""
+    if not _KINDS:
+        of = {"L": LETTER, "N": NUMBER}
+        table = np.fromiter((of.get(unicodedata.category(chr(c))[0], SIGN) for c in range(0x110000)), dtype=np.uint8, count=0x110000)
+        table[[c for c in range(0x3001) if chr(c).isspace() and not 0x1C <= c <= 0x1F]] = SPACE
+        table[[c for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn"]] = UNASSIGNED
+        _KINDS.append(table)
+    return _KINDS[0]
+
+
+def word_starts(cp: np.ndarray, kind: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Whether a word of :data:`SPLIT` starts at each code point of a row of texts that begin at ``begins``.
+
+    The rule in terms of neighbours: a run of one kind is a word, and one space before it
+    belongs to it. The last character of a run of white space stands apart from the run if a
+    text goes on after it. An apostrophe that starts a word takes the letters of a contraction.
+    """
+    n = len(cp)
+    before, after = np.empty(n, dtype=np.uint8), np.full(n, 255, dtype=np.uint8)
+    before[1:], after[:-1] = kind[:-1], kind[1:]
+    before[begins] = 255
+    after[begins[begins > 0] - 1] = 255
+    space = kind == SPACE
+    spaced = np.zeros(n, dtype=bool)
+    spaced[1:] = cp[:-1] == 0x20
+    spaced[begins] = False
+    start = (kind != before) & ~(spaced & ~space) | space & (after != SPACE) & (after != 255)
+    marks = np.flatnonzero((cp == 0x27) & start & (after == LETTER))
+    if len(marks):
+        padded = np.concatenate((cp, np.zeros(3, dtype=cp.dtype)))
+        one, two = padded[marks + 1], padded[marks + 2]
+        # The second letter must be of the same text: then it is a letter after a letter.
+        joined = np.concatenate((before, [255] * 3))[marks + 2] == LETTER
+        short = np.isin(one, [ord(c) for c in "stmd"])
+        long = joined & ~short & ((two == ord("e")) & ((one == ord("r")) | (one == ord("v"))) | (one == ord("l")) & (two == ord("l")))
+        start[marks[short | long] + 1] = False
+        ends = np.concatenate((marks[short] + 2, marks[long] + 3))
+        ends = ends[ends < n]
+        start[ends[(kind[ends] == LETTER) & (before[ends] == LETTER)]] = True
+    return start
+
+
+_PLACES = 64
+_FACTORS = np.random.default_rng(5).integers(0, 1 << 63, _PLACES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def distinct_words(cp: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index of a first occurrence, number among the distinct) of the words that begin at ``starts``.
+
+    Words are grouped by a 64-bit hash and then compared with their group's first word, character
+    by character; if two words shared a hash, all are told apart the slow way.
+    """
+    size = np.diff(starts, append=len(cp))
+    place = np.arange(len(cp)) - np.repeat(starts, size)
+    h = np.add.reduceat((cp.astype(np.uint64) + np.uint64(1)) * _FACTORS[place % _PLACES] * (place // _PLACES * 2 + 1).astype(np.uint64), starts)
+    h ^= h >> np.uint64(32)
+    _, first, number = np.unique(h * np.uint64(0x9E3779B97F4A7C15) + size.astype(np.uint64), return_index=True, return_inverse=True)
+    of = first[number]
+    if (size[of] == size).all() and (cp[np.minimum(np.repeat(starts[of], size) + place, len(cp) - 1)] == cp).all():
+        return first, number
+    seen: dict[bytes, int] = {}
+    number = np.array([seen.setdefault(cp[x:x + n].tobytes(), len(seen)) for x, n in zip(starts, size)])
+    return np.unique(number, return_index=True)[1], number
+
+
 class Encoder:
     """Encodes and decodes texts by one vocabulary file, given as its content."""
 
@@ -88,7 +155,7 @@ class Encoder:
                 raise ValueError("two merges make the same token")
             self.parts[made], self.made_at[made] = (vocab[a], vocab[b]), when
             self.merge_at[vocab[a], vocab[b]] = when
-        self._seams: dict[tuple[int, int], bool] = {}
+        self._seams: dict[int, bool] = {}
         # Left and right edge of a token: the tokens that stand there while it grows, and when each is absorbed.
         self._edges: dict[tuple[int, int], list[tuple[int, int]]] = {}
         self.token_of: dict[bytes, int] = {}
@@ -103,11 +170,8 @@ class Encoder:
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         for text, i in self.specials.items():
             self.token_bytes[i] = text.encode()
+        self.lengths = list(map(len, self.token_bytes))
         self._special = re.compile("(" + "|".join(sorted(map(re.escape, self.specials), key=len, reverse=True)) + ")") if self.specials else None
-        self._split = regex.compile(SPLIT)
-        # Assigned characters up to U+052F, on whose kind all Unicode versions agree.
-        self._beyond = re.compile("[\\u0378\\u0379\\u0380-\\u0383\\u038b\\u038d\\u03a2\\u0530-\\U0010ffff]")
-        self._unassigned: re.Pattern | None = None
         self._library = None
         self.known: dict[str, bytes] = {}  # word -> its ids as 32-bit integers
 
@@ -142,142 +206,135 @@ class Encoder:
             else:
                 j += 1
 
-    def _fits(self, a: int, b: int) -> bool:
-        key = (a, b)
-        ok = self._seams.get(key)
-        if ok is None:
-            if len(self._seams) > 1_000_000:
-                self._seams.clear()
-            ok = self._seams[key] = self._first_merge_across(a, b) is None
+    def _fits(self, seam: int) -> bool:
+        """Whether two tokens, packed into one number, may stand side by side."""
+        if len(self._seams) > 1_000_000:
+            self._seams.clear()
+        ok = self._seams[seam] = self._first_merge_across(seam >> 32, seam & 0xFFFFFFFF) is None
         return ok
 
     # -- trie ----------------------------------------------------------------
-    def _last_token(self, tail: bytes, last: list[int], depth: int) -> int:
-        """The last token of the encoding of the prefix of length ``depth`` that ends in ``tail``
-        (all of it, or as many bytes as the longest token has), given those of all shorter prefixes.
+    def encode_words(self, words: Iterable[bytes]) -> dict[bytes, tuple[int, ...]]:
+        """Ids of each distinct word, over one trie of all of them.
 
-        Exactly one token qualifies, so the order of trial does not matter; most are short.
+        Sorted, the words are the trie in depth-first order: a word's nodes are its prefixes, and
+        those it shares with the word before it stand on the path already. ``last`` holds the last
+        token at every node of the path, so each node of the trie is visited once.
         """
-        token_of, seams, start = self.token_of, self._seams, depth
-        for k in range(len(tail) - 1, -1, -1):
-            start -= 1
-            t = token_of.get(tail[k:])
-            if t is not None:
-                if start == 0:
-                    return t
-                ok = seams.get((last[start], t))
-                if ok or ok is None and self._fits(last[start], t):
-                    return t
-        raise ValueError("a byte is missing from the vocabulary")
-
-    def _read_back(self, last: list[int], depth: int) -> tuple[int, ...]:
-        out = []
-        while depth:
-            t = last[depth]
-            out.append(t)
-            depth -= len(self.token_bytes[t])
-        return tuple(out[::-1])
-
-    def encode_words(self, words: Iterable[bytes]) -> dict[bytes, tuple[int, ...]]:
-        """Ids of each distinct word, over one trie of all of them."""
+        token_of, seams, longest, lengths = self.token_of, self._seams, self.longest, self.lengths
         out: dict[bytes, tuple[int, ...]] = {}
-        root: dict = {}
-        for w in words:
-            if len(w) > LONG_WORD:
-                last = [0] * (len(w) + 1)
-                for depth in range(1, len(w) + 1):
-                    last[depth] = self._last_token(w[max(0, depth - self.longest):depth], last, depth)
-                out[w] = self._read_back(last, len(w))
-                continue
-            node = root
-            for b in w:
-                nxt = node.get(b)
-                if nxt is None:
-                    nxt = node[b] = {}
-                node = nxt
-            node[-1] = w  # a word ends here
-        last = [0] * (LONG_WORD + 1)
-        stack = [(root, 0, b"")]
-        while stack:
-            node, depth, tail = stack.pop()
-            if depth:
-                last[depth] = self._last_token(tail, last, depth)
-            tail = tail[-self.longest + 1:]
-            for b, child in node.items():
-                if b < 0:
-                    out[child] = self._read_back(last, depth)
+        path, last = b"", [0]
+        for word in sorted(words):
+            shared, most = 0, min(len(path), len(word))
+            while shared < most and word[shared] == path[shared]:
+                shared += 1
+            del last[shared + 1:]
+            for depth in range(shared + 1, len(word) + 1):
+                # The token that ends here: exactly one qualifies, so the order of trial does not
+                # matter; most are short.
+                for start in range(depth - 1, max(-1, depth - longest - 1), -1):
+                    token = token_of.get(word[start:depth])
+                    if token is not None:
+                        if start == 0:
+                            break
+                        seam = last[start] << 32 | token
+                        fits = seams.get(seam)
+                        if fits is None:
+                            fits = self._fits(seam)
+                        if fits:
+                            break
                 else:
-                    stack.append((child, depth + 1, tail + _BYTES[b]))
+                    raise ValueError("a byte is missing from the vocabulary")
+                last.append(token)
+            ids, depth = [], len(word)
+            while depth:  # read the encoding back along the last tokens
+                ids.append(last[depth])
+                depth -= lengths[last[depth]]
+            out[word] = tuple(ids[::-1])
+            path = word
         return out
 
     # -- texts ---------------------------------------------------------------
-    def words(self, piece: str) -> list[str]:
-        """The words of a text without special tokens."""
-        if self._beyond.search(piece) and self._has_unassigned(piece):
-            # Unicode versions differ on such characters; the library's own splitter decides.
-            if self._library is None:
-                from tokenizers import Tokenizer
-                self._library = Tokenizer.from_str(self.content.decode()).pre_tokenizer
-            return [bytes(self.byte_of[c] for c in w).decode("utf-8", "surrogateescape") for w, _ in self._library.pre_tokenize_str(piece)]
-        return self._split.findall(piece)
-
-    def _has_unassigned(self, piece: str) -> bool:
-        if self._unassigned is None:
-            ranges, start = [], None
-            for c in range(0x378, 0x110001):
-                gap = c < 0x110000 and unicodedata.category(chr(c)) == "Cn"
-                if gap and start is None:
-                    start = c
-                elif not gap and start is not None:
-                    ranges.append(f"\\U{start:08x}-\\U{c - 1:08x}")
-                    start = None
-            self._unassigned = re.compile("[" + "".join(ranges) + "]")
-        return self._unassigned.search(piece) is not None
+    def _library_starts(self, piece: str) -> np.ndarray:
+        """Word starts of a text with unassigned characters: the library's own splitter decides."""
+        if self._library is None:
+            from tokenizers import Tokenizer
+            self._library = Tokenizer.from_str(self.content.decode()).pre_tokenizer
+        words = [bytes(self.byte_of[c] for c in w).decode("utf-8", "surrogateescape") for w, _ in self._library.pre_tokenize_str(piece)]
+        return np.cumsum([0, *map(len, words[:-1])])
 
     def _pieces(self, text: str) -> list[str]:
         """The text cut at special tokens (which stay as pieces)."""
         return self._special.split(text) if self._special is not None else [text]
 
-    def _learn(self, words: set[str]) -> None:
-        new = words - self.known.keys()
-        if not new:
-            return
-        if len(self.known) + len(new) > KNOWN_WORDS:
-            self.known.clear()
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        """The ids of each of the distinct ``words`` as 32-bit integers; words not known yet are learnt."""
+        known = self.known
+        new = [w for w in words if w not in known]
+        if len(known) + len(new) > KNOWN_WORDS:
+            known.clear()
             new = words
         by_bytes = {w.encode("utf-8", "surrogateescape"): w for w in new}
         for b, ids in self.encode_words(by_bytes).items():
-            self.known[by_bytes[b]] = array("i", ids).tobytes()
+            known[by_bytes[b]] = array("i", ids).tobytes()
+        return list(map(known.__getitem__, words))
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
-        """Ids (int32) of each text, in order; words are learnt by chunks of about ``CHUNK_CHARS``."""
-        chunk: list[list[list[str] | bytes]] = []  # per text: words still to look up, or ids
+        """Ids (int32) of each text, in order; texts are taken in chunks of about ``CHUNK_CHARS``."""
+        parts: list[list[str | bytes]] = []  # per text: sections, or ids
         chars = 0
         for text in texts:
-            parts: list[list[str] | bytes] = []
+            parts.append([])
             for piece in self._pieces(text or ""):
                 if piece in self.specials:
-                    parts.append(array("i", [self.specials[piece]]).tobytes())
+                    parts[-1].append(array("i", [self.specials[piece]]).tobytes())
                     continue
                 for section in sections(piece):
-                    parts.append(self.words(section))
+                    parts[-1].append(section)
                     chars += len(section)
-                    if chars >= CHUNK_CHARS and len(section) < len(piece):  # a long text: its words become ids as they come
-                        self._learn({w for p in parts if isinstance(p, list) for w in p})
-                        parts, chars = [b"".join(map(self._joined, parts))], 0
-            chunk.append(parts)
-            if chars >= CHUNK_CHARS:
-                yield from self._flush(chunk)
-                chunk, chars = [], 0
-        yield from self._flush(chunk)
-
-    def _joined(self, part: list[str] | bytes) -> bytes:
-        return part if isinstance(part, bytes) else b"".join(map(self.known.__getitem__, part))
-
-    def _flush(self, chunk: list) -> Iterator[np.ndarray]:
-        self._learn({w for parts in chunk for p in parts if isinstance(p, list) for w in p})
-        for parts in chunk:
-            yield np.frombuffer(b"".join(map(self._joined, parts)), dtype=np.int32)
+                    if chars >= CHUNK_CHARS:
+                        self._look_up(parts)  # a long text's sections become ids as they come
+                        chars = 0
+            if not chars:
+                yield from self._done(parts)
+        self._look_up(parts)
+        yield from self._done(parts)
+
+    def _look_up(self, parts: list[list[str | bytes]]) -> None:
+        """Turn the sections of all texts into ids, all at once."""
+        held = [s for own in parts for s in own if isinstance(s, str)]
+        if not held:
+            return
+        text = "".join(held)
+        cp = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        ends = np.cumsum([len(s) for s in held])
+        begins = ends - [len(s) for s in held]
+        kind = kinds()[cp]
+        start = word_starts(cp, kind, begins)
+        unassigned = np.flatnonzero(kind == UNASSIGNED)
+        for k in np.unique(np.searchsorted(ends, unassigned, side="right")):
+            start[begins[k]:ends[k]] = False
+            start[begins[k] + self._library_starts(held[k])] = True
+        starts = np.flatnonzero(start)
+        first, number = distinct_words(cp, starts)
+        stops = np.append(starts[1:], len(cp))
+        coded = self._ids_of([text[x:y] for x, y in zip(starts[first].tolist(), stops[first].tolist())])
+        # Ids of the distinct words in a row, then of all words by their numbers.
+        size = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) // 4
+        flat, at = np.frombuffer(b"".join(coded), dtype=np.int32), np.cumsum(size) - size
+        own = size[number]
+        to = np.cumsum(own)
+        ids = flat[np.repeat(at[number] - (to - own), own) + np.arange(to[-1])]
+        cuts = np.concatenate(([0], to))[np.searchsorted(starts, np.concatenate((begins, [len(cp)])))]
+        section = iter([ids[x:y].tobytes() for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist())])
+        for own_parts in parts:
+            own_parts[:] = [b"".join(next(section) if isinstance(s, str) else s for s in own_parts)]
+
+    @staticmethod
+    def _done(parts: list[list[bytes]]) -> Iterator[np.ndarray]:
+        for own in parts:
+            yield np.frombuffer(b"".join(own), dtype=np.int32)
+        parts.clear()
 
     def decode(self, ids: Iterable[int]) -> str:
         return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
@@ -290,14 +347,15 @@ def sections(text: str, size: int = CHUNK_CHARS) -> Iterator[str]:
     """``text`` in sections of about ``size`` characters, cut before a single space between two
     characters that are not white space: a word always starts there."""
     start = 0
+    if not text:
+        return
     while len(text) - start > size:
         m = _SURE_END.search(text, start + size)
         if m is None:
             break
         yield text[start:m.start()]
         start = m.start()
-    if start < len(text) or start == 0:
-        yield text[start:]
+    yield text[start:]
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -365,7 +423,11 @@ def decode(spark: SparkSession, df: DataFrame, vocabulary: str, ids: str = "ids"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(content.value)
         for b in batches:
-            texts = pa.array((enc.decode(x.as_py() or ()) for x in b.column(at)), type=pa.string())
+            lists = b.column(at)
+            values = lists.values.to_numpy()
+            ends = [o.as_py() for o in lists.offsets]
+            # The slots of a null list may hold anything; its text is empty.
+            texts = pa.array((enc.decode(values[x:y].tolist()) if ok else "" for x, y, ok in zip(ends, ends[1:], lists.is_valid().to_pylist())), type=pa.string())
             yield pa.RecordBatch.from_arrays([*b.columns, texts], names=schema.names)
 
     return df.mapInArrow(run, schema)
