@@ -39,14 +39,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def materialize(spark: SparkSession, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to a fresh folder under the shared checkpoint folder and read it back.
 
     The written table cuts the lineage: a lost executor never makes a row number,
     a sample or a Python result be computed again with another outcome.
     """
     path = scratch_path(spark, "llm", name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -24,6 +24,7 @@ document in one block. Other columns are not read. An empty table gives an empty
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -119,26 +120,34 @@ class LibraryEncoder(bpe.Encoder):
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 0) -> DataFrame:
-    """Stored rows (doc_id, n, ids): the ids of each text and the end id, as 32-bit integers in a binary."""
+    """Stored rows (doc_id, n, ids): the ids of each text and the end id, as little-endian integers of
+    two bytes in a binary, or of four if the vocabulary has over 65,536 ids."""
     ship(spark)
     content = spark.sparkContext.broadcast(bpe.read_vocabulary(vocabulary))
-    end = np.array([end_id], dtype="<u4").tobytes()
+    spec = json.loads(content.value)
+    kind = "<u2" if max([end_id, *spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])]) < 1 << 16 else "<u4"
+    width, end = int(kind[2]), np.array([end_id], dtype=kind).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = bpe.encoder(content.value, LibraryEncoder)
         for b in batches:
             start, held, size = 0, [], 0
             for ids in enc.encode(t.as_py() for t in b.column(1)):
-                held.append(ids.astype("<u4").tobytes() + end)
+                held.append(ids.astype(kind).tobytes() + end)
                 size += len(held[-1])
                 if size >= 1 << 22 or start + len(held) == b.num_rows:
                     yield pa.RecordBatch.from_arrays(
-                        [b.column(0).slice(start, len(held)), pa.array([len(x) // 4 for x in held], type=pa.int64()), pa.array(held, type=pa.binary())],
+                        [b.column(0).slice(start, len(held)), pa.array([len(x) // width for x in held], type=pa.int64()), pa.array(held, type=pa.binary())],
                         names=["doc_id", "n", "ids"])
                     start, held, size = start + len(held), [], 0
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return materialize(spark, rows.mapInArrow(run, "doc_id long, n long, ids binary"), "token-rows")
+    return materialize(spark, rows.mapInArrow(run, "doc_id long, n long, ids binary"), "token-rows", compression="zstd")
+
+
+def _stored_ids(rows: bytes, n: int) -> np.ndarray:
+    """The ``n`` ids of stored rows."""
+    return np.frombuffer(rows, dtype=f"<u{len(rows) // max(1, n)}" if n else "<u4")
 
 
 def rank_table(spark: SparkSession, rows: DataFrame) -> list[tuple[int, int]]:
@@ -146,14 +155,14 @@ def rank_table(spark: SparkSession, rows: DataFrame) -> list[tuple[int, int]]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, dtype=np.int64)
         for b in batches:
-            own = np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), dtype="<u4"))
+            own = np.bincount(_stored_ids(b"".join(b.column(1).to_pylist()), sum(b.column(0).to_pylist())))
             if len(own) > len(total):
                 own, total = total, own
             total[:len(own)] += own
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["id", "n"])
 
-    counts = rows.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
+    counts = rows.select("n", "ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect()
     return sorted(((r["id"], r["n"]) for r in counts), key=lambda x: (-x[1], x[0]))
 
 
@@ -171,9 +180,9 @@ def write_store(spark: SparkSession, rows: DataFrame, path: str) -> None:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         doc_ids, held, size = [], [], 0
         for b in batches:
-            for doc_id, ids in zip(b.column(0).to_pylist(), b.column(1)):
+            for doc_id, n, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 doc_ids.append(doc_id)
-                held.append(ranks.value[np.frombuffer(ids.as_py(), dtype="<u4")])
+                held.append(ranks.value[_stored_ids(ids.as_py(), n)])
                 size += len(held[-1])
                 if size >= BLOCK_IDS:
                     yield pa.RecordBatch.from_arrays([pa.array([write_block(doc_ids, held)], type=pa.binary())], names=["block"])
@@ -185,7 +194,7 @@ def write_store(spark: SparkSession, rows: DataFrame, path: str) -> None:
     rows = rows.withColumn("crc", F.crc32("ids")).withColumn("row", F.monotonically_increasing_id())
     order = [F.col("doc_id").asc_nulls_first(), F.col("n"), F.col("crc"), F.col("row")]
     blocks = (rows.repartitionByRange(*order).sortWithinPartitions(*order)
-              .select("doc_id", "ids").mapInArrow(run, "block binary"))
+              .select("doc_id", "n", "ids").mapInArrow(run, "block binary"))
     # A cast keeps the bytes as they are; the text writer copies them and adds the newline.
     (blocks.select(F.col("block").cast("string").alias("value")).write.option("lineSep", "\n")
      .option("maxRecordsPerFile", BLOCKS_PER_FILE).text(f"{path}/blocks"))
