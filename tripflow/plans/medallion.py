@@ -22,9 +22,9 @@ from tripflow.operators.ingest import to_bronze
 from tripflow.operators.standardize import to_silver
 from tripflow.sources import catalog
 from tripflow.sources.landing import (
-    READ_ERRORS, STATUS_SCHEMA, expected_months, list_landing, month_bronze, month_parts, month_scans, unified_types, unusable_months,
+    READ_ERRORS, STATUS_SCHEMA, expected_months, list_landing, month_groups, month_parts, read_months, unified_types, united, unusable_months,
 )
-from tripflow.sources.sinks import write_part, write_partitioned, write_result
+from tripflow.sources.sinks import write_months, write_part, write_partitioned, write_result
 from tripflow.specs import PARTITION_COLUMNS, FeedSpec, QualitySpec
 
 
@@ -85,36 +85,42 @@ def ingest_bronze_from_landing(spark: SparkSession, spec: FeedSpec, landing_root
     """Landing files -> Bronze table; returns the per-month status frame (A13) as it was written.
 
     ``months`` names the months to load, and no others are touched; None means every month of the
-    spec and every month that landed. Each month is written by a job of its own, into its own partition folder, so one that
-    is missing, empty, unreadable or fails while it is read does not stop the others
-    (``strict=True`` raises before anything is written if one cannot be read). Rows are
+    spec and every month that landed. Months of one schema are written by one job; if that fails, each of them by a job of
+    its own. So a month that is missing, empty, unreadable or fails while it is read does not stop
+    the others (``strict=True`` raises before anything is written if one cannot be read). Rows are
     counted as they are written. Columns unknown to the spec go to Bronze with the type
     they already have there."""
     lake.create_databases(spark)
     files = list_landing(spark, landing_root, spec.prefix)
     wanted = expected_months(spec, files, months)
     errors: dict[str, str] = {}
-    frames = month_bronze(month_scans(spark, [f for f in files if f.month in wanted], errors), spec)
+    reads = read_months(spark, [f for f in files if f.month in wanted], errors)
+    groups = month_groups(spark, spec, reads)
     bad = unusable_months(spec, files, wanted, errors, spec.tag)
     if strict and bad:
         raise ValueError("incomplete landing: " + ", ".join(f"{spec.tag}/{m}:{status}" for m, (status, _) in sorted(bad.items())))
     table, path = lake.table("bronze", _feed_table(spec)), lake.path("bronze", _feed_table(spec))
     held = dict(spark.table(table).dtypes) if spark.catalog.tableExists(table) else {}
-    kinds = unified_types([df.schema for df in frames.values()], {**held, **dict(spec.bronze_types)})
-
-    def write(month: str) -> tuple[str, str, int, str | None]:
-        df = frames[month]
-        df = df.select([F.col(c).try_cast(kinds[c]).alias(c) if t != kinds[c] else F.col(c) for c, t in df.dtypes if c not in PARTITION_COLUMNS])
-        year, mon = month_parts(month)
+    kinds = unified_types([df.drop(*PARTITION_COLUMNS).schema for _, df in groups], {**held, **dict(spec.bronze_types)})
+    written: list[tuple[str, str, int, str | None]] = []
+    for months_alike, df in groups:
+        df = df.select([F.col(c).try_cast(kinds[c]).alias(c) if kinds.get(c, t) != t else F.col(c) for c, t in df.dtypes])
         try:
-            return month, "ok", write_part(df, f"{path}/partition_year={year}/partition_month={mon}", name=f"bronze_{spec.tag}_{month}"), None
-        except READ_ERRORS as exc:
-            return month, "error", 0, f"unreadable: {str(exc).strip().splitlines()[0][:300]}"
-
-    with ThreadPoolExecutor(max_workers=4) as pool:  # the months share the executors
-        written = list(pool.map(write, sorted(frames)))
+            rows_of = write_months(df, path, months_alike)
+        except READ_ERRORS:  # one of these months: write each by itself
+            rows_of = {}
+        for month in months_alike:
+            year, mon = month_parts(month)
+            try:
+                if not rows_of.get(month):  # not written yet, or a month without rows, whose old rows must go
+                    own = df.where((F.col("partition_year") == year) & (F.col("partition_month") == mon)) if len(months_alike) == 1 else \
+                        united([month_groups(spark, spec, {month: reads[month]})[0][1]], kinds)
+                    rows_of[month] = write_part(own.drop(*PARTITION_COLUMNS), f"{path}/partition_year={year}/partition_month={mon}")
+                written.append((month, "ok", rows_of[month], None))
+            except READ_ERRORS as exc:
+                written.append((month, "error", 0, f"unreadable: {str(exc).strip().splitlines()[0][:300]}"))
     if any(status == "ok" for _, status, _, _ in written):
-        schema = T.StructType([T.StructField(c, T._parse_datatype_string(k)) for c, k in kinds.items()])
+        schema = T.StructType([T.StructField(c, T._parse_datatype_string(k)) for c, k in {**kinds, **dict.fromkeys(PARTITION_COLUMNS, "int")}.items()])
         catalog.register_discovered(spark, table, path, schema=schema)
     rows = [(spec.tag, m, status, 0, reason) for m, (status, reason) in bad.items()]
     rows += [(spec.tag, m, status, n, reason) for m, status, n, reason in written]

@@ -5,7 +5,7 @@ path contains ``{prefix}_{YYYY-MM}``; the month comes from the path, never from
 the data. Every month is read with its own footer schema (merged over all its part
 files), lower-cased and soft-cast, and the months are united by name: columns the
 spec does not know stay, a month with an odd type or an unreadable file is one bad
-month and not the end of the others. The month is a constant of its scan.
+month and not the end of the others. Months of one schema share a scan.
 
 Listing uses the Hadoop FileSystem API, so the same code runs on any store
 Spark can read. It asks once per month entry for its size and never walks the part
@@ -100,8 +100,16 @@ def _concurrently(fn, items: list):
         return list(pool.map(fn, items))
 
 
-def month_scans(spark: SparkSession, files: list[LandedFile], errors: dict[str, str] | None = None) -> dict[str, DataFrame]:
-    """Month -> scan of all its files as they are, with the schema merged over all their footers.
+@dataclass(frozen=True)
+class MonthRead:
+    """How one month is read: its scan, and its paths if these read as one."""
+
+    df: DataFrame
+    paths: tuple[str, ...] | None
+
+
+def read_months(spark: SparkSession, files: list[LandedFile], errors: dict[str, str] | None = None) -> dict[str, MonthRead]:
+    """Month -> its files as they are, with the schema merged over all their footers.
 
     A month that Spark cannot read goes into ``errors`` (or raises, without ``errors``). If the part
     files of a month disagree on a type, each is read on its own and the parts are united.
@@ -109,22 +117,22 @@ def month_scans(spark: SparkSession, files: list[LandedFile], errors: dict[str,
     def read(item):
         month, paths = item
         try:
-            return month, spark.read.option("mergeSchema", "true").parquet(*paths), None
+            return month, MonthRead(spark.read.option("mergeSchema", "true").parquet(*paths), tuple(paths)), None
         except READ_ERRORS as exc:
             try:
                 parts = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
                 names = [r.path for r in parts.load(paths).where("length > 0").select("path").collect()]  # of one month
                 if len(names) < 2:
                     raise exc
-                return month, united([_settled(spark.read.parquet(n)) for n in sorted(names)]), None
+                return month, MonthRead(united([_settled(spark.read.parquet(n)) for n in sorted(names)]), None), None
             except READ_ERRORS as inner:
                 return month, None, inner
 
-    out: dict[str, DataFrame] = {}
-    for month, df, exc in _concurrently(read, sorted(_paths_by_month(files).items())):
-        pairs = name_collisions(df.schema) if exc is None else []
+    out: dict[str, MonthRead] = {}
+    for month, found, exc in _concurrently(read, sorted(_paths_by_month(files).items())):
+        pairs = name_collisions(found.df.schema) if exc is None else []
         if exc is None and not (pairs and errors is not None):
-            out[month] = df
+            out[month] = found
         elif errors is None:
             raise exc
         else:
@@ -132,6 +140,11 @@ def month_scans(spark: SparkSession, files: list[LandedFile], errors: dict[str,
     return out
 
 
+def month_scans(spark: SparkSession, files: list[LandedFile], errors: dict[str, str] | None = None) -> dict[str, DataFrame]:
+    """Month -> scan of all its files as they are (see :func:`read_months`)."""
+    return {month: r.df for month, r in read_months(spark, files, errors).items()}
+
+
 def month_schemas(spark: SparkSession, files: list[LandedFile], errors: dict[str, str] | None = None) -> dict[str, T.StructType]:
     """Footer schema per month, merged over all its part files (metadata only; no row is read).
     Zero-byte months have none."""
@@ -174,17 +187,36 @@ def unified_types(schemas: list[T.StructType], known: dict[str, str] | None = No
     return out
 
 
-def month_bronze(scans: dict[str, DataFrame], spec: FeedSpec) -> dict[str, DataFrame]:
-    """Month -> Bronze rows: lower-case, soft-cast, every column of the spec (null if the month
-    lacks it), unknown columns kept, the month as int partition columns."""
-    out = {}
-    for month, df in scans.items():
-        year, mon = month_parts(month)
-        bronze = to_bronze(df.drop("partition_year", "partition_month"), spec)
-        bronze = bronze.select("*", *[F.lit(None).cast(kind).alias(c) for c, kind in spec.bronze_types if c not in bronze.columns])
-        known = [c for c, _ in spec.bronze_types]
-        rest = [c for c in bronze.columns if c not in known]
-        out[month] = bronze.select(*known, *rest, F.lit(year).alias("partition_year"), F.lit(mon).alias("partition_month"))
+def bronze_of(df: DataFrame, spec: FeedSpec, year, month) -> DataFrame:
+    """Landed rows as Bronze rows: lower-case, soft-cast, every column of the spec (null if they
+    lack it), unknown columns kept, the month as int partition columns."""
+    bronze = to_bronze(df.drop("partition_year", "partition_month"), spec)
+    bronze = bronze.select("*", *[F.lit(None).cast(kind).alias(c) for c, kind in spec.bronze_types if c not in bronze.columns])
+    known = [c for c, _ in spec.bronze_types]
+    rest = [c for c in bronze.columns if c not in known and c not in ("_year", "_month")]
+    return bronze.select(*known, *rest, year.alias("partition_year"), month.alias("partition_month"))
+
+
+def month_groups(spark: SparkSession, spec: FeedSpec, reads: dict[str, MonthRead]) -> list[tuple[list[str], DataFrame]]:
+    """(months, Bronze rows) of all months that share a schema, by one scan each.
+
+    The month of a single one is a constant; in a scan of several it is cut from the file's path
+    (the seven characters after the last ``{prefix}_``).
+    """
+    alike: dict[str, list[str]] = {}
+    for month, r in sorted(reads.items()):
+        alike.setdefault(r.df.schema.json() if r.paths else month, []).append(month)
+    out = []
+    for months in alike.values():
+        first = reads[months[0]]
+        if len(months) == 1:
+            year, mon = month_parts(months[0])
+            out.append((months, bronze_of(first.df, spec, F.lit(year), F.lit(mon))))
+            continue
+        label = F.substring_index(F.col("_metadata.file_path"), f"{spec.prefix}_", -1)
+        df = (spark.read.schema(first.df.schema).parquet(*[p for m in months for p in reads[m].paths])
+              .withColumn("_year", F.substring(label, 1, 4).cast("int")).withColumn("_month", F.substring(label, 6, 2).cast("int")))
+        out.append((months, bronze_of(df, spec, F.col("_year"), F.col("_month"))))
     return out
 
 
@@ -195,11 +227,11 @@ def scan_landing(spark: SparkSession, spec: FeedSpec, root: str, months: tuple[s
     Columns: the spec's, the unknown ones, and ``partition_year``/``partition_month``.
     """
     files = list_landing(spark, root, spec.prefix) if files is None else files
-    frames = month_bronze(month_scans(spark, [f for f in files if months is None or f.month in months]), spec)
-    if not frames:
+    groups = month_groups(spark, spec, read_months(spark, [f for f in files if months is None or f.month in months]))
+    if not groups:
         return spark.createDataFrame([], T.StructType([*spec.bronze_schema, T.StructField("partition_year", T.IntegerType()),
                                                        T.StructField("partition_month", T.IntegerType())]))
-    return united([frames[m] for m in sorted(frames)])
+    return united([df for _, df in groups])
 
 
 def with_file_month(df: DataFrame, spec: FeedSpec, path_col: str) -> DataFrame:
@@ -256,19 +288,19 @@ def month_status(spark: SparkSession, spec: FeedSpec, root: str, feed: str | Non
     files = list_landing(spark, root, spec.prefix) if files is None else files
     wanted = expected_months(spec, files, months)
     errors: dict[str, str] = {}
-    scans = month_scans(spark, [f for f in files if f.month in wanted], errors)
-    counted = _rows_by_month(scans)
+    counted = _rows_by_month(spark, spec, read_months(spark, [f for f in files if f.month in wanted], errors))
     bad = unusable_months(spec, files, wanted, errors, feed)
     rows = [(feed, m, bad[m][0], 0, bad[m][1]) if m in bad else (feed, m, "ok", counted.get(m, 0), None) for m in wanted]
     return spark.createDataFrame(rows, STATUS_SCHEMA).orderBy(MES)
 
 
-def _rows_by_month(scans: dict[str, DataFrame]) -> dict[str, int]:
+def _rows_by_month(spark: SparkSession, spec: FeedSpec, reads: dict[str, MonthRead]) -> dict[str, int]:
     """Rows of every month, from one job over all of them."""
-    if not scans:
+    if not reads:
         return {}
-    counts = [df.agg(F.count(F.lit(1)).alias(LINHAS)).withColumn(MES, F.lit(m)) for m, df in scans.items()]
-    return {r[MES]: r[LINHAS] for r in reduce(DataFrame.unionByName, counts).collect()}  # one row per month
+    months = [df.select("partition_year", "partition_month") for _, df in month_groups(spark, spec, reads)]
+    counts = reduce(DataFrame.unionAll, months).groupBy("partition_year", "partition_month").count()
+    return {f"{y:04d}-{m:02d}": n for y, m, n in counts.collect()}  # one row per month
 
 
 def ingest_tally(status: DataFrame) -> DataFrame:
@@ -293,10 +325,10 @@ def file_volume(spark: SparkSession, spec: FeedSpec, root: str, files: list[Land
     so that files without rows count as well.
     """
     files = list_landing(spark, root, spec.prefix) if files is None else files
-    scans = month_scans(spark, files, {})
-    rows = _rows_by_month(scans)
-    sizes = {m: sum(f.size for f in files if f.month == m) for m in scans}
-    out = [(spec.tag, m, rows.get(m, 0), len(df.columns), round(sizes[m] / (1024 * 1024), 2)) for m, df in sorted(scans.items())]
+    reads = read_months(spark, files, {})
+    rows = _rows_by_month(spark, spec, reads)
+    sizes = {m: sum(f.size for f in files if f.month == m) for m in reads}
+    out = [(spec.tag, m, rows.get(m, 0), len(r.df.columns), round(sizes[m] / (1024 * 1024), 2)) for m, r in sorted(reads.items())]
     return spark.createDataFrame(out, f"feed string, {MES} string, {LINHAS} long, {COLUNAS} int, {TAMANHO_MB} double").orderBy(MES)
 
 

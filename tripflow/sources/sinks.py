@@ -68,6 +68,16 @@ def write_partitioned(
     return int(obs.get.get("rows", 0))
 
 
+def write_months(df: DataFrame, path: str, months: list[str], partition_cols: tuple[str, ...] = PARTITION_COLUMNS) -> dict[str, int]:
+    """K1: replace the partitions present in ``df`` and return the rows written for each of ``months`` ('YYYY-MM')."""
+    year, month = (F.col(c) for c in partition_cols)
+    obs = Observation("months")
+    counts = [F.count_if((year == int(m[:4])) & (month == int(m[5:]))).alias(m) for m in months]
+    (prepare_layout(df, partition_cols, "preserve").observe(obs, *counts)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path))
+    return {m: int(n) for m, n in obs.get.items()}
+
+
 def write_part(df: DataFrame, path: str, name: str = "part") -> int:
     """K1 for one partition: replace the folder ``path`` by ``df`` and return the rows written."""
     out, obs = observe_rows(df, name)
