@@ -38,11 +38,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it: once for each epoch of which it gives a word."""
+    """Every document as often as the mix takes it: once for each epoch of which it gives half of its words or more."""
     own = numbered(spark, docs, "_row", "mix-input")
     sizes = materialize(spark, own.select(F.col("_row").alias("uid"), "doc_id", "source", mixing.n_words(F.col("text")).alias("size")), "mix-sizes")
-    copies = (mixing.mix(spark, sizes).where("taken > 0")
-              .select(F.col("uid").alias("_row"), F.explode(F.expr("sequence(1, (taken + size - 1) div size)")).alias("_copy")))
+    copies = (mixing.mix(spark, sizes).where("2 * taken >= size AND size > 0")
+              .select(F.col("uid").alias("_row"), F.explode(F.expr("sequence(1, (2 * taken + size) div (2 * size))")).alias("_copy")))
     return own.join(copies, "_row").drop("_row", "_copy")
 
 

@@ -16,8 +16,11 @@ def test_features_do_not_depend_on_pieces_or_neighbours(monkeypatch):
     for piece in (1 << 21, 64, 7):
         monkeypatch.setattr(qm, "_PIECE", piece)
         doc, index, value = qm.features(texts, 16)
-        assert [[(int(i), round(float(v), 9)) for i, v in sorted(zip(index[doc == d], value[doc == d]))] for d in range(len(texts))] == [
-            [(i, round(v, 9)) for i, v in own] for own in alone] or piece < 64  # repeats across a cut count apart
+        got = [[(int(i), round(float(v), 9)) for i, v in sorted(zip(index[doc == d], value[doc == d]))] for d in range(len(texts))]
+        want = [[(i, round(v, 9)) for i, v in own] for own in alone]
+        if piece < 1 << 21:  # a repetition across the cut of a long text does not count
+            got, want = ([[f for f in own if f[0] != 1] for own in x] for x in (got, want))
+        assert got == want
     assert not len(qm.features([], 16)[0])
 
 

@@ -48,8 +48,8 @@ _CAPITAL = np.array([65 <= b <= 90 for b in range(256)])
 _SMALL = np.array([97 <= b <= 122 for b in range(256)])
 
 
-def _run_features(raw: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first byte, feature) of every run of letters or of signs, of the first four bytes of longer
+def _run_features(raw: np.ndarray, ends: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte, feature), for pieces of text that end at ``ends``, of every run of letters or of signs, of the first four bytes of longer
     runs of letters, and of runs that are in capitals (feature 0) or equal the run of letters before (feature 1)."""
     kind = _KIND[raw]
     starts = np.flatnonzero(np.concatenate(([True], kind[1:] != kind[:-1])))
@@ -69,7 +69,8 @@ def _run_features(raw: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     long = words[size[words] > 4]
     begin = np.add.reduceat(each, starts)[long] + _PRIME  # apart from a whole run of those four bytes
     loud = words[(np.add.reduceat(_CAPITAL[raw].astype(np.int64), starts) > 1)[words] & ~np.logical_or.reduceat(_SMALL[raw], starts)[words]]
-    again = words[1:][whole[words[1:]] == whole[words[:-1]]]
+    piece = np.searchsorted(ends, starts[words], side="right")
+    again = words[1:][(whole[words[1:]] == whole[words[:-1]]) & (piece[1:] == piece[:-1])]
     at = np.concatenate([words, signs, long, loud, again])
     fixed = np.repeat(np.array([0, 1]), [len(loud), len(again)])
     return starts[at], np.concatenate([index(whole[words]), index(whole[signs]), index(begin), fixed])
@@ -86,7 +87,7 @@ def features(texts: list[bytes | None], bits: int) -> tuple[np.ndarray, np.ndarr
         if held:
             raw = np.frombuffer(b" ".join(p for _, p in held) + b" ", dtype=np.uint8)
             ends = np.cumsum([len(p) + 1 for _, p in held])
-            at, index = _run_features(raw, bits)
+            at, index = _run_features(raw, ends, bits)
             doc = np.array([d for d, _ in held], dtype=np.int64)[np.searchsorted(ends, at, side="right")]
             k, n = np.unique(doc << bits | index, return_counts=True)
             keys.append(k)
