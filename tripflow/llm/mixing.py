@@ -117,11 +117,14 @@ def schedule(spark: SparkSession, targets: DataFrame, block: int = 1024, cells_l
               .select("slot", "source", "need_before", "need", F.expr(f"slot div {_CHUNK_SLOTS}").alias("chunk")))
 
     # Rank within the source: within a chunk of slots, plus the slots of earlier chunks. need_before names a source uniquely.
+    # Source and chunk in one key: as two, Spark may deal rows by the source alone, and a hot one is one task.
     per_chunk = placed.groupBy("need_before", "chunk").agg(F.count(F.lit(1)).alias("n"))
     earlier = Window.partitionBy("need_before").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_chunk.withColumn("ranks_before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
-    ranked = (placed.withColumn("in_chunk", F.row_number().over(Window.partitionBy("need_before", "chunk").orderBy("slot")) - 1)
-              .join(offsets, ["need_before", "chunk"])
+    part = F.concat_ws("/", "need_before", "chunk").alias("part")
+    offsets = per_chunk.withColumn("ranks_before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).select(part, "ranks_before")
+    ranked = (placed.select("*", part)
+              .withColumn("in_chunk", F.row_number().over(Window.partitionBy("part").orderBy("slot")) - 1)
+              .join(offsets, "part")
               .withColumn("rank", F.col("ranks_before") + F.col("in_chunk"))
               .where("rank < need").select("slot", "need_before", "rank"))
     got = per_chunk.groupBy("need_before").agg(F.sum("n").alias("got"))
