@@ -76,6 +76,10 @@ def repeated_words(words: Column) -> Column:
     (the distinct windows are as many) end there; in others the windows are sorted with their
     places, equal neighbours marked, and the words under the marked windows counted once.
     """
+    return _let(words, _repeated_words)
+
+
+def _repeated_words(words: Column) -> Column:
     windows = F.transform(words, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
     windows = F.slice(windows, 1, F.greatest(F.size(words) - 2, F.lit(0)))
 
@@ -111,7 +115,11 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def ledger(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with its measurements and ``fail_bits`` (bit k set: rule k failed)."""
+    """``df`` with its measurements and ``fail_bits`` (bit k set: rule k failed).
+
+    Store the ledger before filtering by it: a filter directly above makes Spark push
+    the condition down and measure the texts once for every place that names a measurement.
+    """
     clash = {*MEASURES, "fail_bits"} & set(df.columns)
     if clash:
         raise ValueError(f"the input already has columns of the ledger: {sorted(clash)}")
