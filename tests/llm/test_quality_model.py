@@ -6,8 +6,9 @@ import duckdb
 import numpy as np
 import pytest
 
+from tests.conftest import SF_SMALL
 from tripflow.llm import quality_model as qm
-from tripflow.llm.queries import GOOD, N_GRADES
+from tripflow.llm.queries import GOOD, N_GRADES, QUERIES
 
 
 def test_features_do_not_depend_on_pieces_or_neighbours(monkeypatch):
@@ -90,3 +91,35 @@ def test_no_ratings_no_documents_and_clashing_names(spark):
     assert qm.classify(spark, docs.limit(0), rated, 3, 2).count() == 0
     with pytest.raises(ValueError):
         qm.classify(spark, docs.withColumnRenamed("grade", "tail"), rated, 3, 2)
+
+
+def test_a_rare_grade_is_learnt(spark):
+    texts, grades = made(1500, 4)
+    toxic = np.flatnonzero(grades == 0)
+    keep = np.sort(np.concatenate([np.flatnonzero(grades > 0), toxic[:12]]))  # 12 of about 1,000
+    rows = [(int(k), texts[k].decode(), int(grades[k])) for k in keep] + [(int(k), texts[k].decode(), None) for k in toxic[12:]]
+    both = spark.createDataFrame(rows, "doc_id long, text string, grade int")
+    assert qm.per_grade({0: 12, 1: 500, 2: 500}, 300) == {0: 12, 1: 144, 2: 144}
+    got = {r.doc_id: r.kept for r in qm.classify(spark, both.drop("grade"), both.select("doc_id", "grade"), 3, 2, sample=300).collect()}
+    assert not any(got[int(k)] for k in toxic[:12])
+    assert np.mean([got[int(k)] for k in toxic[12:]]) < 0.02
+    assert np.mean([got[int(k)] for k in np.flatnonzero(grades == 2)]) > 0.9
+
+    # The same 12, when the other grades stand for 300 times as many ratings (0.004 %).
+    model = qm.fit([texts[k] for k in keep], grades[keep], 3, weights=np.where(grades[keep] == 0, 1.0, 300.0))
+    tail = model.tails(texts)[:, 1]
+    assert (tail[grades == 0] < 0.4).all() and (tail[grades == 2] >= 0.4).mean() > 0.95
+
+
+def test_fewer_than_twenty_ratings(spark):
+    rows = [(k, f"{'awful stuff' if k % 3 == 0 else 'fine words here'} number {k}", 0 if k % 3 == 0 else 2) for k in range(12)]
+    both = spark.createDataFrame(rows, "doc_id long, text string, grade int")
+    got = {r.doc_id: r.kept for r in qm.classify(spark, both.drop("grade"), both.select("doc_id", "grade"), 3, 2).collect()}
+    assert got == {k: g == 2 for k, _, g in rows}
+
+
+def test_labelled_toxic_documents_of_the_small_tables_are_rejected(spark):
+    labels = duckdb.sql(f"SELECT doc_id, quality, toxic FROM '{SF_SMALL}/labels.parquet'").fetchall()
+    got = {r.doc_id: r.kept for r in QUERIES["op6_quality_classifier"](spark, SF_SMALL).collect()}
+    assert not any(got[i] for i, _, toxic in labels if toxic == 1)
+    assert all(got[i] for i, quality, toxic in labels if quality == 1 and toxic == 0)

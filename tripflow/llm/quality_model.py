@@ -12,9 +12,12 @@ Features are runs of letters and digits (A-Z folded), the beginnings of longer o
 of other signs; runs in capitals and runs repeated at once count for two features of their own.
 A feature's value is the logarithm of its occurrences. They are computed on bytes by numpy over whole texts, in bounded pieces cut at white space.
 
-The model is fitted on a bounded sample of rated documents (``sample``: the rated ids
-that come first by hash), on the driver: at most ``sample`` times a document's distinct
-features, and those are no more than ``2**bits``. Scoring broadcasts the weights
+The model is fitted on a bounded sample of rated documents (``sample``: as many of each
+grade, those that come first by hash; what a rare grade leaves goes to the others), on the
+driver: at most ``sample`` times a document's distinct features, and those are no more than
+``2**bits``. A sampled document weighs as many ratings as it stands for, but a grade counts
+for ``_LEAST_SHARE / K`` of all at least, since the ridge would otherwise drown a rare one; the
+thresholds are then fitted anew to the true shares. Scoring broadcasts the weights
 (4 * 2**bits bytes). All documents are scored.
 
 Null, empty and white-space texts have no features: their score is 0 and the thresholds alone decide.
@@ -28,6 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +44,7 @@ from tripflow.llm.common import ship
 _PIECE = 1 << 21  # bytes hashed at once
 _PRIME = np.uint64(0x100000001B3)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_LEAST_SHARE = 0.3  # of an even share
 
 # Kind of each byte: 0 white space, 1 letter, digit or part of a character beyond ASCII, 2 other sign.
 _KIND = np.array([0 if b in (32, 9, 10, 11, 12, 13) else 1 if b >= 128 or chr(b).isalnum() else 2 for b in range(256)], dtype=np.uint8)
@@ -142,50 +147,82 @@ class OrdinalModel:
 
 
 def fit(texts: list[bytes | None], grades: np.ndarray, n_grades: int, bits: int = 18, ridge: float = 3e-4, steps: int = 300,
-        rate: float = 0.05, least_docs: int = 20) -> OrdinalModel:
-    """Fit by Adam on the mean negative log-likelihood plus ``ridge`` times the squared weights.
+        rate: float = 0.05, least_docs: int | None = None, weights: np.ndarray | None = None) -> OrdinalModel:
+    """Fit by Adam on the weighted mean negative log-likelihood plus ``ridge`` times the squared weights.
 
-    Thresholds are a first one and positive gaps (kept as logarithms), so their order holds. Features
-    of fewer than ``least_docs`` documents keep the weight 0: they say nothing about other texts.
+    Thresholds are a first one and positive gaps (kept as logarithms), so their order holds. Features of fewer than
+    ``least_docs`` documents keep the weight 0 (a twentieth of the rarest grade's documents, 2 to 20, if not given).
+    ``weights`` are the ratings that each text stands for (1 if not given).
     """
     doc, index, value = features(texts, bits)
+    n = len(grades)
+    seen = np.bincount(grades, minlength=n_grades)
+    if least_docs is None:
+        least_docs = int(np.clip(seen[seen > 0].min() // 20, 2, 20))
     common = np.bincount(index, minlength=1 << bits)[index] >= least_docs
     doc, value = doc[common], value[common]
     used, column = np.unique(index[common], return_inverse=True)
-    n = len(grades)
-    weight = np.full(n, 1 / n)
+    true = np.ones(n) if weights is None else weights
+    true = true / true.sum()
+    share = np.bincount(grades, weights=true, minlength=n_grades)
+    raised = true * (np.maximum(share, _LEAST_SHARE / n_grades) / np.where(seen > 0, share, 1))[grades]
     w = np.zeros(len(used))
     free = np.concatenate([[-(n_grades - 2) / 2], np.zeros(n_grades - 2)])  # first threshold, log gaps
-    params = [w, free]
-    first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-    for step in range(1, steps + 1):
-        t = np.cumsum(np.concatenate([free[:1], np.exp(free[1:])]))
-        edges = np.concatenate([[-np.inf], t, [np.inf]])
+
+    def descend(weight: np.ndarray, params: list[np.ndarray]) -> None:
+        """Fit ``params`` in place: the thresholds, and the features' weights if they are among them."""
+        first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
         s = np.bincount(doc, weights=w[column] * value, minlength=n)
-        upper, lower = _sigmoid(np.clip(edges[grades + 1] - s, -40, 40)), _sigmoid(np.clip(edges[grades] - s, -40, 40))
-        p = np.maximum(upper - lower, 1e-12)
-        d_upper, d_lower = upper * (1 - upper) / p, lower * (1 - lower) / p
-        d_score = weight * (d_upper - d_lower)  # of the loss
-        d_t = np.bincount(grades, weights=-weight * d_upper, minlength=n_grades)[:-1] + np.bincount(grades, weights=weight * d_lower, minlength=n_grades)[1:]
-        tail = np.cumsum(d_t[::-1])[::-1]
-        grads = [np.bincount(column, weights=d_score[doc] * value, minlength=len(used)) + 2 * ridge * w,
-                 np.concatenate([tail[:1], tail[1:] * np.exp(free[1:])])]
-        for x, g, m, v in zip(params, grads, first, second):
-            m += 0.1 * (g - m)
-            v += 0.001 * (g * g - v)
-            x -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    weights = np.zeros(1 << bits, dtype=np.float32)
-    weights[used] = w
-    return OrdinalModel(bits, weights, np.cumsum(np.concatenate([free[:1], np.exp(free[1:])])))
-
-
-def rated_sample(spark: SparkSession, docs: DataFrame, grades: DataFrame, sample: int, doc_id: str, text: str) -> tuple[list[bytes | None], np.ndarray]:
-    """Texts and grades of the ``sample`` rated ids that come first by hash (fewer if there are fewer)."""
-    chosen = (grades.where("doc_id IS NOT NULL AND grade IS NOT NULL").groupBy("doc_id").agg(F.min("grade").alias("grade"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample))
+        for step in range(1, steps + 1):
+            t = np.cumsum(np.concatenate([free[:1], np.exp(free[1:])]))
+            edges = np.concatenate([[-np.inf], t, [np.inf]])
+            upper, lower = _sigmoid(np.clip(edges[grades + 1] - s, -40, 40)), _sigmoid(np.clip(edges[grades] - s, -40, 40))
+            p = np.maximum(upper - lower, 1e-12)
+            d_upper, d_lower = upper * (1 - upper) / p, lower * (1 - lower) / p
+            d_score = weight * (d_upper - d_lower)  # of the loss
+            d_t = np.bincount(grades, weights=-weight * d_upper, minlength=n_grades)[:-1] + np.bincount(grades, weights=weight * d_lower, minlength=n_grades)[1:]
+            tail = np.cumsum(d_t[::-1])[::-1]
+            grads = [np.concatenate([tail[:1], tail[1:] * np.exp(free[1:])])]
+            if len(params) > 1:
+                grads.append(np.bincount(column, weights=d_score[doc] * value, minlength=len(used)) + 2 * ridge * w)
+            for x, g, m, v in zip(params, grads, first, second):
+                m += 0.1 * (g - m)
+                v += 0.001 * (g * g - v)
+                x -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+            if len(params) > 1:
+                s = np.bincount(doc, weights=w[column] * value, minlength=n)
+
+    descend(raised / raised.sum(), [free, w])
+    if (share[seen > 0] < _LEAST_SHARE / n_grades).any():
+        descend(true, [free])
+    learnt = np.zeros(1 << bits, dtype=np.float32)
+    learnt[used] = w
+    return OrdinalModel(bits, learnt, np.cumsum(np.concatenate([free[:1], np.exp(free[1:])])))
+
+
+def per_grade(counts: dict[int, int], sample: int) -> dict[int, int]:
+    """How many ratings of each grade a sample takes: as many of each, and what a rare one leaves goes to the others."""
+    out, left = {}, sample
+    for k, (grade, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        out[grade] = min(n, left // (len(counts) - k))
+        left -= out[grade]
+    return out
+
+
+def rated_sample(spark: SparkSession, docs: DataFrame, grades: DataFrame, sample: int, doc_id: str,
+                 text: str) -> tuple[list[bytes | None], np.ndarray, np.ndarray]:
+    """Texts, grades and weights of ``sample`` rated ids (fewer if there are fewer): of each grade those that come first by hash."""
+    rated = grades.where("doc_id IS NOT NULL AND grade IS NOT NULL").groupBy("doc_id").agg(F.min("grade").alias("grade"))
+    counts = {r["grade"]: r["count"] for r in rated.groupBy("grade").count().collect()}
+    taken = {g: n for g, n in per_grade(counts, sample).items() if n}
+    if not taken:
+        return [], np.zeros(0, np.int64), np.zeros(0)
+    chosen = reduce(DataFrame.unionByName, [rated.where(F.col("grade") == g).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+                                            for g, n in sorted(taken.items())])
     rows = (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text")).join(chosen, "doc_id")
             .groupBy("doc_id").agg(F.min("text").alias("text"), F.min("grade").alias("grade")).orderBy("doc_id").collect())
-    return [None if r["text"] is None else bytes(r["text"]) for r in rows], np.array([r["grade"] for r in rows], dtype=np.int64)
+    return ([None if r["text"] is None else bytes(r["text"]) for r in rows], np.array([r["grade"] for r in rows], dtype=np.int64),
+            np.array([counts[r["grade"]] / taken[r["grade"]] for r in rows], dtype=np.float64))
 
 
 def classify(spark: SparkSession, docs: DataFrame, grades: DataFrame, n_grades: int, keep_from: int, least_tail: float = 0.4,
@@ -200,11 +237,11 @@ def classify(spark: SparkSession, docs: DataFrame, grades: DataFrame, n_grades:
     clash = {f.name for f in new} & set(docs.columns)
     if clash:
         raise ValueError(f"the input already has columns of the result: {sorted(clash)}")
-    texts, known = rated_sample(spark, docs, grades, sample, doc_id, text)
+    texts, known, weights = rated_sample(spark, docs, grades, sample, doc_id, text)
     rest = [c for c in docs.columns if keep_text or c != text]
     if not len(known):
         return docs.select(*rest, F.lit(None).cast("double").alias("expected_grade"), F.lit(None).cast("double").alias("tail"), F.lit(True).alias("kept"))
-    model = spark.sparkContext.broadcast(fit(texts, known, n_grades, bits))
+    model = spark.sparkContext.broadcast(fit(texts, known, n_grades, bits, weights=weights))
     scored = docs.select(*rest, F.col(text).cast("binary").alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
