@@ -185,3 +185,29 @@ def test_stream_keeps_unknown_columns_and_counts_every_batch(spark, drift_landin
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", old)
     out = spark.read.option("mergeSchema", "true").parquet(tmp_dir + "/b")
     assert [r.new_col for r in out.where("new_col IS NOT NULL").collect()] == ["kept"]
+
+
+def test_a_month_landed_again_with_damaged_pages_keeps_its_earlier_rows(spark, tmp_dir):
+    from tripflow.plans.medallion import Lake, ingest_bronze_from_landing
+
+    def ids(*values):
+        return pa.table({"VendorID": pa.array(values, pa.int64()), "total_amount": pa.array([1.0] * len(values))})
+
+    landing, lake = tmp_dir + "/landing", Lake(tmp_dir + "/lake", "cut_bronze", "cut_silver", "cut_gold")
+    os.makedirs(landing)
+    for month, values in (("2023-01", (1, 2)), ("2023-02", (3,)), ("2023-03", (4,))):
+        _month(landing, month, ids(*values))
+    months = ("2023-01", "2023-02", "2023-03")
+    ingest_bronze_from_landing(spark, SPEC, landing, lake, months)
+    for together in (True, False):  # the damaged month in a group, and by itself
+        _month(landing, "2023-01", ids(*range(1000)))
+        with open(month_file(landing, SPEC.prefix, "2023-01"), "r+b") as f:
+            f.seek(4)
+            f.write(b"\xff" * 1000)  # the first data pages; the footer is whole
+        _month(landing, "2023-02", ids(5, 6))
+        _month(landing, "2023-03", ids())
+        status = ingest_bronze_from_landing(spark, SPEC, landing, lake, months if together else ("2023-01",))
+        assert {r.mes: (r.status, r.linhas) for r in status.collect()} == \
+            {"2023-01": ("error", 0), **({"2023-02": ("ok", 2), "2023-03": ("ok", 0)} if together else {})}
+        rows = spark.read.parquet(lake.path("bronze", "yellow_trips")).select("partition_month", "vendorid").collect()
+        assert sorted(map(tuple, rows)) == [(1, 1), (1, 2), (2, 5), (2, 6)]

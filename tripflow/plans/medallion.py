@@ -112,10 +112,11 @@ def ingest_bronze_from_landing(spark: SparkSession, spec: FeedSpec, landing_root
         for month in months_alike:
             year, mon = month_parts(month)
             try:
-                if not rows_of.get(month):  # not written yet, or a month without rows, whose old rows must go
-                    own = df.where((F.col("partition_year") == year) & (F.col("partition_month") == mon)) if len(months_alike) == 1 else \
-                        united([month_groups(spark, spec, {month: reads[month]})[0][1]], kinds)
-                    rows_of[month] = write_part(own.drop(*PARTITION_COLUMNS), f"{path}/partition_year={year}/partition_month={mon}")
+                if month not in rows_of:  # not written yet: replaced only on commit, so a failure keeps its old rows
+                    own = df if len(months_alike) == 1 else united([month_groups(spark, spec, {month: reads[month]})[0][1]], kinds)
+                    rows_of.update(write_months(own, path, [month]))
+                if not rows_of[month]:  # read well and without rows: its old rows must go
+                    write_part(df.drop(*PARTITION_COLUMNS).limit(0), f"{path}/partition_year={year}/partition_month={mon}")
                 written.append((month, "ok", rows_of[month], None))
             except READ_ERRORS as exc:
                 written.append((month, "error", 0, f"unreadable: {str(exc).strip().splitlines()[0][:300]}"))

@@ -79,7 +79,8 @@ def write_months(df: DataFrame, path: str, months: list[str], partition_cols: tu
 
 
 def write_part(df: DataFrame, path: str, name: str = "part") -> int:
-    """K1 for one partition: replace the folder ``path`` by ``df`` and return the rows written."""
+    """K1 for one partition: replace the folder ``path`` by ``df`` and return the rows written. The
+    old files go before ``df`` is read, so this is only for rows that cannot fail."""
     out, obs = observe_rows(df, name)
     out.write.mode("overwrite").parquet(path)
     return int(obs.get.get("rows", 0))
