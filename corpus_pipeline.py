@@ -27,7 +27,7 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     ledger = quality_rules.ledger(docs.select("text", row.alias("doc"))).select("doc", "fail_bits")
     stored = materialize(spark, ledger, "rules-ledger")
-    return quality_rules.apply_policy(stored, quality_rules.POLICIES["v2"]).where("kept").select("doc.*")
+    return quality_rules.apply_policy(stored, quality_rules.POLICIES["v3"]).where("kept").select("doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

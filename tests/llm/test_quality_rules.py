@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 
+import corpus_pipeline
 from tripflow.llm import quality_rules as qr
 
 TEXTS = [None, "", " \n\t ", "one", "a b c a b c", "a a a a", "x y\nx y\n \nx y", "#$ %& |<>* ok", "word " * 60, " ".join(f"w{k}" for k in range(80)),
@@ -55,3 +56,8 @@ def test_empty_table_and_clashing_names(spark):
     assert {(r.rejects, r.kept) for r in qr.ablations(empty, qr.POLICIES["v2"]).collect()} == {(0, 0)}
     with pytest.raises(ValueError):
         qr.ledger(frame(spark, TEXTS).withColumnRenamed("kept_before", "n_words"))
+
+
+def test_the_pipeline_keeps_a_clean_text_of_over_a_million_words(spark):
+    long = spark.createDataFrame([(1, " ".join(f"w{k}" for k in range(1_000_001)))], "doc_id long, text string")
+    assert [r.doc_id for r in corpus_pipeline.rules(spark, long, "").select("doc_id").collect()] == [1]

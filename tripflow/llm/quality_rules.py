@@ -61,6 +61,7 @@ POLICIES = {p.version: p for p in (
     Policy("base", ("few_words", "repeated_words")),
     Policy("v1", ("few_words", "repeated_words", "many_words", "short_words", "long_words", "symbols")),
     Policy("v2", tuple(RULES)),
+    Policy("v3", tuple(r for r in RULES if r != "many_words")),  # length alone rejects no text
 )}
 
 
