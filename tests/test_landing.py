@@ -211,3 +211,17 @@ def test_a_month_landed_again_with_damaged_pages_keeps_its_earlier_rows(spark, t
             {"2023-01": ("error", 0), **({"2023-02": ("ok", 2), "2023-03": ("ok", 0)} if together else {})}
         rows = spark.read.parquet(lake.path("bronze", "yellow_trips")).select("partition_month", "vendorid").collect()
         assert sorted(map(tuple, rows)) == [(1, 1), (1, 2), (2, 5), (2, 6)]
+
+
+def test_parts_that_disagree_are_all_read_whatever_their_ending(spark, tmp_dir):
+    folder = f"{tmp_dir}/landing_file={SPEC.prefix}_2023-01"
+    os.makedirs(folder)
+    for k, (name, kind) in enumerate((("part-0.parquet", pa.int64()), ("part-1.parquet", pa.string()), ("part-00002", pa.int64()), ("part-3.parq", pa.int64()))):
+        pq.write_table(pa.table({"VendorID": pa.array([k]).cast(kind)}), f"{folder}/{name}")
+    with open(folder + "/_SUCCESS.txt", "wb") as f:
+        f.write(b"hidden")
+    assert sorted(r.vendorid for r in scan_landing(spark, SPEC, tmp_dir).collect()) == [0, 1, 2, 3]
+    with open(folder + "/part-00004", "wb") as f:
+        f.write(b"no parquet here" * 100)
+    status = {r.mes: r.status for r in month_status(spark, SPEC, tmp_dir).collect()}
+    assert status["2023-01"] == "error"

@@ -112,7 +112,7 @@ def read_months(spark: SparkSession, files: list[LandedFile], errors: dict[str,
     """Month -> its files as they are, with the schema merged over all their footers.
 
     A month that Spark cannot read goes into ``errors`` (or raises, without ``errors``). If the part
-    files of a month disagree on a type, each is read on its own and the parts are united.
+    files of a month disagree on a type, each is read on its own, whatever its ending, and the parts are united.
     """
     def read(item):
         month, paths = item
@@ -120,7 +120,7 @@ def read_months(spark: SparkSession, files: list[LandedFile], errors: dict[str,
             return month, MonthRead(spark.read.option("mergeSchema", "true").parquet(*paths), tuple(paths)), None
         except READ_ERRORS as exc:
             try:
-                parts = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+                parts = spark.read.format("binaryFile").option("recursiveFileLookup", "true")  # hidden files are left out
                 names = [r.path for r in parts.load(paths).where("length > 0").select("path").collect()]  # of one month
                 if len(names) < 2:
                     raise exc
