@@ -225,3 +225,13 @@ def test_parts_that_disagree_are_all_read_whatever_their_ending(spark, tmp_dir):
         f.write(b"no parquet here" * 100)
     status = {r.mes: r.status for r in month_status(spark, SPEC, tmp_dir).collect()}
     assert status["2023-01"] == "error"
+
+
+def test_file_volume_key_compares_the_size_with_the_files(spark, monkeypatch):
+    from tests.conftest import SF_SMALL
+    from tripflow.plans import registry
+
+    assert {r.tem_tamanho for r in registry.QUERIES["file_volume"](spark, SF_SMALL).collect()} == {True}
+    real = registry.landing.file_volume
+    monkeypatch.setattr(registry.landing, "file_volume", lambda *a, **k: real(*a, **k).withColumn("tamanho_mb", F.col("tamanho_mb") + 7))
+    assert {r.tem_tamanho for r in registry.QUERIES["file_volume"](spark, SF_SMALL).collect()} == {False}

@@ -190,12 +190,16 @@ def _landed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
 
 @register
 def file_volume(spark, sf_dir):
-    """Rows and columns per landed month, and whether its size in MB is known. The MB
-    themselves depend on the writer, so the key compares them with the bytes of the files."""
+    """Rows and columns per landed month, and whether its size is known: its files have bytes
+    and the MB are those of their lengths (the MB themselves depend on the writer)."""
     frames = []
     for tag, path in _landed(spark, sf_dir).items():
-        volume = landing.file_volume(spark, layers.FEEDS[tag], path)
-        frames.append(volume.select("feed", "mes", "linhas", "colunas", (F.col("tamanho_mb") >= 0).alias("tem_tamanho")))
+        files = landing.list_landing(spark, path, layers.FEEDS[tag].prefix)
+        volume = landing.file_volume(spark, layers.FEEDS[tag], path, files=files)
+        held = F.coalesce("bytes", F.lit(0))
+        known = (held > 0) & (F.col("tamanho_mb") == F.bround(held / (1024 * 1024), 2))
+        frames.append(volume.join(landing.stored_bytes(spark, layers.FEEDS[tag], files), "mes", "left")
+                      .select("feed", "mes", "linhas", "colunas", known.alias("tem_tamanho")))
     return union_all(*frames)
 
 

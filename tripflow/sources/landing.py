@@ -332,6 +332,16 @@ def file_volume(spark: SparkSession, spec: FeedSpec, root: str, files: list[Land
     return spark.createDataFrame(out, f"feed string, {MES} string, {LINHAS} long, {COLUNAS} int, {TAMANHO_MB} double").orderBy(MES)
 
 
+def stored_bytes(spark: SparkSession, spec: FeedSpec, files: list[LandedFile]) -> DataFrame:
+    """(mes, bytes) of the landed files as Spark lists them (lengths only; no content is read)."""
+    paths = [f.path for f in files if f.size > 0]
+    if not paths:
+        return spark.createDataFrame([], f"{MES} string, bytes long")
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths).select("path", "length")
+    mes = F.format_string("%04d-%02d", F.col("partition_year"), F.col("partition_month"))
+    return with_file_month(found, spec, "path").groupBy(mes.alias(MES)).agg(F.sum("length").alias("bytes"))
+
+
 def land_feed(raw: DataFrame, spec: FeedSpec, root: str, mode: str = "overwrite") -> str:
     """Write a raw feed into the landing layout in ONE distributed job: one
     directory per month named ``landing_file={prefix}_{YYYY-MM}``. The rebalance
