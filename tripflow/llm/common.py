@@ -35,6 +35,13 @@ def ship(spark: SparkSession) -> None:
         _SHIPPED.add(app)
 
 
+def bound_batches(spark: SparkSession, most_rows: int = 1024) -> None:
+    """Let a batch of whole texts that goes to Python have at most ``most_rows`` rows (Spark bounds batches by rows alone)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= most_rows:
+        spark.conf.set(key, str(most_rows))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -64,9 +71,9 @@ def small_frame(spark: SparkSession, rows: list[dict], schema: pa.Schema) -> Dat
 
 
 def rank_rows(spark: SparkSession, df: DataFrame, order: list[Column], name: str,
-              totals: tuple[str, ...] = ()) -> DataFrame:
+              totals: tuple[str, ...] = (), drop: tuple[str, ...] = ()) -> DataFrame:
     """Add ``row_no`` (0, 1, ... in ``order``) and, for each column c of ``totals``,
-    ``c_before``: the sum of c over all earlier rows.
+    ``c_before``: the sum of c over all earlier rows. The columns ``drop`` serve the order alone.
 
     No window over the whole table: rows are range-partitioned and sorted, numbered
     within their partition, and shifted by the sizes of the partitions before. Only
@@ -75,7 +82,7 @@ def rank_rows(spark: SparkSession, df: DataFrame, order: list[Column], name: str
     that is cheap to read.
     """
     ordered = (df.repartitionByRange(*order).sortWithinPartitions(*order)
-               .withColumn("_at", F.monotonically_increasing_id()))
+               .withColumn("_at", F.monotonically_increasing_id()).drop(*drop))
     ordered = materialize(spark, ordered, name).withColumn("_part", F.shiftright("_at", _ROW_BITS))
     parts = (ordered.groupBy("_part")
              .agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in totals])

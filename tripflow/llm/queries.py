@@ -8,7 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.llm import bpe, mixing, quality_model, quality_rules, sharding, simhash, token_store, topk, url_filter, warc
+from tripflow.llm import (bpe, conversation_trie, mixing, phrases, quality_model, quality_rules, sharding, simhash, substring_dedup, token_store,
+                          topk, url_filter, warc)
 from tripflow.llm.common import small_frame, table
 from tripflow.session import scratch_path
 
@@ -247,3 +248,119 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected grade and probability of the good grade of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality_model.classify(spark, docs, label_grades(spark, sf_dir), N_GRADES, GOOD)
+
+
+@register
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of the rebuilt conversations."""
+    turns, sizes = conversation_trie.rebuilt(spark, table(spark, sf_dir, "conversations"))
+    return conversation_trie.trie(spark, turns, sizes)
+
+
+@register
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of each language."""
+    return phrases.collocations(spark, table(spark, sf_dir, "documents"), top=2000)
+
+
+@register
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that repeat an earlier one's windows of 13 words, and a digest of the rest."""
+    kept = substring_dedup.remove_repeats(spark, table(spark, sf_dir, "documents"), window=13)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+ORACLES["op11_conversation_trie"] = r"""
+WITH t AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos,
+         {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS turn
+  FROM conversations WHERE conv_id IS NOT NULL
+), l AS (
+  SELECT c, list(turn ORDER BY pos) AS turns FROM t GROUP BY c
+), crc AS (
+  SELECT c, xor(list_reduce(list_prepend(4294967295::BIGINT, [ord(x)::BIGINT FOR x IN string_split(CAST(c AS VARCHAR), '')]),
+                lambda s, b: list_reduce([xor(s, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) % 4 AS h
+  FROM l
+), r AS (
+  SELECT l.c, list_concat(coalesce(b.turns[1:h], []), l.turns[h + 1:]) AS turns
+  FROM l JOIN crc USING (c) LEFT JOIN l b ON b.c = l.c - l.c % 20
+), p AS (
+  SELECT c, CAST(unnest(range(0, len(turns) + 1)) AS BIGINT) AS depth, turns FROM r
+), m AS (
+  SELECT c, depth, turns[1:depth] AS path, turns[1:depth - 1] AS above, len(turns) = depth AS ends FROM p
+), n AS (
+  SELECT path, any_value(above) AS above, depth, min(c) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256,
+         CASE WHEN depth = 0 THEN 0 ELSE (count(*) - 1) * len(regexp_extract_all(any_value(path[depth]).text, '[^ 	-
+]+')) END AS saved
+  FROM m GROUP BY path, depth
+), k AS (
+  SELECT above, depth - 1 AS depth, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL
+), u AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON k.above = n.path AND k.depth = n.depth
+), s AS (
+  -- a node's ancestors are the prefixes of its path
+  SELECT path[1:d] AS path, d AS depth, sum((n_children = 0)::INT) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT path, n_children, saved, unnest(range(0, depth + 1)) AS d FROM u) GROUP BY ALL
+)
+SELECT u.conv_id, u.depth, CASE WHEN u.depth > 0 THEN q.conv_id END AS parent_conv_id, u.n_convs, u.n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+       CAST(s.saved_tokens AS BIGINT) AS saved_tokens, u.ends_sha256
+FROM u JOIN s ON s.path = u.path AND s.depth = u.depth LEFT JOIN n q ON q.path = u.above AND q.depth = u.depth - 1
+"""
+
+ORACLES["op12_collocations"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), p AS (
+  SELECT lang, unnest(string_split_regex(t, '[.,;:!?
+-
+]')) AS piece FROM d
+), w AS (
+  SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM p
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang
+), g AS (
+  SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, k
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 6) x(k))
+), f AS (
+  SELECT lang, phrase, k, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100
+), c AS (
+  SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS words FROM f WHERE k > 1
+), longer AS (
+  SELECT lang, phrase, max(a) AS a FROM (
+    SELECT lang, a, array_to_string(words[:k - 1], ' ') AS phrase FROM c UNION ALL SELECT lang, a, array_to_string(words[2:], ' ') FROM c)
+  GROUP BY ALL
+), cuts AS (
+  SELECT c.lang, c.phrase, c.a, n, cut, x.f AS l, y.f AS r, (1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM c) c JOIN totals USING (lang)
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(words[:cut], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(words[cut + 1:], ' ')
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, b.phrase) AS rnk
+  FROM best b LEFT JOIN longer o ON o.lang = b.lang AND o.phrase = b.phrase WHERE o.a IS NULL OR 100 * o.a < 100 * b.a
+)
+SELECT lang, rnk AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked WHERE rnk <= 2000
+"""
+
+ORACLES["op13_substring_dedup"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS w FROM documents
+), g AS (
+  SELECT r, doc_id, i, array_to_string(w[i:i + 12], ' ') AS win FROM (SELECT *, unnest(range(1, len(w) - 11)) AS i FROM d)
+), seen AS (
+  SELECT r, i FROM (SELECT r, doc_id, i, min(doc_id) OVER (PARTITION BY win) AS least FROM g) WHERE least < doc_id
+), gone AS (
+  SELECT r, list(DISTINCT i + k) AS places FROM seen, range(0, 13) x(k) GROUP BY r
+), kept AS (
+  SELECT d.r, coalesce(string_agg(word, ' ' ORDER BY i) FILTER (word IS NOT NULL), '') AS text
+  FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d) d
+  WHERE NOT EXISTS (SELECT 1 FROM (SELECT r, unnest(places) AS i FROM gone) x WHERE x.r = d.r AND x.i = d.i) GROUP BY d.r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (r) LEFT JOIN kept USING (r)
+"""
