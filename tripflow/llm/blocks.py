@@ -23,18 +23,23 @@ _SERIAL_BITS = 32
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of fixed-width numbers in one compressed string."""
+    """Arrays of fixed-width numbers in one compressed string, the first bytes of all numbers first, then the second ones and so on."""
     head = struct.pack("<I", len(arrays)) + b"".join(struct.pack("<4sQ", a.dtype.str.encode().ljust(4), len(a)) for a in arrays)
-    raw = head + b"".join(a.tobytes() for a in arrays)
+    raw = head + b"".join(_planes(a) for a in arrays)
     return struct.pack("<Q", len(raw)) + _CODEC.compress(raw, asbytes=True)
 
 
+def _planes(a: np.ndarray) -> bytes:
+    return np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() if a.dtype.itemsize > 1 and len(a) else a.tobytes()
+
+
 def unpack(data: bytes) -> list[np.ndarray]:
     raw = _CODEC.decompress(data[8:], struct.unpack_from("<Q", data)[0], asbytes=True)
     at, out = 4 + 12 * struct.unpack_from("<I", raw)[0], []
     for kind, n in struct.iter_unpack("<4sQ", raw[4:at]):
         dtype = np.dtype(kind.decode().strip())
-        out.append(np.frombuffer(raw, dtype=dtype, count=n, offset=at))
+        one = np.frombuffer(raw, dtype=np.uint8, count=n * dtype.itemsize, offset=at)
+        out.append(np.ascontiguousarray(one.reshape(dtype.itemsize, n).T).view(dtype).reshape(n) if dtype.itemsize > 1 else one.view(dtype))
         at += n * dtype.itemsize
     return out
 

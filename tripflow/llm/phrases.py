@@ -42,7 +42,7 @@ BUCKET_WORDS = 1 << 21  # of the corpus for each bucket of phrases
 #: A-Z folded, the signs that end a piece become line feeds.
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0B\x0C\x0D", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9)
 
-_SENT = "kind string, bucket int, chunk long, data binary"
+_SENT = "bucket int, chunk long, data binary"
 _JUDGED = "kind string, bucket int, chunk long, data binary, gid long, prefix long, suffix long, lang string, phrase string, f long"
 
 
@@ -102,8 +102,8 @@ def _vocabulary(data: bytes, lang: str, buckets: int) -> tuple[np.ndarray, list[
     return ids.astype(np.int64), words, order, bucket[order]
 
 
-def index(ids: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(words before, first words) of the suffixes of ``ids`` sorted by their first ``depth`` words.
+def index(ids: np.ndarray, depth: int) -> np.ndarray:
+    """The words before the suffixes of ``ids`` sorted by their first ``depth`` words (their first words are the same, sorted).
 
     Ranks by 1, 2, 4, ... words are made of pairs of the ranks before.
     """
@@ -116,7 +116,7 @@ def index(ids: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         if known < depth:
             rank = np.unique(key, return_inverse=True)[1].astype(np.int64)
     order = np.argsort(key if depth > 1 else rank, kind="stable")
-    return ids[order - 1], ids[order]
+    return ids[order - 1]
 
 
 def extend(before: np.ndarray, label: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -141,9 +141,9 @@ def _spread(prefix: np.ndarray, suffix: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def _row(kind: str, bucket: int | None, chunk: int, data: bytes) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([kind]), pa.array([bucket], pa.int32()), pa.array([chunk], pa.int64()), pa.array([data], pa.binary())],
-                                      names=["kind", "bucket", "chunk", "data"])
+def _row(bucket: int | None, chunk: int, data: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), pa.array([chunk], pa.int64()), pa.array([data], pa.binary())],
+                                      names=["bucket", "chunk", "data"])
 
 
 def _grams(gid, prefix, suffix, lang, phrase, f) -> pa.RecordBatch:
@@ -157,9 +157,9 @@ def _grams(gid, prefix, suffix, lang, phrase, f) -> pa.RecordBatch:
 
 
 def _reply(bucket: int, chunk: int, data: bytes) -> pa.RecordBatch:
-    b = _row("reply", bucket, chunk, data)
+    b = _row(bucket, chunk, data)
     n = pa.nulls(1, pa.int64())
-    return pa.RecordBatch.from_arrays([*b.columns, n, n, n, pa.nulls(1, pa.string()), pa.nulls(1, pa.string()), n],
+    return pa.RecordBatch.from_arrays([pa.array(["reply"]), *b.columns, n, n, n, pa.nulls(1, pa.string()), pa.nulls(1, pa.string()), n],
                                       names=["kind", "bucket", "chunk", "data", "gid", "prefix", "suffix", "lang", "phrase", "f"])
 
 
@@ -169,7 +169,7 @@ def _blocks(before: np.ndarray, label: np.ndarray, chunk: int, buckets: int) ->
     order = np.argsort(bucket, kind="stable")
     for k, own in cut_by(bucket[order]):
         at = order[own]
-        yield _row("block", k, chunk, pack(prefix[at], suffix[at], least_width(count[at]), least_width(np.diff(start[at], prepend=0))))
+        yield _row(k, chunk, pack(prefix[at], suffix[at], least_width(count[at]), least_width(np.diff(start[at], prepend=0))))
 
 
 def frequent(spark: SparkSession, docs: DataFrame, longest: int = 5, least: int = 100, lang: str = "lang", text: str = "text") -> tuple[DataFrame, list[DataFrame]]:
@@ -188,7 +188,7 @@ def frequent(spark: SparkSession, docs: DataFrame, longest: int = 5, least: int
             for k, own in cut_by(bucket):
                 at = order[own]
                 listed = b"\n".join([of.encode().hex().encode(), *[words[i] for i in at.tolist()]])
-                yield _row("block", k, chunk, pack(least_width(n[at]), np.frombuffer(listed, dtype=np.uint8)))
+                yield _row(k, chunk, pack(least_width(n[at]), np.frombuffer(listed, dtype=np.uint8)))
 
     def judge_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, held in groups(batches):
@@ -225,9 +225,12 @@ def frequent(spark: SparkSession, docs: DataFrame, longest: int = 5, least: int
             local = np.cumsum(known) * known  # numbers of the frequent words; 0 stands between pieces
             ids = local[ids]
             ids = ids[(ids > 0) | (np.append(ids[1:], 0) > 0)]
-            before, first = index(np.append(ids, 0), longest)
-            yield _row("index", None, chunk, pack(least_width(before)))
-            yield from _blocks(before, np.append(-1, gid[known])[first], chunk, buckets)
+            yield _row(None, chunk, pack(least_width(index(np.append(ids, 0), longest)), gid[known]))
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk, data in rows(batches):
+            before, gid = unpack(data)
+            yield from _blocks(before, np.append(-1, gid)[np.sort(before)], chunk, buckets)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bucket, held in groups(batches):
@@ -265,7 +268,7 @@ def frequent(spark: SparkSession, docs: DataFrame, longest: int = 5, least: int
             yield from _blocks(before, label, chunk, buckets)
 
     def judged(blocks: DataFrame, by, name: str) -> tuple[DataFrame, DataFrame]:
-        own = by_bucket(blocks.where("kind = 'block'").select("bucket", "chunk", "data"), buckets).mapInArrow(by, _JUDGED)
+        own = by_bucket(blocks, buckets).mapInArrow(by, _JUDGED)
         own = materialize(spark, own, name, "none")
         return own.where("kind = 'gram'").drop("kind", "bucket", "chunk", "data"), own.where("kind = 'reply'").select("bucket", "chunk", "data")
 
@@ -276,8 +279,8 @@ def frequent(spark: SparkSession, docs: DataFrame, longest: int = 5, least: int
     with_lang = (replies.select("chunk", F.col("bucket").alias("part"), F.lit(None).cast("string").alias("lang"), "data")
                  .unionByName(shards.select("chunk", F.lit(None).cast("int").alias("part"), "lang", "data"))
                  .repartition("chunk").sortWithinPartitions("chunk", F.col("part").asc_nulls_last()))
-    built = materialize(spark, with_lang.mapInArrow(build, _SENT), "phrase-index", "none")
-    indexes, blocks = built.where("kind = 'index'").select("chunk", "data"), built
+    indexes = materialize(spark, with_lang.mapInArrow(build, _SENT).select("chunk", "data"), "phrase-index", "none")
+    blocks = indexes.mapInArrow(pairs, _SENT)
     for length in range(2, longest + 1):
         grams, replies = judged(blocks, judge, f"phrases-{length}")
         if grams.isEmpty():
