@@ -27,9 +27,10 @@ def duck():
 
 
 def test_every_operator_has_one_query():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
-    assert set(ORACLES) == {"op1_topk_search", "op3_mix_sources", "op5_warc", "op7_url_filter", "op8_quality_rules"}
+    assert set(ORACLES) == {"op1_topk_search", "op3_mix_sources", "op5_warc", "op7_url_filter", "op8_quality_rules",
+                            "op11_conversation_trie", "op12_collocations", "op13_substring_dedup"}
 
 
 @pytest.mark.parametrize("key", sorted(ORACLES))
