@@ -32,15 +32,18 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
-from tripflow.llm.common import ship
+from tripflow.llm.common import bound_batches, ship
 
 #: Fixed value: the split rule of byte-level BPE.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 CHUNK_CHARS = 1 << 20
-KNOWN_WORDS = 600_000  # words a worker remembers; beyond that it forgets all and starts again
+KNOWN_WORDS = 600_000  # words a worker remembers, within the bytes of its encoder; beyond that it forgets all and starts again
+_WORD_BYTES = 220  # held for a word besides its characters
+_LONG_WORD = 512  # longer ones are not remembered
+_KNOWN_SEAMS = 300_000
 _NEVER = 1 << 60
 
 
@@ -129,6 +132,8 @@ def distinct_words(cp: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
 class Encoder:
     """Encodes and decodes texts by one vocabulary file, given as its content."""
 
+    most_bytes = 48 << 20  # of remembered words
+
     def __init__(self, content: bytes):
         self.content = content
         spec = json.loads(content)
@@ -174,6 +179,7 @@ class Encoder:
         self._special = re.compile("(" + "|".join(sorted(map(re.escape, self.specials), key=len, reverse=True)) + ")") if self.specials else None
         self._library = None
         self.known: dict[str, bytes] = {}  # word -> its ids as 32-bit integers
+        self._held = 0  # bytes of them, about
 
     # -- seams ---------------------------------------------------------------
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
@@ -208,7 +214,7 @@ class Encoder:
 
     def _fits(self, seam: int) -> bool:
         """Whether two tokens, packed into one number, may stand side by side."""
-        if len(self._seams) > 1_000_000:
+        if len(self._seams) > _KNOWN_SEAMS:
             self._seams.clear()
         ok = self._seams[seam] = self._first_merge_across(seam >> 32, seam & 0xFFFFFFFF) is None
         return ok
@@ -271,13 +277,17 @@ class Encoder:
         """The ids of each of the distinct ``words`` as 32-bit integers; words not known yet are learnt."""
         known = self.known
         new = [w for w in words if w not in known]
-        if len(known) + len(new) > KNOWN_WORDS:
+        size = sum(len(w) for w in new) * 4 + len(new) * _WORD_BYTES
+        if len(known) + len(new) > KNOWN_WORDS or self._held + size > self.most_bytes:
             known.clear()
-            new = words
+            self._held, new = 0, words
         by_bytes = {w.encode("utf-8", "surrogateescape"): w for w in new}
-        for b, ids in self.encode_words(by_bytes).items():
-            known[by_bytes[b]] = array("i", ids).tobytes()
-        return list(map(known.__getitem__, words))
+        learnt = {by_bytes[b]: array("i", ids).tobytes() for b, ids in self.encode_words(by_bytes).items()}
+        for w, ids in learnt.items():
+            if len(w) <= _LONG_WORD:
+                known[w] = ids
+                self._held += 4 * len(w) + _WORD_BYTES
+        return [known[w] if w in known else learnt[w] for w in words]
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """Ids (int32) of each text, in order; texts are taken in chunks of about ``CHUNK_CHARS``."""
@@ -383,8 +393,25 @@ def _extended(df: DataFrame, out: str, kind, drop: str | None) -> StructType:
 
 def encode(spark: SparkSession, df: DataFrame, vocabulary: str, text: str = "text", out: str = "ids", keep_text: bool = False) -> DataFrame:
     """``df`` with the ids of its texts (array of int); the text itself only if ``keep_text``."""
+    return _coded(spark, df, vocabulary, text, out, keep_text, None, None)
+
+
+def codec(spark: SparkSession, df: DataFrame, vocabulary: str, text: str = "text", out: str = "ids", decoded: str | None = "decoded",
+          decodes: str | None = None) -> DataFrame:
+    """``df`` with the ids of its texts in place of the texts, and with what the ids decode to: the text ``decoded``, or
+    ``decodes``, whether it is the text that was encoded. One step encodes and decodes, so a worker holds one vocabulary."""
+    return _coded(spark, df, vocabulary, text, out, False, decoded, decodes)
+
+
+def _coded(spark: SparkSession, df: DataFrame, vocabulary: str, text: str, out: str, keep_text: bool, decoded: str | None, decodes: str | None) -> DataFrame:
     ship(spark)
+    bound_batches(spark)
     schema = _extended(df, out, ArrayType(IntegerType()), None if keep_text else text)
+    for name, kind in ((decoded, StringType()), (decodes, BooleanType())):
+        if name is not None:
+            if name in df.columns or name == out:
+                raise ValueError(f"the input already has a column {name}")
+            schema = StructType([*schema, StructField(name, kind)])
     content = spark.sparkContext.broadcast(read_vocabulary(vocabulary))
     at = df.columns.index(text)
 
@@ -392,25 +419,32 @@ def encode(spark: SparkSession, df: DataFrame, vocabulary: str, text: str = "tex
         enc = encoder(content.value)
         for b in batches:
             kept = [c for i, c in enumerate(b.columns) if keep_text or i != at]
-            done, held, size = 0, [], 0
-            for ids in enc.encode(t.as_py() for t in b.column(at)):
+            done, held, more, size = 0, [], ([], []), 0
+            for k, ids in enumerate(enc.encode(t.as_py() for t in b.column(at))):
                 held.append(ids)
                 size += len(ids)
+                if decoded is not None or decodes is not None:
+                    back = enc.decode(ids.tolist())
+                    if decoded is not None:
+                        more[0].append(back)
+                    if decodes is not None:
+                        more[1].append(back == (b.column(at)[k].as_py() or ""))
                 if size >= CHUNK_CHARS:
-                    yield _with_lists(kept, done, held, schema)
-                    done, held, size = done + len(held), [], 0
+                    yield _with_lists(kept, done, held, more, schema)
+                    done, held, more, size = done + len(held), [], ([], []), 0
             if held:
-                yield _with_lists(kept, done, held, schema)
+                yield _with_lists(kept, done, held, more, schema)
 
     return df.mapInArrow(run, schema)
 
 
-def _with_lists(columns: list[pa.Array], start: int, ids: list[np.ndarray], schema: StructType) -> pa.RecordBatch:
+def _with_lists(columns: list[pa.Array], start: int, ids: list[np.ndarray], more: tuple[list, list], schema: StructType) -> pa.RecordBatch:
     offsets = np.zeros(len(ids) + 1, dtype=np.int32)
     np.cumsum([len(x) for x in ids], out=offsets[1:])
     values = np.concatenate(ids)
     lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
-    return pa.RecordBatch.from_arrays([*[c.slice(start, len(ids)) for c in columns], lists], names=schema.names)
+    extra = [pa.array(x, kind) for x, kind in zip(more, (pa.string(), pa.bool_())) if x]
+    return pa.RecordBatch.from_arrays([*[c.slice(start, len(ids)) for c in columns], lists, *extra], names=schema.names)
 
 
 def decode(spark: SparkSession, df: DataFrame, vocabulary: str, ids: str = "ids", out: str = "decoded") -> DataFrame:

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripflow.llm.common import WORD, materialize, rank_rows
+from tripflow.llm.common import SPACE, WORD, materialize, rank_rows
 
 _PERIOD = 1 << 31
 _GOLDEN = 1327217885  # 2**31 / golden ratio, odd: i -> i * _GOLDEN mod 2**31 meets every point once
@@ -41,6 +41,11 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def first_words(text: Column, n: Column) -> Column:
+    """The beginning of a text up to the end of its ``n``-th word, white space as it stands."""
+    return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"{SPACE[:-1]}*{WORD}"), F.lit(0)), F.lit(1), n.cast("int")), "")
+
+
 def source_targets(spark: SparkSession, sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5,
                    max_epochs: int = 2) -> DataFrame:
     """One row per source of ``sizes`` (source, size): source_size, weight, target and

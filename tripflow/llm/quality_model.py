@@ -14,8 +14,8 @@ A feature's value is the logarithm of its occurrences. They are computed on byte
 
 The model is fitted on a bounded sample of rated documents (``sample``: as many of each
 grade, those that come first by hash; what a rare grade leaves goes to the others), on the
-driver: at most ``sample`` times a document's distinct features, and those are no more than
-``2**bits``. A sampled document weighs as many ratings as it stands for, but a grade counts
+driver: it gets 12 bytes for each distinct feature of a sampled document, counted on the executors,
+and a document has at most ``2**bits`` of them. A sampled document weighs as many ratings as it stands for, but a grade counts
 for ``_LEAST_SHARE / K`` of all at least, since the ridge would otherwise drown a rare one; the
 thresholds are then fitted anew to the true shares. Scoring broadcasts the weights
 (4 * 2**bits bytes). All documents are scored.
@@ -39,9 +39,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
 
-from tripflow.llm.common import ship
+from tripflow.llm.common import bound_batches, materialize, ship
 
-_PIECE = 1 << 21  # bytes hashed at once
+_PIECE = 1 << 20  # bytes hashed at once
 _PRIME = np.uint64(0x100000001B3)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _LEAST_SHARE = 0.3  # of an even share
@@ -146,15 +146,20 @@ class OrdinalModel:
         return _sigmoid(self.scores(texts)[:, None] - self.thresholds[None, :])
 
 
-def fit(texts: list[bytes | None], grades: np.ndarray, n_grades: int, bits: int = 18, ridge: float = 3e-4, steps: int = 300,
-        rate: float = 0.05, least_docs: int | None = None, weights: np.ndarray | None = None) -> OrdinalModel:
+def fit(texts: list[bytes | None], grades: np.ndarray, n_grades: int, bits: int = 18, **options) -> OrdinalModel:
+    """:func:`fit_features` on the features of ``texts``."""
+    return fit_features(*features(texts, bits), grades, n_grades, bits, **options)
+
+
+def fit_features(doc: np.ndarray, index: np.ndarray, value: np.ndarray, grades: np.ndarray, n_grades: int, bits: int = 18, ridge: float = 3e-4,
+                 steps: int = 300, rate: float = 0.05, least_docs: int | None = None, weights: np.ndarray | None = None) -> OrdinalModel:
     """Fit by Adam on the weighted mean negative log-likelihood plus ``ridge`` times the squared weights.
 
+    ``doc``, ``index`` and ``value`` are the documents' features; document k has ``grades[k]``.
     Thresholds are a first one and positive gaps (kept as logarithms), so their order holds. Features of fewer than
     ``least_docs`` documents keep the weight 0 (a twentieth of the rarest grade's documents, 2 to 20, if not given).
     ``weights`` are the ratings that each text stands for (1 if not given).
     """
-    doc, index, value = features(texts, bits)
     n = len(grades)
     seen = np.bincount(grades, minlength=n_grades)
     if least_docs is None:
@@ -209,19 +214,43 @@ def per_grade(counts: dict[int, int], sample: int) -> dict[int, int]:
     return out
 
 
-def rated_sample(spark: SparkSession, docs: DataFrame, grades: DataFrame, sample: int, doc_id: str,
-                 text: str) -> tuple[list[bytes | None], np.ndarray, np.ndarray]:
-    """Texts, grades and weights of ``sample`` rated ids (fewer if there are fewer): of each grade those that come first by hash."""
+def rated_sample(spark: SparkSession, docs: DataFrame, grades: DataFrame, sample: int, bits: int, doc_id: str,
+                 text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Features (document, feature, value), grades and weights of ``sample`` rated ids (fewer if there are fewer): of each
+    grade those that come first by hash. Features are counted where the texts are; the driver gets the counts alone."""
     rated = grades.where("doc_id IS NOT NULL AND grade IS NOT NULL").groupBy("doc_id").agg(F.min("grade").alias("grade"))
     counts = {r["grade"]: r["count"] for r in rated.groupBy("grade").count().collect()}
     taken = {g: n for g, n in per_grade(counts, sample).items() if n}
+    none = np.zeros(0, np.int64)
     if not taken:
-        return [], np.zeros(0, np.int64), np.zeros(0)
-    chosen = reduce(DataFrame.unionByName, [rated.where(F.col("grade") == g).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-                                            for g, n in sorted(taken.items())])
-    rows = (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text")).join(chosen, "doc_id")
-            .groupBy("doc_id").agg(F.min("text").alias("text"), F.min("grade").alias("grade")).orderBy("doc_id").collect())
-    return ([None if r["text"] is None else bytes(r["text"]) for r in rows], np.array([r["grade"] for r in rows], dtype=np.int64),
+        return none, none, np.zeros(0), none, np.zeros(0)
+
+    def first(grade: int, n: int) -> DataFrame:
+        """The first ``n`` ids by hash; only those under a bound that leaves somewhat more than ``n`` are sorted."""
+        own, h = rated.where(F.col("grade") == grade), F.xxhash64("doc_id")
+        share = (n + 10 * n ** 0.5 + 100) / counts[grade]
+        if share < 1:
+            own = own.where(h < int((share - 0.5) * 2.0 ** 64))
+        return own.orderBy(h, "doc_id").limit(n)
+
+    chosen = materialize(spark, reduce(DataFrame.unionByName, [first(g, n) for g, n in sorted(taken.items())]), "rated-sample")
+    texts = (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text")).join(chosen, "doc_id")
+             .groupBy("doc_id").agg(F.min("text").alias("text"), F.min("grade").cast("int").alias("grade")))
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            doc, index, value = features([t.as_py() for t in b.column(1)], bits)
+            ends = np.searchsorted(doc, np.arange(b.num_rows + 1))
+            cut = [(index[x:y].astype(np.int32).tobytes(), value[x:y].tobytes()) for x, y in zip(ends[:-1], ends[1:])]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([x for x, _ in cut], pa.binary()), pa.array([y for _, y in cut], pa.binary())],
+                                             names=["doc_id", "grade", "index", "value"])
+
+    kind = docs.schema[doc_id].dataType.simpleString()
+    rows = texts.mapInArrow(counted, f"doc_id {kind}, grade int, index binary, value binary").collect()
+    rows.sort(key=lambda r: r["doc_id"])
+    index = [np.frombuffer(r["index"], np.int32) for r in rows]
+    return (np.repeat(np.arange(len(rows)), [len(x) for x in index]), np.concatenate([*index, none]).astype(np.int64),
+            np.concatenate([*[np.frombuffer(r["value"]) for r in rows], np.zeros(0)]), np.array([r["grade"] for r in rows], dtype=np.int64),
             np.array([counts[r["grade"]] / taken[r["grade"]] for r in rows], dtype=np.float64))
 
 
@@ -230,25 +259,26 @@ def classify(spark: SparkSession, docs: DataFrame, grades: DataFrame, n_grades:
     """``docs`` with expected_grade, tail (P(grade >= keep_from)) and kept (tail >= ``least_tail``).
 
     ``grades`` has doc_id and grade (0 .. n_grades - 1) of rated documents; at most ``sample`` of them train the model.
-    The text is carried along only if ``keep_text``.
+    The text is carried along (as the last of the input's columns) only if ``keep_text``.
     """
     ship(spark)
+    bound_batches(spark)
     new = [StructField("expected_grade", DoubleType()), StructField("tail", DoubleType()), StructField("kept", BooleanType())]
     clash = {f.name for f in new} & set(docs.columns)
     if clash:
         raise ValueError(f"the input already has columns of the result: {sorted(clash)}")
-    texts, known, weights = rated_sample(spark, docs, grades, sample, doc_id, text)
-    rest = [c for c in docs.columns if keep_text or c != text]
+    doc, index, value, known, weights = rated_sample(spark, docs, grades, sample, bits, doc_id, text)
+    sent = docs.select(*[f"`{c}`" for c in docs.columns if c != text], f"`{text}`")
     if not len(known):
-        return docs.select(*rest, F.lit(None).cast("double").alias("expected_grade"), F.lit(None).cast("double").alias("tail"), F.lit(True).alias("kept"))
-    model = spark.sparkContext.broadcast(fit(texts, known, n_grades, bits, weights=weights))
-    scored = docs.select(*rest, F.col(text).cast("binary").alias("_text"))
+        return (sent if keep_text else sent.drop(text)).select("*", F.lit(None).cast("double").alias("expected_grade"), F.lit(None).cast("double").alias("tail"), F.lit(True).alias("kept"))
+    model = spark.sparkContext.broadcast(fit_features(doc, index, value, known, n_grades, bits, weights=weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            tails = model.value.tails([t.as_py() for t in b.column(b.num_columns - 1)])
+            tails = model.value.tails([t.as_py() for t in b.column(b.num_columns - 1).cast(pa.binary())])
             tail = tails[:, keep_from - 1]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(tails.sum(axis=1)), pa.array(tail), pa.array(tail >= least_tail)],
-                                             names=[*b.schema.names[:-1], *[f.name for f in new]])
+            own = b.num_columns if keep_text else b.num_columns - 1
+            yield pa.RecordBatch.from_arrays([*b.columns[:own], pa.array(tails.sum(axis=1)), pa.array(tail), pa.array(tail >= least_tail)],
+                                             names=[*b.schema.names[:own], *[f.name for f in new]])
 
-    return scored.mapInArrow(run, StructType([*scored.schema[:-1], *new]))
+    return sent.mapInArrow(run, StructType([*(sent.schema if keep_text else sent.schema[:-1]), *new]))

@@ -73,7 +73,7 @@ def _let(value: Column, body) -> Column:
 def repeated_words(words: Column) -> Column:
     """Number of words that stand in a window of three words found twice or more.
 
-    Windows are compared by the 128 bits of two hashes. Texts without a repeated window
+    Windows are compared by 96 bits of two hashes. Texts without a repeated window
     (the distinct windows are as many) end there; in others the windows are sorted with their
     places, equal neighbours marked, and the words under the marked windows counted once.
     """

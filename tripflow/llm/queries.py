@@ -51,7 +51,7 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measurements, rule bits and verdict of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    judged = quality_rules.apply_policy(quality_rules.ledger(docs), quality_rules.POLICIES["v2"])
+    judged = quality_rules.apply_policy(quality_rules.ledger(docs), quality_rules.POLICIES["v3"])
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          quality_rules.failed(quality_rules.POLICIES["base"].rules).alias("base_failed"), "kept", "fail_bits")
 
@@ -79,7 +79,7 @@ def vocabulary() -> str:
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document and the text they decode to, as digests."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode(spark, bpe.encode(spark, docs, vocabulary()), vocabulary())
+    coded = bpe.codec(spark, docs, vocabulary())
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
                         F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -200,7 +200,7 @@ WITH d AS (
 )
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, f0 OR f1 AS base_failed,
-       NOT (f0 OR f1 OR f2 OR f3 OR f4 OR f5 OR f6) AS kept,
+       NOT (f0 OR f1 OR f3 OR f4 OR f5 OR f6) AS kept,
        CAST(f0::INT + 2 * f1::INT + 4 * f2::INT + 8 * f3::INT + 16 * f4::INT + 32 * f5::INT + 64 * f6::INT AS BIGINT) AS fail_bits
 FROM f
 """

@@ -106,7 +106,9 @@ def read_blocks(content: bytes) -> Iterator[tuple[list[int | None], np.ndarray,
 
 
 class LibraryEncoder(bpe.Encoder):
-    """The same split and word memory; new words go to the ``tokenizers`` library's model."""
+    """The same split; new words go to the ``tokenizers`` library's model, at a higher price, so more are remembered."""
+
+    most_bytes = 160 << 20
 
     def encode_words(self, words):
         if self._model is None:
