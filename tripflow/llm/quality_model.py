@@ -14,7 +14,7 @@ A feature's value is the logarithm of its occurrences. They are computed on byte
 
 The model is fitted on a bounded sample of rated documents (``sample``: as many of each
 grade, those that come first by hash; what a rare grade leaves goes to the others), on the
-driver: it gets 12 bytes for each distinct feature of a sampled document, counted on the executors,
+driver: it gets 8 bytes for each distinct feature of a sampled document, counted on the executors,
 and a document has at most ``2**bits`` of them. A sampled document weighs as many ratings as it stands for, but a grade counts
 for ``_LEAST_SHARE / K`` of all at least, since the ridge would otherwise drown a rare one; the
 thresholds are then fitted anew to the true shares. Scoring broadcasts the weights
@@ -164,9 +164,13 @@ def fit_features(doc: np.ndarray, index: np.ndarray, value: np.ndarray, grades:
     seen = np.bincount(grades, minlength=n_grades)
     if least_docs is None:
         least_docs = int(np.clip(seen[seen > 0].min() // 20, 2, 20))
-    common = np.bincount(index, minlength=1 << bits)[index] >= least_docs
-    doc, value = doc[common], value[common]
-    used, column = np.unique(index[common], return_inverse=True)
+    used = np.flatnonzero(np.bincount(index, minlength=1 << bits) >= least_docs)
+    number = np.full(1 << bits, -1, dtype=np.int32)
+    number[used] = np.arange(len(used))
+    column = number[index]
+    common = column >= 0
+    # Narrow types: the driver holds 12 bytes for a feature of a document.
+    doc, column, value = doc[common].astype(np.int32), column[common], value[common].astype(np.float32)
     true = np.ones(n) if weights is None else weights
     true = true / true.sum()
     share = np.bincount(grades, weights=true, minlength=n_grades)
@@ -177,7 +181,7 @@ def fit_features(doc: np.ndarray, index: np.ndarray, value: np.ndarray, grades:
     def descend(weight: np.ndarray, params: list[np.ndarray]) -> None:
         """Fit ``params`` in place: the thresholds, and the features' weights if they are among them."""
         first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-        s = np.bincount(doc, weights=w[column] * value, minlength=n)
+        s = np.bincount(doc, weights=w.astype(np.float32)[column] * value, minlength=n)
         for step in range(1, steps + 1):
             t = np.cumsum(np.concatenate([free[:1], np.exp(free[1:])]))
             edges = np.concatenate([[-np.inf], t, [np.inf]])
@@ -189,13 +193,13 @@ def fit_features(doc: np.ndarray, index: np.ndarray, value: np.ndarray, grades:
             tail = np.cumsum(d_t[::-1])[::-1]
             grads = [np.concatenate([tail[:1], tail[1:] * np.exp(free[1:])])]
             if len(params) > 1:
-                grads.append(np.bincount(column, weights=d_score[doc] * value, minlength=len(used)) + 2 * ridge * w)
+                grads.append(np.bincount(column, weights=d_score.astype(np.float32)[doc] * value, minlength=len(used)) + 2 * ridge * w)
             for x, g, m, v in zip(params, grads, first, second):
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
                 x -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
             if len(params) > 1:
-                s = np.bincount(doc, weights=w[column] * value, minlength=n)
+                s = np.bincount(doc, weights=w.astype(np.float32)[column] * value, minlength=n)
 
     descend(raised / raised.sum(), [free, w])
     if (share[seen > 0] < _LEAST_SHARE / n_grades).any():
@@ -241,16 +245,16 @@ def rated_sample(spark: SparkSession, docs: DataFrame, grades: DataFrame, sample
         for b in batches:
             doc, index, value = features([t.as_py() for t in b.column(1)], bits)
             ends = np.searchsorted(doc, np.arange(b.num_rows + 1))
-            cut = [(index[x:y].astype(np.int32).tobytes(), value[x:y].tobytes()) for x, y in zip(ends[:-1], ends[1:])]
+            cut = [(index[x:y].astype(np.int32).tobytes(), value[x:y].astype(np.float32).tobytes()) for x, y in zip(ends[:-1], ends[1:])]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([x for x, _ in cut], pa.binary()), pa.array([y for _, y in cut], pa.binary())],
                                              names=["doc_id", "grade", "index", "value"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
     rows = texts.mapInArrow(counted, f"doc_id {kind}, grade int, index binary, value binary").collect()
     rows.sort(key=lambda r: r["doc_id"])
-    index = [np.frombuffer(r["index"], np.int32) for r in rows]
-    return (np.repeat(np.arange(len(rows)), [len(x) for x in index]), np.concatenate([*index, none]).astype(np.int64),
-            np.concatenate([*[np.frombuffer(r["value"]) for r in rows], np.zeros(0)]), np.array([r["grade"] for r in rows], dtype=np.int64),
+    size = [len(r["index"]) // 4 for r in rows]
+    return (np.repeat(np.arange(len(rows), dtype=np.int32), size), np.frombuffer(b"".join(r["index"] for r in rows), np.int32),
+            np.frombuffer(b"".join(r["value"] for r in rows), np.float32), np.array([r["grade"] for r in rows], dtype=np.int64),
             np.array([counts[r["grade"]] / taken[r["grade"]] for r in rows], dtype=np.float64))
 
 
