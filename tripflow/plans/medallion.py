@@ -22,7 +22,7 @@ from tripflow.operators.ingest import to_bronze
 from tripflow.operators.standardize import to_silver
 from tripflow.sources import catalog
 from tripflow.sources.landing import (
-    READ_ERRORS, STATUS_SCHEMA, expected_months, list_landing, month_groups, month_parts, read_months, unified_types, united, unusable_months,
+    READ_ERRORS, STATUS_SCHEMA, LandedFile, expected_months, list_landing, month_groups, month_parts, read_months, unified_types, united, unusable_months,
 )
 from tripflow.sources.sinks import write_months, write_part, write_partitioned, write_result
 from tripflow.specs import PARTITION_COLUMNS, FeedSpec, QualitySpec
@@ -92,6 +92,19 @@ def ingest_bronze_from_landing(spark: SparkSession, spec: FeedSpec, landing_root
     they already have there."""
     lake.create_databases(spark)
     files = list_landing(spark, landing_root, spec.prefix)
+    table, path = lake.table("bronze", _feed_table(spec)), lake.path("bronze", _feed_table(spec))
+    held = dict(spark.table(table).dtypes) if spark.catalog.tableExists(table) else {}
+    rows, schema = load_months(spark, spec, files, path, held, months, strict)
+    if schema is not None:
+        catalog.register_discovered(spark, table, path, schema=schema)
+    return spark.createDataFrame(rows, STATUS_SCHEMA).orderBy("mes")
+
+
+def load_months(spark: SparkSession, spec: FeedSpec, files: list[LandedFile], path: str, held: dict[str, str],
+                months: tuple[str, ...] | None = None, strict: bool = False) -> tuple[list[tuple], T.StructType | None]:
+    """Landed months -> partitions of the Bronze folder ``path``, each replaced as a whole: what batch and stream share.
+
+    ``held`` are the column types that Bronze has. Returns the status rows and, if a month was written, Bronze's schema."""
     wanted = expected_months(spec, files, months)
     errors: dict[str, str] = {}
     reads = read_months(spark, [f for f in files if f.month in wanted], errors)
@@ -99,8 +112,6 @@ def ingest_bronze_from_landing(spark: SparkSession, spec: FeedSpec, landing_root
     bad = unusable_months(spec, files, wanted, errors, spec.tag)
     if strict and bad:
         raise ValueError("incomplete landing: " + ", ".join(f"{spec.tag}/{m}:{status}" for m, (status, _) in sorted(bad.items())))
-    table, path = lake.table("bronze", _feed_table(spec)), lake.path("bronze", _feed_table(spec))
-    held = dict(spark.table(table).dtypes) if spark.catalog.tableExists(table) else {}
     kinds = unified_types([df.drop(*PARTITION_COLUMNS).schema for _, df in groups], {**held, **dict(spec.bronze_types)})
     written: list[tuple[str, str, int, str | None]] = []
     for months_alike, df in groups:
@@ -120,12 +131,11 @@ def ingest_bronze_from_landing(spark: SparkSession, spec: FeedSpec, landing_root
                 written.append((month, "ok", rows_of[month], None))
             except READ_ERRORS as exc:
                 written.append((month, "error", 0, f"unreadable: {str(exc).strip().splitlines()[0][:300]}"))
-    if any(status == "ok" for _, status, _, _ in written):
-        schema = T.StructType([T.StructField(c, T._parse_datatype_string(k)) for c, k in {**kinds, **dict.fromkeys(PARTITION_COLUMNS, "int")}.items()])
-        catalog.register_discovered(spark, table, path, schema=schema)
     rows = [(spec.tag, m, status, 0, reason) for m, (status, reason) in bad.items()]
     rows += [(spec.tag, m, status, n, reason) for m, status, n, reason in written]
-    return spark.createDataFrame(rows, STATUS_SCHEMA).orderBy("mes")
+    if not any(status == "ok" for _, status, _, _ in written):
+        return rows, None
+    return rows, T.StructType([T.StructField(c, T._parse_datatype_string(k)) for c, k in {**kinds, **dict.fromkeys(PARTITION_COLUMNS, "int")}.items()])
 
 
 # --- J2: Silver ---------------------------------------------------------------

@@ -37,6 +37,7 @@ class LandedFile:
     month: str  # 'YYYY-MM'
     path: str  # the month's file or folder
     size: int
+    time: int = 0  # when it, or the last file in it, was written (milliseconds); 0 if not asked for
 
 
 def month_file(root: str, prefix: str, month: str) -> str:
@@ -60,13 +61,14 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def list_landing(spark: SparkSession, root: str, prefix: str) -> list[LandedFile]:
+def list_landing(spark: SparkSession, root: str, prefix: str, times: bool = False) -> list[LandedFile]:
     """Every month entry (a file, or a folder of part files) of the feed under ``root``
     or one folder below it (``root/<tag>/``), with its month and byte size.
 
     The whole name must be ``{prefix}_{YYYY-MM}`` (with ``.parquet``, or as the value of a
     ``landing_file=`` folder): backups and temporary copies are not months. Zero-byte
-    entries are listed too, for the empty-file guard.
+    entries are listed too, for the empty-file guard. With ``times`` the time of the last
+    change is looked up as well (a folder costs a listing of its files).
     """
     fs, _ = _fs(spark, root)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
@@ -77,7 +79,11 @@ def list_landing(spark: SparkSession, root: str, prefix: str) -> list[LandedFile
             m = name.fullmatch(st.getPath().getName())
             if m:
                 size = fs.getContentSummary(st.getPath()).getLength() if st.isDirectory() else st.getLen()
-                out[st.getPath().toString()] = LandedFile(f"{m.group(1)}-{m.group(2)}", st.getPath().toString(), int(size))
+                time = 0
+                if times:
+                    parts = fs.listStatus(st.getPath()) if st.isDirectory() else [st]
+                    time = max((int(p.getModificationTime()) for p in parts), default=0)
+                out[st.getPath().toString()] = LandedFile(f"{m.group(1)}-{m.group(2)}", st.getPath().toString(), int(size), time)
     return sorted(out.values(), key=lambda f: (f.month, f.path))
 
 
