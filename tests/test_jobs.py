@@ -10,6 +10,7 @@ from tests.conftest import SF_SMALL
 from tripflow.plans.oracle import ORACLES
 from tripflow.sources.feeds import raw_feeds
 from tripflow.sources.landing import land_feed
+from tripflow.sources.sinks import current_version
 from tripflow.specs import FEED_A, FEED_B
 
 REPO = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -39,9 +40,9 @@ def test_stages_as_separate_jobs(spark, tmp_dir):
     con = duckdb.connect()
     for t in ("lineitem", "orders"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
-    monthly = sorted(tuple(r) for r in spark.read.parquet(lake + "/gold/avg_total_amount").collect())
+    monthly = sorted(tuple(r) for r in spark.read.parquet(current_version(spark, lake + "/gold/avg_total_amount")).collect())
     assert monthly == sorted(con.execute(ORACLES["avg_amount_by_month"]).fetchall())
-    hourly = sorted(tuple(r) for r in spark.read.parquet(lake + "/gold/avg_passengers").collect())
+    hourly = sorted(tuple(r) for r in spark.read.parquet(current_version(spark, lake + "/gold/avg_passengers")).collect())
     assert hourly == sorted(con.execute(ORACLES["avg_passengers_by_hour"]).fetchall())
 
 

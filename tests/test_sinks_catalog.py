@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripflow.sources import catalog
-from tripflow.sources.sinks import write_partitioned, write_result
+from tripflow.sources.sinks import current_version, publish_result, write_partitioned
 
 
 def _frame(spark, months, value):
@@ -42,8 +42,9 @@ def test_bad_mode_rejected(spark, tmp_dir):
 
 def test_result_is_one_file(spark, tmp_dir):
     df = spark.range(24).select(F.col("id").cast("int").alias("hora")).repartition(4)
-    assert write_result(df, tmp_dir + "/r") == 24
-    assert len([f for f in os.listdir(tmp_dir + "/r") if f.endswith(".parquet")]) == 1
+    rows, at = publish_result(df, tmp_dir + "/r")
+    assert rows == 24 and at == current_version(spark, tmp_dir + "/r")
+    assert len([f for f in os.listdir(at) if f.endswith(".parquet")]) == 1
 
 
 def test_catalog_create_list_recover(spark, tmp_dir):
@@ -107,8 +108,54 @@ def test_partitions_gone_from_the_folder_leave_the_catalog(spark, tmp_dir):
     assert [r[0] for r in spark.sql("SHOW PARTITIONS t_sync_db.trips").collect()] == ["partition_year=2023/partition_month=2"]
 
 
-def test_too_large_a_result_leaves_the_old_table(spark, tmp_dir):
-    write_result(spark.range(3), tmp_dir + "/kept")
-    with pytest.raises(ValueError):
-        write_result(spark.range(20), tmp_dir + "/kept", max_rows=10)
-    assert spark.read.parquet(tmp_dir + "/kept").count() == 3
+def test_a_failed_result_leaves_the_old_version(spark, tmp_dir):
+    path = tmp_dir + "/kept"
+    publish_result(spark.range(3), path)
+    with pytest.raises(Exception, match="broken"):
+        publish_result(spark.range(20).select(F.expr("id + CAST(raise_error('broken') AS long) AS id")), path)
+    assert spark.read.parquet(current_version(spark, path)).count() == 3
+    assert publish_result(spark.range(20_000), path)[0] == 20_000  # no limit on the size
+    assert spark.read.parquet(current_version(spark, path)).count() == 20_000
+
+
+def test_readers_of_a_result_see_the_old_rows_or_the_new_ones(spark, tmp_dir):
+    path, ddl = tmp_dir + "/r", [("id", "bigint", "a number")]
+    catalog.create_databases(spark, ["t_publish_db"])
+    for n in (3, 5, 8):
+        before = spark.table("t_publish_db.r") if n > 3 else None
+        old = {3: None, 5: 3, 8: 5}[n]
+        rows, at = publish_result(spark.range(n), path)
+        if before is not None:  # written, not yet published
+            assert before.count() == old and spark.table("t_publish_db.r").count() == old
+        catalog.publish(spark, "t_publish_db.r", ddl, at)
+        assert spark.table("t_publish_db.r").count() == n
+        if before is not None:
+            assert len(before.collect()) == old  # planned before the change: its files are still there
+    assert sorted(d for d in os.listdir(path) if d.startswith("v")) == ["v00000002", "v00000003"]
+
+
+def test_a_table_that_differs_raises(spark, tmp_dir):
+    catalog.create_databases(spark, ["t_truth_db"])
+    ddl = [("id", "bigint", "a number")]
+    publish = tmp_dir + "/a"
+    spark.range(2).write.parquet(publish)
+    catalog.create_table(spark, "t_truth_db.t", ddl, publish)
+    catalog.create_table(spark, "t_truth_db.t", ddl, "file://" + publish + "/")  # the same place
+    with pytest.raises(ValueError, match="other columns"):
+        catalog.create_table(spark, "t_truth_db.t", [("id", "int", "")], publish)
+    with pytest.raises(ValueError, match="not at"):
+        catalog.create_table(spark, "t_truth_db.t", ddl, tmp_dir + "/b")
+
+
+def test_partitions_of_one_write_are_added_without_a_listing(spark, tmp_dir):
+    path = tmp_dir + "/t"
+    catalog.create_databases(spark, ["t_diff_db"])
+    write_partitioned(_frame(spark, [1], 1), path)
+    catalog.register_discovered(spark, "t_diff_db.t", path)
+    write_partitioned(_frame(spark, [2, 3], 2), path, overwrite="dynamic")
+    catalog.register_discovered(spark, "t_diff_db.t", path, schema=spark.read.parquet(path).schema,
+                                written=[{"partition_year": 2023, "partition_month": 2}])
+    # Month 3 lies in the folder, but is not of this write: it was not looked for.
+    assert sorted(r[0] for r in spark.sql("SHOW PARTITIONS t_diff_db.t").collect()) == [f"partition_year=2023/partition_month={m}" for m in (1, 2)]
+    with pytest.raises(ValueError, match="not at"):
+        catalog.register_discovered(spark, "t_diff_db.t", tmp_dir + "/other", schema=spark.read.parquet(path).schema)

@@ -50,6 +50,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--window-last", type=int, default=5)
     p.add_argument("--hourly-month", type=int, default=5)
     p.add_argument("--strict", action="store_true")
+    p.add_argument("--resume", action="store_true", help="all: skip stages that the run manifest has as finished from the same input")
     p.add_argument("--cores", type=int, help="total executor cores (sizes shuffle partitions)")
     p.add_argument("--master", help="e.g. local[8]; omit under spark-submit")
     return p
@@ -129,7 +130,7 @@ def main(argv: list[str] | None = None) -> int:
             print(f"bronze {r.feed} sucessos={r.sucessos} falhas={r.falhas}")
 
     if args.stage == "all":  # the feeds of a layer in parallel
-        log = medallion.run_all(spark, {s.tag: args.landing for s in specs}, {s.tag: s for s in specs}, lake, q, on_status=report, strict=args.strict)
+        log = medallion.run_all(spark, {s.tag: args.landing for s in specs}, {s.tag: s for s in specs}, lake, q, on_status=report, strict=args.strict, resume=args.resume)
         for r in log.collect():
             print(f"{r.stage} {r.feed} rows={r.rows} seconds={r.seconds}")
         spark.stop()
@@ -146,7 +147,10 @@ def main(argv: list[str] | None = None) -> int:
         elif stage == "monthly":
             print(f"monthly rows={medallion.monthly_result(spark, lake, q)}")
         elif stage == "hourly":
-            print(f"hourly rows={medallion.hourly_result(spark, lake, q)}")
+            try:
+                print(f"hourly rows={medallion.hourly_result(spark, lake, q, must_hold=True)}")
+            except ValueError as exc:
+                raise SystemExit(str(exc)) from None
     spark.stop()
     return 0
 

@@ -20,11 +20,12 @@ from tripflow.operators.aggregates import avg_amount_by_month, avg_passengers_by
 from tripflow.operators.consolidate import consolidate
 from tripflow.operators.ingest import to_bronze
 from tripflow.operators.standardize import to_silver
+from tripflow.plans.manifest import Manifest, fingerprint, frame_fingerprint
 from tripflow.sources import catalog
 from tripflow.sources.landing import (
     READ_ERRORS, STATUS_SCHEMA, LandedFile, expected_months, list_landing, month_groups, month_parts, read_months, unified_types, united, unusable_months,
 )
-from tripflow.sources.sinks import write_months, write_part, write_partitioned, write_result
+from tripflow.sources.sinks import current_version, publish_result, write_months, write_part, write_partitioned
 from tripflow.specs import PARTITION_COLUMNS, FeedSpec, QualitySpec
 
 
@@ -64,7 +65,7 @@ def read_layer(spark: SparkSession, lake: Lake, layer: str, name: str) -> DataFr
     if spark.catalog.databaseExists(table.split(".")[0]) and spark.catalog.tableExists(table):
         return catalog.read_table(spark, table)
     # Months may differ in columns the spec does not know: merge the footers.
-    return spark.read.option("mergeSchema", "true").parquet(lake.path(layer, name))
+    return spark.read.option("mergeSchema", "true").parquet(current_version(spark, lake.path(layer, name)))
 
 
 # --- J1: Bronze ---------------------------------------------------------------
@@ -96,7 +97,8 @@ def ingest_bronze_from_landing(spark: SparkSession, spec: FeedSpec, landing_root
     held = dict(spark.table(table).dtypes) if spark.catalog.tableExists(table) else {}
     rows, schema = load_months(spark, spec, files, path, held, months, strict)
     if schema is not None:
-        catalog.register_discovered(spark, table, path, schema=schema)
+        done = [dict(zip(PARTITION_COLUMNS, month_parts(m))) for _, m, status, _, _ in rows if status == "ok"]
+        catalog.register_discovered(spark, table, path, schema=schema, written=done)
     return spark.createDataFrame(rows, STATUS_SCHEMA).orderBy("mes")
 
 
@@ -173,40 +175,67 @@ def consolidate_gold(spark: SparkSession, specs: list[FeedSpec], lake: Lake, q:
 def monthly_result(spark: SparkSession, lake: Lake, q: QualitySpec) -> int:
     lake.create_databases(spark)
     gold = read_layer(spark, lake, "gold", GOLD_TABLE)
-    path = lake.path("gold", MONTHLY_TABLE)
-    rows = write_result(avg_amount_by_month(gold, q.monthly_tag), path)
-    catalog.create_table(spark, lake.table("gold", MONTHLY_TABLE), catalog.MONTHLY_DDL, path)
-    spark.catalog.refreshTable(lake.table("gold", MONTHLY_TABLE))
+    rows, at = publish_result(avg_amount_by_month(gold, q.monthly_tag), lake.path("gold", MONTHLY_TABLE))
+    catalog.publish(spark, lake.table("gold", MONTHLY_TABLE), catalog.MONTHLY_DDL, at)
     return rows
 
 
-def hourly_result(spark: SparkSession, lake: Lake, q: QualitySpec) -> int:
+def hourly_result(spark: SparkSession, lake: Lake, q: QualitySpec, must_hold: bool = False) -> int:
+    """``must_hold``: a stored Gold without rows in the month raises, and the result stays as it is."""
     lake.create_databases(spark)
     gold = read_layer(spark, lake, "gold", GOLD_TABLE)
-    path = lake.path("gold", HOURLY_TABLE)
-    rows = write_result(avg_passengers_by_hour(gold, q), path)
-    catalog.create_table(spark, lake.table("gold", HOURLY_TABLE), catalog.HOURLY_DDL, path)
-    spark.catalog.refreshTable(lake.table("gold", HOURLY_TABLE))
+    hours = avg_passengers_by_hour(gold, q)
+    if must_hold and hours.isEmpty():
+        raise ValueError(f"the stored Gold holds no trips of {q.year}-{q.hourly_month:02d}")
+    rows, at = publish_result(hours, lake.path("gold", HOURLY_TABLE))
+    catalog.publish(spark, lake.table("gold", HOURLY_TABLE), catalog.HOURLY_DDL, at)
     return rows
 
 
+def register_stored(spark: SparkSession, lake: Lake, stage: str, name: str, location: str) -> None:
+    """Make the table of a finished stage known to this catalog, if it is not."""
+    layer = stage if stage in ("bronze", "silver") else "gold"
+    table = lake.table(layer, name)
+    if spark.catalog.tableExists(table):
+        return
+    if stage == "bronze":
+        catalog.register_discovered(spark, table, location)
+    elif stage in ("silver", "gold"):
+        catalog.create_table(spark, table, catalog.SILVER_DDL if stage == "silver" else catalog.GOLD_DDL, location, catalog.PARTITION_DDL)
+        catalog.recover_partitions(spark, table)
+    else:
+        catalog.publish(spark, table, catalog.MONTHLY_DDL if name == MONTHLY_TABLE else catalog.HOURLY_DDL, location)
+
+
 # --- J6: everything in order --------------------------------------------------
 def run_all(spark: SparkSession, raws: dict[str, DataFrame | str], specs: dict[str, FeedSpec], lake: Lake,
             q: QualitySpec, parallel: bool = True, on_status=None,
-            strict: bool = False) -> DataFrame:
+            strict: bool = False, resume: bool = False) -> DataFrame:
     """Bronze (per feed) -> Silver (per feed) -> Gold -> monthly and hourly results.
 
     Within a layer the feeds are independent, so with ``parallel`` their jobs are
     submitted together from driver threads and share the executors (the layers
     themselves run in order). A feed is a frame, or the folder in which its months land.
     Returns (stage, feed, rows, seconds) per stage.
+
+    With ``resume`` a stage that the manifest has as finished from the same input and parameters, and whose output
+    is untouched, is skipped (its rows are the manifest's, its seconds 0); its table is registered if this catalog
+    does not know it. A run that died after Silver so starts at Gold. Every run writes the manifest.
     """
     lake.create_databases(spark)
+    manifest = Manifest(spark, lake.root)
     log: list[tuple[str, str, int, float]] = []
 
-    def timed(stage: str, feed: str, fn) -> tuple[str, str, int, float]:
+    def timed(stage: str, feed: str, fn, table: str, inputs, location) -> tuple[str, str, int, float]:
+        """Run ``fn`` unless it is done. ``inputs()`` is the fingerprint of what it reads, ``location()`` the folder it leaves."""
         t0 = time.perf_counter()
+        made_from = inputs()
+        held = manifest.done(stage, feed, made_from) if resume else None
+        if held is not None and held.location == location():
+            register_stored(spark, lake, stage, table, held.location)
+            return stage, feed, held.rows, 0.0
         rows = fn()
+        manifest.finish(stage, feed, made_from, location(), int(rows))
         return stage, feed, int(rows), round(time.perf_counter() - t0, 3)
 
     def layer(steps: list[tuple[str, str, object]]) -> None:
@@ -224,11 +253,27 @@ def run_all(spark: SparkSession, raws: dict[str, DataFrame | str], specs: dict[s
             on_status(status)
         return status.agg(F.coalesce(F.sum("linhas"), F.lit(0))).first()[0]
 
-    layer([("bronze", tag, lambda tag=tag: bronze(tag)) for tag in raws])
-    layer([("silver", tag, lambda tag=tag: standardize_silver(spark, specs[tag], lake)) for tag in raws])
-    layer([("gold", "all", lambda: consolidate_gold(spark, [specs[t] for t in raws], lake, q))])
-    layer([("avg_total_amount", q.monthly_tag, lambda: monthly_result(spark, lake, q)),
-           ("avg_passengers", "all", lambda: hourly_result(spark, lake, q))])
+    def raw_state(tag: str) -> str:
+        if not isinstance(raws[tag], str):
+            return frame_fingerprint(spark, raws[tag], specs[tag])
+        files = list_landing(spark, raws[tag], specs[tag].prefix)
+        return fingerprint(spark, [f.path for f in files], specs[tag], sorted(f.path for f in files), strict)
+
+    def folder(layer_name: str, name: str):
+        return lambda: lake.path(layer_name, name)
+
+    feeds = [(tag, _feed_table(specs[tag])) for tag in raws]
+    layer([("bronze", tag, lambda tag=tag: bronze(tag), name, lambda tag=tag: raw_state(tag), folder("bronze", name)) for tag, name in feeds])
+    layer([("silver", tag, lambda tag=tag: standardize_silver(spark, specs[tag], lake), name,
+            lambda tag=tag, name=name: fingerprint(spark, [lake.path("bronze", name)], specs[tag]), folder("silver", name)) for tag, name in feeds])
+    layer([("gold", "all", lambda: consolidate_gold(spark, [specs[t] for t in raws], lake, q), GOLD_TABLE,
+            lambda: fingerprint(spark, [lake.path("silver", name) for _, name in feeds], q), folder("gold", GOLD_TABLE))])
+
+    def result(stage: str, feed: str, fn, name: str):
+        return (stage, feed, lambda: fn(spark, lake, q), name, lambda: fingerprint(spark, [lake.path("gold", GOLD_TABLE)], q, stage),
+                lambda: current_version(spark, lake.path("gold", name)))
+
+    layer([result("avg_total_amount", q.monthly_tag, monthly_result, MONTHLY_TABLE), result("avg_passengers", "all", hourly_result, HOURLY_TABLE)])
     return spark.createDataFrame(log, "stage string, feed string, rows long, seconds double").select(
         "stage", "feed", "rows", F.col("seconds")
     )

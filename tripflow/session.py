@@ -96,6 +96,12 @@ def scratch_path(spark: SparkSession, *parts: str, unique: bool = True) -> str:
     return f"{root}/tripflow/{leaf}"
 
 
+def filesystem(spark: SparkSession, path: str):
+    """(Hadoop file system, path object) of a path of any store that Spark reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def cluster_conf(total_cores: int, input_bytes: int | None = None,
                  target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
     """Sizing for a cluster run.

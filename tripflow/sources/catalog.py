@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from tripflow.specs import AVG_PASSENGER_COUNT, AVG_TOTAL_AMOUNT, HORA, MES
@@ -49,8 +51,12 @@ def create_table(
     """External Parquet table with typed, commented columns.
 
     ``columns``/``partition_columns`` are (name, type, comment) triples; the
-    partition columns go last, as Spark stores them."""
+    partition columns go last, as Spark stores them. A table of that name with other
+    columns or another location raises."""
     cols = list(columns) + list(partition_columns)
+    if spark.catalog.tableExists(table):
+        check_table(spark, table, cols, location)
+        return
     body = ",\n  ".join(
         f"{_q(n)} {t} COMMENT '{c.replace(chr(39), chr(39) * 2)}'" for n, t, c in cols
     )
@@ -58,10 +64,49 @@ def create_table(
     if partition_columns:
         parts = " PARTITIONED BY (" + ", ".join(_q(n) for n, _, _ in partition_columns) + ")"
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {_q(table)} (\n  {body}\n) USING PARQUET{parts} LOCATION '{location}'"
+        f"CREATE TABLE {_q(table)} (\n  {body}\n) USING PARQUET{parts} LOCATION '{location}'"
     )
 
 
+def table_location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_q(table)}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"]
+
+
+def _plain(location: str) -> str:
+    """A location as compared: ``file:/x``, ``file:///x`` and ``/x/`` are one."""
+    return re.sub(r"^file:/+", "/", location).rstrip("/")
+
+
+def check_table(spark: SparkSession, table: str, columns, location: str | None = None) -> None:
+    """Raise if the table differs from (name, type, comment) ``columns`` in their order, or lies elsewhere."""
+    wanted = [(n.lower(), t.lower()) for n, t, _ in columns]
+    held = [(c.name.lower(), c.dataType.lower()) for c in spark.catalog.listColumns(table)]
+    if held != wanted:
+        raise ValueError(f"{table} exists with other columns: {held}, not {wanted}")
+    if location is not None and _plain(at := table_location(spark, table)) != _plain(location):
+        raise ValueError(f"{table} exists at {at}, not at {location}")
+
+
+def publish(spark: SparkSession, table: str, columns, location: str) -> None:
+    """Let an unpartitioned table show the version at ``location``: created there, or pointed to it by one
+    catalog change, so that a reader has the old version or the new one."""
+    if spark.catalog.tableExists(table):
+        check_table(spark, table, columns)
+        spark.sql(f"ALTER TABLE {_q(table)} SET LOCATION '{location}'")
+    else:
+        create_table(spark, table, columns, location)
+    spark.catalog.refreshTable(table)
+
+
+def add_partitions(spark: SparkSession, table: str, values: list[dict[str, int]]) -> None:
+    """K6 for the partitions of one write, without listing the others."""
+    if values:
+        parts = " ".join("PARTITION (" + ", ".join(f"{_q(k)} = {v}" for k, v in p.items()) + ")" for p in values)
+        spark.sql(f"ALTER TABLE {_q(table)} ADD IF NOT EXISTS {parts}")
+    spark.catalog.refreshTable(table)
+
+
 def recover_partitions(spark: SparkSession, table: str) -> None:
     """K6: make the table's partitions those of its location (new ones added, gone ones
     dropped), and drop any cached file listing of the table (a rerun replaces its files)."""
@@ -82,7 +127,7 @@ def add_new_columns(spark: SparkSession, table: str, observed: T.StructType) ->
 
 def register_discovered(
     spark: SparkSession, table: str, location: str, partition_columns=("partition_year", "partition_month"),
-    schema: T.StructType | None = None,
+    schema: T.StructType | None = None, written: list[dict[str, int]] | None = None,
 ) -> list[str]:
     """K7: the crawler's effect. Discover the data schema under ``location``
     (footers only, merged across all files in a distributed job, so a column that
@@ -90,6 +135,7 @@ def register_discovered(
     merge new columns; then register partitions. Returns the columns added to an
     existing table. Bronze files share one typed schema (the soft cast), so the
     footer merge never meets conflicting types."""
+    # ``written``: the partitions of this write; a table that exists gets these alone, without a listing of all.
     # A writer that just wrote the folder passes its own schema; no footer is read then.
     data_schema = schema or spark.read.option("mergeSchema", "true").parquet(location).schema
     parts = set(partition_columns)
@@ -100,7 +146,12 @@ def register_discovered(
         create_table(spark, table, cols, location, pcols)
         added: list[str] = []
     else:
+        if _plain(at := table_location(spark, table)) != _plain(location):
+            raise ValueError(f"{table} exists at {at}, not at {location}")
         added = add_new_columns(spark, table, T.StructType(data_fields))
+        if written is not None:
+            add_partitions(spark, table, written)
+            return added
     if partition_columns:
         recover_partitions(spark, table)
     return added

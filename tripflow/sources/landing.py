@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.operators.ingest import to_bronze
+from tripflow.session import filesystem
 from tripflow.specs import COLUNAS, FALHAS, LINHAS, MES, SUCESSOS, TAMANHO_MB, FeedSpec
 
 #: What Spark raises for a file that it cannot read or a schema that it cannot resolve.
@@ -51,16 +52,10 @@ def month_parts(month: str) -> tuple[int, int]:
     return int(year), int(mon)
 
 
-def _month_regex(prefix: str) -> str:
+def month_regex(prefix: str) -> str:
     return re.escape(prefix) + r"_(\d{4})-(\d{2})"
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def list_landing(spark: SparkSession, root: str, prefix: str, times: bool = False) -> list[LandedFile]:
     """Every month entry (a file, or a folder of part files) of the feed under ``root``
     or one folder below it (``root/<tag>/``), with its month and byte size.
@@ -70,9 +65,9 @@ def list_landing(spark: SparkSession, root: str, prefix: str, times: bool = Fals
     entries are listed too, for the empty-file guard. With ``times`` the time of the last
     change is looked up as well (a folder costs a listing of its files).
     """
-    fs, _ = _fs(spark, root)
+    fs, _ = filesystem(spark, root)
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    name = re.compile(r"(?:landing_file=)?" + _month_regex(prefix) + r"(?:\.parquet)?")
+    name = re.compile(r"(?:landing_file=)?" + month_regex(prefix) + r"(?:\.parquet)?")
     out: dict[str, LandedFile] = {}
     for pattern in (f"{root.rstrip('/')}/*{prefix}_*", f"{root.rstrip('/')}/*/*{prefix}_*"):
         for st in fs.globStatus(path(pattern)) or []:
@@ -243,7 +238,7 @@ def scan_landing(spark: SparkSession, spec: FeedSpec, root: str, months: tuple[s
 def with_file_month(df: DataFrame, spec: FeedSpec, path_col: str) -> DataFrame:
     """Add int ``partition_year``/``partition_month`` parsed from a path column
     (the last ``{prefix}_YYYY-MM`` in the path: the file or its month folder)."""
-    rx = ".*" + _month_regex(spec.prefix)
+    rx = ".*" + month_regex(spec.prefix)
     return df.withColumn("partition_year", F.regexp_extract(path_col, rx, 1).cast("int")).withColumn(
         "partition_month", F.regexp_extract(path_col, rx, 2).cast("int")
     )

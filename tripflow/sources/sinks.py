@@ -14,9 +14,12 @@ later range filters use to skip row groups).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+import re
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.session import filesystem
 from tripflow.specs import PARTITION_COLUMNS
 
 
@@ -86,13 +89,38 @@ def write_part(df: DataFrame, path: str, name: str = "part") -> int:
     return int(obs.get.get("rows", 0))
 
 
-def write_result(df: DataFrame, path: str, max_rows: int = 10_000) -> int:
-    """K3: a small result table (<= 24 hours or 12 months) as one Parquet file.
+_VERSION = re.compile(r"v(\d{8})")
+
+
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Names of the complete versions below ``path``, oldest first."""
+    fs, p = filesystem(spark, path)
+    names = [st.getPath().getName() for st in (fs.listStatus(p) if fs.exists(p) else []) if st.isDirectory()]
+    return [n for n in sorted(names) if _VERSION.fullmatch(n) and fs.exists(filesystem(spark, f"{path}/{n}/_SUCCESS")[1])]
+
+
+def current_version(spark: SparkSession, path: str) -> str:
+    """Folder of the last complete version of the table at ``path``; ``path`` itself if it is not versioned."""
+    path = path.rstrip("/")
+    versions = _versions(spark, path)
+    return f"{path}/{versions[-1]}" if versions else path
+
+
+def publish_result(df: DataFrame, path: str, keep: int = 2) -> tuple[int, str]:
+    """K3: a small result table as one Parquet file in a new version folder; returns (rows, folder).
 
-    At most ``max_rows`` + 1 rows are taken to the driver; a larger result raises before
-    the table at ``path`` is touched."""
-    rows = df.take(max_rows + 1)
-    if len(rows) > max_rows:
-        raise ValueError(f"the result for {path} has over {max_rows} rows; expected a small aggregate")
-    df.sparkSession.createDataFrame(rows, df.schema).coalesce(1).write.mode("overwrite").parquet(path)
-    return len(rows)
+    Nothing that a reader may have open is touched: the version counts once its ``_SUCCESS`` is there, and a failed
+    write leaves the last one current. The last ``keep`` versions stay for readers that began before; older ones and
+    broken attempts before them are removed after the new one is complete."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    fs, p = filesystem(spark, path)
+    taken = [int(m.group(1)) for st in (fs.listStatus(p) if fs.exists(p) else []) if (m := _VERSION.fullmatch(st.getPath().getName()))]
+    name = f"v{max(taken, default=0) + 1:08d}"
+    out, obs = observe_rows(df.coalesce(1), "result")
+    out.write.mode("errorifexists").parquet(f"{path}/{name}")
+    stays = _versions(spark, path)[-max(1, keep):]
+    for st in fs.listStatus(p):
+        own = st.getPath().getName()
+        if _VERSION.fullmatch(own) and own < stays[0]:
+            fs.delete(st.getPath(), True)
+    return int(obs.get.get("rows", 0)), f"{path}/{name}"

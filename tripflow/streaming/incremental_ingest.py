@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripflow.plans.medallion import load_months
-from tripflow.session import scratch_path
-from tripflow.sources.landing import LandedFile, _fs, _month_regex, list_landing
+from tripflow.session import filesystem, scratch_path
+from tripflow.sources.landing import LandedFile, month_regex, list_landing
 from tripflow.specs import FeedSpec
 
 LEDGER_SCHEMA = "path string, size long, time long, mes string, batch long, status string, linhas long, erro string"
@@ -48,7 +48,7 @@ class BronzeIngest:
             raise ValueError(f"{self.bronze} was written by a file sink, whose log hides replaced months: use a new folder")
 
     def _exists(self, path: str) -> bool:
-        fs, p = _fs(self.spark, path)
+        fs, p = filesystem(self.spark, path)
         return fs.exists(p)
 
     def ledger(self) -> DataFrame:
@@ -72,7 +72,7 @@ class BronzeIngest:
 
     def batch(self, rows: DataFrame, batch_id: int) -> None:
         """The months of one micro-batch's files."""
-        month = F.regexp_extract("path", ".*" + _month_regex(self.spec.prefix), 0)
+        month = F.regexp_extract("path", ".*" + month_regex(self.spec.prefix), 0)
         landed = {r.m[-7:] for r in rows.select(month.alias("m")).distinct().collect()}
         self._load([f for f in self.changed() if f.month in landed], batch_id)
 
@@ -99,12 +99,12 @@ class BronzeIngest:
         self.rows += sum(n for _, n, _ in of.values())
 
     def _list(self):
-        fs, p = _fs(self.spark, self.bronze)
+        fs, p = filesystem(self.spark, self.bronze)
         return fs.listStatus(p) if fs.exists(p) else []
 
     def _enter(self, entries: list[tuple]) -> None:
         """One new folder of the ledger, after the months are written."""
-        fs, p = _fs(self.spark, self.ledger_path)
+        fs, p = filesystem(self.spark, self.ledger_path)
         names = [st.getPath().getName() for st in (fs.listStatus(p) if fs.exists(p) else [])]
         at = 1 + max((int(n.removeprefix("entry=")) for n in names if n.startswith("entry=")), default=-1)
         self.spark.createDataFrame(entries, LEDGER_SCHEMA).coalesce(1).write.mode("overwrite").parquet(f"{self.ledger_path}/entry={at:012d}")
