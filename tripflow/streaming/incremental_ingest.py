@@ -6,7 +6,7 @@ each micro-batch then replaces those months as a whole by the same code as the b
 backup copy is no month, a zero-byte or unreadable month is one status row and does not stop the others, and
 a month that landed again replaces its rows.
 
-The ledger (``_ledger`` in the Bronze folder) says for every landed file in which state (size, time) it was
+The ledger (``_state/ledger`` in the Bronze folder) says for every landed file in which state (size, time) it was
 ingested, by which batch, with what outcome. A month is ingested if the state of its files differs from the
 ledger's. A batch that Spark runs again after a failure therefore does nothing, or replaces the same months
 by the same rows. A file that is overwritten under its old name is no new file to Spark's source: the
@@ -42,7 +42,7 @@ class BronzeIngest:
 
     def __init__(self, spark: SparkSession, spec: FeedSpec, landing_dir: str, bronze_path: str, months_per_pass: int = 64) -> None:
         self.spark, self.spec, self.landing, self.bronze = spark, spec, landing_dir, bronze_path.rstrip("/")
-        self.ledger_path, self.months_per_pass = f"{self.bronze}/_ledger", months_per_pass
+        self.ledger_path, self.months_per_pass = f"{self.bronze}/_state/ledger", months_per_pass
         self.rows = 0  # written so far
         if self._exists(f"{self.bronze}/_spark_metadata"):
             raise ValueError(f"{self.bronze} was written by a file sink, whose log hides replaced months: use a new folder")
