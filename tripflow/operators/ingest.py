@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.specs import COLUNA, FALHAS, PARTITION_COLUMNS, FeedSpec
+from tripflow.specs import COLUNA, FALHAS, PARTITION_COLUMNS, TIPO, FeedSpec
 
 
 def lowercase_columns(df: DataFrame) -> DataFrame:
@@ -65,6 +65,57 @@ def cast_failures(df: DataFrame, spec: FeedSpec, feed: str | None = None) -> Dat
     )
 
 
+def _checkable(df: DataFrame, spec: FeedSpec) -> list[tuple[str, str]]:
+    """Columns of the spec that are not delivered in its type; the cast of any other cannot fail."""
+    held = dict(df.dtypes)
+    return [(c, kind) for c, kind in _present(df, spec) if held[c] != kind]
+
+
+def _fails(column: str, kind: str) -> Column:
+    return F.col(column).isNotNull() & F.col(column).try_cast(kind).isNull()
+
+
+def uncastable_columns(df: DataFrame, spec: FeedSpec) -> list[str]:
+    """Columns of which at least one value cannot be read in the spec's type (one scan, one row)."""
+    check = _checkable(df, spec)
+    if not check:
+        return []
+    found = df.agg(*[F.coalesce(F.bool_or(_fails(c, kind)), F.lit(False)).alias(c) for c, kind in check]).first()
+    return [c for c, _ in check if found[c]]
+
+
+def column_cast(df: DataFrame, spec: FeedSpec) -> DataFrame:
+    """P2 by column: a column is cast if every value of it can be, else it stays as delivered.
+
+    Two phases: the failures of all columns decide its plan, then the rows are cast. ``df`` is
+    what one decision covers: a month, to decide by month. Expects lower-cased input."""
+    kept = set(uncastable_columns(df, spec))
+    kinds = {c: kind for c, kind in _present(df, spec) if c not in kept}
+    return df.select([F.col(c).try_cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in df.columns])
+
+
+QUARANTINE_SCHEMA = f"feed string, {COLUNA} string, {TIPO} string, valor string, linha string, partition_year int, partition_month int"
+
+
+def quarantine(df: DataFrame, spec: FeedSpec, feed: str | None = None) -> DataFrame:
+    """One row per value that the soft cast cannot read: the column, the type asked for, the value as text, the whole
+    row as delivered (JSON) and its file month (null if ``df`` has none). Expects lower-cased input.
+
+    Rows without failures are filtered out before anything is made of them; no shuffle."""
+    check = _checkable(df, spec)
+    if not check:
+        return df.sparkSession.createDataFrame([], QUARANTINE_SCHEMA)
+    some = F.lit(False)
+    for c, kind in check:
+        some = some | _fails(c, kind)
+    failed = F.array(*[F.when(_fails(c, kind), F.struct(F.lit(c).alias(COLUNA), F.lit(kind).alias(TIPO), F.col(c).cast("string").alias("valor")))
+                       for c, kind in check])
+    month = [(F.col(c) if c in df.columns else F.lit(None)).cast("int").alias(c) for c in PARTITION_COLUMNS]
+    whole = F.to_json(F.struct(*df.columns))
+    return (df.where(some).select(F.explode(F.array_compact(failed)).alias("f"), whole.alias("linha"), *month)
+            .select(F.lit(feed or spec.tag).alias("feed"), "f.*", "linha", *PARTITION_COLUMNS))
+
+
 def with_partition_columns(df: DataFrame) -> DataFrame:
     """Partition values as int (they come from the file month, not the pickup)."""
     return df.select(
@@ -72,7 +123,12 @@ def with_partition_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def to_bronze(raw: DataFrame, spec: FeedSpec) -> DataFrame:
-    """Raw feed -> Bronze: lower-case, soft cast, int partition columns."""
-    return with_partition_columns(soft_cast(lowercase_columns(raw), spec))
+def to_bronze(raw: DataFrame, spec: FeedSpec, cast: str = "value") -> DataFrame:
+    """Raw feed -> Bronze: lower-case, soft cast, int partition columns.
+
+    ``cast``: "value" makes an unreadable value null, "column" leaves a column that holds one as delivered."""
+    if cast not in ("value", "column"):
+        raise ValueError(f"cast must be value or column, not {cast!r}")
+    by = soft_cast if cast == "value" else column_cast
+    return with_partition_columns(by(lowercase_columns(raw), spec))
 

@@ -18,14 +18,14 @@ from pyspark.sql import types as T
 
 from tripflow.operators.aggregates import avg_amount_by_month, avg_passengers_by_hour
 from tripflow.operators.consolidate import consolidate
-from tripflow.operators.ingest import to_bronze
+from tripflow.operators.ingest import quarantine, to_bronze
 from tripflow.operators.standardize import to_silver
 from tripflow.plans.manifest import Manifest, fingerprint, frame_fingerprint
 from tripflow.sources import catalog
 from tripflow.sources.landing import (
-    READ_ERRORS, STATUS_SCHEMA, LandedFile, expected_months, list_landing, month_groups, month_parts, read_months, unified_types, united, unusable_months,
+    READ_ERRORS, STATUS_SCHEMA, LandedFile, delivered, expected_months, list_landing, month_groups, month_parts, read_months, unified_types, united, unusable_months,
 )
-from tripflow.sources.sinks import current_version, publish_result, write_months, write_part, write_partitioned
+from tripflow.sources.sinks import current_version, publish_result, replace_months, write_months, write_part, write_partitioned
 from tripflow.specs import PARTITION_COLUMNS, FeedSpec, QualitySpec
 
 
@@ -69,20 +69,42 @@ def read_layer(spark: SparkSession, lake: Lake, layer: str, name: str) -> DataFr
 
 
 # --- J1: Bronze ---------------------------------------------------------------
-def ingest_bronze(spark: SparkSession, raw: DataFrame, spec: FeedSpec, lake: Lake) -> int:
+def ingest_bronze(spark: SparkSession, raw: DataFrame, spec: FeedSpec, lake: Lake, cast: str = "value") -> int:
     """Raw feed -> Bronze table. Only the months present in ``raw`` are replaced
     (dynamic overwrite), so re-running one month is idempotent. The input is not
-    clustered by month, so the write rebalances by partition (hot months split)."""
+    clustered by month, so the write rebalances by partition (hot months split).
+    With ``cast="column"`` a Bronze table that holds such a column in another type raises
+    before anything is written, as one Parquet table cannot hold both."""
     lake.create_databases(spark)
     path = lake.path("bronze", _feed_table(spec))
-    bronze = to_bronze(raw, spec)
+    bronze = to_bronze(raw, spec, cast)
+    table = lake.table("bronze", _feed_table(spec))
+    if cast == "column" and spark.catalog.tableExists(table):
+        held = dict(spark.table(table).dtypes)
+        other = sorted(c for c, t in bronze.dtypes if held.get(c, t) != t)
+        if other:
+            raise ValueError(f"{table} holds {other} in other types")
     rows = write_partitioned(bronze, path, overwrite="dynamic", layout="rebalance", name=f"bronze_{spec.tag}")
-    catalog.register_discovered(spark, lake.table("bronze", _feed_table(spec)), path, schema=bronze.schema)
+    catalog.register_discovered(spark, table, path, schema=bronze.schema)
     return rows
 
 
+def quarantine_path(lake: Lake, spec: FeedSpec) -> str:
+    return lake.path("bronze", f"{spec.tag}_quarantine")
+
+
+def quarantine_months(spark: SparkSession, spec: FeedSpec, files: list[LandedFile], lake: Lake, months: list[str]) -> int:
+    """Values that the soft cast of these landed months cannot read, as partitions of the feed's quarantine folder;
+    each month's are replaced as a whole, also by none. Months in the spec's own types are not read. Returns the values."""
+    reads = read_months(spark, [f for f in files if f.month in months], {})
+    total = 0
+    for alike, df in month_groups(spark, spec, reads, delivered):
+        total += sum(replace_months(quarantine(df, spec), quarantine_path(lake, spec), alike).values())
+    return total
+
+
 def ingest_bronze_from_landing(spark: SparkSession, spec: FeedSpec, landing_root: str, lake: Lake,
-                               months: tuple[str, ...] | None = None, strict: bool = False) -> DataFrame:
+                               months: tuple[str, ...] | None = None, strict: bool = False, keep_failed: bool = False) -> DataFrame:
     """Landing files -> Bronze table; returns the per-month status frame (A13) as it was written.
 
     ``months`` names the months to load, and no others are touched; None means every month of the
@@ -90,7 +112,8 @@ def ingest_bronze_from_landing(spark: SparkSession, spec: FeedSpec, landing_root
     its own. So a month that is missing, empty, unreadable or fails while it is read does not stop
     the others (``strict=True`` raises before anything is written if one cannot be read). Rows are
     counted as they are written. Columns unknown to the spec go to Bronze with the type
-    they already have there."""
+    they already have there. ``keep_failed`` also writes the values that the soft cast made null
+    (:func:`quarantine_months`) of the months that loaded."""
     lake.create_databases(spark)
     files = list_landing(spark, landing_root, spec.prefix)
     table, path = lake.table("bronze", _feed_table(spec)), lake.path("bronze", _feed_table(spec))
@@ -99,6 +122,8 @@ def ingest_bronze_from_landing(spark: SparkSession, spec: FeedSpec, landing_root
     if schema is not None:
         done = [dict(zip(PARTITION_COLUMNS, month_parts(m))) for _, m, status, _, _ in rows if status == "ok"]
         catalog.register_discovered(spark, table, path, schema=schema, written=done)
+    if keep_failed:
+        quarantine_months(spark, spec, files, lake, [m for _, m, status, _, _ in rows if status == "ok"])
     return spark.createDataFrame(rows, STATUS_SCHEMA).orderBy("mes")
 
 

@@ -299,6 +299,23 @@ ORACLES["cast_failures"] = (
 )
 
 
+ORACLES["cast_quarantine"] = """
+SELECT 'green' AS feed, 'vendorid' AS coluna, 'bigint' AS tipo, 'x' AS valor,
+       CAST(year(o_orderdate) AS INTEGER) AS partition_year, CAST(month(o_orderdate) AS INTEGER) AS partition_month, count(*) AS vezes
+FROM orders WHERE o_orderkey % 10 = 0 GROUP BY year(o_orderdate), month(o_orderdate)
+"""
+
+ORACLES["bronze_column_cast"] = f"WITH {FEED_CTES.strip()}\n" + """
+SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'x' ELSE CAST(o_custkey AS VARCHAR) END AS vendorid,
+       CAST(o_orderdate + to_seconds((o_orderkey*104729)%86400) AS TIMESTAMP) AS lpep_pickup_datetime,
+       CAST(o_orderdate + to_seconds((o_orderkey*104729)%86400 + 600) AS TIMESTAMP) AS lpep_dropoff_datetime,
+       CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE CAST(o_orderkey%8 AS DOUBLE) END AS passenger_count,
+       CAST(CASE WHEN o_orderstatus = 'P' THEN -o_totalprice ELSE o_totalprice END AS DOUBLE) AS total_amount,
+       CAST(year(o_orderdate) AS INTEGER) AS partition_year, CAST(month(o_orderdate) AS INTEGER) AS partition_month
+FROM orders
+"""
+
+
 def _required(feed: str, table: str, cols: list[tuple[str, str]]) -> str:
     parts = []
     for c, kind in cols:
@@ -360,3 +377,18 @@ ORACLES["lake_avg_amount_by_month"] = ORACLES["avg_amount_by_month"]
 ORACLES["lake_avg_passengers_by_hour"] = ORACLES["avg_passengers_by_hour"]
 ORACLES["lake_gold_summary"] = ORACLES["gold_summary"]
 ORACLES["stream_partition_counts"] = ORACLES["partition_counts"]
+ORACLES["stored_partition_counts"] = ORACLES["partition_counts"]
+
+
+def _null_profile_of(feed: str, table: str, columns: list[str]) -> str:
+    return f"SELECT '{feed}' AS feed, * FROM ({_null_profile(table, columns)})"
+
+
+ORACLES["stored_null_profile"] = with_feeds(
+    _null_profile_of("yellow", "bronze_a", ["vendorid", "passenger_count", "total_amount", "tpep_pickup_datetime", "tpep_dropoff_datetime"])
+    + "\nUNION ALL\n"
+    + _null_profile_of("green", "bronze_b", ["vendorid", "passenger_count", "total_amount", "lpep_pickup_datetime", "lpep_dropoff_datetime"]))
+ORACLES["states_avg_amount_by_month"] = ORACLES["avg_amount_by_month"]
+ORACLES["states_avg_passengers_by_hour"] = ORACLES["avg_passengers_by_hour"]
+ORACLES["states_gold_summary"] = ORACLES["gold_summary"]
+ORACLES["states_amount_stats_by_month"] = ORACLES["amount_stats_by_month"]

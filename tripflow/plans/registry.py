@@ -11,11 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.operators import aggregates, ingest, profile, schema_audit
+from tripflow.operators import aggregates, ingest, partials, profile, schema_audit
 from tripflow.operators.consolidate import gold_projection, quality_predicate, union_all
-from tripflow.plans import layers, medallion, sql_forms
+from tripflow.plans import incremental, layers, medallion, sql_forms
 from tripflow.session import application_id, scratch_path
-from tripflow.sources import feeds, landing
+from tripflow.sources import feeds, landing, statistics
 from tripflow.specs import FEED_A, FEED_B, LINHAS, TESTDATA_QUALITY as Q
 from tripflow.streaming.incremental_ingest import run_bronze_ingest_once
 
@@ -160,6 +160,20 @@ def cast_failures(spark, sf_dir):
     return union_all(ingest.cast_failures(a, FEED_A), ingest.cast_failures(b, FEED_B))
 
 
+@register
+def cast_quarantine(spark, sf_dir):
+    """The values that the soft cast cannot read, with their file month and how often each occurs."""
+    frames = [ingest.quarantine(ingest.lowercase_columns(raw), spec)
+              for raw, spec in ((feeds.raw_feed_a(spark, sf_dir), FEED_A), (feeds.raw_feed_b_text_vendor(spark, sf_dir), FEED_B))]
+    return union_all(*frames).groupBy("feed", "coluna", "tipo", "valor", "partition_year", "partition_month").agg(F.count(F.lit(1)).alias("vezes"))
+
+
+@register
+def bronze_column_cast(spark, sf_dir):
+    """P2 by column: feed B with its vendor id as text; the column holds unreadable ids and stays text."""
+    return ingest.to_bronze(feeds.raw_feed_b_text_vendor(spark, sf_dir), FEED_B, cast="column")
+
+
 @register
 def required_columns(spark, sf_dir):
     return union_all(*[schema_audit.required_columns(layers.raw(spark, sf_dir, tag), spec)
@@ -257,6 +271,43 @@ def lake_gold_summary(spark, sf_dir):
     return profile.gold_summary(spark.table(lake.table("gold", medallion.GOLD_TABLE)))
 
 
+@register
+def stored_partition_counts(spark, sf_dir):
+    """A5 over the stored Bronze tables, from the footers' row counts."""
+    lake = _lake(spark, sf_dir)
+    return union_all(*[profile.partition_counts(statistics.statistics_scan(spark, lake.path("bronze", f"{tag}_trips")), feed=tag)
+                       for tag in layers.FEEDS])
+
+
+@register
+def stored_null_profile(spark, sf_dir):
+    """A7 over the stored Bronze tables, from the footers' null counts."""
+    lake = _lake(spark, sf_dir)
+    return union_all(*[statistics.stored_null_profile(spark, lake.path("bronze", f"{tag}_trips"), spec.bronze_required, feed=tag)
+                       for tag, spec in layers.FEEDS.items()])
+
+
+# --- results from mergeable states of the stored layers -------------------------
+@register
+def states_avg_amount_by_month(spark, sf_dir):
+    return partials.avg_amount_by_month(incremental.gold_states(spark, _lake(spark, sf_dir)), Q.monthly_tag)
+
+
+@register
+def states_avg_passengers_by_hour(spark, sf_dir):
+    return partials.avg_passengers_by_hour(incremental.gold_states(spark, _lake(spark, sf_dir)), Q)
+
+
+@register
+def states_gold_summary(spark, sf_dir):
+    return partials.gold_summary(incremental.gold_states(spark, _lake(spark, sf_dir)))
+
+
+@register
+def states_amount_stats_by_month(spark, sf_dir):
+    return partials.amount_stats_by_month(incremental.silver_states(spark, _lake(spark, sf_dir), FEED_A))
+
+
 # --- streaming ingest (J1 incremental) -----------------------------------------
 @register
 def stream_partition_counts(spark, sf_dir):

@@ -17,6 +17,8 @@ CORE_CONF = {
     # Rebalance hints split hot partitions instead of writing one giant file.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # Counts from footers; only scans of sources/statistics.py (DataSource V2) use it.
+    "spark.sql.parquet.aggregatePushdown": "true",
     # Joins in tripflow have one side bounded by months or columns. No hint forces
     # a broadcast: the planner (local relations) or AQE (measured shuffle output)
     # broadcasts a side only under this size and falls back to sort-merge above it.

@@ -188,6 +188,12 @@ def unified_types(schemas: list[T.StructType], known: dict[str, str] | None = No
     return out
 
 
+def delivered(df: DataFrame, spec: FeedSpec, year, month) -> DataFrame:
+    """Landed rows with lower-case names and the month, in the types they came in."""
+    rows = _settled(df.drop("partition_year", "partition_month"))
+    return rows.select(*[c for c in rows.columns if c not in ("_year", "_month")], year.alias("partition_year"), month.alias("partition_month"))
+
+
 def bronze_of(df: DataFrame, spec: FeedSpec, year, month) -> DataFrame:
     """Landed rows as Bronze rows: lower-case, soft-cast, every column of the spec (null if they
     lack it), unknown columns kept, the month as int partition columns."""
@@ -198,8 +204,8 @@ def bronze_of(df: DataFrame, spec: FeedSpec, year, month) -> DataFrame:
     return bronze.select(*known, *rest, year.alias("partition_year"), month.alias("partition_month"))
 
 
-def month_groups(spark: SparkSession, spec: FeedSpec, reads: dict[str, MonthRead]) -> list[tuple[list[str], DataFrame]]:
-    """(months, Bronze rows) of all months that share a schema, by one scan each.
+def month_groups(spark: SparkSession, spec: FeedSpec, reads: dict[str, MonthRead], shape=bronze_of) -> list[tuple[list[str], DataFrame]]:
+    """(months, rows in ``shape``) of all months that share a schema, by one scan each.
 
     The month of a single one is a constant; in a scan of several it is cut from the file's path
     (the seven characters after the last ``{prefix}_``).
@@ -212,12 +218,12 @@ def month_groups(spark: SparkSession, spec: FeedSpec, reads: dict[str, MonthRead
         first = reads[months[0]]
         if len(months) == 1:
             year, mon = month_parts(months[0])
-            out.append((months, bronze_of(first.df, spec, F.lit(year), F.lit(mon))))
+            out.append((months, shape(first.df, spec, F.lit(year), F.lit(mon))))
             continue
         label = F.substring_index(F.col("_metadata.file_path"), f"{spec.prefix}_", -1)
         df = (spark.read.schema(first.df.schema).parquet(*[p for m in months for p in reads[m].paths])
               .withColumn("_year", F.substring(label, 1, 4).cast("int")).withColumn("_month", F.substring(label, 6, 2).cast("int")))
-        out.append((months, bronze_of(df, spec, F.col("_year"), F.col("_month"))))
+        out.append((months, shape(df, spec, F.col("_year"), F.col("_month"))))
     return out
 
 

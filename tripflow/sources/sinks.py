@@ -71,12 +71,13 @@ def write_partitioned(
     return int(obs.get.get("rows", 0))
 
 
-def write_months(df: DataFrame, path: str, months: list[str], partition_cols: tuple[str, ...] = PARTITION_COLUMNS) -> dict[str, int]:
+def write_months(df: DataFrame, path: str, months: list[str], partition_cols: tuple[str, ...] = PARTITION_COLUMNS,
+                 sort_within: tuple[str, ...] = ()) -> dict[str, int]:
     """K1: replace the partitions present in ``df`` and return the rows written for each of ``months`` ('YYYY-MM')."""
     year, month = (F.col(c) for c in partition_cols)
     obs = Observation("months")
     counts = [F.count_if((year == int(m[:4])) & (month == int(m[5:]))).alias(m) for m in months]
-    (prepare_layout(df, partition_cols, "preserve").observe(obs, *counts)
+    (prepare_layout(df, partition_cols, "preserve", sort_within).observe(obs, *counts)
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path))
     return {m: int(n) for m, n in obs.get.items()}
 
@@ -89,6 +90,21 @@ def write_part(df: DataFrame, path: str, name: str = "part") -> int:
     return int(obs.get.get("rows", 0))
 
 
+def month_folder(path: str, month: str) -> str:
+    """Folder of a month's ('YYYY-MM') partition."""
+    return f"{path.rstrip('/')}/partition_year={int(month[:4])}/partition_month={int(month[5:])}"
+
+
+def replace_months(df: DataFrame, path: str, months: list[str], sort_within: tuple[str, ...] = ()) -> dict[str, int]:
+    """K1: make ``df`` all that the months hold; a month without rows in ``df`` loses the partition it had. Rows per month."""
+    rows = write_months(df, path, months, sort_within=sort_within)
+    for month in months:
+        fs, folder = filesystem(df.sparkSession, month_folder(path, month))
+        if not rows[month] and fs.exists(folder):
+            fs.delete(folder, True)
+    return rows
+
+
 _VERSION = re.compile(r"v(\d{8})")
 
 
