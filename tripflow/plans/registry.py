@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tripflow.operators import aggregates, ingest, partials, profile, schema_audit
 from tripflow.operators.consolidate import gold_projection, quality_predicate, union_all
 from tripflow.plans import incremental, layers, medallion, sql_forms
+from tripflow.plans.manifest import fingerprint
 from tripflow.session import application_id, scratch_path
 from tripflow.sources import feeds, landing, statistics
 from tripflow.specs import FEED_A, FEED_B, LINHAS, TESTDATA_QUALITY as Q
@@ -187,14 +188,20 @@ def missing_months(spark, sf_dir):
 
 
 # --- landing files (S1-S5, A6, A13): the raw feeds landed as monthly files ---
-_LANDINGS: dict[tuple[str, str], dict[str, str]] = {}
+_LANDINGS: dict[tuple[str, str, str], dict[str, str]] = {}
+
+
+def _input_state(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
+    """What the stored copies are kept by: the application, the folder, and the state of the feeds' files in it."""
+    paths = sorted({p for df in feeds.raw_feeds(spark, sf_dir).values() for p in df.inputFiles()})
+    return application_id(spark), sf_dir, fingerprint(spark, paths)
 
 
 def _landed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Land both raw feeds (one distributed write each) under the shared
-    checkpoint folder once per (application, input); returns tag -> landing
+    checkpoint folder once per application and state of the input; returns tag -> landing
     directory. Landed files are never modified afterwards."""
-    key = (application_id(spark), sf_dir)
+    key = _input_state(spark, sf_dir)
     if key not in _LANDINGS:
         root = scratch_path(spark, "landing")
         _LANDINGS[key] = {tag: landing.land_feed(layers.raw(spark, sf_dir, tag), spec, root)
@@ -236,13 +243,13 @@ def landing_scan(spark, sf_dir):
 
 
 # --- the on-disk run (J1-J6) and its SQL read-back ----------------------------
-_LAKES: dict[tuple[str, str], medallion.Lake] = {}
+_LAKES: dict[tuple[str, str, str], medallion.Lake] = {}
 
 
 def _lake(spark: SparkSession, sf_dir: str) -> medallion.Lake:
-    """Run the whole medallion once per (application, input) into the shared
+    """Run the whole medallion once per application and state of the input into the shared
     checkpoint folder and register its tables; later keys reuse it."""
-    key = (application_id(spark), sf_dir)
+    key = _input_state(spark, sf_dir)
     if key not in _LAKES:
         root = scratch_path(spark, "lake")
         suffix = root.rsplit("-", 1)[-1]
