@@ -47,3 +47,31 @@ def test_written_shards_are_in_slot_order(spark, tmp_dir):
     sharding.write_shards(sharded, f"{tmp_dir}/s", rows_per_file=10)
     back = spark.read.parquet(f"{tmp_dir}/s")
     assert sorted((r.shard, r.slot, r.doc_id) for r in back.collect()) == sorted((r.shard, r.slot, r.doc_id) for r in sharded.collect())
+
+
+def plain_place(row, n, seed):
+    """The network on Python integers, one row at a time."""
+    if n <= 1:
+        return row
+    bits = ((n - 1).bit_length() + 1) // 2
+    while True:
+        left, right = row >> bits, row % (1 << bits)
+        for r in range(4):
+            x = (right + (seed * 1_000_003 + r * 0x632BE59BD9B4E019 + 1)) * 0x9E3779B97F4A7C15 % 2**64
+            x = (x ^ x >> 29) * 0xBF58476D1CE4E5B9 % 2**64
+            left, right = right, left ^ (x ^ x >> 32) % (1 << bits)
+        row = (left << bits) + right
+        if row < n:
+            return row
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 64, 65, 1000, 4097])
+def test_the_network_equals_a_plain_form(n):
+    shard, slot = sharding.place(np.arange(n), n, 8, seed=9)
+    assert (slot * 8 + shard).tolist() == [plain_place(k, n, 9) for k in range(n)]
+
+
+@pytest.mark.parametrize("name", ["slot", "Shard", "row_no", "_uid"])
+def test_clashing_names_raise(spark, name):
+    with pytest.raises(ValueError, match=name):
+        sharding.shard_rows(spark, frame(spark, [(1, 1, "x")]).withColumnRenamed("shard_name", name), ["doc_id"], 8)

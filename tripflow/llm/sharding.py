@@ -9,7 +9,9 @@ the others: :func:`place` and :func:`row_at`.
 
 Nulls, ties and repeated rows: null order keys come first; rows equal in every
 order key are interchangeable (each gets one of their numbers). An empty table
-gives an empty result. Other columns are carried along unchanged.
+gives an empty result. Other columns are carried along unchanged; an input column named like
+one of the result (``row_no``, ``shard``, ``slot``) or of the work (``_uid``, ``_at``, ``_part``,
+``_n``) raises.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from pyspark.sql import functions as F
 from tripflow.llm.common import materialize, rank_rows, ship
 
 ROUNDS = 4
+#: Names that :func:`shard_rows` gives itself.
+OWN_COLUMNS = ("row_no", "shard", "slot", "_uid", "_at", "_part", "_n")
 
 
 def _round(half: np.ndarray, key: int, mask: np.uint64) -> np.ndarray:
@@ -73,6 +77,9 @@ def shard_rows(spark: SparkSession, df: DataFrame, order: list[str], shards: int
     ``order`` names the columns that fix the row numbers. ``df`` is written once, so
     that the range sample and the numbering read the stored rows and not its source.
     """
+    clash = [c for c in df.columns if c.lower() in OWN_COLUMNS]
+    if clash:
+        raise ValueError(f"the input already has columns {clash}")
     ship(spark)
     stored = materialize(spark, df.withColumn("_uid", F.monotonically_increasing_id()), "shard-input")
     n = stored.count()
@@ -84,10 +91,9 @@ def shard_rows(spark: SparkSession, df: DataFrame, order: list[str], shards: int
     def permuted(row_no: pd.Series) -> pd.Series:
         return pd.Series(_walk(row_no.to_numpy(), n, seed, inverse=False))
 
-    p = ranked.withColumn("_p", permuted("row_no"))
-    return (p.withColumn("shard", (F.col("_p") % shards).cast("int"))
-            .withColumn("slot", F.expr(f"_p div {int(shards)}"))
-            .drop("_p"))
+    return (ranked.withColumn("slot", permuted("row_no"))
+            .withColumn("shard", (F.col("slot") % shards).cast("int"))
+            .withColumn("slot", F.expr(f"slot div {int(shards)}")))
 
 
 def write_shards(sharded: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
