@@ -62,8 +62,7 @@ def test_taken_words_equal_plain_streams(spark, block):
     assert run(spark, ROWS, block=block) == brute(ROWS)
 
 
-def test_chunks_and_buckets_change_nothing(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "_BUCKET_ROWS", 16)
+def test_chunks_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(mixing, "_CHUNK_SLOTS", 32)
     assert run(spark, ROWS, block=8) == brute(ROWS)
 
@@ -82,3 +81,8 @@ def test_schedule_is_low_discrepancy_and_complete(spark):
 def test_without_words_or_rows(spark):
     assert run(spark, [(1, None, "a"), (2, "", "b")]) == [(1, "a", 0, 0, 0.0, 0), (2, "b", 0, 0, 0.0, 0)]
     assert run(spark, []) == []
+
+
+def test_one_id_on_most_rows(spark):
+    rows = ROWS + [(None, "n " * (k % 90 + 1), "s0") for k in range(400)] + [(7, "r " * (k % 50), None) for k in range(300)]
+    assert run(spark, rows, block=64) == brute(rows)

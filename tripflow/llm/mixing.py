@@ -31,8 +31,6 @@ from tripflow.llm.common import SPACE, WORD, materialize, rank_rows
 
 _PERIOD = 1 << 31
 _GOLDEN = 1327217885  # 2**31 / golden ratio, odd: i -> i * _GOLDEN mod 2**31 meets every point once
-_HASH_RANGE = 1 << 32
-_BUCKET_ROWS = 2048
 _CHUNK_SLOTS = 4096
 
 
@@ -80,24 +78,18 @@ def source_streams(spark: SparkSession, sizes: DataFrame, seed: int = 3) -> Data
     """Add ``start``: the place of a document's first word in its source's shuffled stream.
 
     ``sizes`` is a stored table with doc_id, source, size and a unique ``uid``; the order is
-    by the hash of doc_id, and for equal hashes by size.
+    by the hash of doc_id, and for equal hashes by size. All streams are numbered as one, source after source, in
+    ranges of rows that ``uid`` also splits: neither a large source nor a repeated (or null) doc_id is one task.
     """
-    rows = sizes.count()
-    buckets = max(1, rows // _BUCKET_ROWS)
     h = F.md5(F.concat(F.lit(f"{seed}/"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    place = F.conv(F.substring(h, 1, 8), 16, 10).cast("long")
-    dealt = (sizes.withColumn("order_hash", h)
-             .withColumn("bucket", F.floor(place * F.lit(buckets) / F.lit(_HASH_RANGE))))
-    in_source = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = (dealt.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
-              .withColumn("bucket_start", F.coalesce(F.sum("bucket_size").over(in_source), F.lit(0)))
-              .drop("bucket_size").withColumnsRenamed({"source": "_s", "bucket": "_b"}))
-    within = (Window.partitionBy("source", "bucket").orderBy("order_hash", "size", "uid")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    placed = dealt.withColumn("in_bucket", F.coalesce(F.sum("size").over(within), F.lit(0)))
-    return (placed.join(before, F.col("source").eqNullSafe(F.col("_s")) & (F.col("bucket") == F.col("_b")))
-            .withColumn("start", F.col("bucket_start") + F.col("in_bucket"))
-            .drop("_s", "_b", "bucket", "order_hash", "bucket_start", "in_bucket"))
+    in_order = [F.col("source").asc_nulls_last(), F.col("order_hash"), F.col("size"), F.col("uid")]
+    placed = rank_rows(spark, sizes.withColumn("order_hash", h), in_order, "mix-streams", totals=("size",), drop=("order_hash",))
+    by_source = materialize(spark, sizes.groupBy("source").agg(F.sum("size").alias("whole")), "mix-stream-sizes")
+    first = rank_rows(spark, by_source, [F.col("source").asc_nulls_last()], "mix-stream-order", totals=("whole",))
+    first = first.select(F.col("source").alias("_s"), "whole_before")
+    return (placed.join(first, F.col("source").eqNullSafe(F.col("_s")))
+            .withColumn("start", F.col("size_before") - F.col("whole_before"))
+            .drop("_s", "whole_before", "size_before", "row_no"))
 
 
 def schedule(spark: SparkSession, targets: DataFrame, block: int = 1024, cells_least: int = 4096) -> DataFrame:
