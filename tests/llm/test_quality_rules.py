@@ -56,6 +56,16 @@ def test_empty_table_and_clashing_names(spark):
     assert {(r.rejects, r.kept) for r in qr.ablations(empty, qr.POLICIES["v2"]).collect()} == {(0, 0)}
     with pytest.raises(ValueError):
         qr.ledger(frame(spark, TEXTS).withColumnRenamed("kept_before", "n_words"))
+    with pytest.raises(ValueError):
+        qr.ledger(frame(spark, TEXTS).withColumnRenamed("kept_before", "_words"))
+
+
+def test_sole_rule(spark):
+    policy = qr.POLICIES["v3"]
+    rows = qr.ledger(frame(spark, TEXTS)).withColumn("sole", qr.sole_rule(policy)).orderBy("doc_id").collect()
+    for r, t in zip(rows, TEXTS):
+        failed = [name for name in policy.rules if plain_bits(plain(t)) & 1 << qr.bit(name)]
+        assert r.sole == (failed[0] if len(failed) == 1 else None)
 
 
 def test_the_pipeline_keeps_a_clean_text_of_over_a_million_words(spark):

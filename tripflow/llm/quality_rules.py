@@ -13,8 +13,8 @@ rejects. Policies and ablations read the bits alone, never the texts again:
 Null texts count as texts without words; they and empty texts fail ``few_words`` and
 measure 0 throughout. Texts of any length are measured whole: per-document work is linear
 but for one sort of the text's own repeated windows. Repeated rows are judged each for itself.
-The ledger carries along the columns of the input, so its own names must not be among them;
-:func:`ledger` raises if they are.
+The ledger carries along the columns of the input, so its own names and those of its helper columns (``_words``,
+``_lines``) must not be among them; :func:`ledger` raises if they are.
 """
 
 from __future__ import annotations
@@ -104,6 +104,9 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
     """Add the measurements of ``text``."""
     t = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.translate(x, " \t\x0b\x0c\r", "")) > 0)
+    helpers = {"_words", "_lines"} & {c.lower() for c in df.columns}
+    if helpers:
+        raise ValueError(f"the input already has columns {sorted(helpers)}")
     return (df.withColumn("_words", F.array_remove(F.split(t, SPACE), ""))
             .withColumn("_lines", lines)
             .withColumn("n_words", F.size("_words").cast("long"))
@@ -141,6 +144,15 @@ def apply_policy(ledgered: DataFrame, policy: Policy) -> DataFrame:
     return ledgered.withColumn("kept", ~failed(policy.rules))
 
 
+def sole_rule(policy: Policy) -> Column:
+    """The rule of ``policy`` that alone rejects a document, from the bits; null if none or several do."""
+    hit = F.col("fail_bits").bitwiseAND(F.lit(policy.mask).cast("long"))
+    out = F.lit(None).cast("string")
+    for r in policy.rules:
+        out = F.when(hit == F.lit(1 << bit(r)).cast("long"), F.lit(r)).otherwise(out)
+    return out
+
+
 def ablations(ledgered: DataFrame, policy: Policy) -> DataFrame:
     """One row per rule of ``policy``: rejects, rejects_alone, kept_without, and the policy's kept."""
     patterns = ledgered.groupBy("fail_bits").agg(F.count(F.lit(1)).alias("n"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tripflow.llm import (bpe, conversation_trie, mixing, phrases, quality_model, quality_rules, sharding, simhash, substring_dedup, token_store,
                           topk, url_filter, warc)
-from tripflow.llm.common import small_frame, table
+from tripflow.llm.common import materialize, small_frame, table
 from tripflow.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,11 +49,17 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Measurements, rule bits and verdict of every document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    judged = quality_rules.apply_policy(quality_rules.ledger(docs), quality_rules.POLICIES["v3"])
+    """Measurements, rule bits and verdict of every document, from the stored ledger; with the rule that alone rejects it,
+    the documents that the policy would keep without that rule (its ablation)."""
+    policy = quality_rules.POLICIES["v3"]
+    ledger = quality_rules.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    stored = materialize(spark, ledger, "quality-ledger")
+    judged = quality_rules.apply_policy(stored, policy).withColumn("sole_rule", quality_rules.sole_rule(policy))
+    ablated = quality_rules.ablations(stored, policy).select(F.col("rule").alias("sole_rule"), "kept_without")
+    judged = judged.join(F.broadcast(ablated), "sole_rule", "left")  # one row a rule of the policy
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                         quality_rules.failed(quality_rules.POLICIES["base"].rules).alias("base_failed"), "kept", "fail_bits")
+                         quality_rules.failed(quality_rules.POLICIES["base"].rules).alias("base_failed"), "kept", "fail_bits",
+                         "sole_rule", "kept_without")
 
 
 @register
@@ -197,12 +203,20 @@ WITH d AS (
   SELECT *, n_words < 50 AS f0, 100 * n_repeat_words > 50 * n_words AS f1, n_words > 1000000 AS f2, word_chars < 2 * n_words AS f3,
          word_chars > 15 * n_words AS f4, 10 * n_symbols > n_words AS f5, n_dup_lines > 2 AND 10 * n_dup_lines > 3 * n_lines AS f6
   FROM m
+), s AS (
+  SELECT *, CASE WHEN f0::INT + f1::INT + f3::INT + f4::INT + f5::INT + f6::INT <> 1 THEN NULL WHEN f0 THEN 'few_words' WHEN f1 THEN 'repeated_words'
+                 WHEN f3 THEN 'short_words' WHEN f4 THEN 'long_words' WHEN f5 THEN 'symbols' ELSE 'dup_lines' END AS sole_rule
+  FROM f
+), alone AS (
+  SELECT sole_rule, count(*) + (SELECT count(*) FROM f WHERE NOT (f0 OR f1 OR f3 OR f4 OR f5 OR f6)) AS kept_without
+  FROM s WHERE sole_rule IS NOT NULL GROUP BY sole_rule
 )
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, f0 OR f1 AS base_failed,
        NOT (f0 OR f1 OR f3 OR f4 OR f5 OR f6) AS kept,
-       CAST(f0::INT + 2 * f1::INT + 4 * f2::INT + 8 * f3::INT + 16 * f4::INT + 32 * f5::INT + 64 * f6::INT AS BIGINT) AS fail_bits
-FROM f
+       CAST(f0::INT + 2 * f1::INT + 4 * f2::INT + 8 * f3::INT + 16 * f4::INT + 32 * f5::INT + 64 * f6::INT AS BIGINT) AS fail_bits,
+       sole_rule, CAST(kept_without AS BIGINT) AS kept_without
+FROM s LEFT JOIN alone USING (sole_rule)
 """
 
 ORACLES["op3_mix_sources"] = r"""
