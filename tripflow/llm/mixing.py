@@ -14,6 +14,8 @@
 
 A hot source is never one task: streams are built by (source, hash bucket) and slots are
 ranked by (source, chunk of slots), each with the sums of earlier buckets or chunks added.
+Sides that grow with the words (slots, chunks) are joined by sort-merge and never broadcast;
+the planner may broadcast the others (sources, cells of the schedule, parts of a ranking).
 
 Null texts, empty texts and texts of white space have size 0, target words go to others,
 and they are taken 0 times. A null source is a source, the last in order. Repeated rows
@@ -121,7 +123,7 @@ def schedule(spark: SparkSession, targets: DataFrame, block: int = 1024, cells_l
     offsets = per_chunk.withColumn("ranks_before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).select(part, "ranks_before")
     ranked = (placed.select("*", part)
               .withColumn("in_chunk", F.row_number().over(Window.partitionBy("part").orderBy("slot")) - 1)
-              .join(offsets, "part")
+              .join(offsets.hint("merge"), "part")
               .withColumn("rank", F.col("ranks_before") + F.col("in_chunk"))
               .where("rank < need").select("slot", "need_before", "rank"))
     got = per_chunk.groupBy("need_before").agg(F.sum("n").alias("got"))
@@ -149,7 +151,7 @@ def mix(spark: SparkSession, sizes: DataFrame, weights: tuple[int, ...] = (3, 1,
               .withColumn("lo", F.greatest(F.col("start") - F.col("block_no") * block, F.lit(0)))
               .withColumn("hi", F.least(F.col("start") + F.col("size") - F.col("block_no") * block, F.lit(block))))
     words = F.least("hi", F.coalesce("tokens", F.lit(0))) - F.col("lo")
-    taken = (pieces.join(slots.select("_s", F.col("block_no").alias("_b"), "tokens"),
+    taken = (pieces.join(slots.select("_s", F.col("block_no").alias("_b"), "tokens").hint("merge"),
                          F.col("source").eqNullSafe(F.col("_s")) & (F.col("block_no") == F.col("_b")), "left")
              .groupBy("uid", "doc_id", "source", "size").agg(F.sum(F.greatest(words, F.lit(0))).alias("taken")))
     without_words = sizes.where("size = 0").select("uid", "doc_id", "source", "size", F.lit(0).cast("long").alias("taken"))
