@@ -368,6 +368,15 @@ FROM bronze_a GROUP BY 1, 2
 UNION ALL
 SELECT 'green', printf('%04d-%02d', partition_year, partition_month), count(*), 5, true FROM bronze_b GROUP BY 1, 2
 """)
+ORACLES["landed_columns"] = with_feeds("""
+, months AS (
+  SELECT 'yellow' AS feed, 't' AS letter, printf('%04d-%02d', partition_year, partition_month) AS mes, count(*) AS linhas FROM raw_a GROUP BY 3
+  UNION ALL
+  SELECT 'green', 'l', printf('%04d-%02d', partition_year, partition_month), count(*) FROM raw_b GROUP BY 3),
+columns AS (SELECT * FROM (VALUES ('VendorID', 'bigint'), ('?pep_pickup_datetime', 'timestamp_ntz'), ('?pep_dropoff_datetime', 'timestamp_ntz'),
+                                  ('passenger_count', 'double'), ('total_amount', 'double')) AS c(name, tipo))
+SELECT feed, mes, replace(name, '?', letter) AS coluna, tipo, linhas FROM months CROSS JOIN columns
+""").replace("\n, months", ",\nmonths", 1)
 ORACLES["landing_scan"] = with_feeds("""
 SELECT 'yellow' AS feed, vendorid, passenger_count, total_amount, partition_year, partition_month FROM bronze_a
 UNION ALL

@@ -231,6 +231,12 @@ def ingest_status(spark, sf_dir):
                        for tag, path in _landed(spark, sf_dir).items()])
 
 
+@register
+def landed_columns(spark, sf_dir):
+    """C1 in rows: columns, types and rows of every landed month of both feeds, from the footers of all months."""
+    return union_all(*[landing.landed_columns(spark, layers.FEEDS[tag], path) for tag, path in _landed(spark, sf_dir).items()])
+
+
 @register
 def landing_scan(spark, sf_dir):
     """Both feeds landed as monthly files and read back by one scan

@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from tripflow.operators.ingest import to_bronze
 from tripflow.session import filesystem
+from tripflow.sources.footers import entry_footers
 from tripflow.specs import COLUNAS, FALHAS, LINHAS, MES, SUCESSOS, TAMANHO_MB, FeedSpec
 
 #: What Spark raises for a file that it cannot read or a schema that it cannot resolve.
@@ -91,7 +92,11 @@ def _paths_by_month(files: list[LandedFile]) -> dict[str, list[str]]:
 
 
 def _reason(exc: Exception) -> str:
-    lines = [x for x in str(exc).splitlines() if x.strip()]
+    """The first line of what went wrong; of a Java error, of the cause at its root."""
+    cause = getattr(exc, "java_exception", None)
+    while cause is not None and cause.getCause() is not None:
+        cause = cause.getCause()
+    lines = [x for x in (str(exc) if cause is None else cause.toString()).splitlines() if x.strip()]
     return f"{type(exc).__name__}: {lines[0] if lines else ''}"[:300]
 
 
@@ -103,35 +108,73 @@ def _concurrently(fn, items: list):
 
 @dataclass(frozen=True)
 class MonthRead:
-    """How one month is read: its scan, and its paths if these read as one."""
+    """How one month is read: its schema, its paths if these read as one, its rows if its footers told them, and its scan
+    if finding the schema has made one."""
 
-    df: DataFrame
+    schema: T.StructType
     paths: tuple[str, ...] | None
+    rows: int | None = None
+    found: DataFrame | None = None
+
+    def scan(self, spark: SparkSession) -> DataFrame:
+        return self.found if self.found is not None else spark.read.schema(self.schema).parquet(*self.paths)
+
+
+def _month_read(df: DataFrame, paths: tuple[str, ...] | None) -> MonthRead:
+    return MonthRead(df.schema, paths, found=df)
+
+
+def _months_alike(spark: SparkSession, by_month: dict[str, list[str]]) -> dict[str, MonthRead]:
+    """The months whose part files all have one schema key: one job reads all footers, and Spark resolves each key's schema
+    from one file. The others (parts that disagree, deeper folders, no whole footer, a store closed to Python) are absent."""
+    if len(by_month) < 2:
+        return {}
+    try:
+        found = entry_footers(spark, [p for paths in by_month.values() for p in paths])
+    except READ_ERRORS:  # an entry is gone: each month tells for itself
+        return {}
+    alike: dict[str, list[str]] = {}
+    for month, paths in by_month.items():
+        keys = {found[p].key if p in found else None for p in paths}
+        if len(keys) == 1 and None not in keys:
+            alike.setdefault(keys.pop(), []).append(month)
+
+    def resolve(months: list[str]):
+        try:
+            return months, spark.read.parquet(found[by_month[months[0]][0]].sample).schema
+        except READ_ERRORS:
+            return months, None
+
+    return {m: MonthRead(schema, tuple(by_month[m]), sum(found[p].rows for p in by_month[m]))
+            for months, schema in _concurrently(resolve, list(alike.values())) if schema is not None and not name_collisions(schema) for m in months}
 
 
 def read_months(spark: SparkSession, files: list[LandedFile], errors: dict[str, str] | None = None) -> dict[str, MonthRead]:
     """Month -> its files as they are, with the schema merged over all their footers.
 
-    A month that Spark cannot read goes into ``errors`` (or raises, without ``errors``). If the part
+    The footers of all months are read by one job; only a month whose part files have different schemas or an unreadable
+    footer is read by itself. A month that Spark cannot read goes into ``errors`` (or raises, without ``errors``). If the part
     files of a month disagree on a type, each is read on its own, whatever its ending, and the parts are united.
     """
+    by_month = _paths_by_month(files)
+    out = _months_alike(spark, by_month)
+
     def read(item):
         month, paths = item
         try:
-            return month, MonthRead(spark.read.option("mergeSchema", "true").parquet(*paths), tuple(paths)), None
+            return month, _month_read(spark.read.option("mergeSchema", "true").parquet(*paths), tuple(paths)), None
         except READ_ERRORS as exc:
             try:
                 parts = spark.read.format("binaryFile").option("recursiveFileLookup", "true")  # hidden files are left out
                 names = [r.path for r in parts.load(paths).where("length > 0").select("path").collect()]  # of one month
                 if len(names) < 2:
                     raise exc
-                return month, MonthRead(united([_settled(spark.read.parquet(n)) for n in sorted(names)]), None), None
+                return month, _month_read(united([_settled(spark.read.parquet(n)) for n in sorted(names)]), None), None
             except READ_ERRORS as inner:
                 return month, None, inner
 
-    out: dict[str, MonthRead] = {}
-    for month, found, exc in _concurrently(read, sorted(_paths_by_month(files).items())):
-        pairs = name_collisions(found.df.schema) if exc is None else []
+    for month, found, exc in _concurrently(read, sorted((m, p) for m, p in by_month.items() if m not in out)):
+        pairs = name_collisions(found.schema) if exc is None else []
         if exc is None and not (pairs and errors is not None):
             out[month] = found
         elif errors is None:
@@ -143,13 +186,13 @@ def read_months(spark: SparkSession, files: list[LandedFile], errors: dict[str,
 
 def month_scans(spark: SparkSession, files: list[LandedFile], errors: dict[str, str] | None = None) -> dict[str, DataFrame]:
     """Month -> scan of all its files as they are (see :func:`read_months`)."""
-    return {month: r.df for month, r in read_months(spark, files, errors).items()}
+    return {month: r.scan(spark) for month, r in read_months(spark, files, errors).items()}
 
 
 def month_schemas(spark: SparkSession, files: list[LandedFile], errors: dict[str, str] | None = None) -> dict[str, T.StructType]:
     """Footer schema per month, merged over all its part files (metadata only; no row is read).
     Zero-byte months have none."""
-    return {month: df.schema for month, df in month_scans(spark, files, errors).items()}
+    return {month: r.schema for month, r in read_months(spark, files, errors).items()}
 
 
 def _settled(df: DataFrame) -> DataFrame:
@@ -212,16 +255,16 @@ def month_groups(spark: SparkSession, spec: FeedSpec, reads: dict[str, MonthRead
     """
     alike: dict[str, list[str]] = {}
     for month, r in sorted(reads.items()):
-        alike.setdefault(r.df.schema.json() if r.paths else month, []).append(month)
+        alike.setdefault(r.schema.json() if r.paths else month, []).append(month)
     out = []
     for months in alike.values():
         first = reads[months[0]]
         if len(months) == 1:
             year, mon = month_parts(months[0])
-            out.append((months, shape(first.df, spec, F.lit(year), F.lit(mon))))
+            out.append((months, shape(first.scan(spark), spec, F.lit(year), F.lit(mon))))
             continue
         label = F.substring_index(F.col("_metadata.file_path"), f"{spec.prefix}_", -1)
-        df = (spark.read.schema(first.df.schema).parquet(*[p for m in months for p in reads[m].paths])
+        df = (spark.read.schema(first.schema).parquet(*[p for m in months for p in reads[m].paths])
               .withColumn("_year", F.substring(label, 1, 4).cast("int")).withColumn("_month", F.substring(label, 6, 2).cast("int")))
         out.append((months, shape(df, spec, F.col("_year"), F.col("_month"))))
     return out
@@ -287,9 +330,8 @@ def month_status(spark: SparkSession, spec: FeedSpec, root: str, feed: str | Non
     """A13 + S3 + S4: one row per expected or landed month: (feed, mes, status, linhas, erro).
 
     status is ``ok``, ``empty`` (only zero-byte files), ``missing`` (no file) or ``error`` (unreadable
-    footers, or two columns that collide after lower-casing). Row counts come from one
-    grouped scan of the readable months (Parquet answers a count from footers). The
-    result is a local frame: looking at it again scans nothing.
+    footers, or two columns that collide after lower-casing). Rows come from the job that reads the
+    footers of all months. The result is a local frame: looking at it again scans nothing.
     """
     feed = feed or spec.tag
     files = list_landing(spark, root, spec.prefix) if files is None else files
@@ -302,12 +344,14 @@ def month_status(spark: SparkSession, spec: FeedSpec, root: str, feed: str | Non
 
 
 def _rows_by_month(spark: SparkSession, spec: FeedSpec, reads: dict[str, MonthRead]) -> dict[str, int]:
-    """Rows of every month, from one job over all of them."""
-    if not reads:
-        return {}
-    months = [df.select("partition_year", "partition_month") for _, df in month_groups(spark, spec, reads)]
+    """Rows of every month: those its footers told, the other months from one job over all of them."""
+    told = {m: r.rows for m, r in reads.items() if r.rows is not None}
+    rest = {m: r for m, r in reads.items() if r.rows is None}
+    if not rest:
+        return told
+    months = [df.select("partition_year", "partition_month") for _, df in month_groups(spark, spec, rest)]
     counts = reduce(DataFrame.unionAll, months).groupBy("partition_year", "partition_month").count()
-    return {f"{y:04d}-{m:02d}": n for y, m, n in counts.collect()}  # one row per month
+    return told | {f"{y:04d}-{m:02d}": n for y, m, n in counts.collect()}  # one row per month
 
 
 def ingest_tally(status: DataFrame) -> DataFrame:
@@ -335,10 +379,23 @@ def file_volume(spark: SparkSession, spec: FeedSpec, root: str, files: list[Land
     reads = read_months(spark, files, {})
     rows = _rows_by_month(spark, spec, reads)
     sizes = {m: sum(f.size for f in files if f.month == m) for m in reads}
-    out = [(spec.tag, m, rows.get(m, 0), len(r.df.columns), round(sizes[m] / (1024 * 1024), 2)) for m, r in sorted(reads.items())]
+    out = [(spec.tag, m, rows.get(m, 0), len(r.schema), round(sizes[m] / (1024 * 1024), 2)) for m, r in sorted(reads.items())]
     return spark.createDataFrame(out, f"feed string, {MES} string, {LINHAS} long, {COLUNAS} int, {TAMANHO_MB} double").orderBy(MES)
 
 
+def landed_columns(spark: SparkSession, spec: FeedSpec, root: str, files: list[LandedFile] | None = None) -> DataFrame:
+    """C1 in rows: (feed, mes, coluna, tipo, linhas), one row per readable landed month and column, named as delivered.
+
+    Types and rows come from the footers of all months, read by one job. An unreadable month is absent;
+    one without rows has its columns and 0. Also see :func:`tripflow.operators.schema_audit.schema_drift`.
+    """
+    files = list_landing(spark, root, spec.prefix) if files is None else files
+    reads = read_months(spark, files, {})
+    rows = _rows_by_month(spark, spec, reads)
+    out = [(spec.tag, m, c, t, rows.get(m, 0)) for m, r in sorted(reads.items()) for c, t in ((f.name, f.dataType.simpleString()) for f in r.schema)]
+    return spark.createDataFrame(out, f"feed string, {MES} string, coluna string, tipo string, {LINHAS} long")
+
+
 def stored_bytes(spark: SparkSession, spec: FeedSpec, files: list[LandedFile]) -> DataFrame:
     """(mes, bytes) of the landed files as Spark lists them (lengths only; no content is read)."""
     paths = [f.path for f in files if f.size > 0]
