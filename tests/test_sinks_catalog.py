@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripflow.sources import catalog
+from tripflow.sources import sinks
 from tripflow.sources.sinks import current_version, publish_result, write_partitioned
 
 
@@ -159,3 +160,28 @@ def test_partitions_of_one_write_are_added_without_a_listing(spark, tmp_dir):
     assert sorted(r[0] for r in spark.sql("SHOW PARTITIONS t_diff_db.t").collect()) == [f"partition_year=2023/partition_month={m}" for m in (1, 2)]
     with pytest.raises(ValueError, match="not at"):
         catalog.register_discovered(spark, "t_diff_db.t", tmp_dir + "/other", schema=spark.read.parquet(path).schema)
+
+
+def test_what_a_task_sorts_is_bounded(spark, tmp_dir, monkeypatch):
+    """Tasks of a write without a shuffle read bounded pieces, whatever the session's split size, and write bounded files."""
+    table = spark.range(0, 6000, 1, 6).select(
+        F.lit(2023).alias("partition_year"), (F.col("id") % 2 + 1).cast("int").alias("partition_month"), F.xxhash64("id").alias("key"))
+    table.write.parquet(tmp_dir + "/in")
+    packed = {"spark.sql.files.minPartitionNum": "1", "spark.sql.files.openCostInBytes": "0", "spark.sql.files.maxPartitionBytes": "256m"}
+    for key, value in packed.items():  # all files are one scan task
+        spark.conf.set(key, value)
+    monkeypatch.setattr(sinks, "SORT_SCAN_BYTES", 1 << 10)
+    monkeypatch.setattr(sinks, "FILE_ROWS", 300)
+    try:
+        source = spark.read.parquet(tmp_dir + "/in")
+        assert source.rdd.getNumPartitions() == 1
+        assert write_partitioned(source, tmp_dir + "/a", layout="preserve", sort_within=("key",)) == 6000
+        assert sinks.write_months(source, tmp_dir + "/b", ["2023-01", "2023-02"], sort_within=("key",)) == {"2023-01": 3000, "2023-02": 3000}
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "256m"
+    finally:
+        for key in packed:
+            spark.conf.unset(key)
+    for out in ("/a", "/b"):
+        files = spark.read.parquet(tmp_dir + out).groupBy(F.col("_metadata.file_name").alias("name"), "partition_month").count().collect()
+        assert max(r["count"] for r in files) == 300
+        assert len({r["name"].split("-")[1] for r in files}) == 6  # tasks that wrote

@@ -6,7 +6,8 @@ Layouts:
   files (never one task for a month that holds a third of all rows).
 * ``preserve`` - no shuffle: used when the input is already clustered by
   partition (a scan of a partitioned table), so each task writes the files of
-  the partition it reads.
+  the partition it reads. Its scans are cut small (:func:`bounded_scans`), so that
+  what a task sorts stays in memory at any size of the table.
 Each task sorts its rows by the partition columns (and an optional secondary
 key such as the pickup time, which tightens the Parquet min/max statistics that
 later range filters use to skip row groups).
@@ -15,6 +16,9 @@ later range filters use to skip row groups).
 from __future__ import annotations
 
 import re
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +26,36 @@ from pyspark.sql import functions as F
 from tripflow.session import filesystem
 from tripflow.specs import PARTITION_COLUMNS
 
+#: Rows of a written file at most. A file of so many rows is one row group, the least that a scan task can read.
+FILE_ROWS = 1 << 20
+#: Bytes of Parquet that a task of a ``preserve`` write scans at most (one row group at least): sorted rows take about
+#: 100 bytes each, some ten times what they take in a file, and a task has a few hundred MB to sort in.
+SORT_SCAN_BYTES = 16 << 20
+
+_SPLIT_KEY = "spark.sql.files.maxPartitionBytes"
+_scans_lock = threading.Lock()
+_bounded: dict[int, list[str]] = {}  # session -> per write under way the setting before the first of them
+
+
+@contextmanager
+def bounded_scans(spark: SparkSession) -> Iterator[None]:
+    """Scans that start inside give each task at most :data:`SORT_SCAN_BYTES`; a smaller setting stays. Writes may overlap
+    (feeds run in threads): the last to end restores the setting."""
+    session = spark._jsparkSession.hashCode()
+    with _scans_lock:
+        under_way = _bounded.setdefault(session, [])
+        under_way.append(under_way[0] if under_way else spark.conf.get(_SPLIT_KEY))
+        if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(under_way[0]) > SORT_SCAN_BYTES:
+            spark.conf.set(_SPLIT_KEY, str(SORT_SCAN_BYTES))
+    try:
+        yield
+    finally:
+        with _scans_lock:
+            before = under_way.pop()
+            if not under_way:
+                spark.conf.set(_SPLIT_KEY, before)
+                del _bounded[session]
+
 
 def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """A3: attach a row counter that fills in while the write runs (no second job)."""
@@ -64,10 +98,10 @@ def write_partitioned(
     if overwrite not in ("static", "dynamic"):
         raise ValueError(f"overwrite must be static or dynamic, not {overwrite!r}")
     df, obs = observe_rows(prepare_layout(df, partition_cols, layout, sort_within), name)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", overwrite).partitionBy(*partition_cols)
-    if max_records_per_file:
-        writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    writer.parquet(path)
+    writer = (df.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+              .option("maxRecordsPerFile", max_records_per_file or FILE_ROWS).partitionBy(*partition_cols))
+    with bounded_scans(df.sparkSession) if layout == "preserve" else nullcontext():
+        writer.parquet(path)
     return int(obs.get.get("rows", 0))
 
 
@@ -77,8 +111,11 @@ def write_months(df: DataFrame, path: str, months: list[str], partition_cols: tu
     year, month = (F.col(c) for c in partition_cols)
     obs = Observation("months")
     counts = [F.count_if((year == int(m[:4])) & (month == int(m[5:]))).alias(m) for m in months]
-    (prepare_layout(df, partition_cols, "preserve", sort_within).observe(obs, *counts)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path))
+    out = prepare_layout(df, partition_cols, "preserve", sort_within).observe(obs, *counts)
+    writer = (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .option("maxRecordsPerFile", FILE_ROWS).partitionBy(*partition_cols))
+    with bounded_scans(df.sparkSession):
+        writer.parquet(path)
     return {m: int(n) for m, n in obs.get.items()}
 
 
