@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tripflow.plans.medallion import Lake, ingest_bronze_from_landing
 from tripflow.specs import GREEN
-from tripflow.streaming.incremental_ingest import BronzeIngest, run_bronze_ingest_once
+from tripflow.sources import sinks
+from tripflow.streaming.incremental_ingest import BronzeIngest, landing_stream, run_bronze_ingest_once
 
 STAMP = datetime.datetime(2023, 1, 5, 8, 0)
 
@@ -98,3 +99,28 @@ def test_folders_of_a_file_sink_are_refused(spark, tmp_dir):
     os.makedirs(tmp_dir + "/stream/_spark_metadata")
     with pytest.raises(ValueError, match="file sink"):
         BronzeIngest(spark, GREEN, tmp_dir, tmp_dir + "/stream")
+
+
+def test_the_stream_gives_one_row_a_file(spark, tmp_dir):
+    landing, seen = tmp_dir + "/landing", []
+    land(spark, landing, "2023-01", 40)
+    land(spark, landing, "2023-02", 30)
+    q = (landing_stream(spark, GREEN, landing).writeStream.foreachBatch(lambda df, _: seen.extend(r.path[-15:] for r in df.collect()))
+         .option("checkpointLocation", tmp_dir + "/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted(seen) == ["2023-01.parquet", "2023-02.parquet"]
+
+
+def test_months_are_counted_by_one_observed_value(spark, tmp_dir, monkeypatch):
+    """Rows of every month, also those without any, are exact however many months and tasks there are."""
+    df = spark.range(0, 20000, 1, 7).select(
+        (1990 + F.col("id") % 11).cast("int").alias("partition_year"), (F.col("id") % 13).cast("int").alias("partition_month"), "id")
+    months = [f"{y}-{m:02d}" for y in range(1989, 2003) for m in range(13)]
+    want = dict.fromkeys(months, 0) | {f"{r[0]}-{r[1]:02d}": r[2] for r in df.groupBy("partition_year", "partition_month").count().collect()}
+    observed, real = [], type(df).observe
+    monkeypatch.setattr(type(df), "observe", lambda self, name, *values: observed.append(len(values)) or real(self, name, *values))
+    assert sinks.write_months(df, tmp_dir + "/out", months) == want
+    assert observed == [1]
+    some = ["1990-00", "1991-01", "1989-05"]  # other months in the rows are not counted
+    assert sinks.write_months(df, tmp_dir + "/some", some) == {m: want[m] for m in some}
+    assert sinks.write_months(df.limit(0), tmp_dir + "/none", some) == dict.fromkeys(some, 0)

@@ -7,6 +7,7 @@ Every query reads the shared tables (through the two raw feeds derived from
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -197,6 +198,13 @@ def _input_state(spark: SparkSession, sf_dir: str) -> tuple[str, str, str]:
     return application_id(spark), sf_dir, fingerprint(spark, paths)
 
 
+def _each_feed(fn, items) -> list:
+    """``fn`` of every feed's item, at the same time: the feeds share no data, and one's jobs fill the cores that the other's leave."""
+    items = list(items)
+    with ThreadPoolExecutor(max_workers=len(items)) as pool:
+        return list(pool.map(fn, items))
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     """Land both raw feeds (one distributed write each) under the shared
     checkpoint folder once per application and state of the input; returns tag -> landing
@@ -204,8 +212,8 @@ def _landed(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     key = _input_state(spark, sf_dir)
     if key not in _LANDINGS:
         root = scratch_path(spark, "landing")
-        _LANDINGS[key] = {tag: landing.land_feed(layers.raw(spark, sf_dir, tag), spec, root)
-                          for tag, spec in layers.FEEDS.items()}
+        _LANDINGS[key] = dict(_each_feed(lambda item: (item[0], landing.land_feed(layers.raw(spark, sf_dir, item[0]), item[1], root)),
+                                         layers.FEEDS.items()))
     return _LANDINGS[key]
 
 
@@ -326,9 +334,10 @@ def states_amount_stats_by_month(spark, sf_dir):
 def stream_partition_counts(spark, sf_dir):
     """Both landed feeds ingested by the availableNow stream into Bronze, then
     rows per partition of the streamed Bronze."""
-    frames = []
-    for tag, path in _landed(spark, sf_dir).items():
+    def ingested(item):
+        tag, path = item
         out = scratch_path(spark, "stream-bronze", tag)
         run_bronze_ingest_once(spark, layers.FEEDS[tag], path, out, checkpoint=out + "-checkpoint")
-        frames.append(profile.partition_counts(spark.read.parquet(out), feed=tag))
-    return union_all(*frames)
+        return profile.partition_counts(spark.read.parquet(out), feed=tag)
+
+    return union_all(*_each_feed(ingested, _landed(spark, sf_dir).items()))

@@ -25,16 +25,17 @@ from tripflow.session import filesystem, scratch_path
 from tripflow.sources.landing import LandedFile, month_regex, list_landing
 from tripflow.specs import FeedSpec
 
+#: Columns of Spark's file listing source.
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 LEDGER_SCHEMA = "path string, size long, time long, mes string, batch long, status string, linhas long, erro string"
 
 
 def landing_stream(spark: SparkSession, spec: FeedSpec, landing_dir: str, max_files_per_trigger: int = 64) -> DataFrame:
-    """Streaming scan of ``{landing_dir}/*{prefix}_*`` (files or month folders) that reads no column: one row
-    (path) for each landed row. A file without a readable footer gives none."""
+    """Streaming listing of ``{landing_dir}/*{prefix}_*`` (files or month folders): one row (path) for each new
+    file, whatever it holds. No content is read; the months are read when a batch loads them."""
     pattern = f"{landing_dir.rstrip('/')}/*{spec.prefix}_*"
-    return (spark.readStream.schema(spec.bronze_schema).option("maxFilesPerTrigger", max_files_per_trigger)
-            .option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true").parquet(pattern)
-            .select(F.col("_metadata.file_path").alias("path")))
+    return (spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
+            .option("recursiveFileLookup", "true").load(pattern).select("path"))
 
 
 class BronzeIngest:
