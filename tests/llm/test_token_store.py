@@ -58,3 +58,22 @@ def test_store_equals_the_library(spark, tmp_dir, monkeypatch):
 
 def test_empty_table(spark, tmp_dir):
     assert store(spark, tmp_dir, []) == []
+
+
+def test_known_words_of_a_chunk_are_not_learnt_again(monkeypatch):
+    """When an encoder must forget, it keeps what the chunk at hand has looked up already."""
+    monkeypatch.setattr(ts.bpe, "KNOWN_WORDS", 9)
+    enc = ts.LibraryEncoder(ts.bpe.read_vocabulary(vocabulary()))
+    tk, texts = Tokenizer.from_file(vocabulary()), ["one two three four five six", "one two three four five six seven eight nine ten", "x " * 99 + "y" * 2000, "one y" + "y" * 1999]
+    list(enc.encode(texts[:1]))
+    learnt, model = [], enc._model
+
+    class Spy:
+        def tokenize(self, word):
+            learnt.append(word)
+            return model.tokenize(word)
+
+    enc._model = Spy()
+    got = [ids.tolist() for text in texts for ids in enc.encode([text])]
+    assert got == [tk.encode(text, add_special_tokens=False).ids for text in texts]
+    assert len(learnt[:4]) == 4 and {w[1:] for w in learnt[:4]} == {"seven", "eight", "nine", "ten"}

@@ -67,9 +67,10 @@ def kinds() -> np.ndarray:
     """The kind of every code point. Unicode versions differ only on what this one leaves unassigned."""
     if not _KINDS:
         of = {"L": LETTER, "N": NUMBER}
-        table = np.fromiter((of.get(unicodedata.category(chr(c))[0], SIGN) for c in range(0x110000)), dtype=np.uint8, count=0x110000)
+        categories = list(map(unicodedata.category, map(chr, range(0x110000))))
+        kind_of = {c: UNASSIGNED if c == "Cn" else of.get(c[0], SIGN) for c in set(categories)}
+        table = np.array([kind_of[c] for c in categories], dtype=np.uint8)
         table[[c for c in range(0x3001) if chr(c).isspace() and not 0x1C <= c <= 0x1F]] = SPACE
-        table[[c for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn"]] = UNASSIGNED
         _KINDS.append(table)
     return _KINDS[0]
 
@@ -111,18 +112,28 @@ _FACTORS = np.random.default_rng(5).integers(0, 1 << 63, _PLACES, dtype=np.uint6
 
 
 def distinct_words(cp: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(index of a first occurrence, number among the distinct) of the words that begin at ``starts``.
+    """(index of one occurrence, number among the distinct) of the words that begin at ``starts``.
 
-    Words are grouped by a 64-bit hash and then compared with their group's first word, character
+    Words are grouped by a 64-bit hash and then compared with their group's own word, character
     by character; if two words shared a hash, all are told apart the slow way.
     """
     size = np.diff(starts, append=len(cp))
-    place = np.arange(len(cp)) - np.repeat(starts, size)
-    h = np.add.reduceat((cp.astype(np.uint64) + np.uint64(1)) * _FACTORS[place % _PLACES] * (place // _PLACES * 2 + 1).astype(np.uint64), starts)
+    at = np.arange(len(cp))
+    place = at - np.repeat(starts, size)
+    if size.max(initial=0) <= _PLACES:
+        factor = _FACTORS[place]
+    else:
+        factor = _FACTORS[place % _PLACES] * (place // _PLACES * 2 + 1).astype(np.uint64)
+    h = np.add.reduceat((cp.astype(np.uint64) + np.uint64(1)) * factor, starts)
     h ^= h >> np.uint64(32)
-    _, first, number = np.unique(h * np.uint64(0x9E3779B97F4A7C15) + size.astype(np.uint64), return_index=True, return_inverse=True)
+    h = h * np.uint64(0x9E3779B97F4A7C15) + size.astype(np.uint64)
+    order = np.argsort(h)
+    h = h[order]
+    begins = np.concatenate(([True], h[1:] != h[:-1]))
+    first, number = order[begins], np.empty(len(order), dtype=np.int64)
+    number[order] = np.cumsum(begins) - 1
     of = first[number]
-    if (size[of] == size).all() and (cp[np.minimum(np.repeat(starts[of], size) + place, len(cp) - 1)] == cp).all():
+    if (size[of] == size).all() and (cp[at + np.repeat(starts[of] - starts, size)] == cp).all():
         return first, number
     seen: dict[bytes, int] = {}
     number = np.array([seen.setdefault(cp[x:x + n].tobytes(), len(seen)) for x, n in zip(starts, size)])
@@ -133,6 +144,7 @@ class Encoder:
     """Encodes and decodes texts by one vocabulary file, given as its content."""
 
     most_bytes = 48 << 20  # of remembered words
+    chunks = 1  # times CHUNK_CHARS that are looked up at once
 
     def __init__(self, content: bytes):
         self.content = content
@@ -143,16 +155,24 @@ class Encoder:
                 or spec.get("normalizer") or model.get("ignore_merges") or model.get("dropout"):
             raise ValueError("the vocabulary is not plain byte-level BPE")
         self.byte_of = {c: b for b, c in enumerate(byte_alphabet())}
-        as_bytes = {name: bytes(self.byte_of[c] for c in name) for name in model["vocab"]}
-        size = 1 + max(chain(model["vocab"].values(), (t["id"] for t in spec["added_tokens"])))
+        self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self._special = re.compile("(" + "|".join(sorted(map(re.escape, self.specials), key=len, reverse=True)) + ")") if self.specials else None
+        self._library = None
+        self.known: dict[str, bytes] = {}  # word -> its ids as 32-bit integers
+        self._held = 0  # bytes of them, about
+        self._read(model)
+
+    def _read(self, model: dict) -> None:
+        """The tables of tokens and merges."""
+        vocab = model["vocab"]
+        size = 1 + max(chain(vocab.values(), self.specials.values()))
         self.token_bytes = [b""] * size
-        for name, i in model["vocab"].items():
-            self.token_bytes[i] = as_bytes[name]
+        for name, i in vocab.items():
+            self.token_bytes[i] = bytes(self.byte_of[c] for c in name)
         # Parts and time of the merge that makes a token; single bytes have no parts.
         self.parts: list[tuple[int, int] | None] = [None] * size
         self.made_at = [-1] * size
         self.merge_at: dict[tuple[int, int], int] = {}
-        vocab = model["vocab"]
         for when, m in enumerate(model["merges"]):
             a, b = m.split(" ") if isinstance(m, str) else m
             made = vocab[a + b]
@@ -172,14 +192,9 @@ class Encoder:
             if whole[i]:  # a token whose own bytes encode to something else ends no prefix
                 self.token_of[self.token_bytes[i]] = i
         self.longest = max(map(len, self.token_of))
-        self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         for text, i in self.specials.items():
             self.token_bytes[i] = text.encode()
         self.lengths = list(map(len, self.token_bytes))
-        self._special = re.compile("(" + "|".join(sorted(map(re.escape, self.specials), key=len, reverse=True)) + ")") if self.specials else None
-        self._library = None
-        self.known: dict[str, bytes] = {}  # word -> its ids as 32-bit integers
-        self._held = 0  # bytes of them, about
 
     # -- seams ---------------------------------------------------------------
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
@@ -276,18 +291,36 @@ class Encoder:
     def _ids_of(self, words: list[str]) -> list[bytes]:
         """The ids of each of the distinct ``words`` as 32-bit integers; words not known yet are learnt."""
         known = self.known
-        new = [w for w in words if w not in known]
-        size = sum(len(w) for w in new) * 4 + len(new) * _WORD_BYTES
-        if len(known) + len(new) > KNOWN_WORDS or self._held + size > self.most_bytes:
+        coded = list(map(known.get, words))
+        new = [w for w, ids in zip(words, coded) if ids is None]
+        if not new:
+            return coded
+        learnt = self.learn(new)
+        if len(known) + len(new) > KNOWN_WORDS or self._held + self._price(new) > self.most_bytes:
             known.clear()
-            self._held, new = 0, words
-        by_bytes = {w.encode("utf-8", "surrogateescape"): w for w in new}
-        learnt = {by_bytes[b]: array("i", ids).tobytes() for b, ids in self.encode_words(by_bytes).items()}
-        for w, ids in learnt.items():
-            if len(w) <= _LONG_WORD:
-                known[w] = ids
-                self._held += 4 * len(w) + _WORD_BYTES
-        return [known[w] if w in known else learnt[w] for w in words]
+            self._held = 0
+        fresh = iter(learnt)
+        coded = [next(fresh) if ids is None else ids for ids in coded]
+        if not known:  # forgotten, or at the start: all words of this chunk are the latest
+            new, learnt = words, coded
+        if max(map(len, new)) > _LONG_WORD:
+            short = [(w, ids) for w, ids in zip(new, learnt) if len(w) <= _LONG_WORD]
+            new = [w for w, _ in short]
+            known.update(short)
+        else:
+            known.update(zip(new, learnt))
+        self._held += self._price(new)
+        return coded
+
+    @staticmethod
+    def _price(words: list[str]) -> int:
+        return 4 * sum(map(len, words)) + _WORD_BYTES * len(words)
+
+    def learn(self, words: list[str]) -> list[bytes]:
+        """The ids of each of the distinct ``words`` as 32-bit integers, by the encoding itself."""
+        as_bytes = [w.encode("utf-8", "surrogateescape") for w in words]
+        ids = self.encode_words(as_bytes)
+        return [array("i", ids[b]).tobytes() for b in as_bytes]
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """Ids (int32) of each text, in order; texts are taken in chunks of about ``CHUNK_CHARS``."""
@@ -302,7 +335,7 @@ class Encoder:
                 for section in sections(piece):
                     parts[-1].append(section)
                     chars += len(section)
-                    if chars >= CHUNK_CHARS:
+                    if chars >= self.chunks * CHUNK_CHARS:
                         self._look_up(parts)  # a long text's sections become ids as they come
                         chars = 0
             if not chars:

@@ -27,8 +27,9 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -106,19 +107,24 @@ def read_blocks(content: bytes) -> Iterator[tuple[list[int | None], np.ndarray,
 
 
 class LibraryEncoder(bpe.Encoder):
-    """The same split; new words go to the ``tokenizers`` library's model, at a higher price, so more are remembered."""
+    """The same split; new words go to the ``tokenizers`` library's model, at a higher price, so more are remembered. Encodes only."""
 
     most_bytes = 160 << 20
-
-    def encode_words(self, words):
-        if self._model is None:
-            from tokenizers import Tokenizer
-            self._tokenizer = Tokenizer.from_str(self.content.decode())
-            self._model = self._tokenizer.model
-            self._names = dict(enumerate(bpe.byte_alphabet()))
-        return {w: [t.id for t in self._model.tokenize(w.decode("latin-1").translate(self._names))] for w in words}
-
-    _model = None
+    chunks = 2
+
+    def _read(self, model):  # the library has its own tables
+        from tokenizers import Tokenizer
+        self._tokenizer = Tokenizer.from_str(self.content.decode())
+        self._model = self._tokenizer.model
+        self._names = dict(enumerate(self.byte_of))
+
+    def learn(self, words):
+        # All words in the vocabulary's alphabet at once, then cut again: a character stands for a byte.
+        as_bytes = [w.encode("utf-8", "surrogateescape") for w in words]
+        named, ends, tokenize = b"".join(as_bytes).decode("latin-1").translate(self._names), list(accumulate(map(len, as_bytes))), self._model.tokenize
+        tokens = [tokenize(named[x:y]) for x, y in zip([0, *ends], ends)]
+        flat, cuts = array("i", [t.id for t in chain.from_iterable(tokens)]).tobytes(), [4 * n for n in accumulate(map(len, tokens))]
+        return [flat[x:y] for x, y in zip([0, *cuts], cuts)]
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str = "text", end_id: int = 0) -> DataFrame:
