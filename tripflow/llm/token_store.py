@@ -110,7 +110,6 @@ class LibraryEncoder(bpe.Encoder):
     """The same split; new words go to the ``tokenizers`` library's model, at a higher price, so more are remembered. Encodes only."""
 
     most_bytes = 160 << 20
-    chunks = 2
 
     def _read(self, model):  # the library has its own tables
         from tokenizers import Tokenizer
